@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .secret_scan import op4_secret_scan
+from .simhash import op10_simhash
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op10_simhash": op10_simhash,
 }
 SQL = {"op3_exact_dedup": OP3_SQL}
