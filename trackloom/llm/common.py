@@ -18,6 +18,8 @@ CHUNK_BYTES = 2 << 20
 #: Python's ``bytes.split()`` cuts at exactly these: space and 0x09 to 0x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: For terms: all ASCII but letters and digits stands between words.
+BREAKS = np.array([not (chr(i).isalnum() or i > 127) for i in range(256)])
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -74,7 +76,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a run of texts: byte ``start``/``end`` in ``data``, the text each belongs to, ``first`` word of each text."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, between: np.ndarray = _SPACE):
         texts = texts.cast(pa.large_string()).fill_null("")
         buffers = texts.buffers()
         offsets = np.frombuffer(buffers[1], np.int64, len(texts) + 1, texts.offset * 8)
@@ -84,7 +86,7 @@ class Words:
             raw = raw.copy()
             raw[(raw >= 65) & (raw <= 90)] += 32
         self.data = raw
-        word = ~_SPACE[raw]
+        word = ~between[raw]
         begins, ends = word.copy(), word.copy()
         begins[1:] &= ~word[:-1]
         ends[:-1] &= ~word[1:]
@@ -95,15 +97,17 @@ class Words:
         self.first = np.searchsorted(self.start, self.offsets)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
-    def hashes(self) -> np.ndarray:
-        """64 bits for each word, equal for equal words."""
+    def hashes(self, *heads: int) -> np.ndarray | list[np.ndarray]:
+        """64 bits for each word, equal for equal words; with ``heads``, also for its first so many bytes."""
         if not len(self.start):
-            return np.zeros(0, np.uint64)
+            return [np.zeros(0, np.uint64)] * (1 + len(heads)) if heads else np.zeros(0, np.uint64)
         size = 1 << max(21, int(len(self.data) + 1).bit_length())
         up, down = _powers(size)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        upto = [self.end, *(np.minimum(self.end, self.start + n) for n in heads)]
+        out = [mix((sums[end] - sums[self.start]) * down[self.start] + (end - self.start).astype(np.uint64)) for end in upto]
+        return out if heads else out[0]
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -126,3 +130,14 @@ def pieces(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
         to = max(at + 1, int(np.searchsorted(sizes, base + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, most: int) -> DataFrame:
+    """doc_id, text, label of at most ``most`` labelled rows outside the held-out fold, chosen by a hash of the id.
+
+    The ids are few by construction (``most`` is the bound), so they are broadcast to the scan of the texts.
+    """
+    fold = F.crc32(F.col("doc_id").cast("string")) % modulus
+    known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label")).dropna()
+    chosen = known.groupBy("doc_id").agg(F.max("label").alias("label")).filter(fold != held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return whole_text(docs).join(F.broadcast(chosen), "doc_id")
