@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import BREAKS, Words, labelled_sample, pieces, table, whole_text
 
-BITS, RANK, SLOTS, MIN_DOCS, SAMPLE, STEPS = 18, 4, 4096, 4, 8192, 200
+BITS, RANK, SLOTS, MIN_DOCS, SAMPLE, STEPS = 18, 4, 1024, 4, 8192, 200
+#: Least chi-squared of a slot, what a toxic row counts in the loss, weight decay of weights and of factors.
+GAIN, TOXIC_COUNTS, DECAY_W, DECAY_V = 15, 8, 1e-4, 3e-3
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 
 
@@ -76,7 +78,7 @@ def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     expected = seen * share
     gain = np.where(seen >= MIN_DOCS, (bad - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9), 0)
     chosen = np.argsort(-gain, kind="stable")[:SLOTS]
-    chosen = chosen[gain[chosen] > 4]
+    chosen = chosen[gain[chosen] > GAIN]
     if not len(chosen):
         return none
     place[chosen] = np.arange(len(chosen))
@@ -88,10 +90,10 @@ def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     for step in range(1, STEPS + 1):
         bias, w, v = params
         z, sums = _forward(bias[0], w, v, text, at, n)
-        loss = (_sigmoid(z) - label) / n
+        loss = (_sigmoid(z) - label) * np.where(label == 1, TOXIC_COUNTS, 1) / n
         each = loss[text]
         to_v = np.stack([np.bincount(at, each * (sums[text, f] - v[at, f]), len(w)) for f in range(RANK)], 1)
-        grads = [np.array([loss.sum()]), np.bincount(at, each, len(w)) + 1e-5 * w, to_v + 1e-4 * v]
+        grads = [np.array([loss.sum()]), np.bincount(at, each, len(w)) + DECAY_W * w, to_v + DECAY_V * v]
         for p, g, a, b in zip(params, grads, first, second, strict=True):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
