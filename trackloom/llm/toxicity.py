@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A text's features are which of its terms occur: lower-cased words and their first 4 and 5 bytes, hashed to 2**BITS
-slots. The slots that tell the classes apart best (chi-squared, on at least MIN_DOCS labelled rows) keep a weight and
+slots. The slots that tell the classes apart best (chi-squared, on at least MIN_DOCS labelled rows that are no near copies of each other) keep a weight and
 RANK latent factors, so pairs of terms that are harmless alone can count together. The score is
 
     sigmoid(bias + sum w_i + (|sum v_i|^2 - sum |v_i|^2) / 2)
@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BREAKS, Words, labelled_sample, pieces, table, whole_text
+from .common import BREAKS, Words, labelled_sample, mix, pieces, table, whole_text
 
-BITS, RANK, SLOTS, MIN_DOCS, SAMPLE, STEPS = 18, 4, 1024, 4, 8192, 200
-#: Least chi-squared of a slot, what a toxic row counts in the loss, weight decay of weights and of factors.
-GAIN, TOXIC_COUNTS, DECAY_W, DECAY_V = 15, 8, 1e-4, 3e-3
+BITS, RANK, SLOTS, MIN_DOCS, SAMPLE, STEPS = 22, 4, 1024, 4, 8192, 200
+#: Least chi-squared of a slot, what a toxic row counts in the loss, and decay of weights and of factors (over the sample's size).
+GAIN, TOXIC_COUNTS, DECAY_W, DECAY_V = 20, 3, 1, 25
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 
 
@@ -69,12 +69,18 @@ def _forward(bias, w, v, text, place, n):
 def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     """Logistic loss with weight decay, by full-batch Adam steps from a fixed seed."""
     n, size = len(label), 1 << BITS
-    place = np.full(size, -1, np.int32)
+    place = np.full(size, -1, np.int16)
     share = (label.sum() + 0.5) / (n + 1)
     none = Machine(place, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, RANK)))
     if not n or label.min() == label.max():
         return none
-    seen, bad = np.bincount(slot, minlength=size), np.bincount(slot, label[text], size)
+    # Near copies mostly share the least hash of their uncommon slots; a group of them counts as one row.
+    least = np.arange(n, dtype=np.uint64) | np.uint64(1 << 63)
+    rare = np.bincount(slot, minlength=size)[slot] <= 2 + n // 100
+    np.minimum.at(least, text[rare], mix(slot[rare].astype(np.uint64)) >> np.uint64(1))
+    _, group, times = np.unique(least, return_inverse=True, return_counts=True)
+    rows = 1 / times[group]
+    seen, bad = np.bincount(slot, rows[text], size), np.bincount(slot, (rows * label)[text], size)
     expected = seen * share
     gain = np.where(seen >= MIN_DOCS, (bad - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9), 0)
     chosen = np.argsort(-gain, kind="stable")[:SLOTS]
@@ -90,10 +96,10 @@ def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     for step in range(1, STEPS + 1):
         bias, w, v = params
         z, sums = _forward(bias[0], w, v, text, at, n)
-        loss = (_sigmoid(z) - label) * np.where(label == 1, TOXIC_COUNTS, 1) / n
+        loss = (_sigmoid(z) - label) * np.where(label == 1, TOXIC_COUNTS, 1) * rows / n
         each = loss[text]
         to_v = np.stack([np.bincount(at, each * (sums[text, f] - v[at, f]), len(w)) for f in range(RANK)], 1)
-        grads = [np.array([loss.sum()]), np.bincount(at, each, len(w)) + DECAY_W * w, to_v + DECAY_V * v]
+        grads = [np.array([loss.sum()]), np.bincount(at, each, len(w)) + DECAY_W / n * w, to_v + DECAY_V / n * v]
         for p, g, a, b in zip(params, grads, first, second, strict=True):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
