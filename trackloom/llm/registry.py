@@ -6,13 +6,15 @@ from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .quality import op7_quality
 from .secret_scan import op4_secret_scan
 from .simhash import op10_simhash
+from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .toxicity import op9_toxicity
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_quality": op7_quality,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
-SQL = {"op3_exact_dedup": OP3_SQL}
+SQL = {"op3_exact_dedup": OP3_SQL, "op5_substring_dedup": OP5_SQL}
