@@ -188,13 +188,13 @@ def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM t WHERE len(w) >= 13),
 g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS h FROM p),
 f AS (SELECT h, min(doc_id) AS least FROM g GROUP BY h),
 c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN f USING (h) WHERE least < doc_id),
 r AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
 SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
-  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM t LEFT JOIN r USING (doc_id)
 """
