@@ -7,6 +7,7 @@ from .quality import op7_quality
 from .secret_scan import op4_secret_scan
 from .simhash import op10_simhash
 from .substring_dedup import OP5_SQL, op5_substring_dedup
+from .suffix_dedup import op8_suffix_dedup
 from .toxicity import op9_toxicity
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
