@@ -9,8 +9,10 @@ from .simhash import op10_simhash
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .suffix_dedup import op8_suffix_dedup
 from .toxicity import op9_toxicity
+from .wavelet import op1_wavelet_tokens
 
 QUERIES = {
+    "op1_wavelet_tokens": op1_wavelet_tokens,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
