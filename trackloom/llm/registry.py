@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .pieces_codec import op6_pieces
 from .quality import op7_quality
 from .secret_scan import op4_secret_scan
 from .simhash import op10_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_pieces": op6_pieces,
     "op7_quality": op7_quality,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
