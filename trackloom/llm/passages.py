@@ -2,20 +2,33 @@
 
 Every window of ``size`` words has an anchor: the least hash among its runs of ``gram`` words. Equal windows have equal
 anchors, so windows can meet by anchor instead of by themselves, with one row for each stretch of windows that share it
-(a segment). Anchors that one document alone holds are dropped before any text moves; the segments of the others carry
-their words, joined by single spaces, so all later comparisons are of the words themselves.
+(a segment). Anchors that one document alone holds are left out before any text moves, through a filter of bits that
+lets all shared anchors pass and few others; it is broadcast up to FILTER_BITS, and beyond what that serves a join by
+document takes its place. The segments of the others carry their words, joined by single spaces, so that later comparisons
+are of the words themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, grams, pieces, whole_text, written
+from .common import Words, grams, mix, pieces, shared_path, whole_text, written
+
+#: The most bits of the filter of shared anchors (64 MB), and the fewest it needs for each anchor.
+FILTER_BITS, LEAST_BITS = 1 << 29, 4
+_BLOCK = 20
+#: Different segments that a task remembers to have given the words of.
+_GIVEN = 1 << 20
+#: Segments (anchor, wh, words), each with the smallest doc_id it occurs in.
+Shard = dict[tuple[int, int, str], int]
 
 
 def window_anchors(words: Words, size: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -43,55 +56,180 @@ def segments(words: Words, size: int, gram: int) -> tuple[np.ndarray, np.ndarray
     return at[first], np.diff(np.r_[first, len(at)]), anchor[first].view(np.int64)
 
 
-def candidates(docs: DataFrame, size: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """(texts, segments) of the documents that share an anchor with another.
+def keyed_text(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``th``, a hash of the text that tells rows apart which repeat a doc_id."""
+    return whole_text(docs).withColumn("th", F.xxhash64("text"))
+
+
+def _positions(anchor: np.ndarray, bits: int) -> np.ndarray:
+    shift = np.uint64(64 - (bits.bit_length() - 1))
+    anchor = anchor.view(np.uint64)
+    return np.stack([mix(anchor) >> shift, mix(anchor ^ np.uint64(0x9E3779B97F4A7C15)) >> shift]).astype(np.int64)
+
+
+def anchor_filter(shared: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits as bytes; each task sets the bits of its own blocks, so that nothing is merged."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _positions(batch.column("anchor").to_numpy(), bits).ravel()
+            yield pa.record_batch([pa.array(at >> _BLOCK), pa.array(at & ((1 << _BLOCK) - 1))], ["block", "at"])
+
+    def build(rows: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << _BLOCK, bool)
+        flags[rows.column("at").to_numpy()] = True
+        return pa.table({"block": [rows.column("block")[0].as_py()], "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros(max(bits, 1 << _BLOCK) >> 3, np.uint8)
+    blocks = shared.mapInArrow(place, "block long, at long").distinct().groupBy("block").applyInArrow(build, "block long, bits binary")
+    for row in blocks.toLocalIterator():
+        out[row.block << (_BLOCK - 3) : (row.block + 1) << (_BLOCK - 3)] = np.frombuffer(row.bits, np.uint8)
+    return out
+
 
-    texts: row, doc_id, text, anchors. segments: row, doc_id, first (word), windows, anchor, words.
-    ``row`` tells rows apart that repeat a doc_id.
+def candidates(docs: DataFrame, size: int, gram: int, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, th, first (word), windows, anchor, wh, words for each segment whose anchor another document may hold.
+
+    ``wh`` is a hash of the words. ``words`` is null where the same task has given the same segment before, under the
+    same or a smaller doc_id.
     """
-    rows = whole_text(docs)
+    spark, rows = docs.sparkSession, keyed_text(docs)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 words = Words(part.column("text"))
                 first, _, anchor = segments(words, size, gram)
-                pair = np.unique(np.stack([words.text[first], anchor], 1), axis=0) if len(first) else np.zeros((0, 2), np.int64)
-                yield pa.record_batch([part.column("doc_id").take(pa.array(pair[:, 0])), pa.array(pair[:, 1])], ["doc_id", "anchor"])
-
-    held = written(rows.mapInArrow(anchors, "doc_id long, anchor long"), "anchors")
-    shared = held.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").select("anchor")
-    by_doc = held.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # bounded by one document's words
-    texts = written(rows.join(by_doc, "doc_id").withColumn("row", F.monotonically_increasing_id()), "shared-texts")
+                order = np.lexsort((anchor, words.text[first]))
+                text, anchor = words.text[first][order], anchor[order]
+                new = np.r_[True, (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])] if len(text) else np.zeros(0, bool)
+                yield pa.record_batch([part.column("doc_id").take(pa.array(text[new])), pa.array(anchor[new])], ["doc_id", "anchor"])
+
+    held = rows.select("doc_id", "text").mapInArrow(anchors, "doc_id long, anchor long")
+    shared = written(held.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").select("anchor"), "anchors")
+    n = shared.count()
+    bits = 1 << max(_BLOCK, min((8 * n).bit_length(), filter_bits.bit_length() - 1))
+    if LEAST_BITS * n <= bits:
+        passes = spark.sparkContext.broadcast(anchor_filter(shared, bits))
+    else:  # the anchors go to their documents instead
+        passes = None
+        by_doc = held.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # bounded by one document's words
+        rows = rows.join(by_doc, "doc_id")
+
+    def known(part: pa.RecordBatch, text: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        if passes is not None:
+            at = _positions(anchor, bits)
+            return np.flatnonzero(((passes.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0))
+        lists = part.column("anchors")
+        mine = _pair(np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy())
+        return np.flatnonzero(np.isin(_pair(text, anchor), mine))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: dict[int, int] = {}
         for batch in batches:
             for part in pieces(batch):
                 words = Words(part.column("text"))
                 first, windows, anchor = segments(words, size, gram)
-                lists = part.column("anchors")
-                mine = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-                known = np.sort(mix_pair(mine, lists.flatten().to_numpy()))
-                sought = mix_pair(words.text[first], anchor)
-                at = np.minimum(np.searchsorted(known, sought), max(0, len(known) - 1))
-                hit = np.flatnonzero(known[at] == sought) if len(known) else np.zeros(0, np.int64)
+                hit = known(part, words.text[first], anchor)
                 first, windows, anchor = first[hit], windows[hit], anchor[hit]
-                raw, last = words.data.tobytes(), first + windows + size - 2
+                text, raw, last = words.text[first], words.data.tobytes(), first + windows + size - 2
                 listed = [b" ".join(raw[a:z].split()) for a, z in zip(words.start[first].tolist(), words.end[last].tolist(), strict=True)]
-                take = pa.array(words.text[first])
+                hashes = [xxhash.xxh3_64_intdigest(x) for x in listed]
+                docs_ = part.column("doc_id").take(pa.array(text))
+                if len(given) > _GIVEN:
+                    given.clear()
+                for i, (h, doc) in enumerate(zip(hashes, docs_.to_pylist(), strict=True)):
+                    if given.get(h, doc + 1) <= doc:
+                        listed[i] = None
+                    else:
+                        given[h] = doc
                 yield pa.record_batch(
-                    [part.column("row").take(take), part.column("doc_id").take(take), pa.array(first - words.first[words.text[first]]), pa.array(windows), pa.array(anchor), pa.array(listed, pa.binary()).cast(pa.string())],
-                    ["row", "doc_id", "first", "windows", "anchor", "words"],
+                    [docs_, part.column("th").take(pa.array(text)), pa.array(first - words.first[text]), pa.array(windows), pa.array(anchor), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(listed, pa.binary()).cast(pa.string())],
+                    ["doc_id", "th", "first", "windows", "anchor", "wh", "words"],
                 )
 
-    return texts, texts.mapInArrow(cut, "row long, doc_id long, first long, windows long, anchor long, words string")
+    found = rows.filter("doc_id IS NOT NULL").mapInArrow(cut, "doc_id long, th long, first long, windows long, anchor long, wh long, words string")
+    path = shared_path(spark, "found")
+    found.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
-def mix_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One 64-bit value for each pair; only pairs of the same batch are compared, and a false hit costs a needless segment."""
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One 64-bit value for each pair; a false hit costs a needless segment, no more."""
     return b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (a.astype(np.uint64) << np.uint64(40))
 
 
-def cover(starts: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """row, starts: for each text the first words of its repeated windows, in order; bounded by the text's own words."""
-    return texts.join(starts.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts")), "row", "left")
+def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], busy: int, full: Callable[[Shard], bool]) -> DataFrame:
+    """anchor, wh, words, doc_id, firsts for each different segment of ``found``.
+
+    A shard holds the segments of whole anchors, each with its smallest doc_id; ``search`` gives for each of its segments
+    the smallest doc_id of every window, and the next shard begins when it is ``full``. An anchor with more than ``busy``
+    different segments is not searched: its segments come back with their words and no firsts, some perhaps twice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[int, int, str, int]]:
+            for batch in batches:
+                yield from zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+
+        def out(shard: Shard, firsts: list | None) -> pa.RecordBatch:
+            anchor, wh, words = zip(*shard, strict=True)
+            return pa.record_batch(
+                [pa.array(anchor, pa.int64()), pa.array(wh, pa.int64()), pa.array(words if firsts is None else [None] * len(shard), pa.string()), pa.array(list(shard.values()), pa.int64()), pa.array([None] * len(shard) if firsts is None else firsts, pa.list_(pa.int64()))],
+                ["anchor", "wh", "words", "doc_id", "firsts"],
+            )
+
+        shard: Shard = {}
+        for _, group in groupby(rows(), key=lambda x: x[0]):
+            own: Shard = {}
+            crowded = False
+            for *key, doc in group:
+                key = tuple(key)
+                own[key] = min(own.get(key, doc), doc)
+                if len(own) > busy:
+                    yield out(own, None)
+                    own, crowded = {}, True
+            if crowded:
+                if own:
+                    yield out(own, None)
+                continue
+            shard |= own
+            if full(shard):
+                yield out(shard, search(shard))
+                shard = {}
+        if shard:
+            yield out(shard, search(shard))
+
+    exemplars = found.filter("words IS NOT NULL").select("anchor", "wh", "words", "doc_id")
+    return exemplars.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, wh long, words string, doc_id long, firsts array<long>")
+
+
+def repeated_windows(found: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
+    """doc_id, th, hits: array<struct<at, d>> with the windows (first word) that a smaller doc_id d has too.
+
+    Segments meet their firsts by anchor and word hash, 128 bits together. Skewed keys are split at run time.
+    """
+    firsts = written(firsts, "firsts")
+    mark = "filter(transform(firsts, (d, i) -> CASE WHEN d < doc_id THEN struct(first + i AS at, d AS d) END), x -> x IS NOT NULL)"
+    plain = firsts.filter("firsts IS NOT NULL").select("anchor", "wh", "firsts")
+    hits = found.select("doc_id", "th", "first", "anchor", "wh").join(plain, ["anchor", "wh"]).select("doc_id", "th", F.expr(mark).alias("hits"))
+    crowded = firsts.filter("firsts IS NULL")
+    if not crowded.isEmpty():  # the same, with windows in place of segments: equal ones meet by their words alone
+        each = f"transform(sequence(0, size(split(words, ' ')) - {size}), i -> struct(i AS i, sha2(array_join(slice(split(words, ' '), i + 1, {size}), ' '), 256) AS one))"
+        cut = crowded.groupBy("anchor", "wh", "words").agg(F.min("doc_id").alias("doc_id")).select("anchor", "wh", "doc_id", F.expr(f"inline({each})"))
+        least = cut.groupBy("one").agg(F.min("doc_id").alias("d"))
+        known = cut.select("anchor", "wh", "i", "one").join(least, "one").groupBy("anchor", "wh").agg(F.sort_array(F.collect_list(F.struct("i", "d"))).alias("w"))  # bounded by one segment
+        hits = hits.unionByName(found.select("doc_id", "th", "first", "anchor", "wh").join(known.select("anchor", "wh", F.expr("transform(w, x -> x.d)").alias("firsts")), ["anchor", "wh"]).select("doc_id", "th", F.expr(mark).alias("hits")))
+    return hits.filter(F.size("hits") > 0)
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """doc_id, th, zip: texts compressed for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in pieces(batch):
+                yield pa.record_batch([part.column("doc_id"), part.column("th"), pa.array([press.compress(t.as_buffer()) for t in part.column("text")], pa.binary())], ["doc_id", "th", "zip"])
+
+    return keyed_text(docs).mapInArrow(run, "doc_id long, th long, zip binary")

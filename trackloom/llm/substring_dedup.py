@@ -19,15 +19,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, pieces, table, whole_text, written
-from .passages import candidates, cover
+from .common import table
+from .passages import by_shards, candidates, repeated_windows, zipped
 
 WINDOW, GRAM = 13, 5
 #: Words that one automaton takes before the next is begun, and different segments of an anchor beyond which windows stand alone.
@@ -103,58 +103,24 @@ class Automaton:
         return out
 
 
-def first_documents(distinct: DataFrame, size: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """anchor, words, firsts (for each window the smallest doc_id) of the different segments (anchor, words, doc_id)."""
+def first_documents(found: DataFrame, size: int, busy: int, shard_words: int) -> DataFrame:
+    """anchor, wh, words, doc_id, firsts for each different segment: the smallest doc_id of each of its windows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[int, str, int]]:
-            for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-
-        shard: list[tuple[int, str, int]] = []
-        held = 0
-
-        def searched() -> pa.RecordBatch:
-            automaton, lists = Automaton(), [words.split(" ") for _, words, _ in shard]
-            for words, (_, _, doc) in zip(lists, shard, strict=True):
-                automaton.add(words, doc)
-            automaton.settle()
-            found = [automaton.matches(words, size) for words in lists]
-            return pa.record_batch([pa.array([x[0] for x in shard], pa.int64()), pa.array([x[1] for x in shard], pa.string()), pa.array(found, pa.list_(pa.int64()))], ["anchor", "words", "firsts"])
-
-        for _, group in groupby(rows(), key=lambda x: x[0]):
-            for row in group:
-                shard.append(row)
-                held += row[1].count(" ") + 1
-            if held >= shard_words:
-                yield searched()
-                shard, held = [], 0
-        if shard:
-            yield searched()
-
-    return distinct.select("anchor", "words", "doc_id").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, words string, firsts array<long>")
-
-
-def repeated_starts(found: DataFrame, size: int, busy: int = BUSY, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """row, starts: the windows of each segment that a smaller doc_id has too."""
-    distinct = written(found.groupBy("anchor", "words").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.first("windows").alias("windows")), "segments")
-    many = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("last").alias("z")).filter("a < z")
-    few = first_documents(distinct.join(many.filter(f"n <= {busy}"), "anchor", "left_semi"), size, shard_words)
-    mark = "filter(transform(firsts, (d, i) -> CASE WHEN d < doc_id THEN first + i END), x -> x IS NOT NULL)"
-    starts = found.join(few, ["anchor", "words"]).select("row", F.expr(mark).alias("starts"))
-    crowded = many.filter(f"n > {busy}")
-    if not crowded.isEmpty():  # the same, with windows in place of segments: equal ones meet by their words alone
-        each = "transform(sequence(0, cast(windows AS int) - 1), i -> struct(i AS i, array_join(slice(split(words, ' '), i + 1, {size}), ' ') AS one))".format(size=size)
-        alone = distinct.join(crowded, "anchor", "left_semi").select("doc_id", F.expr(f"inline({each})")).groupBy("one").agg(F.min("doc_id").alias("least"))
-        single = found.join(crowded, "anchor", "left_semi").select("row", "doc_id", "first", F.expr(f"inline({each})"))
-        starts = starts.unionByName(single.join(alone, "one").filter("least < doc_id").select("row", F.array(F.col("first") + F.col("i")).alias("starts")))
-    return starts.filter(F.size("starts") > 0)
+    def search(shard: dict[tuple[int, int, str], int]) -> list[list[int | None]]:
+        automaton, lists = Automaton(), [words.split(" ") for _, _, words in shard]
+        for words, doc in zip(lists, shard.values(), strict=True):
+            automaton.add(words, doc)
+        automaton.settle()
+        return [automaton.matches(words, size) for words in lists]
+
+    return by_shards(found, search, busy, lambda shard: sum(words.count(" ") + 1 for _, _, words in shard) >= shard_words)
 
 
 def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list[int], list[str]]:
     counts, removed, digests = [], [], []
+    unpress = zstandard.ZstdDecompressor()
     for text, at in zip(texts, starts, strict=True):
-        words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+        words = unpress.decompress(text.as_py()).split()
         gone = np.zeros(len(words) + 1, np.int64)
         if at.is_valid and len(at.values):
             first = at.values.to_numpy()
@@ -170,17 +136,16 @@ def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list
 
 def substring_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of ``docs``."""
-    texts, found = candidates(docs, size, gram)
-    starts = repeated_starts(written(found, "found"), size, busy, shard_words)
+    found = candidates(docs, size, gram)
+    hits = repeated_windows(found, first_documents(found, size, busy, shard_words), size)
+    starts = hits.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(F.expr("transform(hits, x -> x.at)"))).alias("starts"))  # bounded by one document's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, digests = _kept(batch.column("text"), batch.column("starts"), size)
+            counts, removed, digests = _kept(batch.column("zip"), batch.column("starts"), size)
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    known = cover(starts, texts, size).select("doc_id", "text", "starts")
-    rest = whole_text(docs).join(texts.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("starts", F.lit(None).cast("array<long>"))
-    return known.unionByName(rest).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return zipped(docs).join(starts, ["doc_id", "th"], "left").select("doc_id", "zip", "starts").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

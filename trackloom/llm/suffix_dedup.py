@@ -15,27 +15,21 @@ alone is none; texts shorter than a window never match; an empty table gives no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import groupby
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, grams, table, written
-from .passages import candidates
+from .common import Words, grams, table
+from .passages import by_shards, candidates, repeated_windows
 
 WINDOW, GRAM = 50, 8
 #: Segments that one sparse suffix array takes before the next is begun, and different segments of a minimiser beyond which windows stand alone.
 SHARD_ROWS, BUSY = 4_000, 40_000
 
 
-def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, gram: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each segment, the smallest and largest doc_id of the segments that hold each of its windows.
-
-    texts: words joined by single spaces; first and last: the smallest and largest doc_id of each segment.
-    """
+def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, size: int, gram: int) -> list[np.ndarray]:
+    """For each segment (words joined by single spaces, its anchor and smallest doc_id), the smallest doc_id that holds each of its windows."""
     words = Words(pa.array(texts))
     numbers: dict[str, int] = {}
     ids = np.array([numbers.setdefault(w, len(numbers)) for t in texts for w in t.split(" ")], np.int64)
@@ -55,7 +49,7 @@ def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, last: np.n
     common[1:] = np.cumprod(after[1:] == after[:-1], axis=1).sum(1)
     common[1:][anchors[row[1:]] != anchors[row[:-1]]] = 0
     offsets = np.r_[0, np.cumsum(windows)]
-    least, most = np.full(offsets[-1], np.iinfo(np.int64).max), np.full(offsets[-1], np.iinfo(np.int64).min)
+    least = np.full(offsets[-1], np.iinfo(np.int64).max)
     before = np.zeros(n, np.int64)
     for shift in range(left + 1):
         start = at - shift
@@ -68,68 +62,33 @@ def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, last: np.n
         if not len(here):
             continue
         _, group = np.unique(run[here] * (n + 1) + before[here], return_inverse=True)
-        low, high = np.full(group.max() + 1, np.iinfo(np.int64).max), np.full(group.max() + 1, np.iinfo(np.int64).min)
+        low = np.full(group.max() + 1, np.iinfo(np.int64).max)
         np.minimum.at(low, group, first[row[here]])
-        np.maximum.at(high, group, last[row[here]])
-        slot = offsets[row[here]] + window[here]
-        least[slot], most[slot] = low[group], high[group]
-    return [(least[a:z], most[a:z]) for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
-
-
-def window_holders(distinct: DataFrame, size: int, gram: int, shard_rows: int) -> DataFrame:
-    """anchor, words, firsts of the different segments (anchor, words, doc_id, last); segments without a shared window are left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[int, str, int, int]]:
-            for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
-
-        shard: list[tuple[int, str, int, int]] = []
-
-        def searched() -> pa.RecordBatch:
-            anchors, first, last = (np.array([x[i] for x in shard], np.int64) for i in (0, 2, 3))
-            found = holders([x[1] for x in shard], anchors, first, last, size, gram)
-            kept = [(x[0], x[1], [int(a) if a < z else None for a, z in zip(low, high, strict=True)]) for x, (low, high) in zip(shard, found, strict=True) if (low < high).any()]
-            return pa.record_batch([pa.array([x[0] for x in kept], pa.int64()), pa.array([x[1] for x in kept], pa.string()), pa.array([x[2] for x in kept], pa.list_(pa.int64()))], ["anchor", "words", "firsts"])
-
-        for _, group in groupby(rows(), key=lambda x: x[0]):
-            shard.extend(group)
-            if len(shard) >= shard_rows:
-                yield searched()
-                shard = []
-        if shard:
-            yield searched()
-
-    return distinct.select("anchor", "words", "doc_id", "last").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, words string, firsts array<long>")
-
-
-def shared_windows(found: DataFrame, size: int, gram: int, busy: int, shard_rows: int) -> DataFrame:
-    """row, doc_id, at, first_doc_id: each window of a document that an earlier one holds, once."""
-    distinct = written(found.groupBy("anchor", "words").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.first("windows").alias("windows")), "segments")
-    many = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("last").alias("z")).filter("a < z")
-    few = window_holders(distinct.join(many.filter(f"n <= {busy}"), "anchor", "left_semi"), size, gram, shard_rows)
-    mark = "filter(transform(firsts, (d, i) -> CASE WHEN d < doc_id THEN struct(first + i AS at, d AS first_doc_id) END), x -> x IS NOT NULL)"
-    out = found.join(few, ["anchor", "words"]).select("row", "doc_id", F.expr(mark).alias("hits"))
-    crowded = many.filter(f"n > {busy}")
-    if not crowded.isEmpty():  # the same, with windows in place of segments: equal ones meet by their words alone
-        each = f"transform(sequence(0, cast(windows AS int) - 1), i -> struct(i AS i, array_join(slice(split(words, ' '), i + 1, {size}), ' ') AS one))"
-        alone = distinct.join(crowded, "anchor", "left_semi").select("doc_id", F.expr(f"inline({each})")).groupBy("one").agg(F.min("doc_id").alias("d"))
-        single = found.join(crowded, "anchor", "left_semi").select("row", "doc_id", "first", F.expr(f"inline({each})"))
-        hits = single.join(alone, "one").filter("d < doc_id").select("row", "doc_id", F.expr("array(struct(first + i AS at, d AS first_doc_id))").alias("hits"))
-        out = out.unionByName(hits)
-    return out.filter(F.size("hits") > 0)
+        least[offsets[row[here]] + window[here]] = low[group]
+    return [least[a:z] for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def window_holders(found: DataFrame, size: int, gram: int, busy: int, shard_rows: int) -> DataFrame:
+    """anchor, wh, words, doc_id, firsts for each different segment, as ``first_documents`` gives them."""
+
+    def search(shard: dict[tuple[int, int, str], int]) -> list[list[int]]:
+        anchors = np.array([k[0] for k in shard], np.int64)
+        return [x.tolist() for x in holders([k[2] for k in shard], anchors, np.array(list(shard.values()), np.int64), size, gram)]
+
+    return by_shards(found, search, busy, lambda shard: len(shard) >= shard_rows)
 
 
 def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, first_doc_id, start, n_words for each maximal passage that an earlier document holds."""
-    found = written(candidates(docs, size, gram)[1], "found")
-    hits = shared_windows(found, size, gram, busy, shard_rows).groupBy("row", "doc_id").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    found = candidates(docs, size, gram)
+    hits = repeated_windows(found, window_holders(found, size, gram, busy, shard_rows), size)
+    hits = hits.groupBy("doc_id", "th").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
     # Bounded by one document's words: consecutive windows join to a passage as long as they touch.
-    joined = f"""aggregate(hits, cast(array() AS array<struct<start: bigint, stop: bigint, first_doc_id: bigint>>), (a, x) ->
+    joined = f"""aggregate(hits, cast(array() AS array<struct<start: bigint, stop: bigint, d: bigint>>), (a, x) ->
       CASE WHEN size(a) > 0 AND x.at <= element_at(a, -1).stop
-        THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).start AS start, x.at + {size} AS stop, element_at(a, -1).first_doc_id AS first_doc_id)))
-        ELSE concat(a, array(struct(x.at AS start, x.at + {size} AS stop, x.first_doc_id AS first_doc_id))) END)"""
-    return hits.select("doc_id", F.expr(f"inline({joined})")).select("doc_id", "first_doc_id", "start", (F.col("stop") - F.col("start")).alias("n_words"))
+        THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).start AS start, x.at + {size} AS stop, element_at(a, -1).d AS d)))
+        ELSE concat(a, array(struct(x.at AS start, x.at + {size} AS stop, x.d AS d))) END)"""
+    return hits.select("doc_id", F.expr(f"inline({joined})")).select("doc_id", F.col("d").alias("first_doc_id"), "start", (F.col("stop") - F.col("start")).alias("n_words"))
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
