@@ -91,7 +91,7 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH, h
     """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``."""
     rows = keyed(docs, hash_bits)
     _, index = build_index(rows, shared_path(docs.sparkSession, "hash-index"), capacity, depth)
-    return probe(rows, index).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    return probe(rows, index).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

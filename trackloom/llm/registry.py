@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_decontaminate
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .pieces_codec import op6_pieces
 from .quality import op7_quality
@@ -14,6 +15,7 @@ from .wavelet import op1_wavelet_tokens
 
 QUERIES = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
+    "op2_decontaminate": op2_decontaminate,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
