@@ -1,6 +1,430 @@
-"""Registered queries over the given tables, with their SQL."""
+"""Registered queries over the given tables, with their SQL: name -> (query, SQL or None)."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .config import BITS, REASONS, Settings
+from .functions import geometry as G
+from .operators import intervals as I
+from .operators import outliers, repair, rules
+from .plans import cutplan, oracle, store, timeline
+from .sources import checks, frames
+
+S = Settings()
+sql = oracle.sql
 QUERIES: dict = {}
 SQL: dict = {}
+
+
+def query(text: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if text:
+            SQL[f.__name__] = text
+        return f
+
+    return add
+
+
+def r6(c):
+    """Rounded for comparing across engines; NaN as null, and no negative zero."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(~F.isnan(c), F.round(c, 6) + F.lit(0.0))
+
+
+def q6(x: str) -> str:
+    return f"CASE WHEN NOT isnan({x}) THEN round({x}, 6) + 0.0 END"
+
+
+def long(c: str):
+    return F.col(c).cast("long").alias(c)
+
+
+# Frames and their validation
+
+
+@query(sql(f"SELECT ep, f, n, {q6('cx')} AS cam_x, {q6('c')} AS r00, {q6('s')} AS r02, {q6('lx')} AS left_x, {q6('lz')} AS left_z, {q6('rx')} AS right_x, {q6('rz')} AS right_z FROM pose"))
+def frames_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cam = F.col("cam")
+    return frames.from_lineitem(spark, sf_dir).select("ep", "f", "n", r6(cam[0][3]).alias("cam_x"), r6(cam[0][0]).alias("r00"), r6(cam[0][2]).alias("r02"), r6(F.col("l_p")[0]).alias("left_x"), r6(F.col("l_p")[2]).alias("left_z"), r6(F.col("r_p")[0]).alias("right_x"), r6(F.col("r_p")[2]).alias("right_z"))
+
+
+@query("""WITH n AS (SELECT unnest(['frame_index', 'length', 'timestamp', 'vector_width', 'camera_finite', 'camera_bottom_row', 'camera_rigid', 'camera_reflection']) AS "check") SELECT "check", 0::BIGINT AS failures FROM n""")
+def frame_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.frame_failures(frames.from_lineitem(spark, sf_dir)).select("check", "failures")
+
+
+@query(sql("SELECT ep, sum(CASE WHEN f = n - 1 AND ep % 3 = 0 AND NOT isnan(lx) THEN 1 ELSE 0 END)::BIGINT AS l_mismatches, 0::BIGINT AS r_mismatches FROM pose GROUP BY ep"))
+def delay_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = outliers.delay_rows(frames.wide(frames.from_lineitem(spark, sf_dir)))
+    return tagged.groupBy("ep").agg(*[F.count_if(~F.col(f"{h}_matches")).alias(f"{h}_mismatches") for h in "lr"])
+
+
+_SIX = "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS d FROM embeddings), n AS (SELECT vec_id, d, sqrt(d[4]*d[4]+d[5]*d[5]+d[6]*d[6]) AS n1 FROM e), x AS (SELECT *, d[4]/n1 AS x0, d[5]/n1 AS x1, d[6]/n1 AS x2 FROM n), s AS (SELECT *, x0*d[7]+x1*d[8]+x2*d[9] AS p FROM x), y AS (SELECT *, d[7]-p*x0 AS s0, d[8]-p*x1 AS s1, d[9]-p*x2 AS s2 FROM s), z AS (SELECT *, sqrt(s0*s0+s1*s1+s2*s2) AS n2 FROM y)"
+
+
+@query(_SIX + f"""SELECT vec_id, greatest(abs(x0-d[4]),abs(x1-d[5]),abs(x2-d[6]),abs(s0/n2-d[7]),abs(s1/n2-d[8]),abs(s2/n2-d[9])) <= 1e-3 AS raw_valid, true AS unit_valid,
+  {q6('x0')} AS r00, {q6('s0/n2')} AS r10, {q6('x1*s2/n2 - x2*s1/n2')} AS r20 FROM z""")
+def rot6d_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions 3 to 8 as a rotation: as they are, and made orthonormal first."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 4, 6).alias("six"))
+    e = F.col("six")
+    first = G.rotation_6d(rows, "six", "raw", "raw_valid")
+    n1 = F.sqrt(G.total(e[i] * e[i] for i in range(3)))
+    first = first.withColumn("x", F.array(*[e[i] / n1 for i in range(3)]))
+    x = F.col("x")
+    first = first.withColumn("s", F.array(*[e[3 + i] - G.total(x[j] * e[3 + j] for j in range(3)) * x[i] for i in range(3)]))
+    first = first.withColumn("unit", F.concat("x", F.transform("s", lambda v: v / G.norm(F.col("s")))))
+    out = G.rotation_6d(first, "unit", "m", "unit_valid")
+    return out.select("vec_id", "raw_valid", "unit_valid", *[r6(F.col("m")[3 * i]).alias(f"r{i}0") for i in range(3)])
+
+
+# S1: detection
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.points(spark, sf_dir)
+
+
+@query(sql(f"SELECT ep, hand, pt, {q6('pos')} AS position_step, {q6('rot')} AS rotation_step FROM jm WHERE valid AND pt2 IS NOT NULL"))
+def pose_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = outliers.steps(outliers.posed(outliers.points(I.dealt(frames.wide(frames.from_lineitem(spark, sf_dir)), "ep"))), "valid")
+    return rows.filter("valid AND next IS NOT NULL").select("ep", "hand", "pt", r6("pos").alias("position_step"), r6("rot_step").alias("rotation_step"))
+
+
+@query(sql("SELECT ep, hand, pt, block::BIGINT AS block FROM bl WHERE block > 0"))
+def jump_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).filter("block > 0").select("ep", "hand", "pt", long("block"))
+
+
+@query(sql(f"SELECT ep, hand, {q6('max(tp)')} AS position_threshold, {q6('max(tr)')} AS rotation_threshold FROM hd WHERE calm GROUP BY ep, hand"))
+def hampel_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).filter("calm").groupBy("ep", "hand").agg(r6(F.max("pos_threshold")).alias("position_threshold"), r6(F.max("rot_threshold")).alias("rotation_threshold"))
+
+
+@query(sql("SELECT ep, hand, pt, spike::BIGINT AS spike FROM sp WHERE spike > 0"))
+def hampel_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).filter("spike > 0").select("ep", "hand", "pt", long("spike"))
+
+
+@query(sql("SELECT ep, hand, f, code::BIGINT AS state_code, acode::BIGINT AS action_code FROM act WHERE code <> 0 OR acode <> 0"))
+def s1_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.action_codes(_points(spark, sf_dir)).filter("state_code <> 0 OR action_code <> 0").select("ep", "hand", "f", long("state_code"), long("action_code"))
+
+
+@query(sql(f"""SELECT ep, hand, min(pt)::BIGINT AS "start", (max(pt) + 1)::BIGINT AS "end", bit_or(code)::BIGINT AS code,
+  {q6('max(greatest(pin, pout))')} AS peak_position_step FROM (SELECT *, pt - row_number() OVER (PARTITION BY ep, hand ORDER BY pt) AS run FROM
+  (SELECT *, lead(pin) OVER (PARTITION BY ep, hand ORDER BY pt) AS pout FROM (SELECT *, CASE WHEN valid AND lag(valid) OVER w THEN sqrt((x - lag(x) OVER w) ** 2 + (z - lag(z) OVER w) ** 2) END AS pin FROM cd WINDOW w AS (PARTITION BY ep, hand ORDER BY pt))) WHERE code <> 0) GROUP BY ep, hand, run"""))
+def anomaly_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.anomaly_intervals(_points(spark, sf_dir)).select("ep", "hand", long("start"), long("end"), long("code"), r6("peak_position_step").alias("peak_position_step"))
+
+
+_BITS = ", ".join(f"({b}, '{n}')" for b, n in BITS.items())
+
+
+@query(sql(f"SELECT name AS reason, count(*) FILTER (WHERE code & bit <> 0) AS state_hand_frames, count(*) FILTER (WHERE acode & bit <> 0) AS action_hand_rows FROM act, (VALUES {_BITS}) AS b(bit, name) GROUP BY name"))
+def anomaly_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = outliers.action_codes(_points(spark, sf_dir))
+    sums = codes.agg(*[F.count_if(F.col(c).bitwiseAND(b) != 0).alias(f"{c}{b}") for c in ("state_code", "action_code") for b in BITS])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("reason"), F.col(f"state_code{b}").alias("state_hand_frames"), F.col(f"action_code{b}").alias("action_hand_rows")) for b, n in BITS.items()])))
+
+
+# S1: repair
+
+
+@query(sql('SELECT ep, hand, g0::BIGINT AS "start", g1::BIGINT AS "end", bit_or(code)::BIGINT AS code, bool_and(repaired) AS repaired FROM rp WHERE code <> 0 GROUP BY ep, hand, g0, g1'))
+def s1_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.gaps(_points(spark, sf_dir)).select("ep", "hand", long("start"), long("end"), long("code"), "repaired")
+
+
+@query(sql(f"SELECT ep, hand, pt, {q6('fx')} AS x, {q6('fz')} AS z FROM fx WHERE repaired"))
+def s1_lerp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).filter("repaired").select("ep", "hand", "pt", r6(F.col("p2")[0]).alias("x"), r6(F.col("p2")[2]).alias("z"))
+
+
+@query(sql(f"SELECT ep, hand, pt, {q6('cos(radians(fphi))')} AS r00, {q6('sin(radians(fphi))')} AS r02 FROM fx WHERE repaired"))
+def s1_slerp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).filter("repaired").select("ep", "hand", "pt", r6(F.col("r62")[0]).alias("r00"), r6(F.col("r62")[2]).alias("r02"))
+
+
+@query(sql("SELECT ep, f FROM fr WHERE s1"))
+def s1_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s1").select("ep", "f")
+
+
+@query(sql("SELECT ep, count(*) FILTER (WHERE repaired) AS repaired_hand_frames, count(*) FILTER (WHERE NOT ok) AS unresolved_hand_frames, count(*) FILTER (WHERE arepaired) AS repaired_action_hand_rows, count(*) FILTER (WHERE NOT aok) AS unresolved_action_hand_rows FROM act GROUP BY ep"))
+def s1_repair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_counts(store.frames(spark, sf_dir), _points(spark, sf_dir)).select("ep", *[long(c) for c in ("repaired_hand_frames", "unresolved_hand_frames", "repaired_action_hand_rows", "unresolved_action_hand_rows")])
+
+
+# S2
+
+
+@query(sql(f"SELECT ep, f, {q6('lu')} AS left_u, {q6('ru')} AS right_u FROM uv"))
+def project_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).select("ep", "f", r6(F.col("l_uv")[0]).alias("left_u"), r6(F.col("r_uv")[0]).alias("right_u"))
+
+
+@query(sql("SELECT ep, f, lin AS l_inside, lsafe AS l_safe, rin AS r_inside, rsafe AS r_safe FROM rg"))
+def s2_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).select("ep", "f", "l_inside", "l_safe", "r_inside", "r_safe")
+
+
+@query(sql('SELECT ep, min(f)::BIGINT AS "start", (max(f) + 1)::BIGINT AS "end" FROM e2 WHERE s2 GROUP BY ep, run'))
+def s2_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.runs(store.frames(spark, sf_dir).filter("s2"), ["ep"]).select("ep", long("start"), long("end"))
+
+
+@query(sql(f"""SELECT ep, min(f)::BIGINT AS "start", count(*) FILTER (WHERE lin AND NOT lsafe) AS l_edge, count(*) FILTER (WHERE NOT lin) AS l_out, {q6('min(lu / 100)')} AS l_u_min, {q6('max(ru / 100)')} AS r_u_max FROM e2 WHERE s2 GROUP BY ep, run"""))
+def edge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.edge_segments(store.frames(spark, sf_dir)).select("ep", long("start"), long("l_edge"), long("l_out"), r6("l_u_min").alias("l_u_min"), r6("r_u_max").alias("r_u_max"))
+
+
+@query(sql('SELECT ep, min(f)::BIGINT AS "start", (max(f) + 1)::BIGINT AS "end" FROM sg WHERE keep GROUP BY ep, seg'))
+def retained_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("keep").groupBy("ep", "seg").agg(F.min("f").alias("start"), (F.max("f") + 1).alias("end")).select("ep", "start", "end")
+
+
+# S3
+
+
+@query(sql(f"SELECT ep, f, {q6('d3')} AS distance, {q6('a3')} AS angle, t3 AS translation, r3 AS rotation FROM h3 WHERE t3 OR r3"))
+def s3_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s3_t OR s3_r").select("ep", "f", r6("s3_distance").alias("distance"), r6("s3_angle").alias("angle"), F.col("s3_t").alias("translation"), F.col("s3_r").alias("rotation"))
+
+
+@query(sql("SELECT ep, f, s3::BIGINT AS s3 FROM m3 WHERE s3 > 0"))
+def s3_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s3 > 0").select("ep", "f", long("s3"))
+
+
+_NEAR = "(SELECT ep, f, d3, a3, sum(new) OVER (PARTITION BY ep ORDER BY f) AS g FROM (SELECT *, CASE WHEN f - lag(f) OVER (PARTITION BY ep ORDER BY f) <= 6 THEN 0 ELSE 1 END AS new FROM h3 WHERE {0}))"
+
+
+@query(sql(" UNION ALL ".join(f"""SELECT ep, '{kind}' AS kind, g::BIGINT AS segment, min(f)::BIGINT AS "start", (max(f) + 6)::BIGINT AS "end", count(*) AS hits, {q6('max(d3)')} AS max_distance, {q6('max(a3)')} AS max_angle FROM {_NEAR.format(flag)} GROUP BY ep, g""" for kind, flag in (("translation", "t3"), ("rotation", "r3")))))
+def s3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits at most a window apart, as segments of each kind, with their extremes."""
+    rows = store.frames(spark, sf_dir)
+    out = None
+    for kind, flag in (("translation", "s3_t"), ("rotation", "s3_r")):
+        near = I.near_groups(rows.filter(flag), ["ep"], S.s3_gap)
+        one = near.groupBy("ep", "segment").agg(F.min("f").alias("start"), (F.max("f") + S.s3_gap).alias("end"), F.count(F.lit(1)).alias("hits"), r6(F.max("s3_distance")).alias("max_distance"), r6(F.max("s3_angle")).alias("max_angle"))
+        one = one.select("ep", F.lit(kind).alias("kind"), long("segment"), "start", "end", "hits", "max_distance", "max_angle")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _coverage(name: str) -> str:
+    return f"max({name}::INT) OVER (PARTITION BY ep ORDER BY f ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"
+
+
+@query(sql(f"""SELECT ep, count(*) FILTER (WHERE t3) AS translation_hits, count(*) FILTER (WHERE r3) AS rotation_hits, count(*) FILTER (WHERE t3 AND r3) AS both_hits,
+  sum(ct)::BIGINT AS translation_covered, sum(cr)::BIGINT AS rotation_covered, sum(ct * cr)::BIGINT AS overlap_covered, sum(greatest(ct, cr))::BIGINT AS union_covered
+  FROM (SELECT *, {_coverage('t3')} AS ct, {_coverage('r3')} AS cr FROM h3) GROUP BY ep"""))
+def camera_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals between frames (the last evidence frame left out) that hits cover, by kind, in common and together."""
+    rows = store.frames(spark, sf_dir)
+    for c in ("t", "r"):
+        rows = rows.withColumn(f"c{c}", I.spread_back(["ep"], F.col(f"s3_{c}"), S.s3_gap - 1))
+    count = {"translation_hits": "s3_t", "rotation_hits": "s3_r", "both_hits": "s3_t AND s3_r", "translation_covered": "ct", "rotation_covered": "cr", "overlap_covered": "ct AND cr", "union_covered": "ct OR cr"}
+    return rows.groupBy("ep").agg(*[F.count_if(F.expr(c)).alias(n) for n, c in count.items()])
+
+
+# S4
+
+
+@query(sql(f"SELECT ep, f, {q6('a3')} AS angle_6, {q6('a4')} AS angle_30 FROM h4 WHERE keep"))
+def rotation_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("keep").select("ep", "f", r6("s3_angle").alias("angle_6"), r6("s4_angle").alias("angle_30"))
+
+
+@query(sql(f"SELECT ep, f, {q6('lsp')} AS left_spread, {q6('rsp')} AS right_spread FROM w4 WHERE lsp IS NOT NULL"))
+def cosine_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s4_window").select("ep", "f", r6("l_spread").alias("left_spread"), r6("r_spread").alias("right_spread"))
+
+
+@query(sql("SELECT ep, f, t4 AS translation, r4 AS rotation FROM h4 WHERE t4 OR r4"))
+def s4_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s4_t OR s4_r").select("ep", "f", F.col("s4_t").alias("translation"), F.col("s4_r").alias("rotation"))
+
+
+@query(sql("""SELECT ep, 'translation' AS kind, min(f)::BIGINT AS "start", (max(f) + 31)::BIGINT AS "end", count(*) AS starts FROM q4 WHERE tq GROUP BY ep, seg, ut UNION ALL SELECT ep, 'rotation', min(f)::BIGINT, (max(f) + 31)::BIGINT, count(*) FROM q4 WHERE rq GROUP BY ep, seg, ur"""))
+def s4_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Qualified runs of window starts, with the frames their windows cover."""
+    rows, out = store.frames(spark, sf_dir), None
+    for kind, flag in (("translation", "s4_tq"), ("rotation", "s4_rq")):
+        one = I.runs(rows.filter(flag), ["ep", "seg"], "f", F.count(F.lit(1)).alias("starts")).select("ep", F.lit(kind).alias("kind"), "start", (F.col("end") + S.s4_gap).alias("end"), "starts")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(sql("SELECT ep, f, s4::BIGINT AS s4 FROM m4 WHERE s4 > 0"))
+def s4_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).filter("s4 > 0").select("ep", "f", long("s4"))
+
+
+@query(sql("SELECT ep, count(*) FILTER (WHERE lsp IS NOT NULL) AS windows, count(*) FILTER (WHERE t4 OR r4) AS raw_hits, count(*) FILTER (WHERE tq OR rq) AS qualified_hits FROM q4 GROUP BY ep"))
+def s4_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).groupBy("ep").agg(F.count_if("s4_window").alias("windows"), F.count_if(F.expr("s4_t OR s4_r")).alias("raw_hits"), F.count_if(F.expr("s4_tq OR s4_rq")).alias("qualified_hits"))
+
+
+# Attribution, timeline, accounts
+
+
+@query(sql("SELECT ep, f, code::BIGINT AS code, reason::BIGINT AS reason FROM jd"))
+def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.frames(spark, sf_dir).select("ep", "f", long("code"), long("reason"))
+
+
+def _pieces(spark: SparkSession, sf_dir: str, s: Settings = S) -> DataFrame:
+    return timeline.timeline(store.frames(spark, sf_dir, s))
+
+
+_TIMELINE = 'SELECT ep, "start"::BIGINT AS "start", "end"::BIGINT AS "end", code::BIGINT AS code, reason::BIGINT AS reason FROM tl'
+
+
+def _columns(pieces: DataFrame) -> DataFrame:
+    return pieces.select("ep", long("start"), long("end"), long("code"), long("reason"))
+
+
+def _timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(_pieces(spark, sf_dir))
+
+
+_timeline.__name__ = "timeline"
+query(sql(_TIMELINE))(_timeline)
+
+
+@query(sql("""SELECT ep, "start"::BIGINT AS "start", "end"::BIGINT AS "end", array_to_string(matches, ';') AS matches FROM ms"""))
+def rule_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces(spark, sf_dir).select("ep", long("start"), long("end"), F.concat_ws(";", F.transform("matches", lambda x: x.cast("string"))).alias("matches"))
+
+
+_NAMES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in REASONS.items())
+
+
+@query(sql(f"""SELECT ep, "start"::BIGINT AS "start", "end"::BIGINT AS "end", printf('%.6f', "start" / 30.0::DOUBLE) AS start_seconds, printf('%.6f', "end" / 30.0::DOUBLE) AS end_seconds, 'S' || code AS stage, CASE reason {_NAMES} END AS reason FROM tl WHERE code > 0"""))
+def rejected_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _pieces(spark, sf_dir).filter("code > 0")
+    return rows.select("ep", long("start"), long("end"), G.seconds(F.col("start")).alias("start_seconds"), G.seconds(F.col("end")).alias("end_seconds"), F.concat(F.lit("S"), F.col("code").cast("string")).alias("stage"), timeline.reason_name(F.col("reason")).alias("reason"))
+
+
+_STAGE = """SELECT ep, '{0}' AS stage, count(*) FILTER (WHERE {1}) AS input_frames, count(*) FILTER (WHERE {2}) AS matched_frames, count(*) FILTER (WHERE code = {3}) AS removed_frames, count(*) FILTER (WHERE {2} AND code <> {3}) AS overlap_frames, count(*) FILTER (WHERE {1} AND code <> {3}) AS kept_frames FROM jd GROUP BY ep"""
+
+
+@query(sql(" UNION ALL ".join(_STAGE.format(*x) for x in (("S1", "true", "s1", 1), ("S2", "NOT s1", "s2", 2), ("S4", "keep", "s4 > 0", 4), ("S3", "keep AND s4 = 0", "s3 > 0", 3)))))
+def stage_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.stage_accounts(store.frames(spark, sf_dir)).drop("matched_intervals", "removed_intervals")
+
+
+@query(sql(f"""SELECT reason::BIGINT AS reason, CASE reason {_NAMES} END AS name, sum(e)::BIGINT AS exclusive_frames, sum(m)::BIGINT AS matched_frames FROM (SELECT reason, "end" - "start" AS e, 0 AS m FROM tl WHERE code > 0 UNION ALL SELECT unnest(matches), 0, "end" - "start" FROM ms) GROUP BY reason"""))
+def reason_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.reason_accounts(_pieces(spark, sf_dir)).select(long("reason"), "name", "exclusive_frames", "matched_frames")
+
+
+@query(sql(f"SELECT ep, count(*) AS source_frames, count(*) FILTER (WHERE code > 0) AS rejected_frames, count(*) FILTER (WHERE code = 0) AS accepted_frames, {q6('count(*) / 30.0::DOUBLE')} AS duration_seconds, {q6('count(*) FILTER (WHERE code > 0) / count(*)::DOUBLE')} AS removed_share FROM jd GROUP BY ep"))
+def episode_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.episode_summary(store.frames(spark, sf_dir)).select("ep", "source_frames", "rejected_frames", "accepted_frames", r6("duration_seconds").alias("duration_seconds"), r6("removed_share").alias("removed_share"))
+
+
+@query("SELECT l_suppkey AS ep, 0::BIGINT AS n FROM lineitem WHERE false")
+def conservation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty where timelines are partitions of their episodes."""
+    rows = store.frames(spark, sf_dir)
+    return timeline.conservation_errors(timeline.timeline(rows), rows.groupBy("ep").agg(F.max("n").alias("n"))).select("ep", "n")
+
+
+@query(sql(_TIMELINE, on3=0))
+def skip_s3_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(_pieces(spark, sf_dir, Settings(skip_s3=True)))
+
+
+@query(sql(_TIMELINE, t3=0.05, r3=5.0))
+def s3_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _columns(_pieces(spark, sf_dir, Settings(s3_translation=0.05, s3_rotation=5.0)))
+
+
+# Interval algebra over events: a span for each event, by user
+
+
+_SPANS = "e AS (SELECT user_id, event_type, (event_id * 7) % 2000 AS \"start\", (event_id * 7) % 2000 + CAST(floor(value) AS BIGINT) % 40 AS \"end\" FROM events)"
+_MARKS = "b AS (SELECT user_id, at, sum(k) OVER w AS held, sum(g) OVER w AS gone, lead(at) OVER (PARTITION BY user_id ORDER BY at) AS until FROM (SELECT user_id, at, sum(k) AS k, sum(g) AS g FROM (SELECT user_id, \"start\" AS at, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS k, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS g FROM e WHERE \"end\" > \"start\" UNION ALL SELECT user_id, \"end\", CASE WHEN event_type = 'click' THEN 0 ELSE -1 END, CASE WHEN event_type = 'click' THEN -1 ELSE 0 END FROM e WHERE \"end\" > \"start\") GROUP BY user_id, at) WINDOW w AS (PARTITION BY user_id ORDER BY at)), s AS (SELECT *, CASE WHEN lag(until) OVER w = at THEN 0 ELSE 1 END AS new FROM b WHERE {0} AND until IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY at))"
+_GROUPED = 'SELECT user_id, min(at)::BIGINT AS "start", max(until)::BIGINT AS "end" FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY at) AS grp FROM s) GROUP BY user_id, grp'
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    start = (F.col("event_id") * 7) % 2000
+    return rows.select("user_id", "event_type", start.alias("start"), (start + F.floor("value") % 40).alias("end"))
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = _spans(spark, sf_dir)
+    return rows.filter("event_type <> 'click'"), rows.filter("event_type = 'click'")
+
+
+@query(f"WITH {_SPANS}, {_MARKS.format('held + gone > 0')} {_GROUPED}")
+def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.merged(_spans(spark, sf_dir), ["user_id"])
+
+
+@query(f"WITH {_SPANS}, {_MARKS.format('held > 0 AND gone = 0')} {_GROUPED}")
+def interval_subtract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.subtracted(*_sides(spark, sf_dir), ["user_id"])
+
+
+@query(f"WITH {_SPANS}, {_MARKS.format('held > 0 AND gone > 0')} {_GROUPED}")
+def interval_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.intersected(*_sides(spark, sf_dir), ["user_id"])
+
+
+@query(f"WITH m AS (SELECT *, median(value) OVER (PARTITION BY user_id) AS md FROM events) SELECT user_id, {q6('max(md)')} AS middle, {q6('median(abs(value - md))')} AS mad FROM m GROUP BY user_id")
+def user_value_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = rows.withColumn("md", F.median("value").over(Window.partitionBy("user_id")))
+    return rows.groupBy("user_id").agg(r6(F.max("md")).alias("middle"), r6(F.median(F.abs(F.col("value") - F.col("md")))).alias("mad"))
+
+
+@query("SELECT event_id, CASE WHEN (event_id * 256) % 512 = 0 THEN event_id * 256 // 512 END AS frame FROM events")
+def packet_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event numbers as packet times of half a frame: whole frames have an index, the others none."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return rows.select("event_id", cutplan.packet_frame(F.col("event_id") * 256, 1, 15360).alias("frame"))
+
+
+# Clip plans
+
+
+def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = store.frames(spark, sf_dir)
+    return cutplan.cut_plan(timeline.timeline(rows), rows.groupBy("ep").agg(F.max("n").alias("n")))
+
+
+@query(sql("""SELECT c.ep, clip, "start"::BIGINT AS "start", "end"::BIGINT AS "end", ("end" - "start")::BIGINT AS frames, ("end" - "start" - 1)::BIGINT AS trainable_rows, "start" = 0 AND "end" = n AS whole FROM clips c JOIN lengths USING (ep)"""))
+def cut_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clips(spark, sf_dir).select("ep", F.col("clip").cast("long").alias("clip"), long("start"), long("end"), long("frames"), long("trainable_rows"), "whole")
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips with two views: keyframes every 30 frames, and every 48."""
+    clips = _clips(spark, sf_dir).withColumn("view", F.explode(F.array(F.lit(30), F.lit(48))))
+    marks = store.frames(spark, sf_dir).select("ep", F.explode(F.array(F.lit(30), F.lit(48))).alias("view"), F.col("f").alias("kf")).filter("kf % view = 0")
+    return cutplan.gop_split(clips, marks)
+
+
+_GOP = """k AS (SELECT c.ep, clip, "start", "end", g AS view, "start" = 0 AND "end" = n AS whole, least("end", CASE WHEN ceil("start" / g::DOUBLE) * g < n THEN ceil("start" / g::DOUBLE) * g ELSE "end" END)::BIGINT AS a,
+  least("end", floor(least("end", n - 1) / g::DOUBLE) * g)::BIGINT AS z FROM clips c JOIN lengths USING (ep), (VALUES (30), (48)) AS v(g)),
+m AS (SELECT *, CASE WHEN a < z THEN a - "start" ELSE "end" - "start" END AS head, CASE WHEN a < z THEN "end" - z ELSE 0 END AS tail FROM k),
+o AS (SELECT *, CASE WHEN whole THEN 'original_reference' WHEN a >= z THEN 'full_reencode_fallback' WHEN head = 0 AND tail = 0 THEN 'gop_copy' ELSE 'gop_copy_boundary_encode' END AS method FROM m)"""
+
+
+@query(sql('SELECT ep, view::BIGINT AS view, clip, a AS middle_start, z AS middle_end, head::BIGINT AS head, tail::BIGINT AS tail, method FROM o').replace("\nSELECT ep, view", f",\n{_GOP}\nSELECT ep, view"))
+def gop_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).select("ep", long("view"), long("clip"), long("middle_start"), long("middle_end"), long("head"), long("tail"), "method")
+
+
+@query(sql('SELECT method, count(*) AS clips, count(*) FILTER (WHERE NOT whole) AS new_files, sum("end" - "start")::BIGINT AS kept_frames, sum("end" - "start" - 1)::BIGINT AS trainable_rows, sum(CASE WHEN whole THEN 0 ELSE head + tail END)::BIGINT AS encoded_frames FROM o GROUP BY method').replace("\nSELECT method", f",\n{_GOP}\nSELECT method"))
+def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutplan.plan_summary(_split(spark, sf_dir)).select("method", *[long(c) for c in ("clips", "new_files", "kept_frames", "trainable_rows", "encoded_frames")])
