@@ -350,8 +350,8 @@ def s3_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SPANS = "e AS (SELECT user_id, event_type, (event_id * 7) % 2000 AS \"start\", (event_id * 7) % 2000 + CAST(floor(value) AS BIGINT) % 40 AS \"end\" FROM events)"
-_MARKS = "b AS (SELECT user_id, at, sum(k) OVER w AS held, sum(g) OVER w AS gone, lead(at) OVER (PARTITION BY user_id ORDER BY at) AS until FROM (SELECT user_id, at, sum(k) AS k, sum(g) AS g FROM (SELECT user_id, \"start\" AS at, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS k, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS g FROM e WHERE \"end\" > \"start\" UNION ALL SELECT user_id, \"end\", CASE WHEN event_type = 'click' THEN 0 ELSE -1 END, CASE WHEN event_type = 'click' THEN -1 ELSE 0 END FROM e WHERE \"end\" > \"start\") GROUP BY user_id, at) WINDOW w AS (PARTITION BY user_id ORDER BY at)), s AS (SELECT *, CASE WHEN lag(until) OVER w = at THEN 0 ELSE 1 END AS new FROM b WHERE {0} AND until IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY at))"
-_GROUPED = 'SELECT user_id, min(at)::BIGINT AS "start", max(until)::BIGINT AS "end" FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY at) AS grp FROM s) GROUP BY user_id, grp'
+_MARKS = "b AS (SELECT user_id, p, sum(k) OVER w AS held, sum(g) OVER w AS gone, lead(p) OVER (PARTITION BY user_id ORDER BY p) AS until FROM (SELECT user_id, p, sum(k) AS k, sum(g) AS g FROM (SELECT user_id, \"start\" AS p, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS k, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS g FROM e WHERE \"end\" > \"start\" UNION ALL SELECT user_id, \"end\", CASE WHEN event_type = 'click' THEN 0 ELSE -1 END, CASE WHEN event_type = 'click' THEN -1 ELSE 0 END FROM e WHERE \"end\" > \"start\") GROUP BY user_id, p) WINDOW w AS (PARTITION BY user_id ORDER BY p)), s AS (SELECT *, CASE WHEN lag(until) OVER w = p THEN 0 ELSE 1 END AS new FROM b WHERE {0} AND until IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY p))"
+_GROUPED = 'SELECT user_id, min(p)::BIGINT AS "start", max(until)::BIGINT AS "end" FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY p) AS grp FROM s) GROUP BY user_id, grp'
 
 
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,11 +387,11 @@ def user_value_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("user_id").agg(r6(F.max("md")).alias("middle"), r6(F.median(F.abs(F.col("value") - F.col("md")))).alias("mad"))
 
 
-@query("SELECT event_id, CASE WHEN (event_id * 256) % 512 = 0 THEN event_id * 256 // 512 END AS frame FROM events")
+@query("SELECT event_id, CASE WHEN (event_id * 256) % 512 = 0 THEN event_id * 256 // 512 ELSE -1 END AS frame FROM events")
 def packet_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event numbers as packet times of half a frame: whole frames have an index, the others none."""
+    """Event numbers as packet times of half a frame: whole frames have an index, the others -1."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return rows.select("event_id", cutplan.packet_frame(F.col("event_id") * 256, 1, 15360).alias("frame"))
+    return rows.select("event_id", F.coalesce(cutplan.packet_frame(F.col("event_id") * 256, 1, 15360), F.lit(-1).cast("long")).alias("frame"))
 
 
 # Clip plans
