@@ -159,12 +159,13 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (a.astype(np.uint64) << np.uint64(40))
 
 
-def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], busy: int, full: Callable[[Shard], bool]) -> DataFrame:
+def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], size: int, busy: int, shard_rows: int) -> DataFrame:
     """anchor, wh, words, doc_id, firsts for each different segment of ``found``.
 
     A shard holds the segments of whole anchors, each with its smallest doc_id; ``search`` gives for each of its segments
-    the smallest doc_id of every window, and the next shard begins when it is ``full``. An anchor with more than ``busy``
-    different segments is not searched: its segments come back with their words and no firsts, some perhaps twice.
+    the smallest doc_id of every window, and the next shard begins after ``shard_rows``. An anchor with one segment needs no
+    search. One with more than ``busy`` different segments is not searched either: its segments come back with their words
+    and no firsts, some perhaps twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +181,11 @@ def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], busy: int
             )
 
         shard: Shard = {}
+        alone: Shard = {}
+
+        def settled() -> pa.RecordBatch:
+            return out(alone, [[doc] * (words.count(" ") + 2 - size) for (_, _, words), doc in alone.items()])
+
         for _, group in groupby(rows(), key=lambda x: x[0]):
             own: Shard = {}
             crowded = False
@@ -193,12 +199,20 @@ def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], busy: int
                 if own:
                     yield out(own, None)
                 continue
+            if len(own) == 1:
+                alone |= own
+                if len(alone) >= shard_rows:
+                    yield settled()
+                    alone = {}
+                continue
             shard |= own
-            if full(shard):
+            if len(shard) >= shard_rows:
                 yield out(shard, search(shard))
                 shard = {}
         if shard:
             yield out(shard, search(shard))
+        if alone:
+            yield settled()
 
     exemplars = found.filter("words IS NOT NULL").select("anchor", "wh", "words", "doc_id")
     return exemplars.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, wh long, words string, doc_id long, firsts array<long>")

@@ -30,8 +30,8 @@ from .common import table
 from .passages import by_shards, candidates, repeated_windows, zipped
 
 WINDOW, GRAM = 13, 5
-#: Words that one automaton takes before the next is begun, and different segments of an anchor beyond which windows stand alone.
-SHARD_WORDS, BUSY = 20_000, 4_000
+#: Segments that one automaton takes before the next is begun, and different segments of an anchor beyond which windows stand alone.
+SHARD_ROWS, BUSY = 1_000, 4_000
 
 
 class Automaton:
@@ -103,7 +103,7 @@ class Automaton:
         return out
 
 
-def first_documents(found: DataFrame, size: int, busy: int, shard_words: int) -> DataFrame:
+def first_documents(found: DataFrame, size: int, busy: int, shard_rows: int) -> DataFrame:
     """anchor, wh, words, doc_id, firsts for each different segment: the smallest doc_id of each of its windows."""
 
     def search(shard: dict[tuple[int, int, str], int]) -> list[list[int | None]]:
@@ -113,7 +113,7 @@ def first_documents(found: DataFrame, size: int, busy: int, shard_words: int) ->
         automaton.settle()
         return [automaton.matches(words, size) for words in lists]
 
-    return by_shards(found, search, busy, lambda shard: sum(words.count(" ") + 1 for _, _, words in shard) >= shard_words)
+    return by_shards(found, search, size, busy, shard_rows)
 
 
 def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list[int], list[str]]:
@@ -134,10 +134,10 @@ def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list
     return counts, removed, digests
 
 
-def substring_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_words: int = SHARD_WORDS) -> DataFrame:
+def substring_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of ``docs``."""
     found = candidates(docs, size, gram)
-    hits = repeated_windows(found, first_documents(found, size, busy, shard_words), size)
+    hits = repeated_windows(found, first_documents(found, size, busy, shard_rows), size)
     starts = hits.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(F.expr("transform(hits, x -> x.at)"))).alias("starts"))  # bounded by one document's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,7 +75,7 @@ def window_holders(found: DataFrame, size: int, gram: int, busy: int, shard_rows
         anchors = np.array([k[0] for k in shard], np.int64)
         return [x.tolist() for x in holders([k[2] for k in shard], anchors, np.array(list(shard.values()), np.int64), size, gram)]
 
-    return by_shards(found, search, busy, lambda shard: len(shard) >= shard_rows)
+    return by_shards(found, search, size, busy, shard_rows)
 
 
 def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
