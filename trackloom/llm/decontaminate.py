@@ -162,7 +162,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, with all their columns, that hold no benchmark item."""
     bad = contaminated(docs, items).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("__bad"), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["__bad"], "left_anti")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

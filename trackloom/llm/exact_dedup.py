@@ -97,7 +97,7 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH, h
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that exact dedup keeps."""
     kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long") == F.col("__keep"), "left_semi")
+    return docs.join(kept, docs["doc_id"].cast("long") == kept["__keep"], "left_semi")
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
