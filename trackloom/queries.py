@@ -9,7 +9,7 @@ from .config import BITS, REASONS, Settings
 from .functions import geometry as G
 from .operators import intervals as I
 from .operators import outliers, repair, rules
-from .plans import cutplan, oracle, store, timeline
+from .plans import cutplan, oracle, reports, store, timeline
 from .sources import checks, frames
 
 S = Settings()
@@ -206,14 +206,7 @@ _NEAR = "(SELECT ep, f, d3, a3, sum(new) OVER (PARTITION BY ep ORDER BY f) AS g
 @query(sql(" UNION ALL ".join(f"""SELECT ep, '{kind}' AS kind, g::BIGINT AS segment, min(f)::BIGINT AS "start", (max(f) + 6)::BIGINT AS "end", count(*) AS hits, {q6('max(d3)')} AS max_distance, {q6('max(a3)')} AS max_angle FROM {_NEAR.format(flag)} GROUP BY ep, g""" for kind, flag in (("translation", "t3"), ("rotation", "r3")))))
 def s3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits at most a window apart, as segments of each kind, with their extremes."""
-    rows = store.frames(spark, sf_dir)
-    out = None
-    for kind, flag in (("translation", "s3_t"), ("rotation", "s3_r")):
-        near = I.near_groups(rows.filter(flag), ["ep"], S.s3_gap)
-        one = near.groupBy("ep", "segment").agg(F.min("f").alias("start"), (F.max("f") + S.s3_gap).alias("end"), F.count(F.lit(1)).alias("hits"), r6(F.max("s3_distance")).alias("max_distance"), r6(F.max("s3_angle")).alias("max_angle"))
-        one = one.select("ep", F.lit(kind).alias("kind"), long("segment"), "start", "end", "hits", "max_distance", "max_angle")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return reports.camera_segments(store.frames(spark, sf_dir)).select("ep", "kind", long("segment"), "start", "end", "hits", r6("max_distance").alias("max_distance"), r6("max_angle").alias("max_angle"))
 
 
 def _coverage(name: str) -> str:
@@ -225,11 +218,29 @@ def _coverage(name: str) -> str:
   FROM (SELECT *, {_coverage('t3')} AS ct, {_coverage('r3')} AS cr FROM h3) GROUP BY ep"""))
 def camera_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals between frames (the last evidence frame left out) that hits cover, by kind, in common and together."""
-    rows = store.frames(spark, sf_dir)
-    for c in ("t", "r"):
-        rows = rows.withColumn(f"c{c}", I.spread_back(["ep"], F.col(f"s3_{c}"), S.s3_gap - 1))
-    count = {"translation_hits": "s3_t", "rotation_hits": "s3_r", "both_hits": "s3_t AND s3_r", "translation_covered": "ct", "rotation_covered": "cr", "overlap_covered": "ct AND cr", "union_covered": "ct OR cr"}
-    return rows.groupBy("ep").agg(*[F.count_if(F.expr(c)).alias(n) for n, c in count.items()])
+    return reports.camera_coverage(store.frames(spark, sf_dir))
+
+
+@query(sql(f"""SELECT ep, translation_hits, rotation_hits, {q6('max_distance')} AS max_distance, {q6('max_angle')} AS max_angle, {q6('u / 30.0::DOUBLE')} AS union_seconds FROM (
+  SELECT ep, count(*) FILTER (WHERE t3) AS translation_hits, count(*) FILTER (WHERE r3) AS rotation_hits, max(d3) AS max_distance, max(a3) AS max_angle, sum(greatest(ct, cr)) AS u
+  FROM (SELECT *, {_coverage('t3')} AS ct, {_coverage('r3')} AS cr FROM h3) GROUP BY ep) WHERE translation_hits + rotation_hits > 0"""))
+def camera_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.camera_videos(store.frames(spark, sf_dir)).select("ep", "translation_hits", "rotation_hits", r6("max_distance").alias("max_distance"), r6("max_angle").alias("max_angle"), r6("union_seconds").alias("union_seconds"))
+
+
+@query(sql(f"""SELECT ep, count(DISTINCT run) FILTER (WHERE s2) AS bad_segments, count(*) FILTER (WHERE s2) AS bad_frames, {q6('round(count(*) FILTER (WHERE s2) / count(*)::DOUBLE, 6)')} AS bad_share FROM e2 GROUP BY ep HAVING bool_or(s2)"""))
+def edge_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.edge_videos(store.frames(spark, sf_dir)).select("ep", "bad_segments", "bad_frames", r6("bad_share").alias("bad_share"))
+
+
+@query(sql("""SELECT l.ep, l.f, l.code::BIGINT AS l_state_code, l.acode::BIGINT AS l_action_code, r.code::BIGINT AS r_state_code, r.acode::BIGINT AS r_action_code FROM act l JOIN act r ON l.ep = r.ep AND l.f = r.f AND l.hand = 'l' AND r.hand = 'r' WHERE l.code + l.acode + r.code + r.acode > 0"""))
+def sparse_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.sparse_labels(_points(spark, sf_dir)).select("ep", "f", *[long(f"{h}_{k}_code") for h in "lr" for k in ("state", "action")])
+
+
+@query(sql("""SELECT ep, sum(s)::BIGINT AS state_suspect_frames, sum(a)::BIGINT AS action_suspect_rows FROM (SELECT ep, f, max((code > 0)::INT) AS s, max((acode > 0)::INT) AS a FROM act GROUP BY ep, f) GROUP BY ep HAVING sum(s) + sum(a) > 0"""))
+def affected_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.affected_episodes(_points(spark, sf_dir)).select("ep", "state_suspect_frames", "action_suspect_rows")
 
 
 # S4
