@@ -43,8 +43,13 @@ def kept(spark: SparkSession, sf_dir: str, name: str, settings: Settings, make)
     return _KEPT[key]
 
 
+#: What S1 depends on: runs that differ in other settings share its points.
+S1_FIELDS = ("fps", "position_step", "rotation_step", "max_block", "recovery", "hampel_k", "hampel_position", "hampel_rotation", "max_gap")
+
+
 def points(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFrame:
     """Trajectory points with S1 codes and repairs."""
+    s = Settings(**{name: getattr(s, name) for name in S1_FIELDS})
     return kept(spark, sf_dir, "points", s, lambda: repair.repaired(outliers.detected(outliers.points(dealt(wide(from_lineitem(spark, sf_dir)), "ep")), s), s))
 
 
