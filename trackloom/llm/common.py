@@ -73,6 +73,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """For each of ``ends``, 64 bits for each range of bytes: sums of c * r**i, taken back to the range's own first byte."""
+    up, down = _powers(1 << max(21, int(len(data) + 1).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return [mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)) for end in ends]
+
+
 class Words:
     """The words of a run of texts: byte ``start``/``end`` in ``data``, the text each belongs to, ``first`` word of each text."""
 
@@ -101,12 +109,8 @@ class Words:
         """64 bits for each word, equal for equal words; with ``heads``, also for its first so many bytes."""
         if not len(self.start):
             return [np.zeros(0, np.uint64)] * (1 + len(heads)) if heads else np.zeros(0, np.uint64)
-        size = 1 << max(21, int(len(self.data) + 1).bit_length())
-        up, down = _powers(size)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
         upto = [self.end, *(np.minimum(self.end, self.start + n) for n in heads)]
-        out = [mix((sums[end] - sums[self.start]) * down[self.start] + (end - self.start).astype(np.uint64)) for end in upto]
+        out = range_hashes(self.data, self.start, *upto)
         return out if heads else out[0]
 
 

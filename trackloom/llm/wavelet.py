@@ -17,12 +17,12 @@ by text; an empty table writes no shard and gives no rows; other columns are ign
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +31,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, shared_path, table, whole_text
+from .common import Words, pieces, range_hashes, shared_path, table, whole_text
 
 MAGIC, LEVEL = b"WMX1", 1
 SHARD_TOKENS, END_ID = 1 << 20, 2
 #: Different chunks that an encoder remembers before it starts afresh.
-REMEMBERED = 1_000_000
-_BESIDE = re.compile(r" \s|\s ")
+REMEMBERED = 2_000_000
+#: New chunks that are encoded as one text.
+JOINED = 512
+_ONE_SPACE = np.arange(256) == 32
+_WHITE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_PAIRS = np.zeros((256, 256), bool)
+_PAIRS[[0xC2, 0xC2, 0xE1, 0xE2, 0xE2, 0xE3], [0x85, 0xA0, 0x9A, 0x80, 0x81, 0x80]] = True
 
 
 class WaveletMatrix:
@@ -152,44 +157,85 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(x) for x in vocabulary]  # a piece has a letter for each byte
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.ids, self.offsets = array("I"), array("q", [0])
 
-    def _learn(self, chunks: list[str]) -> None:
-        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.place[chunk] = len(self.offsets) - 1
-            self.ids.extend(found.ids)
-            self.offsets.append(len(self.ids))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _add(self, chunks: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        self.place.update(zip(chunks, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(chunks)), strict=True))
+        self.offsets.extend((ends + len(self.ids)).tolist())
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+
+    def _learn(self, alone: list[bytes], joinable: list[bytes]) -> None:
+        """joinable: chunks of a space and a word, which many at once make one text; the ids' bytes tell where each ends."""
+        if joinable:
+            texts = [b"".join(joinable[i : i + JOINED]).decode() for i in range(0, len(joinable), JOINED)]
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            upto, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(np.fromiter(map(len, joinable), np.int64, len(joinable)))
+            last = np.minimum(np.searchsorted(upto, ends), len(upto) - 1)
+            if (upto[last] == ends).all():
+                self._add(joinable, ids, last + 1)
+            else:
+                alone = alone + joinable
+        if alone:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([c.decode() for c in alone], add_special_tokens=False)]
+            self._add(alone, np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, how many each text has)."""
         if len(self.place) > REMEMBERED:
             self._forget()
-        chunks: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            before = len(chunks)
-            if _BESIDE.search(text):
-                chunks.append(text)
-            elif text:
-                head, *rest = text.split(" ")
-                if head:
-                    chunks.append(head)
-                chunks.extend([" " + x for x in rest])
-            counts[i] = len(chunks) - before
-        missing = set(chunks).difference(self.place)
-        if missing:
-            self._learn(list(missing))
-        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        offsets = np.frombuffer(self.offsets, np.int64)
-        begin, size = offsets[at], np.diff(offsets)[at]
+        words = Words(texts, between=_ONE_SPACE)
+        data, offsets, n = words.data, words.offsets, len(texts)
+        begin, end = words.start - (words.start > offsets[words.text]), words.end
+        whole = np.flatnonzero(_irregular(data, offsets))
+        joins = (begin < words.start) & ~_WHITE[data[end - 1]]
+        if len(whole):
+            keep = ~np.isin(words.text, whole)
+            of = np.concatenate([words.text[keep], whole])
+            order = np.argsort(of, kind="stable")
+            of, begin, end = of[order], np.concatenate([begin[keep], offsets[whole]])[order], np.concatenate([end[keep], offsets[whole + 1]])[order]
+            joins = np.concatenate([joins[keep], np.zeros(len(whole), bool)])[order]
+        else:
+            of = words.text
+        if not len(of):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        _, sample, chunk = np.unique(range_hashes(data, begin, end)[0], return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        different = [raw[a:z] for a, z in zip(begin[sample].tolist(), end[sample].tolist(), strict=True)]
+        alone, joinable = [], []
+        for c, join in zip(different, joins[sample].tolist(), strict=True):
+            if c not in self.place:
+                (joinable if join else alone).append(c)
+        if alone or joinable:
+            self._learn(alone, joinable)
+        at = np.fromiter(map(self.place.__getitem__, different), np.int64, len(different))[chunk]
+        stored = np.frombuffer(self.offsets, np.int64)
+        first, size = stored[at], stored[at + 1] - stored[at]
         before = np.cumsum(size) - size
-        ids = np.frombuffer(self.ids, np.uint32)[np.repeat(begin - before, size) + np.arange(size.sum())] if len(at) else np.zeros(0, np.uint32)
-        ends = np.r_[0, np.cumsum(size)][np.cumsum(counts)]
-        return ids, np.diff(np.r_[0, ends])
+        ids = np.frombuffer(self.ids, np.uint32)[np.repeat(first - before, size) + np.arange(size.sum())]
+        return ids, np.bincount(of, size, n).astype(np.int64)
+
+
+def _irregular(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts that may have white space next to a space, or end in a space: those are encoded whole.
+
+    White space beyond ASCII is told by its first two bytes, which some other characters share.
+    """
+    odd = np.zeros(len(data) + 1, np.int64)
+    space, white = data == 32, _WHITE[data]
+    odd[1:-1] = (space[1:] & white[:-1]) | (white[1:] & space[:-1]) | _PAIRS[data[:-1], data[1:]]
+    sums = np.cumsum(odd)
+    full = offsets[1:] > offsets[:-1]
+    # Neighbours across two texts do not count, so the first byte's own mark is left out.
+    out = full & (sums[np.maximum(offsets[1:] - 1, 0)] - sums[offsets[:-1]] > 0)
+    out[full] |= data[offsets[1:][full] - 1] == 32
+    return out
 
 
 @lru_cache(1)
@@ -213,8 +259,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
             return pa.record_batch([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([held], pa.int64()), pa.array([data], pa.binary())], ["part", "shard", "n_tokens", "data"])
 
         for batch in batches:
-            for piece in pieces(batch, most=1 << 20):
-                found, counts = encoder(tokenizer).encode(piece.column("text").to_pylist())
+            for piece in pieces(batch, most=min(1 << 20, shard_tokens)):
+                found, counts = encoder(tokenizer).encode(piece.column("text"))
                 ends = np.cumsum(counts)
                 ids.append(np.insert(found, ends, end_id))
                 lengths.append(counts + 1)
