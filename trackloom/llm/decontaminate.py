@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased, so case and punctuation do not hide a copy. Every run of SEED
 words of a benchmark item is a seed. One scan of the documents finds where seeds stand, through a filter of bits whose size
-is bounded, and cuts out passages around them. Seeds are rare ones where their document frequency, over all documents,
-is at most COMMON times the item's median, or FLOOR; the others are phrases that stand everywhere. Passages meet items
-by equality of rare seeds. Each such pair is aligned locally (MATCH, MISMATCH, GAP), and the score is the best alignment
-over the score of the whole item: 1 for a verbatim copy, less for one with words exchanged, inserted or left out.
+is bounded, and cuts out passages around them. Passages with the same words are one. Passages meet items by equality of
+seeds, however often a seed stands: a pair is left out only where it shares no seed, or where the passage holds too few of
+the item's words to reach the threshold in any order. Each other pair is aligned locally (MATCH, MISMATCH, GAP), and the
+score is the best alignment over the score of the whole item: 1 for a verbatim copy, less for one with words exchanged,
+inserted or left out.
 
 The result has a row for each contaminated pair: doc_id, item_id, score, item_words, end_word (the document's words up
 to the alignment's end). Clean documents have none.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import BREAKS, Words, grams, pieces, table, written
 from .passages import FILTER_BITS, _positions, anchor_filter, keyed_text
 
-SEED, COMMON, FLOOR = 4, 3, 20
+SEED = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Cells of one vectorised step of the alignments.
@@ -108,13 +109,20 @@ def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, end
 
 
-def aligned(pairs: DataFrame) -> DataFrame:
-    """doc_id, item_id, score, item_words, end_word of pairs (doc_id, item_id, at, item, passage)."""
+def aligned(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """same, item_id, score, item_words, end (word of the passage) of pairs (same, item_id, item, passage) that may score ``threshold``.
+
+    No alignment matches more of an item's words than the passage holds of them, which bounds the score from above.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers: dict[str, int] = {}
             coded = [[np.array([numbers.setdefault(w, len(numbers)) for w in t.split()], np.int32) for t in batch.column(c).to_pylist()] for c in ("item", "passage")]
+            held = np.array([np.isin(item, passage).mean() if len(item) else 0.0 for item, passage in zip(*coded, strict=True)])
+            may = np.flatnonzero(held >= threshold)
+            batch = batch.take(pa.array(may))
+            coded = [[side[i] for i in may] for side in coded]
             sizes = [np.array([len(x) for x in side]) for side in coded]
             scores, ends = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             order = np.lexsort(sizes)
@@ -134,11 +142,11 @@ def aligned(pairs: DataFrame) -> DataFrame:
                 scores[rows], ends[rows] = best / (MATCH * np.maximum(1, sizes[0][rows])), end
                 at += take
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("item_id"), pa.array(scores), pa.array(sizes[0].astype(np.int64)), pa.array(batch.column("at").to_numpy() + ends)],
-                ["doc_id", "item_id", "score", "item_words", "end_word"],
+                [batch.column("same"), batch.column("item_id"), pa.array(scores), pa.array(sizes[0].astype(np.int64)), pa.array(ends)],
+                ["same", "item_id", "score", "item_words", "end"],
             )
 
-    return pairs.select("doc_id", "item_id", "at", "item", "passage").mapInArrow(run, "doc_id long, item_id long, score double, item_words long, end_word long")
+    return pairs.select("same", "item_id", "item", "passage").mapInArrow(run, "same string, item_id long, score double, item_words long, end long")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -148,14 +156,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     size = items.agg(F.coalesce(F.max("n_words"), F.lit(SEED)).alias("reach"), F.coalesce(F.sum(F.size("seeds")), F.lit(0)).alias("n")).first()
     bits = 1 << min(FILTER_BITS.bit_length() - 1, max(20, (64 * size["n"]).bit_length()))
     passes = anchor_filter(seeds.select(F.col("seed").alias("anchor")).distinct(), bits)
-    found = written(seeded_passages(docs, passes, bits, size["reach"]), "passages")
-    held = found.select("doc_id", "th", "at", F.explode("seeds").alias("seed"))
-    frequency = held.select("doc_id", "th", "seed").distinct().groupBy("seed").agg(F.count("*").alias("df"))
-    known = seeds.join(frequency, "seed")
-    rare = known.join(known.groupBy("item_id").agg(F.median("df").alias("middle")), "item_id").filter(F.col("df") <= F.greatest(F.lit(FLOOR), COMMON * F.col("middle"))).select("item_id", "seed")
-    pairs = held.join(rare, "seed").select("doc_id", "th", "at", "item_id").distinct()
-    whole = pairs.join(found.select("doc_id", "th", "at", F.col("words").alias("passage")), ["doc_id", "th", "at"]).join(items.select("item_id", F.col("words").alias("item")), "item_id")
-    best = aligned(whole).filter(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "item_words", "end_word")).alias("x"))
+    found = written(seeded_passages(docs, passes, bits, size["reach"]).withColumn("same", F.sha2("words", 256)), "passages")
+    once = found.select("same", "words", "seeds").dropDuplicates(["same"])  # equal words have equal seeds
+    pairs = once.select("same", F.explode("seeds").alias("seed")).join(seeds, "seed").select("same", "item_id").distinct()
+    whole = pairs.join(once.select("same", F.col("words").alias("passage")), "same").join(items.select("item_id", F.col("words").alias("item")), "item_id")
+    over = aligned(whole, threshold).filter(F.col("score") >= threshold)
+    each = found.select("doc_id", "at", "same").join(over, "same").withColumn("end_word", F.col("at") + F.col("end"))
+    best = each.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "item_words", "end_word")).alias("x"))
     return best.select("doc_id", "item_id", F.round("x.score", 6).alias("score"), "x.item_words", "x.end_word")
 
 
