@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 
 from tests.llm.test_operators import prose
-from trackloom.llm import decontaminate
+from trackloom.llm import decontaminate, suffix_dedup
 
 
 def test_decontamination_finds_every_copy_of_an_edited_version(spark):
@@ -30,3 +31,23 @@ def test_decontamination_finds_every_copy_of_an_edited_version(spark):
                 expected[i, j] = round(float(score), 6)
     found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, items).collect()}
     assert found == expected and sum(j == 0 for _, j in found) == 81
+
+
+@pytest.mark.parametrize("options", [{}, {"busy": 1}])
+def test_suffix_dedup_names_every_source_of_a_span(spark, options):
+    one, two, three, rest = (prose(1000 + i, n) for i, n in enumerate((60, 60, 80, 60)))
+    listed = [one + " " + prose(1010, 9), two, prose(1011, 9) + " " + three, three + " " + rest, f"{one} {two}", f"{prose(1012, 7)} {three} {rest} {one}"]
+    first, expected = {}, []
+    for i, w in enumerate(x.split() for x in listed):
+        rows = []
+        for j in range(len(w) - 49):
+            d = first.setdefault(tuple(w[j : j + 50]), i)
+            if d < i:
+                if rows and rows[-1][1] == d and j <= rows[-1][3]:
+                    rows[-1][3] = j + 50
+                else:
+                    rows.append([i, d, j, j + 50])
+        expected += [(i, d, a, z - a) for i, d, a, z in rows]
+    docs = spark.createDataFrame(list(enumerate(listed)), "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, suffix_dedup.suffix_dedup(docs, **options).collect())) == sorted(expected)
+    assert {(i, d) for i, d, *_ in expected} == {(3, 2), (4, 0), (4, 1), (5, 2), (5, 3), (5, 0)}

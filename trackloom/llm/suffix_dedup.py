@@ -4,10 +4,11 @@ Suffixes are retained only where a window of WINDOW words has its minimiser, a r
 equal passages retain the same suffixes. Retained suffixes meet by minimiser; each shard sorts them by what follows,
 compares neighbours for the length of their common prefix (the match to the right), and extends to the left by refining
 the classes of what precedes. Windows of WINDOW words that several documents hold come out with the first document and
-are joined into maximal passages.
+are joined into maximal passages of the same first document.
 
 The result has a row for each passage of a later document that an earlier one holds: doc_id, first_doc_id (the earliest
-holder of the passage's first window), start and n_words in words. Documents that share nothing have no row.
+holder of each repeated window in it), start and n_words in words. Where the earliest holder changes a new row begins,
+so rows of different holders may overlap or touch. Documents that share nothing have no row.
 
 Defined results: null text has no words; rows that repeat a doc_id do not match each other; a repeat inside one document
 alone is none; texts shorter than a window never match; an empty table gives no rows; other columns are ignored.
@@ -79,13 +80,13 @@ def window_holders(found: DataFrame, size: int, gram: int, busy: int, shard_rows
 
 
 def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """doc_id, first_doc_id, start, n_words for each maximal passage that an earlier document holds."""
+    """doc_id, first_doc_id, start, n_words for each maximal passage whose windows the same earlier document holds first."""
     found = candidates(docs, size, gram)
     hits = repeated_windows(found, window_holders(found, size, gram, busy, shard_rows), size)
     hits = hits.groupBy("doc_id", "th").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
-    # Bounded by one document's words: consecutive windows join to a passage as long as they touch.
+    # Bounded by one document's words: consecutive windows join to a passage as long as they touch and have the same first document.
     joined = f"""aggregate(hits, cast(array() AS array<struct<start: bigint, stop: bigint, d: bigint>>), (a, x) ->
-      CASE WHEN size(a) > 0 AND x.at <= element_at(a, -1).stop
+      CASE WHEN size(a) > 0 AND x.at <= element_at(a, -1).stop AND x.d = element_at(a, -1).d
         THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).start AS start, x.at + {size} AS stop, element_at(a, -1).d AS d)))
         ELSE concat(a, array(struct(x.at AS start, x.at + {size} AS stop, x.d AS d))) END)"""
     return hits.select("doc_id", F.expr(f"inline({joined})")).select("doc_id", F.col("d").alias("first_doc_id"), "start", (F.col("stop") - F.col("start")).alias("n_words"))
