@@ -14,12 +14,17 @@ from .store import written
 
 
 def load(spark: SparkSession, root: str, check: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(frames with n and intrinsics, episodes) of a recording set; failed checks raise."""
+    """(frames with n and intrinsics, episodes) of a recording set; failed checks raise, and so does input that is already repaired."""
     episodes = frames.read_episodes(spark, root)
     rows = frames.with_episodes(frames.read_frames(spark, root), episodes)
     if check:
         checks.require(checks.episode_failures(episodes, frames.read_info(spark, root)))
+        if "observation.state.eef_valid" in rows.columns:
+            raise ValueError("expected original labels, not an already repaired input")
         checks.require(checks.frame_failures(rows))
+        checks.require(checks.delay_failures(rows))
+        if "dataset_index" in rows.columns:
+            checks.require(checks.index_failures(rows, episodes).agg(F.lit("dataset_index").alias("check"), F.count(F.lit(1)).alias("failures")))
     return rows, episodes
 
 
@@ -51,10 +56,14 @@ def run(spark: SparkSession, root: str, output: str, s: Settings = Settings(), f
     broken = timeline.conservation_errors(pieces, episodes)
     if not broken.isEmpty():
         raise ValueError("a timeline is no partition of its episode")
-    hands = [f"{h}_{x}" for h in "lr" for x in ("p", "r6", "ap", "ar6")]
-    repaired = judged.select("ep", "f", *hands)
-    labels = rows.drop(*hands, "n", "k", "lens", "width", "height").join(repaired, ["ep", "f"]).join(sinks.label_columns(judged), ["ep", "f"])
-    sinks.write_labels(labels, f"{output}/labels", verify=False)
+    # Values that no repair marks stay as they were, in their own type.
+    poses = {f"{h}_{a}{x}": f"{h}_{a}repaired" for h in "lr" for a in ("", "a") for x in ("p", "r6")}
+    marked = judged.select("ep", "f", *[F.when(F.col(flag), F.col(c)).cast(rows.schema[c].dataType).alias(f"__{c}") for c, flag in poses.items()])
+    source = rows.drop("n", "k", "lens", "width", "height")
+    cleaned = source.join(marked, ["ep", "f"]).select(*[F.coalesce(f"__{c}", c).alias(c) if c in poses else F.col(f"`{c}`") for c in source.columns])
+    sinks.write_labels(cleaned.join(sinks.label_columns(judged), ["ep", "f"]), f"{output}/labels", verify=True)
+    if not sinks.unmarked_changes(source, f"{output}/labels").isEmpty():
+        raise IOError(f"{output}/labels changes values that no repair marks")
     report = sinks.timeline_rows(pieces, episodes)
     sinks.write_csv(report, f"{output}/timeline.csv", "source_episode_index", "start_frame")
     sinks.write_csv(report.filter("status = 'reject'"), f"{output}/rejected_intervals.csv", "source_episode_index", "start_frame")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..operators.outliers import delay_rows
 
 
 def frame_flags(frames: DataFrame) -> dict[str, Column]:
@@ -49,8 +50,23 @@ def failing_episodes(frames: DataFrame) -> DataFrame:
 
 
 def index_failures(frames: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Frames whose dataset index is not the episode's first index plus the frame number."""
-    return frames.join(episodes.select("ep", "from_index"), "ep").filter(F.col("dataset_index") != F.col("from_index") + F.col("f")).select("ep", "f", "dataset_index")
+    """Frames whose dataset index is not the episode's first index plus the frame number, and the last where the episode's indices end elsewhere."""
+    at = frames.join(episodes.select("ep", "from_index", "to_index"), "ep")
+    wrong = ~F.col("dataset_index").eqNullSafe(F.col("from_index") + F.col("f")) | ((F.col("f") == F.col("n") - 1) & ~F.col("to_index").eqNullSafe(F.col("from_index") + F.col("n")))
+    return at.filter(wrong).select("ep", "f", "dataset_index")
+
+
+def delay_failures(frames: DataFrame, atol: float = 1e-6) -> DataFrame:
+    """check, failures: rows before the last whose action is not the next state, of poses and, where there are both, of grippers."""
+    tagged, w = delay_rows(frames, atol), Window.partitionBy("ep").orderBy("f")
+    inner = F.col("f") < F.col("n") - 1
+    tests = {f"delay_{h}_pose": ~F.col(f"{h}_matches") for h in "lr"}
+    for h in "lr":
+        if {f"{h}_grip", f"{h}_agrip"} <= set(frames.columns):
+            tagged = tagged.withColumn(f"{h}_next", F.lead(f"{h}_grip").over(w))
+            tests[f"delay_{h}_gripper"] = ~G.isclose(F.get(f"{h}_agrip", F.lit(0)), F.get(f"{h}_next", F.lit(0)), atol)
+    sums = tagged.agg(*[F.count_if(inner & t).alias(n) for n, t in tests.items()])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in tests])))
 
 
 def episode_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:

@@ -24,6 +24,15 @@ def write_labels(labels: DataFrame, path: str, verify: bool = True) -> None:
         raise IOError(f"{path} differs from what was written")
 
 
+def unmarked_changes(source: DataFrame, path: str) -> DataFrame:
+    """Keys of written labels that differ from ``source`` outside of the poses that they mark as repaired."""
+    saved = renamed(source.sparkSession.read.parquet(path).drop("chunk"))
+    marks = {f"{h}_{a}{x}": (f"{kind}.eef_repaired", i) for i, h in enumerate("lr") for a, kind in (("", "observation.state"), ("a", "action")) for x in ("p", "r6")}
+    flags = saved.select("ep", "f", *[F.col(f"`{m}`")[i].alias(f"__{c}") for c, (m, i) in marks.items()])
+    plain = lambda df: df.join(flags, ["ep", "f"], "left").select(*[F.when(~F.col(f"__{c}"), F.col(c)).alias(c) if c in marks else F.col(f"`{c}`") for c in source.columns])
+    return changed_rows(plain(source), plain(saved), ["ep", "f"])
+
+
 def label_columns(frames: DataFrame) -> DataFrame:
     """ep, f and the columns that repair adds: state and action valid, repaired and reason of both hands, and hand_features_valid."""
     def both(name: str):
