@@ -4,8 +4,8 @@ Every text is normalised (A-Z lower-cased, null as empty) and keyed by 64 hash b
 different text: grouping by hash *and text* compares the bytes, so texts that share a hash become separate entries of
 one chain. A directory over hash prefixes doubles until no bucket holds more than its capacity; only overfull buckets
 split, the others keep a smaller local depth and several directory slots. Owner tasks each take a contiguous range of
-(bucket, key) and write it as one index file. Rows then probe the index by bucket and key; where a chain has more than
-one entry, the bytes decide.
+(bucket, key) and write it as one index file. The directory only lays out these files: rows meet the index by key alone,
+and where a chain has more than one entry, the rows of its key are grouped by their bytes again.
 
 Defined results: null text equals empty text; of equal texts the largest ``doc_id`` stays; rows that repeat a
 ``doc_id`` are each reported; an empty table gives an empty index and no rows; other columns are ignored. Everything
