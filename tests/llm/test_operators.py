@@ -203,15 +203,56 @@ def test_components_of_a_long_chain(spark):
 
 def test_wavelet_matrix():
     rng = np.random.default_rng(0)
-    ids = rng.integers(0, 50257, 3000).astype(np.uint16)
-    ids[rng.integers(0, 3000, 500)] = 2
-    matrix, doc_ids, lengths = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes(np.arange(2), np.array([1, 2999])))
-    assert (matrix.tokens() == ids).all() and (matrix.access(np.arange(3000)) == ids).all() and lengths.tolist() == [1, 2999]
-    for token in (2, int(ids[5]), 50256, 65535, 1 << 20):
-        places = np.flatnonzero(ids == token)
-        assert matrix.count(token) == len(places) and (matrix.rank(token, np.arange(3001)) == np.r_[0, np.cumsum(ids == token)]).all()
-        if token < 65536:
-            assert (matrix.occurrences(token) == places).all()
+    for n in (0, 1, 3000, 200_000):
+        ids = rng.integers(0, 50257, n).astype(np.uint16)
+        ids[rng.integers(0, n, n // 6)] = 2
+        data = wavelet.WaveletShard.build(ids, np.arange(2), np.array([1, n - 1]), nulls=1)
+        shard = wavelet.WaveletShard(data)
+        assert (shard.tokens() == ids).all() and (shard.access(np.arange(n)) == ids).all() and shard.lengths.tolist() == [1, n - 1] and shard.nulls == 1
+        for token in (2, int(ids[5]) if n > 5 else 7, 50256, 65535, 1 << 20):
+            places = np.flatnonzero(ids == token)
+            assert shard.count(token) == len(places) and (shard.rank(token, np.arange(n + 1)) == np.r_[0, np.cumsum(ids == token)]).all()
+            if token < 65536:
+                assert (wavelet.WaveletShard(data).occurrences(token) == places).all()
+
+
+def test_lookup_inflates_only_the_blocks_it_needs():
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 50257, 1_000_000).astype(np.uint16)
+    data = wavelet.WaveletShard.build(ids, np.arange(1), np.array([len(ids)]))
+    shard = wavelet.WaveletShard(data)
+    assert shard.inflated == 0 and shard.access(777_777)[0] == ids[777_777] and shard.inflated == 16
+    shard = wavelet.WaveletShard(data)
+    assert shard.count(123) == (ids == 123).sum() and shard.inflated <= 32 < shard.have.size
+
+
+def test_encoder_equals_the_library_whatever_it_remembers():
+    pa = pytest.importorskip("pyarrow")
+    pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    rng = random.Random(1)
+    bits = ["a", "word", " ", "  ", "\n", "\t", "\r\n", "\u3000", "\u2003", "\u00a0", "\u0085", "\x1c", "\u180e", "\u200b", "\u1680", "'s", "'", "don't", ".", ",", "12", "é", "日本", "🎉"]
+    bits += ["<|endoftext|>", "|>", "<|endo", "text|>", "_", "“", "…", "", "x" * 60, " sanctuaries", " quoth"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(6000)] + [None, "", "no end " * 5000]
+    for name, options in (("byte_bpe_50k.json", {}), ("byte_bpe_50k.json", {"table": 6}), ("byte_bpe_50k.json", {"kept_ids": 10, "kept_bytes": 3}), ("word_bpe_49k.json", {})):
+        own = wavelet.Encoder(public_tokenizers.path(name), **options)
+        assert own.by_chunks == name.startswith("byte")
+        for i in range(0, len(texts), 300):
+            some = texts[i : i + 300]
+            ids, counts = own.encode(pa.array(some, pa.string()))
+            expected = [x.ids for x in own.tokenizer.encode_batch_fast([t or "" for t in some], add_special_tokens=False)]
+            assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == [y for x in expected for y in x]
+
+
+def test_encoder_falls_back_where_hashes_meet(monkeypatch):
+    pa = pytest.importorskip("pyarrow")
+    import public_tokenizers
+
+    monkeypatch.setattr(wavelet, "range_hashes", lambda data, start, end: [(end - start).astype(np.uint64) << np.uint64(50)])
+    own = wavelet.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    some = ["one two six ten", "ten ten", "a six"]
+    assert own.encode(pa.array(some))[0].tolist() == [y for t in some for y in own.tokenizer.encode(t, add_special_tokens=False).ids]
 
 
 def test_wavelet_shards(spark, docs, empty, tmp_path):
@@ -220,17 +261,18 @@ def test_wavelet_shards(spark, docs, empty, tmp_path):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole = tokenizers.Tokenizer.from_file(path)
-    wavelet.write_shards(docs, path, str(tmp_path / "a"), shard_tokens=500)
+    known = docs.unionByName(docs.filter("doc_id IN (5, 13)").selectExpr("cast(null AS long) AS doc_id", *docs.columns[1:]))
+    wavelet.write_shards(known, path, str(tmp_path / "a"), shard_tokens=500)
     shards = wavelet.read_shards(spark, str(tmp_path / "a"))
-    assert shards.count() > 3
+    assert 3 < shards.count() == len(list((tmp_path / "a").glob("*.parquet")))
     start, expected, twos = 0, [], []
-    for i, t in sorted(texts()):
+    for i, t in sorted([*texts(), (-1, TEXTS[5]), (-1, TEXTS[13])]):
         ids = whole.encode(t, add_special_tokens=False).ids + [2]
-        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        expected.append((i if i >= 0 else None, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids.count(2)))
         twos += [(i, k) for k, x in enumerate(ids) if x == 2]
         start += len(ids)
-    assert sorted(map(tuple, wavelet.token_ids(shards).collect())) == expected
-    assert sorted((r.doc_id, r["at"]) for r in wavelet.lookup(shards, 2).collect()) == sorted(twos)
+    assert sorted(map(tuple, wavelet.token_ids(shards).collect()), key=lambda r: r[1]) == expected
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r["at"]) for r in wavelet.lookup(shards, 2).collect()) == sorted(twos)
     wavelet.write_shards(empty, path, str(tmp_path / "b"))
     assert wavelet.token_ids(wavelet.read_shards(spark, str(tmp_path / "b"))).count() == 0
 
