@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A text's features are which of its terms occur: lower-cased words and their first 4 and 5 bytes, hashed to 2**BITS
-slots. The slots that tell the classes apart best (chi-squared, on at least MIN_DOCS labelled rows that are no near copies of each other) keep a weight and
-RANK latent factors, so pairs of terms that are harmless alone can count together. The score is
+slots. Two kinds of slots keep a weight and RANK latent factors: those that tell the classes apart alone (chi-squared), and
+those of pairs that do so together though neither does alone, as an insult that is only one beside a group's name. Rows
+that are near copies of each other count as one, so that a text copied often does not make its words evidence. The score is
 
     sigmoid(bias + sum w_i + (|sum v_i|^2 - sum |v_i|^2) / 2)
 
@@ -10,8 +11,9 @@ Training takes a documented bounded sample of labelled rows (SAMPLE, chosen by a
 whole text. The model has a fixed size, whatever the input.
 
 Defined results: null text counts as empty; an empty text scores the bias alone; with no labelled rows every score is
-0.5, and with one class only it is that class's smoothed share; rows that repeat a doc_id are each scored; an empty table
-gives no rows; other columns are ignored.
+0.5, and with one class only it is that class's smoothed share; rows that repeat a doc_id, or have none, are each scored,
+equal texts alike (a row without a doc_id is in no fold: held_out is null); an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,10 @@ from .common import BREAKS, Words, labelled_sample, mix, pieces, table, whole_te
 
 BITS, RANK, SLOTS, MIN_DOCS, SAMPLE, STEPS = 22, 4, 1024, 4, 8192, 200
 #: Least chi-squared of a slot, what a toxic row counts in the loss, and decay of weights and of factors (over the sample's size).
-GAIN, TOXIC_COUNTS, DECAY_W, DECAY_V = 20, 3, 1, 25
+GAIN, TOXIC_COUNTS, DECAY_W, DECAY_V = 20, 3, 1, 1
+#: Slots among which pairs are looked for, least chi-squared of a pair, most pairs; keys of near copies and least hashes in each.
+PAIR_SLOTS, PAIR_GAIN, PAIRS = 2048, 45, 64
+BANDS, WIDTH = 16, 4
 MODULUS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 
 
@@ -66,6 +71,66 @@ def _forward(bias, w, v, text, place, n):
     return bias + np.bincount(text, w[place], n) + ((sums**2).sum(1) - squares) / 2, sums
 
 
+def near_copies(text: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+    """A group number for each row: rows that share most of their uncommon slots, by BANDS keys of WIDTH least hashes, are one group."""
+    rare = np.bincount(slot, minlength=1 << BITS)[slot] <= 2 + n // 100
+    text, slot = text[rare], slot[rare].astype(np.uint64)
+    label = np.arange(n)
+    if not len(text):
+        return label
+    first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+    row, keys = text[first], []
+    for band in range(BANDS):
+        key = np.zeros(len(first), np.uint64)
+        for i in range(WIDTH):
+            key = mix(key + np.minimum.reduceat(mix(slot + np.uint64((band * WIDTH + i + 1) << 32)), first))
+        keys.append(np.unique(key, return_inverse=True)[1].ravel())
+    while True:
+        before = label.copy()
+        for key in keys:
+            least = np.full(len(first), n)
+            np.minimum.at(least, key, label[row])
+            label[row] = least[key]
+        if (label == before).all():
+            return np.unique(label, return_inverse=True)[1].ravel()
+
+
+def _gain(seen, bad, n, share):
+    """Chi-squared of an indicator that holds in ``seen`` of ``n`` rows, ``bad`` of them toxic."""
+    spread = seen * np.clip(1 - seen / n, 1e-9, None) * share * (1 - share)
+    return np.where((seen >= MIN_DOCS) & (n - seen >= MIN_DOCS), (bad - seen * share) ** 2 / np.maximum(spread, 1e-9), 0)
+
+
+def paired_slots(text, slot, rows, label, seen, bad, share) -> np.ndarray:
+    """Slots of pairs that tell the classes apart together (both occur, or exactly one) much better than they do alone.
+
+    Looks at the PAIR_SLOTS most frequent slots outside everyday ones; PAIR_GAIN is far beyond what the best of all their
+    pairs reaches by chance.
+    """
+    n, total = rows.sum(), len(rows)
+    able = np.flatnonzero((seen >= max(MIN_DOCS, 0.01 * n)) & (seen <= 0.9 * n))
+    able = able[np.argsort(-seen[able], kind="stable")[:PAIR_SLOTS]]
+    if len(able) < 2:
+        return able[:0]
+    at = np.full(1 << BITS, -1, np.int32)
+    at[able] = np.arange(len(able))
+    here = at[slot] >= 0
+    table = np.zeros((total, len(able)), np.float32)
+    table[text[here], at[slot[here]]] = 1
+    weighed = table * rows[:, None].astype(np.float32)
+    alone, found = _gain(seen[able], bad[able], n, share), []
+    for a in range(0, len(able), 256):
+        own = slice(a, a + 256)
+        both, both_bad = weighed[:, own].T @ table, weighed[label == 1, own].T @ table[label == 1]
+        one = seen[able][own, None] + seen[able] - 2 * both
+        one_bad = bad[able][own, None] + bad[able] - 2 * both_bad
+        gain = np.maximum(_gain(both, both_bad, n, share), _gain(one, one_bad, n, share))
+        i, j = np.nonzero((gain > PAIR_GAIN) & (gain > 1.5 * (alone[own, None] + alone)))
+        found += [(gain[k, m], a + k, m) for k, m in zip(i.tolist(), j.tolist(), strict=True) if a + k < m]
+    best = sorted(found, reverse=True)[:PAIRS]
+    return able[np.unique(np.array([x[1:] for x in best], np.int64).ravel())]
+
+
 def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     """Logistic loss with weight decay, by full-batch Adam steps from a fixed seed."""
     n, size = len(label), 1 << BITS
@@ -74,24 +139,20 @@ def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     none = Machine(place, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, RANK)))
     if not n or label.min() == label.max():
         return none
-    # Near copies mostly share the least hash of their uncommon slots; a group of them counts as one row.
-    least = np.arange(n, dtype=np.uint64) | np.uint64(1 << 63)
-    rare = np.bincount(slot, minlength=size)[slot] <= 2 + n // 100
-    np.minimum.at(least, text[rare], mix(slot[rare].astype(np.uint64)) >> np.uint64(1))
-    _, group, times = np.unique(least, return_inverse=True, return_counts=True)
-    rows = 1 / times[group]
+    _, group, times = np.unique(near_copies(text, slot, n), return_inverse=True, return_counts=True)
+    rows = 1 / times[group.ravel()]  # a group of near copies counts as one row
     seen, bad = np.bincount(slot, rows[text], size), np.bincount(slot, (rows * label)[text], size)
-    expected = seen * share
-    gain = np.where(seen >= MIN_DOCS, (bad - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9), 0)
+    total, share_ = rows.sum(), (rows * label).sum() / rows.sum()
+    gain = _gain(seen, bad, total, share_)
     chosen = np.argsort(-gain, kind="stable")[:SLOTS]
-    chosen = chosen[gain[chosen] > GAIN]
+    chosen = np.union1d(chosen[gain[chosen] > GAIN], paired_slots(text, slot, rows, label, seen, bad, share_))
     if not len(chosen):
         return none
     place[chosen] = np.arange(len(chosen))
     kept = place[slot] >= 0
     text, at = text[kept], place[slot[kept]]
     rng = np.random.default_rng(7)
-    params = [np.array([none.bias]), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), RANK))]
+    params = [np.array([none.bias]), np.zeros(len(chosen)), rng.normal(0, 0.1, (len(chosen), RANK))]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
         bias, w, v = params
