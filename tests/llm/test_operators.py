@@ -90,6 +90,39 @@ def test_secret_scan(spark, empty):
     assert secret_scan.secret_scan(empty).count() == 0
 
 
+def linked_by_brute_force(text, scope=secret_scan.SCOPE):
+    """Every pair of parts is compared."""
+    assign = re.compile(secret_scan.ASSIGN.removeprefix("(?i)"), re.I | re.A)
+    base = [(m.start(), m.end(), "assign") for m in assign.finditer(text) if len(m[2]) >= 6]
+    base += [(m.start(), m.end(), "access") for m in re.finditer(secret_scan.ACCESS, text) if len(m[0]) >= 20]
+    base += [(m.start(), m.end(), "hex") for m in re.finditer(secret_scan.HEX, text)]
+    ends = [(m.start(), m.end(), "endpoint") for m in re.finditer(secret_scan.ENDPOINT, text) if re.fullmatch(secret_scan.ADDRESS, m[0])]
+    weak = [(m.start(), m.end(), "weak") for m in re.finditer(secret_scan.WEAK, text) if re.search("[A-Za-z]", m[0]) and re.search("[0-9]", m[0])]
+    weak = [w for w in weak if not any(w[0] < y[1] and y[0] < w[1] for y in base + ends)]
+
+    def near(x, ys):
+        return any(max(x[0] - y[1], y[0] - x[1]) <= scope for y in ys)
+
+    out = [(s, 1 + secret_scan.KINDS.index(k), e, k) for s, e, k in base]
+    out += [(w[0], 4, w[1], "linked_key") for w in weak if near(w, [y for y in base if y[2] == "access"])]
+    out += [(x[0], 5, x[1], "linked_endpoint") for x in ends if near(x, base + weak)]
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(out))
+
+
+def test_secret_links_equal_brute_force(spark):
+    rng, rows = random.Random(12), []
+    for i in range(400):
+        text = ""
+        for _ in range(rng.randrange(9)):
+            part = rng.choice(["AKIA" + "Q" * rng.choice([3, 16, 300]), "aB3/" * rng.choice([4, 8, 80]), "token: abc" + "d" * rng.choice([0, 9, 400]), "https://h.example/" + "aB3" * rng.choice([0, 20, 150]), "10.2.3.4", "1.2.3.4.5", "0af" * rng.choice([7, 9, 100]), "é🎉", "https://u?token=abcdefgh"])
+            text += part + rng.choice(["", " ", "\u0000", "," * 199, "," * 200, "," * 201, "\n" * 450])
+        rows.append((i, text))
+    rows += [(400, "aB3/" * 60 + " AKIA" + "C" * 16), (401, "AKIA" + "C" * 16 + " " + "aB3/" * 60), (402, "x token=abcdef, " * 16000 + "10.0.0.1")]
+    out = {r.doc_id: r.spans for r in secret_scan.secret_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert out == {i: linked_by_brute_force(t) for i, t in rows}
+    assert out[400] == "linked_key:0:240,access:241:261" and out[401] == "access:0:20,linked_key:21:261" and sum("linked" in s for s in out.values()) > 100
+
+
 def holders(size):
     first, words = {}, [(i, (t.encode()).split()) for i, t in texts()]
     for i, w in sorted(words):

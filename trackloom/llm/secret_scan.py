@@ -1,24 +1,26 @@
 """Secret scans with multipart credential linking.
 
 Base spans are leftmost non-overlapping matches for each kind. Beyond them, parts that are weak alone are gathered:
-``weak_key`` (a run of 32 or more key characters with a letter and a digit, outside base spans), ``endpoint`` (a URL or
-an IPv4 address) and the access identifiers and assigned secrets of the base. A weak part is reported only when the
-parts that complete it stand within its scope: a key with an access identifier (span kind ``linked_key``), an access
-identifier, secret or key with an endpoint (``linked_endpoint``, reported for the endpoint).
+``weak`` (a run of 32 or more key characters with a letter and a digit, outside base spans and endpoints), ``endpoint``
+(a URL or an IPv4 address) and the access identifiers and assigned secrets of the base. A weak part is reported only when
+the parts that complete it stand within its scope: a key with an access identifier (span kind ``linked_key``), an endpoint
+with an access identifier, secret or key (``linked_endpoint``, reported for the endpoint; a secret inside a URL completes it).
 
-The scope is SCOPE code points to either side. The interval join cuts each document into bins of that width: parts that
-complete others are first reduced to the least and greatest start of each (document, bin), then joined by equality to the
-bins a weak part can reach. Three bins hold all that lies in scope, and a row comes out for each part and bin, never for
-each pair of parts.
+Two parts are in scope when at most SCOPE code points lie between the end of one and the start of the other. The interval
+join is a sweep over each document's parts in order of their starts: the greatest end so far of what completes a part and
+the least start after it decide, so a row comes out for each part, never for each pair of parts.
+
+Each text is matched once by each pattern; gaps and lengths of the matches come out as rows, and their running sums are the
+positions. A document's parts meet in one task, which holds no more than the document itself.
 
 Defined results: null text counts as empty; a document without findings has counts 0, ``spans`` empty and the SHA-256 of
-the empty string; an empty table gives no rows; other columns are ignored; rows that repeat a doc_id are each scanned.
-Only DataFrame expressions run.
+the empty string; an empty table gives no rows; other columns are ignored; rows that repeat a doc_id, or have none, are each
+scanned. Only DataFrame expressions run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, whole_text, written
@@ -26,85 +28,119 @@ from .common import table, whole_text, written
 SCOPE = 200
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+HEX = r"[0-9a-f]{24,}"
 WEAK = r"[A-Za-z0-9+/_=-]{32,}"
-ENDPOINT = r"https?://[A-Za-z0-9._~:/?#@%&=+-]+|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"
-KINDS = ("assign", "access", "hex")
+ENDPOINT = r"https?://[A-Za-z0-9._~:/?#@%&=+-]+|[0-9][0-9.]*[0-9]"
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|http.*)$"
+#: Kinds in the order in which they are listed.
+KINDS = ("assign", "access", "hex", "linked_key", "linked_endpoint")
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+#: For each kind of part: its pattern, a condition that texts with such a part meet, and one that a passing MATCH meets.
+PARTS = {
+    "assign": (ASSIGN, None, f"length(regexp_extract(MATCH, {_quoted(ASSIGN)}, 2)) >= 6"),
+    "access": (ACCESS, None, "length(MATCH) >= 20"),
+    "hex": (HEX, None, "true"),
+    "weak": (WEAK, None, "MATCH RLIKE '[A-Za-z]' AND MATCH RLIKE '[0-9]'"),
+    "endpoint": (ENDPOINT, r"://|[0-9]\.[0-9]{1,3}\.[0-9]", f"MATCH RLIKE {_quoted(ADDRESS)}"),
+}
 
 
-def spans_of(text: str, pattern: str, kind: str) -> Column:
-    """All matches as array<struct<s, e, v>>: code points, end exclusive.
+def matches(kind: str) -> str:
+    """array<struct<kind, i, gap, len, ok>> of all matches in ``text``: code points since the match before, and the match's own.
 
-    The text is split at the matches; a match starts where the pieces and matches before it end. A first match of a
-    kind is looked for before the split, as most texts have none.
+    Matches are set between zero characters, of which the text has none left, and the text is cut there: odd pieces are matches.
     """
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    positions = f"""
-      aggregate(
-        zip_with(regexp_extract_all({text}, '{quoted}', 0), slice(split({text}, '{quoted}', -1), 1, greatest(size(split({text}, '{quoted}', -1)) - 1, 0)),
-                 (m, p) -> struct(m AS m, length(p) AS gap)),
-        struct(0 AS pos, cast(array() AS array<struct<s: int, e: int, v: string>>) AS out),
-        (a, x) -> struct(a.pos + x.gap + length(x.m) AS pos, concat(a.out, array(struct(a.pos + x.gap AS s, a.pos + x.gap + length(x.m) AS e, x.m AS v))) AS out),
-        a -> a.out)"""
-    return F.expr(f"CASE WHEN {text} RLIKE '{quoted}' THEN {positions} ELSE cast(array() AS array<struct<s: int, e: int, v: string>>) END").alias(kind)
+    pattern, hint, passes = PARTS[kind]
+    cut = f"split(regexp_replace(text, {_quoted(pattern)}, '\\u0000$0\\u0000'), '\\u0000')"
+    passes = passes.replace("MATCH", "p[2 * k + 1]")
+    each = f"struct('{kind}' AS kind, k AS i, length(p[2 * k]) AS gap, length(p[2 * k + 1]) AS len, {passes} AS ok)"
+    some = f"element_at(transform(array({cut}), p -> transform(sequence(0, size(p) div 2 - 1), k -> {each})), 1)"
+    hint = f"text RLIKE {_quoted(hint)} AND " if hint else ""
+    return f"CASE WHEN {hint}text RLIKE {_quoted(pattern)} THEN {some} ELSE array() END"
 
 
 def parts(docs: DataFrame) -> DataFrame:
-    """doc_id and, for each kind of part, array<struct<s, e>>; no text."""
-    rows = whole_text(docs).withColumn("row", F.monotonically_increasing_id())
-    # Failing matches must take part in the leftmost search, but only texts with a long enough run can have a passing one.
-    found = rows.select(
-        "row", "doc_id",
-        spans_of("text", ASSIGN, "assign"), spans_of("text", ACCESS, "access"),
-        F.expr("CASE WHEN text RLIKE '[0-9a-f]{24}' THEN text ELSE '' END").alias("h"),
-        F.expr("CASE WHEN text RLIKE '[A-Za-z0-9+/_=-]{32}' THEN text ELSE '' END").alias("k"),
-        spans_of("text", ENDPOINT, "endpoint"),
-    )
-    found = found.select("row", "doc_id", "assign", "access", "endpoint", spans_of("h", r"[0-9a-f]{24,}", "hex"), spans_of("k", WEAK, "weak"))
-    value = ASSIGN.replace("\\", "\\\\").replace("'", "\\'")
-    bare = "transform({0}, x -> struct(x.s AS s, x.e AS e))"
-    found = found.select(
-        "row", "doc_id",
-        F.expr(bare.format(f"filter(assign, x -> length(regexp_extract(x.v, '{value}', 2)) >= 6)")).alias("assign"),
-        F.expr(bare.format("filter(access, x -> x.e - x.s >= 20)")).alias("access"),
-        F.expr(bare.format("hex")).alias("hex"),
-        F.expr(bare.format("endpoint")).alias("endpoint"),
-        F.expr("filter(weak, x -> x.v RLIKE '[A-Za-z]' AND x.v RLIKE '[0-9]')").alias("weak"),
-    )
-    apart = "NOT exists(concat(assign, access, hex), y -> y.s < x.e AND x.s < y.e)"
-    return found.withColumn("weak", F.expr(bare.format(f"filter(weak, x -> {apart})")))
-
-
-def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """row, links: the weak parts that are complete within their scope, as array<struct<s, e, kind>>."""
-    def exploded(name: str, *kinds: str) -> DataFrame:
-        listed = ", ".join(f"transform({k}, x -> struct(x.s AS s, x.e AS e))" for k in kinds)
-        return found.select("row", F.expr(f"inline(concat({listed}))")).withColumn("bin", F.floor(F.col("s") / scope)).withColumn("part", F.lit(name))
-
-    weak = exploded("linked_key", "weak").unionByName(exploded("linked_endpoint", "endpoint"))
-    # What completes a key is an access identifier; what completes an endpoint is any credential part.
-    helps = exploded("linked_key", "access").unionByName(exploded("linked_endpoint", "access", "assign", "hex", "weak"))
-    reach = helps.groupBy("row", "part", "bin").agg(F.min("s").alias("least"), F.max("s").alias("greatest"))
-    near = weak.withColumn("at", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
-    hit = near.join(reach.withColumnRenamed("bin", "at"), ["row", "part", "at"]).filter(
-        (F.col("at") == F.col("bin")) | ((F.col("at") < F.col("bin")) & (F.col("greatest") >= F.col("s") - scope)) | ((F.col("at") > F.col("bin")) & (F.col("least") <= F.col("s") + scope))
-    )
-    once = hit.select("row", "s", "e", F.col("part").alias("kind")).distinct()
-    return once.groupBy("row").agg(F.collect_list(F.struct("s", "e", "kind")).alias("links"))  # bounded by one document's parts
+    """row, doc_id, found: all matches of each document, failing ones too; no text."""
+    rows = whole_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.expr("translate(text, '\\u0000', '\\u0001')").alias("text"))
+    return rows.select("row", "doc_id", F.expr(f"concat({', '.join(matches(k) for k in PARTS)})").alias("found"))
+
+
+def spans(found: DataFrame) -> DataFrame:
+    """row, kind, s, e of each passing part: code points, end exclusive."""
+    each = found.select("row", F.expr("inline(found)"))
+    ordered = Window.partitionBy("row", "kind").orderBy("i")
+    placed = each.withColumn("e", F.sum(F.col("gap") + F.col("len")).over(ordered))
+    return placed.filter("ok").select("row", "kind", (F.col("e") - F.col("len")).alias("s"), "e")
+
+
+def linked(placed: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """row, kind, s, e: base spans, and the weak parts that are complete within their scope.
+
+    Of the parts that start no later, only the greatest end matters; of those that start no earlier, only the least start.
+    """
+    order = Window.partitionBy("row").orderBy("s")
+    before = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = order.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+
+    def near(these: str, within: int):
+        some = F.expr(these)
+        return (F.col("s") - F.max(F.when(some, F.col("e"))).over(before) <= within) | (F.min(F.when(some, F.col("s"))).over(after) - F.col("e") <= within)
+
+    alone = placed.withColumn("inside", F.coalesce(near("kind <> 'weak'", -1), F.lit(False)))  # overlapping a base span or an endpoint
+    alone = alone.filter("NOT (kind = 'weak' AND inside)")
+    whole = alone.withColumn("key", near("kind = 'access'", scope)).withColumn("reach", near("kind <> 'endpoint'", scope))
+    kind = F.expr("CASE WHEN kind IN ('assign', 'access', 'hex') THEN kind WHEN kind = 'weak' AND key THEN 'linked_key' WHEN kind = 'endpoint' AND reach THEN 'linked_endpoint' END")
+    return whole.select("row", kind.alias("kind"), "s", "e").dropna(subset=["kind"])
 
 
 def secret_scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_linked, base_sha256, spans."""
     found = written(parts(docs), "secret-parts")
-    all_rows = found.join(linked(found, scope), "row", "left")
-    order = {k: i for i, k in enumerate((*KINDS, "linked_key", "linked_endpoint"))}
-    base = ", ".join(f"transform({k}, x -> struct(x.s AS s, {order[k]} AS o, x.e AS e, '{k}' AS kind))" for k in KINDS)
-    none = "cast(array() AS array<struct<s: int, e: int, kind: string>>)"
-    more = f"transform(coalesce(links, {none}), x -> struct(x.s AS s, CASE x.kind WHEN 'linked_key' THEN 3 ELSE 4 END AS o, x.e AS e, x.kind AS kind))"
+    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    # Bounded by one document's parts.
+    listed = linked(spans(found), scope).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", order.alias("o"), "e", "kind"))).alias("every"))
+    rows = found.select("row", "doc_id").join(listed, "row", "left").withColumn("every", F.coalesce("every", F.expr("cast(array() AS array<struct<s: bigint, o: bigint, e: bigint, kind: string>>)")))
     joined = "array_join(transform({0}, x -> concat(x.kind, ':', x.s, ':', x.e)), ',')"
-    listed = all_rows.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], F.expr(f"cast(size(coalesce(links, {none})) AS long)").alias("n_linked"), F.expr(f"array_sort(concat({base}))").alias("base"), F.expr(f"array_sort(concat({base}, {more}))").alias("every"))
-    return listed.select("doc_id", "n_assign", "n_access", "n_hex", "n_linked", F.sha2(F.expr(joined.format("base")), 256).alias("base_sha256"), F.expr(joined.format("every")).alias("spans"))
+    count = "cast(size(filter(every, x -> x.o {0})) AS long)"
+    counts = [F.expr(count.format(f"= {i + 1}")).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
+    base = F.sha2(F.expr(joined.format("filter(every, x -> x.o <= 3)")), 256)
+    return rows.select("doc_id", *counts, F.expr(count.format("> 3")).alias("n_linked"), base.alias("base_sha256"), F.expr(joined.format("every")).alias("spans"))
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def _sql() -> str:
+    def matched(kind: str, pattern: str, passes: str) -> str:
+        p = "'" + pattern.replace("'", "''") + "'"
+        pairs = f"SELECT r, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS m, unnest(g[1:len(m)]) AS g FROM (SELECT r, regexp_extract_all(text, {p}) AS m, string_split_regex(text, {p}) AS g FROM t)"
+        ends = f"SELECT r, m, sum(length(g) + length(m)) OVER (PARTITION BY r ORDER BY i) AS e FROM ({pairs})"
+        return f"SELECT r, '{kind}' AS kind, e - length(m) AS s, e FROM ({ends}) WHERE {passes}"
+
+    p = "'" + ASSIGN.replace("'", "''") + "'"
+    each = [
+        matched("assign", ASSIGN, f"length(regexp_extract(m, {p}, 2)) >= 6"), matched("access", ACCESS, "length(m) >= 20"), matched("hex", HEX, "true"),
+        matched("weak", WEAK, "regexp_matches(m, '[A-Za-z]') AND regexp_matches(m, '[0-9]')"), matched("endpoint", ENDPOINT, f"regexp_matches(m, '{ADDRESS}')"),
+    ]
+    near = "EXISTS (SELECT 1 FROM {0} y WHERE y.r = x.r AND {1} AND greatest(x.s - y.e, y.s - x.e) <= {2})"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+a AS ({' UNION ALL '.join(each)}),
+b AS (SELECT * FROM a x WHERE kind <> 'weak' OR NOT {near.format('a', "y.kind <> 'weak'", -1)}),
+c AS (SELECT r, s, e, CASE WHEN kind IN ('assign', 'access', 'hex') THEN kind WHEN kind = 'weak' AND {near.format('b', "y.kind = 'access'", SCOPE)} THEN 'linked_key'
+  WHEN kind = 'endpoint' AND {near.format('b', "y.kind <> 'endpoint'", SCOPE)} THEN 'linked_endpoint' END AS kind FROM b x),
+d AS (SELECT r, kind, s, e, list_position({list(KINDS)}, kind) AS o, kind || ':' || s || ':' || e AS said FROM c WHERE kind IS NOT NULL),
+f AS (SELECT r, count(*) FILTER (WHERE o = 1) AS n1, count(*) FILTER (WHERE o = 2) AS n2, count(*) FILTER (WHERE o = 3) AS n3, count(*) FILTER (WHERE o > 3) AS n4,
+  string_agg(said, ',' ORDER BY s, o, e) FILTER (WHERE o <= 3) AS base, string_agg(said, ',' ORDER BY s, o, e) AS every FROM d GROUP BY r)
+SELECT doc_id, coalesce(n1, 0) AS n_assign, coalesce(n2, 0) AS n_access, coalesce(n3, 0) AS n_hex, coalesce(n4, 0) AS n_linked, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM t LEFT JOIN f USING (r)
+"""
+
+
+OP4_SQL = _sql()
