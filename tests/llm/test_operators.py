@@ -47,7 +47,7 @@ def lowered(t):
     return re.sub("[A-Z]", lambda m: m[0].lower(), t)
 
 
-@pytest.mark.parametrize("options", [{}, {"capacity": 2, "depth": 3, "hash_bits": 2}])
+@pytest.mark.parametrize("options", [{}, {"capacity": 2, "depth": 3, "hash_bits": 2}, {"capacity": 1}, {"filter_bits": 1 << 15}])
 def test_exact_dedup(docs, empty, options):
     groups = {}
     for i, t in texts():
@@ -61,11 +61,36 @@ def test_exact_dedup(docs, empty, options):
 def test_directory_doubles_only_where_needed(spark):
     rows = exact_dedup.keyed(spark.range(2000).selectExpr("id AS doc_id", "cast(id AS string) AS text"))
     entries = rows.groupBy("key").agg({"doc_id": "max"})
-    slots = exact_dedup.directory(entries, capacity=100, most=8).collect()
+    slots = exact_dedup.directory(entries, capacity=100, depth=8).collect()
     assert len(slots) == 256 and all(r.bucket == r.slot >> (8 - r.local_depth) << (8 - r.local_depth) for r in slots)
     assert {r.local_depth for r in slots} <= {4, 5, 6}
 
 
+def test_rows_find_their_entries_through_the_directory(spark, docs):
+    hashed, slot_map, index = exact_dedup.indexed(docs, capacity=2, depth=4)
+    assert index.select("bucket").distinct().count() > 2 and exact_dedup.probe(hashed, slot_map, index).count() == len(texts())
+    wrong = slot_map.withColumn("bucket", (slot_map["bucket"] + 1) % 16)
+    assert exact_dedup.probe(hashed, wrong, index).count() < len(texts())
+
+
+def test_filter_lets_every_repeated_key_pass(spark):
+    rows = spark.range(3000).selectExpr("id AS doc_id", "cast(id % 2000 AS string) AS text")
+    hashed = exact_dedup.keyed(rows)
+    again = exact_dedup.may_repeat(hashed, *exact_dedup.repeated_filter(hashed)).filter("again")
+    assert again.filter("doc_id % 2000 < 1000").count() == 2000 and again.count() < 2200
+
+
+@pytest.mark.parametrize("module", [exact_dedup, simhash])
+def test_one_row_of_each_group_stays(spark, module):
+    listed = [(1, "a b c d"), (1, "a b c d"), (1, "A b c d"), (2, "a b c d"), (None, "alone here now"), (None, "Alone here now"), (5, None), (None, ""), (6, "other words in this text"), (6, "and quite another text there")]
+    docs = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(listed)], "doc_id int, text string, keep_id long, raw string").repartition(3)
+    out = module.keep_one(docs)
+    assert out.columns == docs.columns and out.schema == docs.schema
+    kept = sorted((-1 if r.doc_id is None else r.doc_id, (r.text or "").lower()) for r in out.collect())
+    stays = 2 if module is exact_dedup else 1
+    assert kept == sorted([(stays, "a b c d"), (-1, "alone here now"), (5, ""), (6, listed[8][1]), (6, listed[9][1])])
+
+
 def test_secret_scan(spark, empty):
     key = "Ab1" * 14
     rows = [

@@ -20,17 +20,32 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: For terms: all ASCII but letters and digits stands between words.
 BREAKS = np.array([not (chr(i).isalnum() or i > 127) for i in range(256)])
+#: Folders made so far, with the application they belong to.
+_FOLDERS: list[tuple[str, str]] = []
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared ``spark.checkpoint.dir``; a temporary one of our own only where that is unset."""
+    """A new folder under the shared ``spark.checkpoint.dir``; where that is unset, a temporary one on a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", f"file://{base}")
-        base = f"file://{base}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete these folders, or all that this application's operators have left: results that read them are gone then."""
+    here = spark.sparkContext.applicationId
+    for path in paths if paths is not None else [p for a, p in _FOLDERS if a == here]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        if (here, path) in _FOLDERS:
+            _FOLDERS.remove((here, path))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +65,21 @@ def whole_text(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
 
 
+def one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each (keep_id, keep_raw): a doc_id or null, and the hash of the text.
+
+    Rows that repeat both are one. Join and grouping have the same keys, so the documents move once.
+    """
+
+    def keys(doc_id: Column, raw: Column) -> list[Column]:
+        return [doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__id"), raw.alias("__raw")]
+
+    marked = docs.select("*", *keys(docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))))
+    names = ["__none", "__id", "__raw"]
+    found = marked.join(kept.select(*keys(kept["keep_id"], kept["keep_raw"])), names, "left_semi")
+    return found.dropDuplicates(names).select(*docs.columns)
+
+
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, shared_path
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,13 +26,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (the least node reachable) for every node of ``edges`` (u, v: long). Rounds grow with the logarithm of the longest chain."""
-    now = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    """node, component (the least node reachable) for every node of ``edges`` (u, v: long). Rounds grow with the logarithm of the longest chain.
+
+    Each round's edges are a table in the shared folder; the round before it is deleted when the next one is there.
+    """
+    spark = edges.sparkSession
+
+    def kept(now: DataFrame) -> tuple[DataFrame, str]:
+        path = shared_path(spark, "edges")
+        now.write.parquet(path)
+        return spark.read.schema("u long, v long").parquet(path), path
+
+    now, path = kept(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     while True:
         state = now.agg(F.count("*").alias("n"), F.expr("sum(cast(xxhash64(u, v) AS decimal(38)))").alias("h")).first()
         if state == mark or not state["n"]:
             break
-        mark = state
-        now = written(_star(_star(now, True), False), "edges")
+        mark, old = state, path
+        now, path = kept(_star(_star(now, True), False))
+        discard(spark, [old])
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

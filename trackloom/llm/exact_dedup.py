@@ -1,103 +1,145 @@
 """Exact dedup through an extendible-hash index on shared files.
 
-Every text is normalised (A-Z lower-cased, null as empty) and keyed by 64 hash bits. The index keeps one entry for each
-different text: grouping by hash *and text* compares the bytes, so texts that share a hash become separate entries of
-one chain. A directory over hash prefixes doubles until no bucket holds more than its capacity; only overfull buckets
-split, the others keep a smaller local depth and several directory slots. Owner tasks each take a contiguous range of
-(bucket, key) and write it as one index file. The directory only lays out these files: rows meet the index by key alone,
-and where a chain has more than one entry, the rows of its key are grouped by their bytes again.
+Every text is normalised (A-Z lower-cased, null as empty) and keyed by 64 hash bits. The index has one entry for each
+different text. A text whose key no other row has is an entry as it stands; a filter of bits over the keys that occur again
+tells these rows apart in the scan, so that only texts that may have a copy are shuffled. Those are grouped by key *and
+text*, which compares the bytes: texts that share a key become separate entries of one chain.
+
+A directory over key prefixes doubles until no bucket holds more than its capacity; only overfull buckets split, the
+others keep a smaller local depth and several slots. Its depth follows the number of entries. Owner tasks each take a
+contiguous range of (bucket, key) and write it as one file of the index. Every row then finds its entry through the
+directory: its key's slot names the bucket, and within the bucket key and digest name the entry of the chain.
 
 Defined results: null text equals empty text; of equal texts the largest ``doc_id`` stays; rows that repeat a
-``doc_id`` are each reported; an empty table gives an empty index and no rows; other columns are ignored. Everything
-runs as DataFrame expressions.
+``doc_id`` are each reported; rows without one stay only where their whole group has none (``keep_id`` null); an empty
+table gives an empty index and no rows; other columns are ignored. ``keep_one`` keeps exactly one row of each group,
+whatever ids repeat or are null. Everything runs as DataFrame expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from math import ceil, log2
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, shared_path, table, whole_text, written
+from .common import ascii_lower, one_row_each, shared_path, table, written
 
-#: Entries that a bucket holds before it splits, and the most directory bits: the directory has 2**DEPTH slots at most.
-CAPACITY, DEPTH = 4096, 12
+#: Entries that a bucket holds before it splits, and directory bits beyond those that evenly filled buckets need.
+CAPACITY, SLACK = 1 << 16, 3
+#: The most bits of the filter of repeated keys (64 MB, which bounds the broadcast), and bits for each key below that.
+FILTER_BITS, KEY_BITS = 1 << 29, 16
 
 
 def keyed(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
-    """doc_id, norm, key. Fewer ``hash_bits`` make collisions, for tests."""
-    rows = whole_text(docs).select("doc_id", ascii_lower(F.col("text")).alias("norm"))
+    """doc_id, raw (a hash of the text as it stands), norm, key. Fewer ``hash_bits`` make collisions, for tests."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("raw"), ascii_lower(text).alias("norm"))
     key = F.xxhash64("norm")
     return rows.withColumn("key", key if hash_bits == 64 else F.shiftleft(key, 64 - hash_bits))
 
 
-def slots(col: str, depth: int):
+def digest(norm: str) -> Column:
+    return F.unhex(F.sha2(F.encode(norm, "UTF-8"), 256))
+
+
+def repeated_filter(hashed: DataFrame, most: int = FILTER_BITS) -> tuple[DataFrame, int]:
+    """(bitmaps by bucket, number of bits) of the keys that more than one row has; at most ``most`` bits."""
+    again = written(hashed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated-keys")
+    bits = min(most, 1 << ceil(log2(max(1 << 15, KEY_BITS * again.count()))))
+    at = again.select(_position(bits).alias("at"))
+    maps = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+    return maps, bits
+
+
+def _position(bits: int) -> Column:
+    return F.xxhash64("key", F.lit(1)).bitwiseAND(bits - 1) + 1
+
+
+def may_repeat(rows: DataFrame, maps: DataFrame, bits: int) -> DataFrame:
+    """``rows`` with ``again``: false only where no other row has the key. The maps are ``bits`` / 8 bytes in all."""
+    at = rows.withColumn("at", _position(bits)).withColumn("bucket", F.bitmap_bucket_number("at"))
+    byte = "cast(conv(hex(substring(bitmap, cast(bitmap_bit_position(at) div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    held = F.expr(f"coalesce({byte} & shiftleft(1, cast(bitmap_bit_position(at) % 8 AS int)) <> 0, false)")
+    return at.join(F.broadcast(maps), "bucket", "left").withColumn("again", held).drop("at", "bucket", "bitmap")
+
+
+def slots(col: str, depth: int) -> Column:
     """The top ``depth`` bits of the key: contiguous key ranges in unsigned order."""
     return F.shiftrightunsigned(F.col(col), 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def directory(entries: DataFrame, capacity: int = CAPACITY, most: int = DEPTH) -> DataFrame:
-    """slot, bucket, local_depth: at most 2**most rows.
+def directory(entries: DataFrame, capacity: int = CAPACITY, depth: int | None = None) -> DataFrame:
+    """slot, bucket, local_depth for each of 2**depth slots.
 
-    Directory doubling over prefix counts: a bucket of depth d splits while it holds more than ``capacity`` entries.
-    One left overfull at the last depth keeps its overflow in the same key range, spread over several owner files.
+    Loads are added up for the prefixes of every length; a slot's bucket has the least depth at which it holds no more than
+    ``capacity`` entries. One that is overfull at the last depth, because its entries share a longer prefix, stays whole.
     """
     spark = entries.sparkSession
-    loads = entries.groupBy(slots("key", most).alias("slot")).agg(F.count("*").alias("n"))
-    every = spark.range(1 << most).select(F.col("id").alias("slot")).join(loads, "slot", "left").fillna(0, ["n"])
-    split = F.lit(most)
-    for depth in range(most - 1, -1, -1):  # the smallest depth at which this slot's bucket fits, given that larger ones had to split
-        held = F.sum("n").over(Window.partitionBy(F.shiftright("slot", most - depth)))
-        split = F.when(held <= capacity, F.lit(depth)).otherwise(split)
-    sized = every.select("slot", split.alias("local_depth"))
-    return sized.select("slot", "local_depth", F.expr(f"shiftleft(shiftright(slot, {most} - local_depth), {most} - local_depth)").alias("bucket"))
-
-
-def build_index(rows: DataFrame, path: str, capacity: int = CAPACITY, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
-    """Write the index of ``keyed`` rows below ``path``; returns (directory, index) as read back.
+    depth = max(0, ceil(log2(max(1, entries.count()) / capacity)) + SLACK) if depth is None else depth
+    levels = f"sequence(0, {depth})"
+    loads = entries.groupBy(slots("key", depth).alias("slot")).agg(F.count("*").alias("n"))
+    prefix = F.expr(f"shiftright(slot, {depth} - level)").alias("prefix")
+    sums = loads.select("slot", "n", F.explode(F.expr(levels)).alias("level")).groupBy("level", prefix).agg(F.sum("n").alias("n"))
+    over = sums.filter(F.col("n") > capacity).select("level", "prefix")
+    every = spark.range(1 << depth).select(F.col("id").alias("slot"), F.explode(F.expr(levels)).alias("level")).withColumn("prefix", prefix)
+    fits = every.join(over, ["level", "prefix"], "left_anti").groupBy("slot").agg(F.min("level").alias("fits"))
+    sized = spark.range(1 << depth).select(F.col("id").alias("slot")).join(fits, "slot", "left").select("slot", F.coalesce("fits", F.lit(depth)).alias("local_depth"))
+    bucket = F.expr(f"shiftleft(shiftright(slot, {depth} - local_depth), {depth} - local_depth)")
+    return sized.select("slot", "local_depth", bucket.alias("bucket"))
+
+
+def build_index(rows: DataFrame, hashed: DataFrame, path: str, capacity: int = CAPACITY, depth: int | None = None, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """Write the index of ``keyed`` rows, whose digests are ``hashed``, below ``path``; returns (directory, index) as read back.
 
     The grouping adds up copies before the shuffle, so a text that a third of the rows share costs a row for each task.
     """
     spark = rows.sparkSession
-    grouped = rows.groupBy("key", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    entries = written(grouped.select("key", "keep_id", "group_size", F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256")), "index-entries")
-    slot_map = directory(entries, capacity, depth)
-    slot_map.coalesce(1).write.parquet(f"{path}/directory")
+    maps, bits = repeated_filter(hashed, filter_bits)
+    maps = written(maps, "repeated-bits")
+    alone = may_repeat(hashed, maps, bits).filter("NOT again").select("key", "sha", F.col("doc_id").alias("keep_id"), F.col("raw").alias("keep_raw"), F.lit(1).cast("long").alias("group_size"))
+    texts = may_repeat(rows, maps, bits).filter("again").groupBy("key", "norm")
+    least_raw = F.coalesce(F.max_by("raw", "doc_id"), F.max("raw"))
+    compared = texts.agg(F.max("doc_id").alias("keep_id"), least_raw.alias("keep_raw"), F.count("*").alias("group_size"))
+    entries = written(alone.unionByName(compared.withColumn("sha", digest("norm")).drop("norm")), "index-entries")
+    directory(entries, capacity, depth).repartition(1).write.parquet(f"{path}/directory")
     slot_map = spark.read.parquet(f"{path}/directory")
-    chain = entries.groupBy("key").agg(F.count("*").alias("chain"))
-    owned = entries.join(chain, "key").withColumn("slot", slots("key", depth)).join(F.broadcast(slot_map), "slot")
-    owned = owned.select("bucket", "local_depth", "key", "chain", "keep_id", "group_size", "text_sha256")
+    owned = in_buckets(entries, slot_map).select("bucket", "key", "sha", "keep_id", "keep_raw", "group_size")
     owned.repartitionByRange("bucket", F.expr("shiftrightunsigned(key, 1)"), "key").sortWithinPartitions("bucket", "key").write.parquet(f"{path}/buckets")
     return slot_map, spark.read.parquet(f"{path}/buckets")
 
 
-def probe(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """keyed rows with keep_id, group_size and text_sha256 of their entry.
+def in_buckets(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their key's slot."""
+    depth = int(log2(max(1, slot_map.count())))
+    return rows.withColumn("slot", slots("key", depth)).join(slot_map.select("slot", "bucket"), "slot").drop("slot")
+
 
-    A key with one entry is settled by the key alone, as grouping has compared all its texts; in longer chains the text
-    is compared again. Skewed keys of this join are split at run time (one side has a row for each key).
+def probe(hashed: DataFrame, slot_map: DataFrame, index: DataFrame) -> DataFrame:
+    """doc_id, raw, sha and the entry's keep_id, keep_raw and group_size of each row.
+
+    Entries differ in bytes, and so in their digests; skewed entries of this join are split at run time (the index has one
+    row for each).
     """
-    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
-    out = rows.select("doc_id", "key").join(index.filter("chain = 1"), "key").select(*columns)
-    chained = index.filter("chain > 1")
-    if not chained.isEmpty():
-        several = chained.select("key").distinct()
-        groups = rows.join(several, "key", "left_semi").groupBy("key", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        groups = groups.withColumn("text_sha256", F.sha2(F.encode("norm", "UTF-8"), 256))
-        out = out.unionByName(rows.join(groups, ["key", "norm"]).select(*columns))
-    return out
-
-
-def exact_dedup(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH, hash_bits: int = 64) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``."""
+    return in_buckets(hashed, slot_map).join(index, ["bucket", "key", "sha"])
+
+
+def indexed(docs: DataFrame, capacity: int = CAPACITY, depth: int | None = None, hash_bits: int = 64, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(digests of the rows, directory, index) of ``docs``."""
     rows = keyed(docs, hash_bits)
-    _, index = build_index(rows, shared_path(docs.sparkSession, "hash-index"), capacity, depth)
-    return probe(rows, index).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    hashed = written(rows.select("doc_id", "raw", "key", digest("norm").alias("sha")), "index-rows")
+    return hashed, *build_index(rows, hashed, shared_path(docs.sparkSession, "hash-index"), capacity, depth, filter_bits)
+
+
+def exact_dedup(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``."""
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return probe(*indexed(docs, **options)).select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that exact dedup keeps."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long") == kept["__keep"], "left_semi")
+    """The documents, with all their columns, that exact dedup keeps: one row of each group."""
+    return one_row_each(docs, indexed(docs)[2].select("keep_id", "keep_raw"))
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
