@@ -156,7 +156,7 @@ def holders(size):
     return first, words
 
 
-@pytest.mark.parametrize("options", [{}, {"busy": 1}, {"shard_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 1}, {"shard_words": 300}])
 def test_substring_dedup(docs, empty, options):
     first, words = holders(13)
     expected = []
@@ -192,7 +192,7 @@ def test_automaton_matches_brute_force():
                 assert automaton.matches(words, size) == expected
 
 
-@pytest.mark.parametrize("options", [{}, {"busy": 1}, {"shard_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 1}, {"shard_words": 300}])
 def test_suffix_dedup(docs, empty, options):
     first, words = holders(50)
     expected = set()

@@ -33,7 +33,7 @@ def test_decontamination_finds_every_copy_of_an_edited_version(spark):
     assert found == expected and sum(j == 0 for _, j in found) == 81
 
 
-@pytest.mark.parametrize("options", [{}, {"busy": 1}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 1}])
 def test_suffix_dedup_names_every_source_of_a_span(spark, options):
     one, two, three, rest = (prose(1000 + i, n) for i, n in enumerate((60, 60, 80, 60)))
     listed = [one + " " + prose(1010, 9), two, prose(1011, 9) + " " + three, three + " " + rest, f"{one} {two}", f"{prose(1012, 7)} {three} {rest} {one}"]

@@ -6,10 +6,15 @@ anchors, so windows can meet by anchor instead of by themselves, with one row fo
 lets all shared anchors pass and few others; it is broadcast up to FILTER_BITS, and beyond what that serves a join by
 document takes its place. The segments of the others carry their words, joined by single spaces, so that later comparisons
 are of the words themselves.
+
+Shards of whole anchors are bounded in words. An anchor whose different segments exceed the bound is cut further by
+content: its windows get anchors of longer runs, so that the segments of a run that many texts share part by what stands
+around it. Runs of a whole window end this, as equal windows then are one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -159,91 +164,144 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (a.astype(np.uint64) << np.uint64(40))
 
 
-def by_shards(found: DataFrame, search: Callable[[Shard], list[list]], size: int, busy: int, shard_rows: int) -> DataFrame:
-    """anchor, wh, words, doc_id, firsts for each different segment of ``found``.
+def levels(size: int, gram: int) -> list[int]:
+    """Lengths of the runs whose least hash is an anchor, from those of first anchors to whole windows."""
+    return [gram, (gram + size) // 2, size]
+
 
-    A shard holds the segments of whole anchors, each with its smallest doc_id; ``search`` gives for each of its segments
-    the smallest doc_id of every window, and the next shard begins after ``shard_rows``. An anchor with one segment needs no
-    search. One with more than ``busy`` different segments is not searched either: its segments come back with their words
-    and no firsts, some perhaps twice.
+def recut(crowded: DataFrame, size: int, run_length: int) -> DataFrame:
+    """anchor, wh, i (first window), sub_anchor, sub_wh, words, windows, doc_id: segments cut by anchors of ``run_length`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "words", 1 << 18):
+                words = Words(part.column("words"))
+                if run_length == size:  # every window alone, so that equal ones are one segment
+                    first, anchor = window_anchors(words, size, size)
+                    windows, anchor = np.ones(len(first), np.int64), anchor.view(np.int64)
+                else:
+                    first, windows, anchor = segments(words, size, run_length)
+                text, raw, last = words.text[first], words.data.tobytes(), first + windows + size - 2
+                listed = [raw[a:z] for a, z in zip(words.start[first].tolist(), words.end[last].tolist(), strict=True)]
+                hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in listed], np.uint64).view(np.int64)
+                own = [part.column(c).take(pa.array(text)) for c in ("anchor", "wh", "doc_id")]
+                yield pa.record_batch(
+                    [own[0], own[1], pa.array(first - words.first[text]), pa.array(anchor), pa.array(hashes), pa.array(listed, pa.binary()).cast(pa.string()), pa.array(windows), own[2]],
+                    ["anchor", "wh", "i", "sub_anchor", "sub_wh", "words", "windows", "doc_id"],
+                )
+
+    return crowded.select("anchor", "wh", "words", "doc_id").mapInArrow(run, "anchor long, wh long, i long, sub_anchor long, sub_wh long, words string, windows long, doc_id long")
+
+
+def by_shards(found: DataFrame, search: Callable[[Shard, int], list[list]], size: int, gram: int, shard_words: int) -> DataFrame:
+    """anchor, wh, firsts for each different segment of ``found``: the smallest doc_id of every window.
+
+    A shard holds the segments of whole anchors, each with its smallest doc_id; ``search`` gives the firsts of each of its
+    segments (it is told how many words an anchor's run has), and the next shard begins after ``shard_words``. An anchor with one segment needs no search.
     """
+    return _settled(found.filter("words IS NOT NULL").select("anchor", "wh", "words", "windows", "doc_id"), search, size, levels(size, gram), shard_words)
+
+
+def _heavy(rows: DataFrame, size: int, shard_words: int) -> DataFrame:
+    """Anchors whose rows have more than ``shard_words`` words."""
+    return rows.groupBy("anchor").agg(F.sum(F.col("windows") + size - 1).alias("n")).filter(F.col("n") > shard_words).select("anchor")
+
+
+def _settled(rows: DataFrame, search, size: int, runs: list[int], shard_words: int) -> DataFrame:
+    once = ["anchor", "wh", "words", "windows"]
+    if len(runs) == 1:  # single windows: equal ones meet by their words
+        return rows.groupBy(*once).agg(F.min("doc_id").alias("doc_id")).select("anchor", "wh", F.array("doc_id").alias("firsts"))
+    heavy = written(_heavy(rows, size, shard_words), "heavy")
+    if heavy.isEmpty():
+        return in_shards(rows, search, size, runs[0], shard_words)
+    # Copies from several tasks may make the weight, so these are added up before the rest is cut.
+    reduced = written(rows.join(heavy, "anchor", "left_semi").groupBy(*once).agg(F.min("doc_id").alias("doc_id")), "reduced")
+    crowded = written(_heavy(reduced, size, shard_words), "crowded")
+    light = rows.join(heavy, "anchor", "left_anti").unionByName(reduced.join(crowded, "anchor", "left_anti"))
+    cut = written(recut(reduced.join(crowded, "anchor", "left_semi"), size, runs[1]), "recut")
+    inner = _settled(cut.select(F.col("sub_anchor").alias("anchor"), F.col("sub_wh").alias("wh"), "words", "windows", "doc_id"), search, size, runs[1:], shard_words)
+    inner = inner.select(F.col("anchor").alias("sub_anchor"), F.col("wh").alias("sub_wh"), "firsts")
+    back = cut.select("anchor", "wh", "i", "sub_anchor", "sub_wh").join(inner, ["sub_anchor", "sub_wh"]).groupBy("anchor", "wh")
+    whole = back.agg(F.array_sort(F.collect_list(F.struct("i", "firsts"))).alias("x")).select("anchor", "wh", F.flatten("x.firsts").alias("firsts"))  # bounded by one segment
+    return in_shards(light, search, size, runs[0], shard_words).unionByName(whole)
+
+
+def in_shards(rows: DataFrame, search, size: int, run_length: int, shard_words: int) -> DataFrame:
+    """``by_shards`` for anchors of at most ``shard_words`` words each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[int, int, str, int]]:
+        def each() -> Iterator[tuple[int, int, str, int]]:
             for batch in batches:
                 yield from zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
 
-        def out(shard: Shard, firsts: list | None) -> pa.RecordBatch:
-            anchor, wh, words = zip(*shard, strict=True)
-            return pa.record_batch(
-                [pa.array(anchor, pa.int64()), pa.array(wh, pa.int64()), pa.array(words if firsts is None else [None] * len(shard), pa.string()), pa.array(list(shard.values()), pa.int64()), pa.array([None] * len(shard) if firsts is None else firsts, pa.list_(pa.int64()))],
-                ["anchor", "wh", "words", "doc_id", "firsts"],
-            )
-
-        shard: Shard = {}
-        alone: Shard = {}
+        def out(shard: Shard, firsts: list) -> pa.RecordBatch:
+            anchor, wh, _ = zip(*shard, strict=True)
+            return pa.record_batch([pa.array(anchor, pa.int64()), pa.array(wh, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))], ["anchor", "wh", "firsts"])
 
-        def settled() -> pa.RecordBatch:
-            return out(alone, [[doc] * (words.count(" ") + 2 - size) for (_, _, words), doc in alone.items()])
+        def alone(single: Shard) -> pa.RecordBatch:
+            return out(single, [[doc] * (words.count(" ") + 2 - size) for (_, _, words), doc in single.items()])
 
-        for _, group in groupby(rows(), key=lambda x: x[0]):
+        shard: Shard = {}
+        single: Shard = {}
+        held = waiting = 0
+        for _, group in groupby(each(), key=lambda x: x[0]):
             own: Shard = {}
-            crowded = False
             for *key, doc in group:
                 key = tuple(key)
                 own[key] = min(own.get(key, doc), doc)
-                if len(own) > busy:
-                    yield out(own, None)
-                    own, crowded = {}, True
-            if crowded:
-                if own:
-                    yield out(own, None)
-                continue
+            n = sum(words.count(" ") + 1 for _, _, words in own)
             if len(own) == 1:
-                alone |= own
-                if len(alone) >= shard_rows:
-                    yield settled()
-                    alone = {}
+                single |= own
+                waiting += n
+                if waiting >= shard_words:
+                    yield alone(single)
+                    single, waiting = {}, 0
                 continue
             shard |= own
-            if len(shard) >= shard_rows:
-                yield out(shard, search(shard))
-                shard = {}
+            held += n
+            if held >= shard_words:
+                yield out(shard, search(shard, run_length))
+                shard, held = {}, 0
         if shard:
-            yield out(shard, search(shard))
-        if alone:
-            yield settled()
+            yield out(shard, search(shard, run_length))
+        if single:
+            yield alone(single)
 
-    exemplars = found.filter("words IS NOT NULL").select("anchor", "wh", "words", "doc_id")
-    return exemplars.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, wh long, words string, doc_id long, firsts array<long>")
+    return rows.select("anchor", "wh", "words", "doc_id").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, wh long, firsts array<long>")
 
 
-def repeated_windows(found: DataFrame, firsts: DataFrame, size: int) -> DataFrame:
+def repeated_windows(found: DataFrame, firsts: DataFrame) -> DataFrame:
     """doc_id, th, hits: array<struct<at, d>> with the windows (first word) that a smaller doc_id d has too.
 
     Segments meet their firsts by anchor and word hash, 128 bits together. Skewed keys are split at run time.
     """
-    firsts = written(firsts, "firsts")
     mark = "filter(transform(firsts, (d, i) -> CASE WHEN d < doc_id THEN struct(first + i AS at, d AS d) END), x -> x IS NOT NULL)"
-    plain = firsts.filter("firsts IS NOT NULL").select("anchor", "wh", "firsts")
-    hits = found.select("doc_id", "th", "first", "anchor", "wh").join(plain, ["anchor", "wh"]).select("doc_id", "th", F.expr(mark).alias("hits"))
-    crowded = firsts.filter("firsts IS NULL")
-    if not crowded.isEmpty():  # the same, with windows in place of segments: equal ones meet by their words alone
-        each = f"transform(sequence(0, size(split(words, ' ')) - {size}), i -> struct(i AS i, sha2(array_join(slice(split(words, ' '), i + 1, {size}), ' '), 256) AS one))"
-        cut = crowded.groupBy("anchor", "wh", "words").agg(F.min("doc_id").alias("doc_id")).select("anchor", "wh", "doc_id", F.expr(f"inline({each})"))
-        least = cut.groupBy("one").agg(F.min("doc_id").alias("d"))
-        known = cut.select("anchor", "wh", "i", "one").join(least, "one").groupBy("anchor", "wh").agg(F.sort_array(F.collect_list(F.struct("i", "d"))).alias("w"))  # bounded by one segment
-        hits = hits.unionByName(found.select("doc_id", "th", "first", "anchor", "wh").join(known.select("anchor", "wh", F.expr("transform(w, x -> x.d)").alias("firsts")), ["anchor", "wh"]).select("doc_id", "th", F.expr(mark).alias("hits")))
+    hits = found.select("doc_id", "th", "first", "anchor", "wh").join(written(firsts, "firsts"), ["anchor", "wh"]).select("doc_id", "th", F.expr(mark).alias("hits"))
     return hits.filter(F.size("hits") > 0)
 
 
-def zipped(docs: DataFrame) -> DataFrame:
-    """doc_id, th, zip: texts compressed for a shuffle."""
+def zipped(docs: DataFrame, hit: DataFrame) -> DataFrame:
+    """doc_id, th, zip, n_words, digest: texts of rows that may be among ``hit`` (doc_id, th) compressed for a shuffle.
+
+    Of the others, told apart by a bounded filter, only the number of words and their SHA-256 move.
+    """
+    keys = hit.select(F.xxhash64("doc_id", "th").alias("anchor"))
+    bits = 1 << max(_BLOCK, min((16 * keys.count()).bit_length(), FILTER_BITS.bit_length() - 1))
+    passes = docs.sparkSession.sparkContext.broadcast(anchor_filter(keys, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in pieces(batch):
-                yield pa.record_batch([part.column("doc_id"), part.column("th"), pa.array([press.compress(t.as_buffer()) for t in part.column("text")], pa.binary())], ["doc_id", "th", "zip"])
-
-    return keyed_text(docs).mapInArrow(run, "doc_id long, th long, zip binary")
+                at = _positions(part.column("key").to_numpy(), bits)
+                may = ((passes.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
+                zips, counts, digests = [], [], []
+                for text, some in zip(part.column("text"), may.tolist(), strict=True):
+                    words = [] if some else text.as_buffer().to_pybytes().split()
+                    zips.append(press.compress(text.as_buffer()) if some else None)
+                    counts.append(len(words))
+                    digests.append(None if some else hashlib.sha256(b" ".join(words)).hexdigest())
+                yield pa.record_batch([part.column("doc_id"), part.column("th"), pa.array(zips, pa.binary()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())], ["doc_id", "th", "zip", "n_words", "digest"])
+
+    rows = keyed_text(docs).withColumn("key", F.xxhash64("doc_id", "th"))
+    return rows.mapInArrow(run, "doc_id long, th long, zip binary, n_words long, digest string")

@@ -9,7 +9,7 @@ from .quality import op7_quality
 from .secret_scan import OP4_SQL, op4_secret_scan
 from .simhash import op10_simhash
 from .substring_dedup import OP5_SQL, op5_substring_dedup
-from .suffix_dedup import op8_suffix_dedup
+from .suffix_dedup import OP8_SQL, op8_suffix_dedup
 from .toxicity import op9_toxicity
 from .wavelet import op1_wavelet_tokens
 
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
-SQL = {"op3_exact_dedup": OP3_SQL, "op4_secret_scan": OP4_SQL, "op5_substring_dedup": OP5_SQL}
+SQL = {"op3_exact_dedup": OP3_SQL, "op4_secret_scan": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op8_suffix_dedup": OP8_SQL}

@@ -8,11 +8,12 @@ window the first document that has it.
 
 Sending every shard to every document would make the work grow with the square of the corpus. Windows that are equal
 have equal anchors, so a segment can only match within its own anchor's shard: shards travel with the segments of their
-anchors instead of being broadcast, and work stays in proportion to the input. An anchor with more than BUSY different
-segments is cut further, by the windows themselves, so no automaton grows with the corpus.
+anchors instead of being broadcast, and work stays in proportion to the input. A shard is bounded in words (SHARD_WORDS);
+an anchor beyond the bound is cut by longer anchors, so no automaton grows with the corpus.
 
 Defined results: null text has no words; rows that repeat a doc_id are each reported, and do not remove words of each
-other; texts shorter than a window keep all words; an empty table gives no rows; other columns are ignored.
+other; a row without a doc_id keeps all its words and removes none; texts shorter than a window keep all words; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 from .passages import by_shards, candidates, repeated_windows, zipped
 
 WINDOW, GRAM = 13, 5
-#: Segments that one automaton takes before the next is begun, and different segments of an anchor beyond which windows stand alone.
-SHARD_ROWS, BUSY = 1_000, 4_000
+#: Words that one automaton takes before the next is begun, and beyond which an anchor is cut by longer ones.
+SHARD_WORDS = 25_000
 
 
 class Automaton:
@@ -103,23 +104,28 @@ class Automaton:
         return out
 
 
-def first_documents(found: DataFrame, size: int, busy: int, shard_rows: int) -> DataFrame:
-    """anchor, wh, words, doc_id, firsts for each different segment: the smallest doc_id of each of its windows."""
+def first_documents(found: DataFrame, size: int, gram: int, shard_words: int) -> DataFrame:
+    """anchor, wh, firsts for each different segment: the smallest doc_id of each of its windows."""
 
-    def search(shard: dict[tuple[int, int, str], int]) -> list[list[int | None]]:
+    def search(shard: dict[tuple[int, int, str], int], _run: int) -> list[list[int | None]]:
         automaton, lists = Automaton(), [words.split(" ") for _, _, words in shard]
         for words, doc in zip(lists, shard.values(), strict=True):
             automaton.add(words, doc)
         automaton.settle()
         return [automaton.matches(words, size) for words in lists]
 
-    return by_shards(found, search, size, busy, shard_rows)
+    return by_shards(found, search, size, gram, shard_words)
 
 
-def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list[int], list[str]]:
+def _kept(batch: pa.RecordBatch, size: int) -> tuple[list[int], list[int], list[str]]:
     counts, removed, digests = [], [], []
     unpress = zstandard.ZstdDecompressor()
-    for text, at in zip(texts, starts, strict=True):
+    for text, at, n, digest in zip(*(batch.column(c) for c in ("zip", "starts", "n_words", "digest")), strict=True):
+        if not text.is_valid:  # no window of it is repeated
+            counts.append(n.as_py())
+            removed.append(0)
+            digests.append(digest.as_py())
+            continue
         words = unpress.decompress(text.as_py()).split()
         gone = np.zeros(len(words) + 1, np.int64)
         if at.is_valid and len(at.values):
@@ -134,18 +140,20 @@ def _kept(texts: pa.Array, starts: pa.Array, size: int) -> tuple[list[int], list
     return counts, removed, digests
 
 
-def substring_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def substring_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for each row of ``docs``."""
     found = candidates(docs, size, gram)
-    hits = repeated_windows(found, first_documents(found, size, busy, shard_rows), size)
-    starts = hits.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(F.expr("transform(hits, x -> x.at)"))).alias("starts"))  # bounded by one document's words
+    hits = repeated_windows(found, first_documents(found, size, gram, shard_words))
+    at = F.flatten(F.collect_list(F.expr("transform(hits, x -> x.at)")))  # bounded by one document's words
+    starts = written(hits.groupBy("doc_id", "th").agg(at.alias("starts")), "starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, digests = _kept(batch.column("zip"), batch.column("starts"), size)
+            counts, removed, digests = _kept(batch, size)
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return zipped(docs).join(starts, ["doc_id", "th"], "left").select("doc_id", "zip", "starts").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = zipped(docs, starts).join(starts, ["doc_id", "th"], "left").select("doc_id", "zip", "n_words", "digest", "starts")
+    return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

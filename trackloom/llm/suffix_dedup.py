@@ -10,7 +10,9 @@ The result has a row for each passage of a later document that an earlier one ho
 holder of each repeated window in it), start and n_words in words. Where the earliest holder changes a new row begins,
 so rows of different holders may overlap or touch. Documents that share nothing have no row.
 
-Defined results: null text has no words; rows that repeat a doc_id do not match each other; a repeat inside one document
+Shards are bounded in words (SHARD_WORDS); a minimiser whose segments exceed the bound is cut by minimisers of longer runs.
+
+Defined results: null text has no words; rows that repeat a doc_id do not match each other; rows without one match nothing; a repeat inside one document
 alone is none; texts shorter than a window never match; an empty table gives no rows; other columns are ignored.
 """
 
@@ -25,8 +27,8 @@ from .common import Words, grams, table
 from .passages import by_shards, candidates, repeated_windows
 
 WINDOW, GRAM = 50, 8
-#: Segments that one sparse suffix array takes before the next is begun, and different segments of a minimiser beyond which windows stand alone.
-SHARD_ROWS, BUSY = 4_000, 40_000
+#: Words that one sparse suffix array takes before the next is begun, and beyond which a minimiser is cut by longer ones.
+SHARD_WORDS = 40_000
 
 
 def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, size: int, gram: int) -> list[np.ndarray]:
@@ -69,20 +71,20 @@ def holders(texts: list[str], anchors: np.ndarray, first: np.ndarray, size: int,
     return [least[a:z] for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def window_holders(found: DataFrame, size: int, gram: int, busy: int, shard_rows: int) -> DataFrame:
-    """anchor, wh, words, doc_id, firsts for each different segment, as ``first_documents`` gives them."""
+def window_holders(found: DataFrame, size: int, gram: int, shard_words: int) -> DataFrame:
+    """anchor, wh, firsts for each different segment, as ``first_documents`` gives them."""
 
-    def search(shard: dict[tuple[int, int, str], int]) -> list[list[int]]:
+    def search(shard: dict[tuple[int, int, str], int], run: int) -> list[list[int]]:
         anchors = np.array([k[0] for k in shard], np.int64)
-        return [x.tolist() for x in holders([k[2] for k in shard], anchors, np.array(list(shard.values()), np.int64), size, gram)]
+        return [x.tolist() for x in holders([k[2] for k in shard], anchors, np.array(list(shard.values()), np.int64), size, run)]
 
-    return by_shards(found, search, size, busy, shard_rows)
+    return by_shards(found, search, size, gram, shard_words)
 
 
-def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: int = BUSY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, first_doc_id, start, n_words for each maximal passage whose windows the same earlier document holds first."""
     found = candidates(docs, size, gram)
-    hits = repeated_windows(found, window_holders(found, size, gram, busy, shard_rows), size)
+    hits = repeated_windows(found, window_holders(found, size, gram, shard_words))
     hits = hits.groupBy("doc_id", "th").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
     # Bounded by one document's words: consecutive windows join to a passage as long as they touch and have the same first document.
     joined = f"""aggregate(hits, cast(array() AS array<struct<start: bigint, stop: bigint, d: bigint>>), (a, x) ->
@@ -94,3 +96,15 @@ def suffix_dedup(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, busy: in
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT r, doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM t WHERE len(w) >= 50),
+g AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM p),
+f AS (SELECT h, min(doc_id) AS d FROM g GROUP BY h),
+c AS (SELECT r, doc_id, i, d FROM g JOIN f USING (h) WHERE d < doc_id),
+n AS (SELECT *, CASE WHEN lag(d) OVER o = d AND i - lag(i) OVER o <= 50 THEN 0 ELSE 1 END AS fresh FROM c WINDOW o AS (PARTITION BY r ORDER BY i)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM n)
+SELECT any_value(doc_id) AS doc_id, any_value(d) AS first_doc_id, min(i) - 1 AS start, max(i) - min(i) + 50 AS n_words FROM s GROUP BY r, k
+"""
