@@ -1,12 +1,14 @@
 """Cases where an operator once did less than the whole job, each against a brute-force version."""
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.test_operators import prose
-from trackloom.llm import decontaminate, suffix_dedup
+from trackloom.llm import decontaminate, pieces_codec, suffix_dedup
 
 
 def test_decontamination_finds_every_copy_of_an_edited_version(spark):
@@ -51,3 +53,23 @@ def test_suffix_dedup_names_every_source_of_a_span(spark, options):
     docs = spark.createDataFrame(list(enumerate(listed)), "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, suffix_dedup.suffix_dedup(docs, **options).collect())) == sorted(expected)
     assert {(i, d) for i, d, *_ in expected} == {(3, 2), (4, 0), (4, 1), (5, 2), (5, 3), (5, 0)}
+
+
+def test_pieces_of_unbroken_runs():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = pieces_codec.model_path()
+    model, rng = pieces_codec.Model(path), random.Random(3)
+    listed = ["x" * 100_000, "".join(rng.choice("abcdefghijklmnop") for _ in range(100_000)), "é日" * 3000, "aaaa" * 20, "ab" * 50]
+    began = time.process_time()
+    ids, counts = model.encode(pa.array(listed))
+    assert time.process_time() - began < 15  # some 3 s by itself
+    assert model.decode(ids, counts) == [t.encode() for t in listed]
+    for _ in range(60):  # both ways, ties included
+        chars = np.array([ord(c) for c in "▁" + "".join(rng.choice("thexand日é1") for _ in range(rng.randrange(1, 90)))])
+        one, other = model.segment(chars[None].astype(np.uint64)), model.segment_alone(chars)
+        assert (one[0] == other[0]).all() and (one[1] == other[1]).all() and model._agree(one[0], chars) and not model._agree(one[0], chars + 1)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    listed = [prose(i, 50) for i in range(20)]
+    ids, counts = model.encode(pa.array(listed))
+    for t, n, z in zip(listed, counts, np.cumsum(counts), strict=True):
+        assert sum(map(library.get_score, ids[z - n : z].tolist())) >= sum(map(library.get_score, library.encode(t))) - 1e-6

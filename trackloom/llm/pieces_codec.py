@@ -3,7 +3,9 @@
 The text, with spaces as the model's space mark and one mark before it, is cut wherever no piece holds the two
 neighbouring characters, so that the parts can be segmented by themselves without changing the result. Different parts
 of equal length advance together: hashes of their substrings probe the sorted keys of all pieces, and vectorised maxima
-over the scores leave backpointers. A character that no piece covers becomes its byte pieces.
+over the scores leave backpointers. A character that no piece covers becomes its byte pieces. Parts that are long and few
+have no company to advance with: all their substrings probe at once, and the maxima follow one by one over the few pieces
+that are there. The characters of the chosen pieces are compared with the parts', so a hash never decides alone.
 
 The segmentation is the one of greatest total piece score, the search that SentencePiece runs for unigram models; of equal
 scores the longer last piece wins. (A model trained by merges has its own greedy encoder in the library; its pieces and
@@ -30,6 +32,8 @@ from .common import mix, pieces, table, whole_text
 MARK, UNKNOWN_PENALTY = "▁", 10.0
 #: Bytes of text whose parts are segmented together, and rows of a table of equal-length parts.
 BATCH_BYTES, ROWS = 2 << 20, 1 << 15
+#: Parts of this length or longer go one by one where fewer than FEW have the same length.
+LONG, FEW = 64, 64
 _R = 0x9E3779B97F4A7C15
 _SPACE, _MARK = ord(" "), ord(MARK)
 
@@ -52,6 +56,7 @@ class Model:
         texts = [model.id_to_piece(i) for i in range(size)]
         is_byte = np.array([model.is_byte(i) for i in range(size)])
         plain = [i for i in range(size) if not (is_byte[i] or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        set_plain = set(plain)
         self.byte_ids = np.zeros(256, np.int64)
         for i in np.flatnonzero(is_byte):
             self.byte_ids[int(texts[i][3:-1], 16)] = i
@@ -64,7 +69,9 @@ class Model:
         keys = np.array([self._key(np.array([[ord(c) for c in texts[i]]], np.uint64))[0] for i in plain], np.uint64)
         order = np.argsort(keys)
         self.keys, self.scores, self.ids = keys[order], scores[order], np.array(plain)[order]
-        # Which characters stand next to each other inside a piece.
+        # The characters of each piece, and which stand next to each other inside a piece.
+        of = [texts[i] if i in set_plain else "" for i in range(size)]
+        self.chars, self.chars_at = np.array([ord(c) for t in of for c in t], np.int64), np.r_[0, np.cumsum([len(t) for t in of])]
         inside = sorted({c for i in plain if len(texts[i]) > 1 for c in texts[i]})
         self.letter = np.zeros(0x110000, np.int32)
         self.letter[[ord(c) for c in inside]] = np.arange(1, len(inside) + 1)
@@ -119,6 +126,51 @@ class Model:
             at = at - np.where(live, size[at, each], 0)
         return out[np.arange(length) >= (length - counts)[:, None]], counts
 
+    def segment_alone(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``segment`` for one long part: its length times ``longest`` probes at once, then one step for each piece found."""
+        length = len(chars)
+        sums = [0]
+        for c in chars.tolist():
+            sums.append((sums[-1] * _R + c + 1) & 0xFFFFFFFFFFFFFFFF)
+        sums = np.array(sums, np.uint64)
+        ends, sizes, found = [], [], []
+        for n in range(min(self.longest, length), 0, -1):
+            key = mix(sums[n:] - sums[:-n] * self.powers[n] + self._salt(n))
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = np.flatnonzero(self.keys[at] == key)
+            ends.append(known + n)
+            sizes.append(np.full(len(known), n))
+            found.append(at[known])
+        end = np.concatenate(ends)
+        order = np.argsort(end, kind="stable")  # longer last pieces first, so that they win ties
+        end, n, at = end[order], np.concatenate(sizes)[order].tolist(), np.concatenate(found)[order]
+        bounds, scores, ids = np.searchsorted(end, np.arange(length + 2)).tolist(), self.scores[at].tolist(), self.ids[at].tolist()
+        best, back, token, unknown = [0.0] * (length + 1), [1] * (length + 1), [0] * (length + 1), float(self.unknown)
+        for e in range(1, length + 1):
+            top, single = -np.inf, True
+            for k in range(bounds[e], bounds[e + 1]):
+                score = best[e - n[k]] + scores[k]
+                single = single and n[k] != 1
+                if score > top:
+                    top, back[e], token[e] = score, n[k], ids[k]
+            if single and best[e - 1] + unknown > top:
+                top, back[e], token[e] = best[e - 1] + unknown, 1, -1 - int(chars[e - 1])
+            best[e] = top
+        out, e = [], length
+        while e:
+            out.append(token[e])
+            e -= back[e]
+        return np.array(out[::-1], np.int64), np.array([len(out)])
+
+    def _agree(self, tokens: np.ndarray, chars: np.ndarray) -> bool:
+        """Whether the pieces' characters, one after the other, are ``chars``."""
+        known = np.maximum(tokens, 0)
+        size = np.where(tokens < 0, 1, np.diff(self.chars_at)[known])
+        if size.sum() != len(chars):
+            return False
+        at = np.repeat(np.where(tokens < 0, 0, self.chars_at[known]) - (np.cumsum(size) - size), size) + np.arange(len(chars))
+        return bool((np.where(np.repeat(tokens < 0, size), np.repeat(-1 - tokens, size), self.chars[at % len(self.chars)]) == chars).all())
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, how many each text has)."""
         listed = [t or "" for t in texts.to_pylist()]
@@ -151,7 +203,12 @@ class Model:
         while at < len(order):
             n = int(lengths[at])
             to = min(at + max(1, ROWS * 8 // n), int(np.searchsorted(lengths, n, "right")))
-            found, each = self.segment(chars[first[sample[order[at:to]]][:, None] + np.arange(n)].astype(np.uint64))
+            if n >= LONG and to - at < FEW:
+                to = at + 1
+            some = chars[first[sample[order[at:to]]][:, None] + np.arange(n)]
+            found, each = self.segment_alone(some[0]) if n >= LONG and to == at + 1 else self.segment(some.astype(np.uint64))
+            if not self._agree(found, some.ravel()):
+                raise ValueError("two pieces with one hash")
             tokens.append(found)
             counts.append(each)
             at = to
