@@ -73,3 +73,39 @@ def test_pieces_of_unbroken_runs():
     ids, counts = model.encode(pa.array(listed))
     for t, n, z in zip(listed, counts, np.cumsum(counts), strict=True):
         assert sum(map(library.get_score, ids[z - n : z].tolist())) >= sum(map(library.get_score, library.encode(t))) - 1e-6
+
+
+def test_decontamination_recall_against_exhaustive_alignment(spark):
+    rng = random.Random(21)
+    items = [prose(2000 + i, rng.randrange(12, 120)).split() for i in range(30)] + [prose(2100, 5000).split()]
+    texts = []
+    for k, item in enumerate(items * 3):
+        rate, out = rng.choice([0.03, 0.08, 0.12, 0.16, 0.2]), []
+        for word in item:
+            way = rng.random() / rate
+            out += [word] if way > 1 else [] if way > 0.8 else [word, "more"] if way > 0.6 else [f"edit{rng.randrange(999)}"]
+        texts.append(prose(3000 + k, 25) + " " + " ".join(out) + " " + prose(4000 + k, 25))
+    expected = set()
+    for i, d in enumerate(texts):
+        for j, t in enumerate(items):
+            if len(t) < 1000 and len(d) < 4000 or i % len(items) == j:
+                numbers = {}
+                a, b = (np.array([[numbers.setdefault(w, len(numbers)) for w in x]], np.int32) for x in (t, d.split()))
+                if decontaminate.align(a, b)[0][0] >= len(t):
+                    expected.add((i, j))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    print(f"recall {len(got & expected)} of {len(expected)}")
+    assert len(expected) > 70 and got <= expected and len(got) >= 0.9 * len(expected)
+
+
+def test_decontamination_judges_rows_one_by_one(spark):
+    item = prose(31, 40)
+    rows = [(1, prose(32, 30) + " " + item), (1, prose(33, 60)), (None, item), (None, prose(34, 60)), (2, item + " " + item), (3, None)]
+    docs = spark.createDataFrame([(i, t, 7, "x", 1) for i, t in rows], "doc_id long, text string, item_id long, words string, at int")
+    items = spark.createDataFrame([(5, item), (5, item), (None, prose(33, 50)), (6, item)], "item_id long, text string")
+    found = sorted((r.doc_id or -1, r.item_id, r.score, r.item_words, r.end_word) for r in decontaminate.contaminated(docs, items).collect())
+    assert found == [(i, j, 1.0, 40, end) for i, end in ((-1, 40), (1, 70), (2, 40)) for j in (5, 6)]
+    left = decontaminate.decontaminated(docs, items)
+    assert left.columns == docs.columns and sorted((r.doc_id or -1, r.text or "") for r in left.collect()) == sorted([(1, rows[1][1]), (-1, rows[3][1]), (3, "")])

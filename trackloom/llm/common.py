@@ -65,19 +65,25 @@ def whole_text(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
 
 
+ROW_KEYS = ["__none", "__id", "__raw"]
+
+
+def row_keys(doc_id: Column, raw: Column) -> list[Column]:
+    """ROW_KEYS: whether there is no doc_id, the doc_id, and the hash of the text; plain columns that joins can compare."""
+    return [doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__id"), raw.alias("__raw")]
+
+
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    return docs.select("*", *row_keys(docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))))
+
+
 def one_row_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """One row of ``docs``, with all its columns, for each (keep_id, keep_raw): a doc_id or null, and the hash of the text.
 
     Rows that repeat both are one. Join and grouping have the same keys, so the documents move once.
     """
-
-    def keys(doc_id: Column, raw: Column) -> list[Column]:
-        return [doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__id"), raw.alias("__raw")]
-
-    marked = docs.select("*", *keys(docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))))
-    names = ["__none", "__id", "__raw"]
-    found = marked.join(kept.select(*keys(kept["keep_id"], kept["keep_raw"])), names, "left_semi")
-    return found.dropDuplicates(names).select(*docs.columns)
+    found = with_row_keys(docs).join(kept.select(*row_keys(kept["keep_id"], kept["keep_raw"])), ROW_KEYS, "left_semi")
+    return found.dropDuplicates(ROW_KEYS).select(*docs.columns)
 
 
 def ascii_lower(col: Column) -> Column:

@@ -1,9 +1,10 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased, so case and punctuation do not hide a copy. Every run of SEED
-words of a benchmark item is a seed. One scan of the documents finds where seeds stand, through a filter of bits whose size
-is bounded, and cuts out passages around them. Passages with the same words are one. Passages meet items by equality of
-seeds, however often a seed stands: a pair is left out only where it shares no seed, or where the passage holds too few of
+words of a benchmark item is a seed. One scan of the documents finds where seeds stand, through filters of bits whose size
+is bounded, and cuts out passages around them: for each class of items, by powers of two of their lengths, as far as an item
+of that class can reach, so one long item does not widen the passages of the others. Passages with the same words are one.
+Passages meet items by equality of seeds, however often a seed stands: a pair is left out only where it shares no seed, or where the passage holds too few of
 the item's words to reach the threshold in any order. Each other pair is aligned locally (MATCH, MISMATCH, GAP), and the
 score is the best alignment over the score of the whole item: 1 for a verbatim copy, less for one with words exchanged,
 inserted or left out.
@@ -12,8 +13,8 @@ The result has a row for each contaminated pair: doc_id, item_id, score, item_wo
 to the alignment's end). Clean documents have none.
 
 Defined results: null texts have no words; items of fewer than SEED words are too short to tell from chance and never
-match; of rows that repeat a doc_id or item_id the best alignment counts; an empty table gives no rows; other columns are
-ignored.
+match; of rows that repeat a doc_id or item_id the best alignment counts, of equal ones the first of a passage, in the last such passage; rows without a
+doc_id are reported under null, items without an item_id take no part; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BREAKS, Words, grams, pieces, table, written
+from .common import BREAKS, ROW_KEYS, Words, grams, pieces, row_keys, table, with_row_keys, written
 from .passages import FILTER_BITS, _positions, anchor_filter, keyed_text
 
 SEED = 4
@@ -60,33 +61,46 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "item_id long, words string, n_words long, seeds array<long>")
 
 
-def seeded_passages(docs: DataFrame, passes: np.ndarray, bits: int, reach: int) -> DataFrame:
-    """doc_id, th, at (first word), words, seeds for each stretch of words with seeds at most ``reach`` apart, and ``reach`` words to either side."""
-    shared = docs.sparkSession.sparkContext.broadcast(passes)
+def _passes(flags: np.ndarray, bits: int, runs: np.ndarray) -> np.ndarray:
+    at = _positions(runs, bits)
+    return ((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
+
+
+def seeded_passages(docs: DataFrame, any_seed: tuple[np.ndarray, int], by_class: dict[int, tuple[np.ndarray, int, int]]) -> DataFrame:
+    """doc_id, th, span (class), at (first word), words, seeds for each stretch of words with seeds at most a class's reach apart, and that many words to either side.
+
+    any_seed: a filter of all seeds and its bits; by_class: for each class its filter, bits and reach.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((any_seed, by_class))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, classes = shared.value
         for batch in batches:
             for part in pieces(batch):
                 words, raw = _plain(part.column("text"))
                 runs = grams(words.hashes(), SEED)
-                at = _positions(runs, bits)
-                hit = ((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0) & (words.text[: len(runs)] == words.text[SEED - 1 : SEED - 1 + len(runs)])
-                hit = np.flatnonzero(hit)
-                if not len(hit):
-                    continue
-                new = np.r_[True, (np.diff(hit) > reach) | (words.text[hit[1:]] != words.text[hit[:-1]])]
-                first = np.flatnonzero(new)
-                groups = np.split(hit, first[1:])
-                of = words.text[hit[first]]
-                begin = np.maximum(words.first[of], hit[first] - reach)
-                end = np.minimum(words.first[of + 1], np.array([g[-1] for g in groups]) + SEED + reach)
-                texts = [b" ".join(raw[a:z].split()) for a, z in zip(words.start[begin].tolist(), words.end[end - 1].tolist(), strict=True)]
-                yield pa.record_batch(
-                    [part.column("doc_id").take(pa.array(of)), part.column("th").take(pa.array(of)), pa.array(begin - words.first[of]), pa.array(texts, pa.binary()).cast(pa.string()), pa.array([np.unique(runs[g]).view(np.int64).tolist() for g in groups], pa.list_(pa.int64()))],
-                    ["doc_id", "th", "at", "words", "seeds"],
-                )
-
-    return keyed_text(docs).filter("doc_id IS NOT NULL").withColumn("text", F.lower("text")).mapInArrow(run, "doc_id long, th long, at long, words string, seeds array<long>")
+                inside = words.text[: len(runs)] == words.text[SEED - 1 : SEED - 1 + len(runs)]
+                seen = np.flatnonzero(_passes(*every, runs) & inside)
+                for span, (flags, bits, reach) in classes.items():
+                    hit = seen[_passes(flags, bits, runs[seen])]
+                    if not len(hit):
+                        continue
+                    new = np.r_[True, (np.diff(hit) > reach) | (words.text[hit[1:]] != words.text[hit[:-1]])]
+                    first = np.flatnonzero(new)
+                    groups = np.split(hit, first[1:])
+                    of = words.text[hit[first]]
+                    begin = np.maximum(words.first[of], hit[first] - reach)
+                    end = np.minimum(words.first[of + 1], np.array([g[-1] for g in groups]) + SEED + reach)
+                    texts = [b" ".join(raw[a:z].split()) for a, z in zip(words.start[begin].tolist(), words.end[end - 1].tolist(), strict=True)]
+                    own = [part.column(c).take(pa.array(of)) for c in ("doc_id", "th")]
+                    seeds = pa.array([np.unique(runs[g]).view(np.int64).tolist() for g in groups], pa.list_(pa.int64()))
+                    yield pa.record_batch(
+                        [*own, pa.array(np.full(len(of), span)), pa.array(begin - words.first[of]), pa.array(texts, pa.binary()).cast(pa.string()), seeds],
+                        ["doc_id", "th", "span", "at", "words", "seeds"],
+                    )
+
+    rows = keyed_text(docs).withColumn("text", F.lower("text"))
+    return rows.mapInArrow(run, "doc_id long, th long, span long, at long, words string, seeds array<long>")
 
 
 def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,27 +163,38 @@ def aligned(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return pairs.select("same", "item_id", "item", "passage").mapInArrow(run, "same string, item_id long, score double, item_words long, end long")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, score, item_words, end_word for each pair at or over the threshold."""
-    items = written(item_seeds(items).filter(F.col("n_words") >= SEED), "items")
-    seeds = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
-    size = items.agg(F.coalesce(F.max("n_words"), F.lit(SEED)).alias("reach"), F.coalesce(F.sum(F.size("seeds")), F.lit(0)).alias("n")).first()
-    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(20, (64 * size["n"]).bit_length()))
-    passes = anchor_filter(seeds.select(F.col("seed").alias("anchor")).distinct(), bits)
-    found = written(seeded_passages(docs, passes, bits, size["reach"]).withColumn("same", F.sha2("words", 256)), "passages")
-    once = found.select("same", "words", "seeds").dropDuplicates(["same"])  # equal words have equal seeds
-    pairs = once.select("same", F.explode("seeds").alias("seed")).join(seeds, "seed").select("same", "item_id").distinct()
+def over_threshold(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, th (hash of the text), item_id, score, item_words, end_word for each passage and item at or over the threshold."""
+    items = written(item_seeds(items).filter(F.col("n_words") >= SEED).filter("item_id IS NOT NULL").withColumn("span", F.expr("cast(ceil(log2(n_words)) AS long)")), "items")
+    seeds = items.select("item_id", "span", F.explode("seeds").alias("seed")).distinct()
+    # One row for each power of two that an item's length has.
+    classes = items.groupBy("span").agg(F.max("n_words").alias("reach"), F.sum(F.size("seeds")).alias("n")).collect()
+
+    def flags(rows: DataFrame, n: int, most: int) -> tuple[np.ndarray, int]:
+        bits = 1 << min(most.bit_length() - 1, max(20, (64 * n).bit_length()))
+        return anchor_filter(rows.select(F.col("seed").alias("anchor")).distinct(), bits), bits
+
+    any_seed = flags(seeds, sum(c["n"] for c in classes), FILTER_BITS)
+    by_class = {c["span"]: (*(flags(seeds.filter(F.col("span") == c["span"]), c["n"], FILTER_BITS >> 3) if len(classes) > 1 else any_seed), c["reach"]) for c in classes}
+    found = written(seeded_passages(docs, any_seed, by_class).withColumn("same", F.sha2(F.concat_ws(" ", "span", "words"), 256)), "passages")
+    once = found.select("same", "span", "words", "seeds").dropDuplicates(["same"])  # equal words have equal seeds of a class
+    pairs = once.select("same", "span", F.explode("seeds").alias("seed")).join(seeds, ["seed", "span"]).select("same", "item_id").distinct()
     whole = pairs.join(once.select("same", F.col("words").alias("passage")), "same").join(items.select("item_id", F.col("words").alias("item")), "item_id")
     over = aligned(whole, threshold).filter(F.col("score") >= threshold)
-    each = found.select("doc_id", "at", "same").join(over, "same").withColumn("end_word", F.col("at") + F.col("end"))
-    best = each.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "item_words", "end_word")).alias("x"))
+    return found.select("doc_id", "th", "at", "same").join(over, "same").withColumn("end_word", F.col("at") + F.col("end"))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, score, item_words, end_word for each pair at or over the threshold."""
+    best = over_threshold(docs, items, threshold).groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "item_words", "end_word")).alias("x"))
     return best.select("doc_id", "item_id", F.round("x.score", 6).alias("score"), "x.item_words", "x.end_word")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that hold no benchmark item."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["__bad"], "left_anti")
+    """The documents, with all their columns, that hold no benchmark item; rows that share a doc_id are judged one by one."""
+    over = over_threshold(docs, items)
+    bad = over.select(*row_keys(over["doc_id"], over["th"])).distinct()
+    return with_row_keys(docs).join(bad, ROW_KEYS, "left_anti").select(*docs.columns)
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

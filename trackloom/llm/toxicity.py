@@ -200,8 +200,14 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that are not predicted toxic; one scan, and nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    """The documents, with all their columns, that are not predicted toxic; one scan, and nothing is shuffled.
+
+    All stay where the labels tell nothing: none given, one class only, or no term that tells the classes apart.
+    """
+    machine = train(docs, labels)
+    if not len(machine.w):
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
