@@ -74,17 +74,19 @@ def _forward(bias, w, v, text, place, n):
 def near_copies(text: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
     """A group number for each row: rows that share most of their uncommon slots, by BANDS keys of WIDTH least hashes, are one group."""
     rare = np.bincount(slot, minlength=1 << BITS)[slot] <= 2 + n // 100
-    text, slot = text[rare], slot[rare].astype(np.uint64)
+    text, slot = text[rare], slot[rare]
     label = np.arange(n)
     if not len(text):
         return label
     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-    row, keys = text[first], []
-    for band in range(BANDS):
-        key = np.zeros(len(first), np.uint64)
-        for i in range(WIDTH):
-            key = mix(key + np.minimum.reduceat(mix(slot + np.uint64((band * WIDTH + i + 1) << 32)), first))
-        keys.append(np.unique(key, return_inverse=True)[1].ravel())
+    row, bands = text[first], np.zeros((BANDS, len(first)), np.uint64)
+    for a in range(0, len(first), 256):  # some rows at a time, as each slot is hashed anew for each least hash
+        z = min(a + 256, len(first))
+        some = slot[first[a] : first[z] if z < len(first) else len(slot)].astype(np.uint64)
+        for band in range(BANDS):
+            for i in range(WIDTH):
+                bands[band, a:z] = mix(bands[band, a:z] + np.minimum.reduceat(mix(some + np.uint64((band * WIDTH + i + 1) << 32)), first[a:z] - first[a]))
+    keys = [np.unique(key, return_inverse=True)[1].ravel() for key in bands]
     while True:
         before = label.copy()
         for key in keys:
@@ -117,11 +119,12 @@ def paired_slots(text, slot, rows, label, seen, bad, share) -> np.ndarray:
     here = at[slot] >= 0
     table = np.zeros((total, len(able)), np.float32)
     table[text[here], at[slot[here]]] = 1
-    weighed = table * rows[:, None].astype(np.float32)
+    toxic = table[label == 1]
     alone, found = _gain(seen[able], bad[able], n, share), []
     for a in range(0, len(able), 256):
         own = slice(a, a + 256)
-        both, both_bad = weighed[:, own].T @ table, weighed[label == 1, own].T @ table[label == 1]
+        both = (table[:, own] * rows[:, None].astype(np.float32)).T @ table
+        both_bad = (toxic[:, own] * rows[label == 1, None].astype(np.float32)).T @ toxic
         one = seen[able][own, None] + seen[able] - 2 * both
         one_bad = bad[able][own, None] + bad[able] - 2 * both_bad
         gain = np.maximum(_gain(both, both_bad, n, share), _gain(one, one_bad, n, share))
@@ -143,9 +146,10 @@ def fit(text: np.ndarray, slot: np.ndarray, label: np.ndarray) -> Machine:
     rows = 1 / times[group.ravel()]  # a group of near copies counts as one row
     seen, bad = np.bincount(slot, rows[text], size), np.bincount(slot, (rows * label)[text], size)
     total, share_ = rows.sum(), (rows * label).sum() / rows.sum()
-    gain = _gain(seen, bad, total, share_)
-    chosen = np.argsort(-gain, kind="stable")[:SLOTS]
-    chosen = np.union1d(chosen[gain[chosen] > GAIN], paired_slots(text, slot, rows, label, seen, bad, share_))
+    often = np.flatnonzero(seen >= MIN_DOCS)
+    gain = _gain(seen[often], bad[often], total, share_)
+    best = np.argsort(-gain, kind="stable")[:SLOTS]
+    chosen = np.union1d(often[best[gain[best] > GAIN]], paired_slots(text, slot, rows, label, seen, bad, share_))
     if not len(chosen):
         return none
     place[chosen] = np.arange(len(chosen))
@@ -182,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     rows = sample.mapInArrow(run, "doc_id long, label int, slots array<int>").toArrow().combine_chunks().sort_by("doc_id")
     lists = rows.column("slots").combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
-    return fit(np.repeat(np.arange(len(lengths)), lengths), lists.flatten().to_numpy().astype(np.int64), rows.column("label").to_numpy().astype(float))
+    return fit(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), lists.flatten().to_numpy(), rows.column("label").to_numpy().astype(float))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
