@@ -49,9 +49,13 @@ def motion(frames: DataFrame, gap: int, prefix: str) -> DataFrame:
 
 
 def camera_motion(frames: DataFrame, s: Settings) -> DataFrame:
-    """Adds s3_distance, s3_angle, s3_t and s3_r (hits), and ``s3``: bits 1 and 2 of the frames that hits cover."""
-    out = motion(frames, s.s3_gap, "s3")
-    out = out.withColumn("s3_t", F.coalesce(F.col("s3_distance") > s.s3_translation, F.lit(False))).withColumn("s3_r", F.coalesce(F.col("s3_angle") > s.s3_rotation, F.lit(False)))
+    """Adds s3_distance and s3_angle, which no threshold of S3 changes."""
+    return motion(frames, s.s3_gap, "s3")
+
+
+def camera_hits(frames: DataFrame, s: Settings) -> DataFrame:
+    """Adds s3_t and s3_r (hits), and ``s3``: bits 1 and 2 of the frames that hits cover."""
+    out = frames.withColumn("s3_t", F.coalesce(F.col("s3_distance") > s.s3_translation, F.lit(False))).withColumn("s3_r", F.coalesce(F.col("s3_angle") > s.s3_rotation, F.lit(False)))
     if s.skip_s3:
         return out.withColumn("s3", F.lit(0))
     bits = [spread_back(SEGMENT, F.col(c), s.s3_gap).cast("int") for c in ("s3_t", "s3_r")]

@@ -19,16 +19,16 @@ CHAIN = {
         ELSE cx - c * off + s * 2 + CASE WHEN dc = 10 AND tx = 8 THEN 0.5 WHEN dc = 8 AND tx = 2 THEN 0.12 ELSE 0 END::DOUBLE END AS lx,
       s * off + c * 2 AS lz, cx + c * off + s * 2 AS rx, -s * off + c * 2 AS rz,
       CASE WHEN dc = 9 AND tx = 7 THEN 60 WHEN dc = 3 AND tx = 6 THEN 35 ELSE 0 END::DOUBLE AS lphi, NOT (qty = 49 AND dc = 1) AS rgood FROM turned""",
-    "pts": """SELECT ep, n, 'l' AS hand, f AS pt, lx AS x, lz AS z, lphi AS phi, NOT isnan(lx) AS fin, NOT isnan(lx) AS valid, false AS ext FROM pose
-      UNION ALL SELECT ep, n, 'r', f, rx, rz, 0, true, rgood, false FROM pose
-      UNION ALL SELECT ep, n, 'l', n, 'nan'::DOUBLE, lz, lphi, false, false, true FROM pose WHERE f = n - 1 AND ep % 3 = 0 AND NOT isnan(lx)""",
+    "pts": """SELECT ep, n, 'l' AS hand, f AS pt, lx AS x, lz AS z, lphi AS phi, NOT isnan(lx) AS fin, NOT isnan(lx) AS valid, false AS ext, cx, c, s, mm, cdeg FROM pose
+      UNION ALL SELECT ep, n, 'r', f, rx, rz, 0, true, rgood, false, cx, c, s, mm, cdeg FROM pose
+      UNION ALL SELECT ep, n, 'l', n, 'nan'::DOUBLE, lz, lphi, false, false, true, cx, c, s, mm, cdeg FROM pose WHERE f = n - 1 AND ep % 3 = 0 AND NOT isnan(lx)""",
     "st": f"""SELECT *, row_number() {WV} - 1 AS v, count(*) OVER (PARTITION BY ep, hand, valid) AS m,
       lead(x) {WV} AS x2, lead(z) {WV} AS z2, lead(phi) {WV} AS phi2, lead(pt) {WV} AS pt2 FROM pts""",
     "jm": """SELECT *, sqrt((x2 - x) * (x2 - x) + (z2 - z) * (z2 - z)) / (pt2 - pt) AS pos, abs(phi2 - phi) / (pt2 - pt) AS rot,
       coalesce(valid AND m >= 4 AND (sqrt((x2 - x) * (x2 - x) + (z2 - z) * (z2 - z)) / (pt2 - pt) > 0.15 OR abs(phi2 - phi) / (pt2 - pt) > 45), false) AS jump FROM st""",
     "ef": f"""SELECT *, last_value(CASE WHEN jump THEN {{'v': v, 'p': pos > 0.15, 'r': rot > 45, 'x': x, 'z': z}} END IGNORE NULLS) OVER (PARTITION BY ep, hand, valid ORDER BY pt {BACK}) AS e,
       first_value(CASE WHEN jump THEN {{'v': v, 'p': pos > 0.15, 'r': rot > 45, 'x': x2, 'z': z2}} END IGNORE NULLS) OVER (PARTITION BY ep, hand, valid ORDER BY pt ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS g FROM jm""",
-    "bl": """SELECT ep, n, hand, pt, x, z, phi, fin, valid, ext, CASE WHEN valid AND g.v - e.v <= 15 AND sqrt((g.x - e.x) * (g.x - e.x) + (g.z - e.z) * (g.z - e.z)) < 0.15
+    "bl": """SELECT ep, n, hand, pt, x, z, phi, fin, valid, ext, cx, c, s, mm, cdeg, CASE WHEN valid AND g.v - e.v <= 15 AND sqrt((g.x - e.x) * (g.x - e.x) + (g.z - e.z) * (g.z - e.z)) < 0.15
       THEN CASE WHEN e.p OR g.p THEN 1 ELSE 0 END + CASE WHEN e.r OR g.r THEN 2 ELSE 0 END ELSE 0 END AS block FROM ef""",
     "cm": """SELECT *, valid AND block = 0 AS calm FROM bl""",
     "hs": """SELECT *, count(*) OVER (PARTITION BY ep, hand, calm) AS m, row_number() OVER w - 1 AS v,
@@ -50,9 +50,10 @@ CHAIN = {
     "fx": """SELECT *, CASE WHEN repaired THEN (1 - a) * lo.x + a * hi.x ELSE x END AS fx, CASE WHEN repaired THEN (1 - a) * lo.z + a * hi.z ELSE z END AS fz,
       CASE WHEN repaired THEN lo.phi + a * (hi.phi - lo.phi) ELSE phi END AS fphi, lead(code) OVER w AS ncode, lead(ok) OVER w AS nok, lead(repaired) OVER w AS nrepaired, lead(ext) OVER w AS next_ext FROM
       (SELECT *, code = 0 OR repaired AS ok FROM rp) WINDOW w AS (PARTITION BY ep, hand ORDER BY pt)""",
-    "act": "SELECT ep, n, hand, pt AS f, code, ok, repaired, fx, fz, coalesce(ncode, code) AS acode, coalesce(nok, ok) AS aok, coalesce(nrepaired, repaired) AS arepaired, coalesce(next_ext AND NOT nok, false) AS beyond FROM fx WHERE NOT ext",
-    "fr": """SELECT l.ep, l.f, l.n, l.fx AS lx, l.fz AS lz, r.fx AS rx, r.fz AS rz, NOT l.ok OR NOT r.ok OR l.beyond OR r.beyond AS s1, p.cx, p.c, p.s, p.mm, p.cdeg
-      FROM act l JOIN act r ON l.ep = r.ep AND l.f = r.f AND l.hand = 'l' AND r.hand = 'r' JOIN turned p ON p.ep = l.ep AND p.f = l.f""",
+    "act": "SELECT ep, n, hand, pt AS f, cx, c, s, mm, cdeg, code, ok, repaired, fx, fz, coalesce(ncode, code) AS acode, coalesce(nok, ok) AS aok, coalesce(nrepaired, repaired) AS arepaired, coalesce(next_ext AND NOT nok, false) AS beyond FROM fx WHERE NOT ext",
+    # One row for each hand and frame, so grouping stands for the two joins that would pair them.
+    "fr": """SELECT ep, f, any_value(n) AS n, any_value(fx) FILTER (WHERE hand = 'l') AS lx, any_value(fz) FILTER (WHERE hand = 'l') AS lz, any_value(fx) FILTER (WHERE hand = 'r') AS rx, any_value(fz) FILTER (WHERE hand = 'r') AS rz,
+      bool_or(NOT ok OR beyond) AS s1, any_value(cx) AS cx, any_value(c) AS c, any_value(s) AS s, any_value(mm) AS mm, any_value(cdeg) AS cdeg FROM act GROUP BY ep, f""",
     "cq": "SELECT *, c * (lx - cx) - s * lz AS lqx, s * (lx - cx) + c * lz AS lqz, c * (rx - cx) - s * rz AS rqx, s * (rx - cx) + c * rz AS rqz FROM fr",
     "uv": "SELECT *, CASE WHEN lqz > 1e-6 AND NOT isnan(lqz) THEN 50 * lqx / lqz + 50 END AS lu, CASE WHEN rqz > 1e-6 AND NOT isnan(rqz) THEN 50 * rqx / rqz + 50 END AS ru FROM cq",
     "rg": """SELECT *, coalesce(NOT isnan(lu) AND lu >= 0 AND lu < 100, false) AS lin, coalesce(NOT isnan(lu) AND lu >= 5 AND lu < 95, false) AS lsafe,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators import outliers, repair
 from ..operators.intervals import dealt
 from ..sources import checks, frames, sinks
 from . import cutplan, timeline
-from .store import written
+from .store import small_methods, version, written
 
 
 def load(spark: SparkSession, root: str, check: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -28,53 +30,124 @@ def load(spark: SparkSession, root: str, check: bool = True) -> tuple[DataFrame,
     return rows, episodes
 
 
-def annotate(rows: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(points with repairs, judged frames), each written once to the shared folder."""
+def annotate(rows: DataFrame, s: Settings = Settings(), keep=written) -> tuple[DataFrame, DataFrame]:
+    """(points with repairs, judged frames), each written once: ``keep`` takes a table and its name."""
     wide = frames.wide(rows)
-    points = written(repair.repaired(outliers.detected(outliers.points(dealt(wide, "ep")), s), s), "points")
+    points = keep(repair.repaired(outliers.detected(outliers.points(dealt(wide, "ep")), s), s), "points")
     cam = wide.select("ep", "f", "rot", "centre", "k", "lens", "width", "height")
     fixed = repair.per_frame(dealt(points, "ep")).join(dealt(cam, "ep"), ["ep", "f"])
-    return points, written(timeline.attributed(timeline.rules_on(fixed, s)), "frames")
+    return points, keep(timeline.attributed(timeline.rules_on(fixed, s)), "frames")
+
+
+def repaired_labels(rows: DataFrame, judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(source columns, the same with repaired poses and what repair adds); values that no repair marks stay as they were, in their own type."""
+    poses = {f"{h}_{a}{x}": f"{h}_{a}repaired" for h in "lr" for a in ("", "a") for x in ("p", "r6")}
+    marked = judged.select("ep", "f", *[F.when(F.col(flag), F.col(c)).cast(rows.schema[c].dataType).alias(f"__{c}") for c, flag in poses.items()])
+    source = rows.drop("n", "k", "lens", "width", "height")
+    columns = [F.coalesce(f"__{c}", c).alias(c) if c in poses else F.col(f"`{c}`") for c in source.columns]
+    return source, source.join(marked, ["ep", "f"]).select(*columns).join(sinks.label_columns(judged), ["ep", "f"])
+
+
+def plan_records(judged: DataFrame, pieces: DataFrame, episodes: DataFrame, s: Settings) -> DataFrame:
+    """A record for each episode: length, paths, accounts of each stage, accepted intervals and the timeline with all matches.
+
+    Lists are bounded by one episode.
+    """
+    stages = timeline.stage_accounts(judged, s.skip_s3).groupBy("ep").agg(F.array_sort(F.collect_list(F.struct("stage", "input_frames", "matched_frames", "removed_frames", "overlap_frames", "kept_frames", "matched_intervals", "removed_intervals"))).alias("stages"))
+    listed = pieces.groupBy("ep").agg(F.array_sort(F.collect_list(F.struct("start", "end", "code", "reason", "matches"))).alias("timeline"))
+    kept = cutplan.keep_intervals(pieces).groupBy("ep").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("accepted_intervals"))
+    paths = episodes.select("ep", F.col("n").alias("source_length"), "data_path", *[f"{v}_{x}" for v in frames.VIEWS for x in ("path", "from", "to")])
+    return paths.join(stages, "ep").join(listed, "ep").join(kept, "ep", "left").withColumnRenamed("ep", "source_episode_index")
+
+
+#: What a record says beyond the labels themselves.
+ANNOTATION_FIELDS = ("stages", "timeline", "accepted_intervals")
 
 
 def run(spark: SparkSession, root: str, output: str, s: Settings = Settings(), first: int | None = None) -> dict:
-    """Write labels, timeline, rejected intervals, episodes, clips and a summary below ``output``; returns the summary.
+    """Write labels with their metadata, timeline, rejected intervals, episodes, plans, clips and a summary below ``output``; returns the summary.
 
-    A finished output of the same settings is left as it is; one of other settings raises. ``first``: that many episodes.
+    A finished output of the same settings is left as it is. One that a broken run left is taken up: tables that were
+    committed whole are not made again. Other settings, or recordings that have changed since, raise. ``first``: that many episodes.
     """
-    print_ = {"settings": s.fingerprint(), "root": root, "first": first}
-    done = sinks.read_note(spark, f"{output}/complete")
-    if done:
-        if done["run"] != print_:
-            raise ValueError(f"{output} holds a run with other settings")
-        return done["summary"]
+    source_version = version(spark, f"{root}/data") + version(spark, f"{root}/meta")
+    own = {"settings": s.fingerprint(), "root": root, "first": first}
+    for note in ("complete", "started"):
+        known = sinks.read_note(spark, f"{output}/{note}")
+        if known:
+            if known["run"] != own:
+                raise ValueError(f"{output} holds a run with other settings")
+            if known["source"] != source_version:
+                raise ValueError(f"{root} has changed since {output} was begun")
+            if note == "complete":
+                return known["summary"]
+    sinks.write_note(spark, f"{output}/started", {"run": own, "source": source_version})
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        path = f"{output}/stages/{name}"
+        step(path, lambda: rows.write.mode("overwrite").parquet(path))
+        return spark.read.parquet(path)
+
+    def step(path: str, make) -> None:
+        if not sinks.written_whole(spark, path):
+            with small_methods(spark):
+                make()
+
     rows, episodes = load(spark, root)
     if first is not None:
         rows, episodes = rows.filter(F.col("ep") < first), episodes.filter(F.col("ep") < first)
-    points, judged = annotate(rows, s)
-    pieces = written(timeline.timeline(judged), "timeline")
-    broken = timeline.conservation_errors(pieces, episodes)
-    if not broken.isEmpty():
+    points, judged = annotate(rows, s, keep)
+    pieces = keep(timeline.timeline(judged), "timeline")
+    if not timeline.conservation_errors(pieces, episodes).isEmpty():
         raise ValueError("a timeline is no partition of its episode")
-    # Values that no repair marks stay as they were, in their own type.
-    poses = {f"{h}_{a}{x}": f"{h}_{a}repaired" for h in "lr" for a in ("", "a") for x in ("p", "r6")}
-    marked = judged.select("ep", "f", *[F.when(F.col(flag), F.col(c)).cast(rows.schema[c].dataType).alias(f"__{c}") for c, flag in poses.items()])
-    source = rows.drop("n", "k", "lens", "width", "height")
-    cleaned = source.join(marked, ["ep", "f"]).select(*[F.coalesce(f"__{c}", c).alias(c) if c in poses else F.col(f"`{c}`") for c in source.columns])
-    sinks.write_labels(cleaned.join(sinks.label_columns(judged), ["ep", "f"]), f"{output}/labels", verify=True)
+    if not checks.unrejected_invalid(judged).isEmpty():
+        raise ValueError("S1 keeps a frame whose state is invalid")
+    source, labels = repaired_labels(rows, judged)
+    step(f"{output}/labels", lambda: sinks.write_labels(labels, f"{output}/labels", verify=False))
+    saved = frames.renamed(spark.read.parquet(f"{output}/labels").drop("chunk"))
+    if not checks.changed_rows(labels, saved, ["ep", "f"]).isEmpty():
+        raise IOError(f"{output}/labels differs from what was written")
     if not sinks.unmarked_changes(source, f"{output}/labels").isEmpty():
         raise IOError(f"{output}/labels changes values that no repair marks")
+    checks.require(checks.delay_failures(frames.with_episodes(saved, episodes)))
+    sinks.label_metadata(spark, root, f"{output}/labels_metadata", episodes, asdict(s), first is not None)
     report = sinks.timeline_rows(pieces, episodes)
-    sinks.write_csv(report, f"{output}/timeline.csv", "source_episode_index", "start_frame")
-    sinks.write_csv(report.filter("status = 'reject'"), f"{output}/rejected_intervals.csv", "source_episode_index", "start_frame")
     summary = timeline.episode_summary(judged)
-    sinks.write_csv(summary.join(episodes, "ep").select("ep", "source_frames", "duration_seconds", "data_path", *[f"{v}_{x}" for v in frames.VIEWS for x in ("path", "from", "to")], "rejected_frames", "accepted_frames"), f"{output}/episodes.csv", "ep")
-    sinks.write_json(outliers.anomaly_intervals(points).withColumn("reasons", outliers.bit_names(F.col("code"), BITS)), f"{output}/anomalies.json", "ep", "hand", "start")
-    sinks.write_json(cutplan.cut_plan(pieces, episodes), f"{output}/clips.json", "ep", "clip")
-    totals = timeline.stage_accounts(judged, s.skip_s3).groupBy("stage").agg(F.sum("matched_frames").alias("matched"), F.sum("removed_frames").alias("removed"), F.sum("overlap_frames").alias("overlap")).collect()  # four rows
-    all_ = summary.agg(F.sum("source_frames").alias("n"), F.sum("rejected_frames").alias("x")).first()
-    found = {"source_frames": all_["n"], "rejected_frames": all_["x"], "stages": {r["stage"]: {k: r[k] for k in ("matched", "removed", "overlap")} for r in totals}}
-    if sum(x["removed"] for x in found["stages"].values()) != (all_["x"] or 0):
-        raise ValueError("stage accounts and rejected frames differ")
-    sinks.write_note(spark, f"{output}/complete", {"run": print_, "summary": found})
+    if not checks.missing_partners(summary, episodes, ["ep"]).isEmpty():
+        raise ValueError("episodes and their summaries do not match one to one")
+    per_episode = summary.join(episodes, "ep").select(
+        F.col("ep").alias("source_episode_index"), "source_frames", "duration_seconds", F.format_string("labels/chunk=%d", F.floor(F.col("ep") / 1000)).alias("repaired_label_path"),
+        *[f"{v}_{x}" for v in frames.VIEWS for x in ("path", "from", "to")], "rejected_frames", "accepted_frames",
+    )
+    plan = plan_records(judged, pieces, episodes, s)
+    tables = {
+        "timeline.csv": lambda p: sinks.write_csv(report, p, "source_episode_index", "start_frame"),
+        "rejected_intervals.csv": lambda p: sinks.write_csv(report.filter("status = 'reject'"), p, "source_episode_index", "start_frame"),
+        "episodes.csv": lambda p: sinks.write_csv(per_episode, p, "source_episode_index"),
+        "anomalies.json": lambda p: sinks.write_json(outliers.anomaly_intervals(points).withColumn("reasons", outliers.bit_names(F.col("code"), BITS)), p, "ep", "hand", "start"),
+        "clips.json": lambda p: sinks.write_json(cutplan.cut_plan(pieces, episodes), p, "ep", "clip"),
+        "plan.json": lambda p: sinks.write_json(plan, p, "source_episode_index"),
+        "manifest.json": lambda p: sinks.write_json(plan.drop(*ANNOTATION_FIELDS), p, "source_episode_index"),
+    }
+    for name, write in tables.items():
+        step(f"{output}/{name}", lambda write=write, name=name: write(f"{output}/{name}"))
+    found = totals(judged, points, summary, s)
+    if version(spark, f"{root}/data") + version(spark, f"{root}/meta") != source_version:
+        raise ValueError(f"{root} has changed while it was read")
+    digests = {name: sinks.digest(spark.read.option("header", True).csv(f"{output}/{name}")) for name in ("timeline.csv", "episodes.csv")}
+    sinks.write_note(spark, f"{output}/complete", {"run": own, "source": source_version, "summary": found, "digests": digests})
+    sinks.remove(spark, f"{output}/stages")
     return found
+
+
+def totals(judged: DataFrame, points: DataFrame, summary: DataFrame, s: Settings) -> dict:
+    """Frames, seconds and shares over all episodes, by stage and together; accounts that do not add up raise."""
+    listed = timeline.stage_accounts(judged, s.skip_s3).groupBy("stage").agg(*[F.sum(f"{c}_frames").alias(c) for c in ("input", "matched", "removed", "overlap", "kept")]).collect()  # four rows
+    all_ = summary.agg(F.count(F.lit(1)).alias("episodes"), F.sum("source_frames").alias("n"), F.sum("rejected_frames").alias("x")).first()
+    repairs = repair.repair_counts(judged, points).agg(*[F.sum(c).alias(c) for c in ("repaired_hand_frames", "unresolved_hand_frames", "repaired_action_hand_rows", "unresolved_action_hand_rows")]).first()
+    n, x = all_["n"] or 0, all_["x"] or 0
+    stages = {r["stage"]: {k: r[k] for k in ("matched", "removed", "overlap")} | {"removed_seconds": r["removed"] / s.fps, "removed_share": r["removed"] / max(1, n)} for r in listed}
+    if sum(v["removed"] for v in stages.values()) != x or any(r["removed"] + r["kept"] != r["input"] for r in listed if r["stage"] == "S1"):
+        raise ValueError("stage accounts and rejected frames differ")
+    whole = {"episodes": all_["episodes"], "source_frames": n, "rejected_frames": x, "accepted_frames": n - x, "source_seconds": n / s.fps, "rejected_seconds": x / s.fps, "rejected_share": x / max(1, n)}
+    return whole | {"repairs": repairs.asDict(), "stages": stages}

@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Settings
-from ..operators import outliers, repair
+from ..operators import outliers, repair, rules
 from ..operators.intervals import dealt
 from ..sources.frames import from_lineitem, wide
-from .timeline import attributed, rules_on
+from .timeline import attributed, measured
 
 _KEPT: dict[tuple[str, str, str, str], DataFrame] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder of our own where that is unset."""
+    """``spark.checkpoint.dir``; where that is unset, a temporary folder of our own on a local master only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """While writing, generated methods stay below the size up to which the JVM compiles them (8000 bytes).
+
+    The rules' expressions are wide: beyond that size the JVM would run a whole stage's method interpreted, where Spark's
+    projections are split into methods that it does compile. The session's own setting comes back afterwards.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_methods(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,8 +59,22 @@ def forget() -> None:
     _KEPT.clear()
 
 
+def version(spark: SparkSession, path: str) -> str:
+    """The files below ``path`` with sizes and times, as one digest; tables that change get another."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(place, True)
+    digest, listed = hashlib.sha256(), []
+    while files.hasNext():
+        one = files.next()
+        listed.append(f"{one.getPath()} {one.getLen()} {one.getModificationTime()}")
+    for line in sorted(listed):
+        digest.update(line.encode())
+    return digest.hexdigest()
+
+
 def kept(spark: SparkSession, sf_dir: str, name: str, settings: Settings, make) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name, settings.fingerprint())
+    """A stage's table, made once for the same input files and settings of this application."""
+    key = (spark.sparkContext.applicationId, version(spark, f"{sf_dir}/lineitem.parquet"), name, settings.fingerprint())
     if key not in _KEPT:
         _KEPT[key] = written(make(), name)
     return _KEPT[key]
@@ -50,15 +87,22 @@ S1_FIELDS = ("fps", "position_step", "rotation_step", "max_block", "recovery", "
 def points(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFrame:
     """Trajectory points with S1 codes and repairs."""
     s = Settings(**{name: getattr(s, name) for name in S1_FIELDS})
-    return kept(spark, sf_dir, "points", s, lambda: repair.repaired(outliers.detected(outliers.points(dealt(wide(from_lineitem(spark, sf_dir)), "ep")), s), s))
+    return kept(spark, sf_dir, "points", s, lambda: repair.repaired(outliers.detected(outliers.points(wide(from_lineitem(spark, sf_dir))), s), s))
+
+
+#: What S3 alone depends on: runs that differ in nothing else share their measured frames.
+S3_FIELDS = ("s3_translation", "s3_rotation", "skip_s3")
 
 
 def frames(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFrame:
     """Frames with every rule's columns, code and reason."""
     cam = ["ep", "f", "rot", "centre", "k", "lens", "width", "height"]
+    shared = replace(s, **{name: getattr(Settings(), name) for name in S3_FIELDS})
 
     def make() -> DataFrame:
         fixed = repair.per_frame(dealt(points(spark, sf_dir, s), "ep"))
-        return attributed(rules_on(fixed.join(dealt(wide(from_lineitem(spark, sf_dir)).select(*cam), "ep"), ["ep", "f"]), s))
+        seen = measured(fixed.join(wide(from_lineitem(spark, sf_dir)).select(*cam), ["ep", "f"]), shared)
+        return seen.drop("rot", "centre", "k", "lens", "l_cam", "r_cam", *(f"{h}_{x}" for h in "lr" for x in ("r6", "ap", "ar6")))
 
-    return kept(spark, sf_dir, "frames", s, make)
+    seen = kept(spark, sf_dir, "measured", shared, make)
+    return kept(spark, sf_dir, "frames", s, lambda: attributed(rules.camera_hits(dealt(seen, "ep"), s)))

@@ -22,10 +22,15 @@ def judged(wide: DataFrame, s: Settings = Settings()) -> DataFrame:
     return attributed(rules_on(fixed.join(frames.select("ep", "f", *cam), ["ep", "f"]), s))
 
 
-def rules_on(frames: DataFrame, s: Settings) -> DataFrame:
+def measured(frames: DataFrame, s: Settings) -> DataFrame:
+    """S2, S4 and the camera's motion: all that the thresholds of S3, and whether it runs, leave as it is."""
     return rules.stable_carry(rules.camera_motion(rules.segmented(rules.hands_at_edge(frames, s)), s), s)
 
 
+def rules_on(frames: DataFrame, s: Settings) -> DataFrame:
+    return rules.camera_hits(measured(frames, s), s)
+
+
 def attributed(frames: DataFrame) -> DataFrame:
     """Adds code (0 keep, else the stage) and reason (stage, or stage and its bits)."""
     code = F.when(F.col("s1"), 1).when(F.col("s2"), 2).when(F.col("s4") > 0, 4).when(F.col("s3") > 0, 3).otherwise(0)

@@ -87,6 +87,21 @@ def episode_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:
     return both.select(F.inline(F.array(*rows)))
 
 
+def scanner_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:
+    """check, failures: what a scan of recordings asks beyond ``episode_failures``: delay 1, layout version, videos of their own from 0."""
+    starts = F.count_if(F.greatest(*[F.abs(F.col(f"{v}_from")) for v in ("camera_reference", "camera_aux_0")]) != 0)
+    known = info.columns
+    delay = F.coalesce(F.col("state_action_delay") != 1, F.lit(True)) if "state_action_delay" in known else F.lit(True)
+    version = F.coalesce(F.col("codebase_version") != "v3.0", F.lit(True)) if "codebase_version" in known else F.lit(True)
+    listed = [F.struct(F.lit(n).alias("check"), F.count_if(t).alias("failures")) for n, t in (("state_action_delay", delay), ("codebase_version", version))]
+    return info.select(F.inline(F.array(*listed))).unionByName(episodes.agg(F.lit("video_start").alias("check"), starts.alias("failures")))
+
+
+def unrejected_invalid(judged: DataFrame) -> DataFrame:
+    """Frames with an invalid state that S1 does not reject: none, or the rules are broken."""
+    return judged.filter((~F.col("l_valid") | ~F.col("r_valid")) & ~F.col("s1")).select("ep", "f")
+
+
 def require(failures: DataFrame) -> None:
     """Raise where a check failed; the failures are a row for each check."""
     bad = [f"{r['check']}: {r['failures']}" for r in failures.filter("failures > 0").collect()]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..operators.intervals import dealt
 
 #: Column names of recordings and their canonical names.
 NAMES = {
@@ -92,12 +93,12 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Four phases of 150 frames alternate: still; 16 mm a frame; still with hands out of view; 9 mm a frame. Odd episodes also
     turn by 1.4 degrees a frame while they move. Discounts, taxes and quantities decide spikes and invalid poses, and
-    episode numbers decide long gaps and bad last targets.
+    episode numbers decide long gaps and bad last targets. Rows are dealt by ep, as all that follows wants them.
     """
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     by = Window.partitionBy("ep").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     cents = lambda c: F.round(F.col(c) * 100).cast("int")
-    rows = line.select(F.col("l_suppkey").alias("ep"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", cents("l_discount").alias("dc"), cents("l_tax").alias("tx"), F.col("l_quantity").cast("int").alias("qty"))
+    rows = dealt(line.select(F.col("l_suppkey").alias("ep"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", cents("l_discount").alias("dc"), cents("l_tax").alias("tx"), F.col("l_quantity").cast("int").alias("qty")), "ep")
     rows = rows.withColumn("f", (F.row_number().over(by) - 1).cast("long")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ep")))
     rows = rows.withColumn("phase", (F.floor(F.col("f") / 150) + F.col("ep")) % 4)
     w = Window.partitionBy("ep").orderBy("f")

@@ -19,7 +19,7 @@ def write_labels(labels: DataFrame, path: str, verify: bool = True) -> None:
     labels: canonical columns with what repair adds. Rows keep their order within an episode.
     """
     out = renamed(labels, back=True).withColumn("chunk", F.floor(F.col("`episode_index`") / 1000))
-    out.repartition("chunk", F.col("`episode_index`")).sortWithinPartitions("`episode_index`", "`frame_index`").write.option("compression", "zstd").partitionBy("chunk").parquet(path)
+    out.repartition("chunk", F.col("`episode_index`")).sortWithinPartitions("`episode_index`", "`frame_index`").write.option("compression", "zstd").partitionBy("chunk").mode("overwrite").parquet(path)
     if verify and not changed_rows(labels, renamed(labels.sparkSession.read.parquet(path).drop("chunk")), ["ep", "f"]).isEmpty():
         raise IOError(f"{path} differs from what was written")
 
@@ -60,7 +60,7 @@ def timeline_rows(pieces: DataFrame, episodes: DataFrame) -> DataFrame:
 
 def write_csv(rows: DataFrame, path: str, *order: str) -> None:
     """Gzipped CSV with a header, sorted over all parts."""
-    (rows.orderBy(*order) if order else rows).write.option("header", True).option("compression", "gzip").option("emptyValue", "").csv(path)
+    (rows.orderBy(*order) if order else rows).write.option("header", True).option("compression", "gzip").option("emptyValue", "").mode("overwrite").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -69,21 +69,70 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_json(rows: DataFrame, path: str, *order: str) -> None:
-    (rows.orderBy(*order) if order else rows).write.option("compression", "none").json(path)
+    (rows.orderBy(*order) if order else rows).write.option("compression", "none").mode("overwrite").json(path)
 
 
 def write_note(spark: SparkSession, path: str, note: dict) -> None:
     """A small record (settings, completion) beside the results, on whatever file system they are on."""
-    spark.createDataFrame([(json.dumps(note, sort_keys=True),)], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame([(json.dumps(note, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def written_whole(spark: SparkSession, path: str) -> bool:
+    """Whether Spark committed this folder: one that a broken run left has no mark of success."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, system = _place(spark, path)
+    system.delete(place, True)
 
 
 def read_note(spark: SparkSession, path: str) -> dict | None:
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+    if not written_whole(spark, path):
         return None
     return json.loads(spark.read.text(path).first()["value"])
 
 
+def digest(rows: DataFrame) -> str:
+    """Rows and the sum of their hashes: the same for the same rows, in whatever files and order."""
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38)")).alias("h")).first()
+    return f"{found['n']}:{found['h'] or 0}"
+
+
+def label_metadata(spark: SparkSession, root: str, output: str, episodes: DataFrame, settings: dict, partial: bool) -> None:
+    """What labels need beside them: their episodes, tasks, source map, info with the added features, and a policy for statistics."""
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/meta/episodes")
+    kept = raw.join(episodes.select(F.col("ep").alias("episode_index")), "episode_index", "left_semi")
+    kept.sort("episode_index").write.option("compression", "zstd").mode("overwrite").parquet(f"{output}/meta/episodes")
+    for name, of in (("tasks.jsonl", "text"), ("tasks.parquet", "parquet")):
+        if exists(spark, f"{root}/meta/{name}"):
+            spark.read.format(of).load(f"{root}/meta/{name}").write.format(of).mode("overwrite").save(f"{output}/meta/{name}")
+    if exists(spark, f"{root}/meta/episode_source_map.jsonl"):
+        mapping = spark.read.json(f"{root}/meta/episode_source_map.jsonl")
+        mapping.join(episodes.select(F.col("ep").alias("episode_index")), "episode_index", "left_semi").write.mode("overwrite").json(f"{output}/meta/episode_source_map")
+    info = json.loads("\n".join(r.value for r in spark.read.text(f"{root}/meta/info.json").collect()))  # one small document
+    features = dict(info.get("features", {}))
+    for prefix in ("observation.state", "action"):
+        for field, kind in (("valid", "bool"), ("repaired", "bool"), ("anomaly_reason", "uint8")):
+            features[f"{prefix}.eef_{field}"] = {"dtype": kind, "shape": [2], "names": ["left", "right"], "fps": 30}
+    features["observation.state.hand_features_valid"] = {"dtype": "bool", "shape": [2], "names": ["left", "right"], "fps": 30}
+    sums = episodes.agg(F.count(F.lit(1)).alias("e"), F.sum("n").alias("n")).first()
+    info |= {"features": features, "total_episodes": sums["e"], "total_frames": sums["n"], "artifact_type": "labels_only", "source_dataset": root, "source_video_root": root}
+    info |= {"statistics_status": "not exported; statistics of the source are not those of repaired labels", "trajectory_cleaning": {"method": settings, "source_modified": False, "partial_output": partial}}
+    write_note(spark, f"{output}/meta/info", info)
+    write_note(spark, f"{output}/meta/statistics_policy", {"status": "not_computed", "use_masks": ["observation.state.eef_valid", "action.eef_valid"], "use_timeline": True})
+
+
 def anomaly_report(intervals: DataFrame, mapping: DataFrame, names: dict[int, str]) -> DataFrame:
     """Intervals with where they stand in the original recordings; an episode without a mapping raises.
 
