@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import BITS, REASONS, Settings
@@ -486,9 +486,11 @@ def interval_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH m AS (SELECT *, median(value) OVER (PARTITION BY user_id) AS md FROM events) SELECT user_id, {q6('max(md)')} AS middle, {q6('median(abs(value - md))')} AS mad FROM m GROUP BY user_id")
 def user_value_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    rows = rows.withColumn("md", F.median("value").over(Window.partitionBy("user_id")))
-    return rows.groupBy("user_id").agg(r6(F.max("md")).alias("middle"), r6(F.median(F.abs(F.col("value") - F.col("md")))).alias("mad"))
+    """Medians over values with their counts, so that a busy user's rows are added up before they meet."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    middle = rows.groupBy("user_id").agg(F.percentile("value", F.lit(0.5), F.col("n")).alias("md"))
+    spread = F.percentile(F.abs(F.col("value") - F.col("md")), F.lit(0.5), F.col("n"))
+    return rows.join(middle, "user_id").groupBy("user_id").agg(r6(F.max("md")).alias("middle"), r6(spread).alias("mad"))
 
 
 @query("SELECT event_id, CASE WHEN (event_id * 256) % 512 = 0 THEN event_id * 256 // 512 ELSE -1 END AS frame FROM events")
