@@ -48,11 +48,16 @@ def motion(frames: DataFrame, gap: int, prefix: str) -> DataFrame:
     return G.with_angle(out, "rot", "__ahead.rot", f"{prefix}_angle").drop("__ahead")
 
 
-def camera_motion(frames: DataFrame, s: Settings) -> DataFrame:
+def camera_steps(frames: DataFrame, s: Settings) -> DataFrame:
     """Adds s3_distance and s3_angle, which no threshold of S3 changes."""
     return motion(frames, s.s3_gap, "s3")
 
 
+def camera_motion(frames: DataFrame, s: Settings) -> DataFrame:
+    """Adds the camera's steps and hits."""
+    return camera_hits(camera_steps(frames, s), s)
+
+
 def camera_hits(frames: DataFrame, s: Settings) -> DataFrame:
     """Adds s3_t and s3_r (hits), and ``s3``: bits 1 and 2 of the frames that hits cover."""
     out = frames.withColumn("s3_t", F.coalesce(F.col("s3_distance") > s.s3_translation, F.lit(False))).withColumn("s3_r", F.coalesce(F.col("s3_angle") > s.s3_rotation, F.lit(False)))

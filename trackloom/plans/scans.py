@@ -108,7 +108,7 @@ def cameras(spark: SparkSession, root: str, output: str, s: Settings = Settings(
     """Videos, segments and windows in which the camera moves or turns far, by kind."""
     rows, episodes, errors = sound(spark, root, sample, seed, scanner=False)
     whole = _seen(rows).withColumn("keep", F.lit(True)).withColumn("seg", F.lit(0))
-    judged = written(rules.camera_hits(rules.camera_motion(whole, s), s), "motion")
+    judged = written(rules.camera_motion(whole, s), "motion")
     paths = episodes.select("ep", F.col("camera_reference_path").alias("video_path"), F.round(F.col("n") / float(s.fps), 6).alias("video_duration_seconds"))
     videos, parts = reports.camera_videos(judged, s).join(paths, "ep"), reports.camera_segments(judged, s).join(paths, "ep")
     sinks.write_csv(videos, f"{output}/motion_videos.csv", "ep")

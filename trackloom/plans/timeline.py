@@ -24,7 +24,7 @@ def judged(wide: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def measured(frames: DataFrame, s: Settings) -> DataFrame:
     """S2, S4 and the camera's motion: all that the thresholds of S3, and whether it runs, leave as it is."""
-    return rules.stable_carry(rules.camera_motion(rules.segmented(rules.hands_at_edge(frames, s)), s), s)
+    return rules.stable_carry(rules.camera_steps(rules.segmented(rules.hands_at_edge(frames, s)), s), s)
 
 
 def rules_on(frames: DataFrame, s: Settings) -> DataFrame:
