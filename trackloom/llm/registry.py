@@ -6,11 +6,13 @@ from .decontaminate import op2_decontaminate
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .pieces_codec import op6_pieces
 from .quality import op7_quality
+from .ranked_search import OP11_SQL, op11_ranked_search
 from .secret_scan import OP4_SQL, op4_secret_scan
 from .simhash import op10_simhash
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .suffix_dedup import OP8_SQL, op8_suffix_dedup
 from .toxicity import op9_toxicity
+from .vector_codes import OP13_SQL, op13_vector_codes
 from .wavelet import op1_wavelet_tokens
 
 QUERIES = {
@@ -24,5 +26,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_vector_codes": op13_vector_codes,
 }
-SQL = {"op3_exact_dedup": OP3_SQL, "op4_secret_scan": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op8_suffix_dedup": OP8_SQL}
+SQL = {"op3_exact_dedup": OP3_SQL, "op4_secret_scan": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op8_suffix_dedup": OP8_SQL, "op11_ranked_search": OP11_SQL, "op13_vector_codes": OP13_SQL}
