@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op2_decontaminate
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .jaccard_join import OP12_SQL, op12_jaccard_join
 from .pieces_codec import op6_pieces
 from .quality import op7_quality
 from .ranked_search import OP11_SQL, op11_ranked_search
@@ -27,6 +28,15 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op11_ranked_search": op11_ranked_search,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_vector_codes": op13_vector_codes,
 }
-SQL = {"op3_exact_dedup": OP3_SQL, "op4_secret_scan": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op8_suffix_dedup": OP8_SQL, "op11_ranked_search": OP11_SQL, "op13_vector_codes": OP13_SQL}
+SQL = {
+    "op3_exact_dedup": OP3_SQL,
+    "op4_secret_scan": OP4_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op8_suffix_dedup": OP8_SQL,
+    "op11_ranked_search": OP11_SQL,
+    "op12_jaccard_join": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
+}
