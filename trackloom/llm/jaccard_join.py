@@ -131,7 +131,7 @@ def representatives(sets: DataFrame, classes: DataFrame, filter_bits: int) -> Da
 
 
 def prefix_index(reps: DataFrame, percent: int, filter_bits: int) -> DataFrame:
-    """h, node, n, pos: the shingles of each prefix that another class holds, with their positions in the set."""
+    """h, node, n, pos, lead: the shingles of each prefix that another class holds, with their positions and that of the first."""
     shared = written(reps.select(F.explode("counted").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
     may = Bits(shared, F.col("h"), filter_bits)
 
@@ -147,8 +147,8 @@ def prefix_index(reps: DataFrame, percent: int, filter_bits: int) -> DataFrame:
 
     held = reps.mapInArrow(run, "node long, n long, later boolean, upto long, h long").join(shared, "h")
     of = Window.partitionBy("node", "later")  # bounded by one document
-    pos = F.col("upto") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("df", "h")) - 1
-    return held.select("h", "node", "n", pos.alias("pos")).filter(f"pos < n - ({percent} * n + 99) div 100 + 1")
+    lead = F.col("upto") - F.count(F.lit(1)).over(of)
+    return held.select("h", "node", "n", lead.alias("lead"), (lead + F.row_number().over(of.orderBy("df", "h")) - 1).alias("pos")).filter(f"pos < n - ({percent} * n + 99) div 100 + 1")
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
@@ -212,7 +212,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, filter_bits: int) ->
 
 
 def links(members: DataFrame, docs: DataFrame, size: int, percent: int, filter_bits: int) -> DataFrame:
-    """u, v: verified links enough to connect all classes that links connect. members: h, m (node, n, pos, parts, side)."""
+    """u, v: verified links enough to connect all classes that links connect. members: h, m (lead, node, n, pos, parts, side)."""
 
     def over(pairs: DataFrame) -> DataFrame:
         return pairs.filter(f"100 * shared >= {percent} * either").select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -246,7 +246,7 @@ def joined(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, filter_
     classes = written(sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "classes")
     index = prefix_index(representatives(sets, classes, filter_bits), percent, filter_bits)
     about = sets.select(F.col("row").alias("node"), "parts", F.struct(F.col("row").alias("node"), "d1", "d2", "key").cast(_SIDE).alias("side"))
-    members = written(index.join(about, "node").select("h", F.struct("pos", "node", "n", "parts", "side").alias("m")), "members")
+    members = written(index.join(about, "node").select("h", F.struct("lead", "node", "n", "pos", "parts", "side").alias("m")), "members")
     of = components(written(links(members, docs, size, percent, filter_bits), "links"))
     of = classes.join(of, "node", "left").select("d1", "d2", "least", F.coalesce("component", "node").alias("group"))
     of = of.join(of.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("d1", "d2", "component_id")
