@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.test_operators import prose
-from trackloom.llm import decontaminate, pieces_codec, suffix_dedup
+from trackloom.llm import decontaminate, pieces_codec, secret_scan, suffix_dedup, wavelet
 
 
 def test_decontamination_finds_every_copy_of_an_edited_version(spark):
@@ -79,8 +79,8 @@ def test_decontamination_recall_against_exhaustive_alignment(spark):
     rng = random.Random(21)
     items = [prose(2000 + i, rng.randrange(12, 120)).split() for i in range(30)] + [prose(2100, 5000).split()]
     texts = []
-    for k, item in enumerate(items * 3):
-        rate, out = rng.choice([0.03, 0.08, 0.12, 0.16, 0.2]), []
+    for k, item in enumerate(items * 5):
+        rate, out = [0.05, 0.12, 0.2, 0.35, 0.5][k // len(items)], []
         for word in item:
             way = rng.random() / rate
             out += [word] if way > 1 else [] if way > 0.8 else [word, "more"] if way > 0.6 else [f"edit{rng.randrange(999)}"]
@@ -97,7 +97,40 @@ def test_decontamination_recall_against_exhaustive_alignment(spark):
     found = decontaminate.contaminated(docs, spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")).collect()
     got = {(r.doc_id, r.item_id) for r in found}
     print(f"recall {len(got & expected)} of {len(expected)}")
-    assert len(expected) > 70 and got <= expected and len(got) >= 0.9 * len(expected)
+    assert len(expected) > 110 and got <= expected and len(got) >= 0.95 * len(expected)
+
+
+def test_decontamination_reaches_as_far_as_an_alignment(spark):
+    """Words between the item's own push its end away from the only seeds, and the score still reaches the threshold."""
+    item = [f"w{k}" for k in range(32)]
+    spread = item[:4] + [x for w in item[4:] for x in ("filler", w)]
+    other = [x for w in item[:-4] for x in (w, "filler")] + item[-4:]
+    rows = [(0, " ".join(item)), (1, " ".join(spread)), (2, prose(41, 50) + " " + " ".join(other) + " " + prose(42, 50)), (3, prose(43, 90) + " " + " ".join(item[:5]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item)), (8, "w0 w1 w2")], "item_id long, text string")
+    found = {r.doc_id: (r.item_id, r.score) for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {0: (7, 1.0), 1: (7, 0.5625), 2: (7, 0.5625)}
+    assert [r.doc_id for r in decontaminate.decontaminated(docs, items).collect()] == [3]
+
+
+def test_secret_parts_of_one_long_text_take_linear_time(spark):
+    key = "k" * 31 + "1"
+    text = " ".join(f"{key} http://h{i}.example" if i % 900 else f"AKIA{'B' * 16} {key} http://h{i}.example" for i in range(32_000))
+    docs = spark.createDataFrame([(1, text), (2, key)], "doc_id long, text string")
+    secret_scan.secret_scan(docs).count()
+    began = time.time()
+    found = {r.doc_id: r for r in secret_scan.secret_scan(docs).collect()}
+    took = time.time() - began
+    print(f"64,000 parts: {took:.1f} s")
+    assert found[1].n_access == 36 and found[1].spans.count("linked_key") > 36 and found[2].spans == ""
+    assert took < 30  # some 5 s by itself; the square of the parts took minutes
+
+
+def test_ids_beyond_the_planes_raise():
+    with pytest.raises(ValueError, match="70000 does not fit 16 planes"):
+        wavelet.WaveletShard.build(np.array([1, 70000], np.uint32), np.array([0]), np.array([2]))
+    shard = wavelet.WaveletShard(wavelet.WaveletShard.build(np.array([1, 70000, 2], np.uint32), np.array([0]), np.array([3]), bits=17))
+    assert shard.tokens().tolist() == [1, 70000, 2] and shard.count(70000) == 1 and shard.occurrences(2).tolist() == [2]
 
 
 def test_decontamination_judges_rows_one_by_one(spark):

@@ -2,8 +2,9 @@
 
 Words are runs of letters and digits, lower-cased, so case and punctuation do not hide a copy. Every run of SEED
 words of a benchmark item is a seed. One scan of the documents finds where seeds stand, through filters of bits whose size
-is bounded, and cuts out passages around them: for each class of items, by powers of two of their lengths, as far as an item
-of that class can reach, so one long item does not widen the passages of the others. Passages with the same words are one.
+is bounded, and cuts out passages around them: for each class of items, by powers of two of their lengths, as far as an alignment
+at the threshold can reach (the words it matches, and as many others as its score leaves room for), so one long item does not widen the
+passages of the others. Passages with the same words are one.
 Passages meet items by equality of seeds, however often a seed stands: a pair is left out only where it shares no seed, or where the passage holds too few of
 the item's words to reach the threshold in any order. Each other pair is aligned locally (MATCH, MISMATCH, GAP), and the
 score is the best alignment over the score of the whole item: 1 for a verbatim copy, less for one with words exchanged,
@@ -12,7 +13,7 @@ inserted or left out.
 The result has a row for each contaminated pair: doc_id, item_id, score, item_words, end_word (the document's words up
 to the alignment's end). Clean documents have none.
 
-Defined results: null texts have no words; items of fewer than SEED words are too short to tell from chance and never
+Defined results: null texts have no words; items of fewer than LEAST_WORDS words are too short to tell from chance and never
 match; of rows that repeat a doc_id or item_id the best alignment counts, of equal ones the first of a passage, in the last such passage; rows without a
 doc_id are reported under null, items without an item_id take no part; an empty table gives no rows; other columns are ignored.
 """
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import BREAKS, ROW_KEYS, Words, grams, pieces, row_keys, table, with_row_keys, written
 from .passages import FILTER_BITS, _positions, anchor_filter, keyed_text
 
-SEED = 4
+#: Words of a seed: of edited copies that still score THRESHOLD, nearly all keep three words in a row.
+SEED, LEAST_WORDS = 3, 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Cells of one vectorised step of the alignments.
@@ -163,19 +165,24 @@ def aligned(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return pairs.select("same", "item_id", "item", "passage").mapInArrow(run, "same string, item_id long, score double, item_words long, end long")
 
 
+def longest_alignment(n_words: int, threshold: float) -> int:
+    """Words of a passage that an alignment of at least ``threshold`` may span: all of the item's, and others while they cost less than the rest of its score."""
+    return n_words + int(MATCH * (1 - threshold) * n_words / -max(MISMATCH, GAP))
+
+
 def over_threshold(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, th (hash of the text), item_id, score, item_words, end_word for each passage and item at or over the threshold."""
-    items = written(item_seeds(items).filter(F.col("n_words") >= SEED).filter("item_id IS NOT NULL").withColumn("span", F.expr("cast(ceil(log2(n_words)) AS long)")), "items")
+    items = written(item_seeds(items).filter(F.col("n_words") >= LEAST_WORDS).filter("item_id IS NOT NULL").withColumn("span", F.expr("cast(ceil(log2(n_words)) AS long)")), "items")
     seeds = items.select("item_id", "span", F.explode("seeds").alias("seed")).distinct()
     # One row for each power of two that an item's length has.
-    classes = items.groupBy("span").agg(F.max("n_words").alias("reach"), F.sum(F.size("seeds")).alias("n")).collect()
+    classes = items.groupBy("span").agg(F.max("n_words").alias("most"), F.sum(F.size("seeds")).alias("n")).collect()
 
     def flags(rows: DataFrame, n: int, most: int) -> tuple[np.ndarray, int]:
         bits = 1 << min(most.bit_length() - 1, max(20, (64 * n).bit_length()))
         return anchor_filter(rows.select(F.col("seed").alias("anchor")).distinct(), bits), bits
 
     any_seed = flags(seeds, sum(c["n"] for c in classes), FILTER_BITS)
-    by_class = {c["span"]: (*(flags(seeds.filter(F.col("span") == c["span"]), c["n"], FILTER_BITS >> 3) if len(classes) > 1 else any_seed), c["reach"]) for c in classes}
+    by_class = {c["span"]: (*(flags(seeds.filter(F.col("span") == c["span"]), c["n"], FILTER_BITS >> 3) if len(classes) > 1 else any_seed), longest_alignment(c["most"], threshold)) for c in classes}
     found = written(seeded_passages(docs, any_seed, by_class).withColumn("same", F.sha2(F.concat_ws(" ", "span", "words"), 256)), "passages")
     once = found.select("same", "span", "words", "seeds").dropDuplicates(["same"])  # equal words have equal seeds of a class
     pairs = once.select("same", "span", F.explode("seeds").alias("seed")).join(seeds, ["seed", "span"]).select("same", "item_id").distinct()

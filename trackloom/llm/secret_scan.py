@@ -83,9 +83,8 @@ def linked(placed: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     Of the parts that start no later, only the greatest end matters; of those that start no earlier, only the least start.
     """
-    order = Window.partitionBy("row").orderBy("s")
-    before = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = order.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # Both are running values: towards the end of the text, and back from it.
+    before, after = (Window.partitionBy("row").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow) for order in ("s", F.desc("s")))
 
     def near(these: str, within: int):
         some = F.expr(these)

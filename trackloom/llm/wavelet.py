@@ -74,7 +74,9 @@ class WaveletShard:
     @staticmethod
     def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, bits: int = 16, nulls: int = 0) -> bytes:
         """The bytes of a shard; the first ``nulls`` documents have no doc_id."""
-        press, now = zstandard.ZstdCompressor(level=LEVEL), ids
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"id {ids.max()} does not fit {bits} planes")
+        press, now = zstandard.ZstdCompressor(level=LEVEL), ids.astype(np.uint16 if bits <= 16 else np.uint32)
         before, starts, body, size = [], [0], [], 1 << (BLOCK - 3)
         for level in range(bits - 1, -1, -1):
             bit = (now >> np.asarray(level, now.dtype)) & np.asarray(1, now.dtype)
@@ -199,6 +201,7 @@ class Encoder:
         self.marks = _MARK.copy()
         self.marks[[b for t in rules.get("added_tokens", []) for b in t["content"].encode()]] = False
         vocabulary = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
+        self.largest = vocabulary[-1][1] if vocabulary else 0
         # A piece is written with a letter for each byte: itself where it can be printed, or else one from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
@@ -350,8 +353,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, bits: int = 16) -> None:
-    """Write (part, shard, n_tokens, data) rows below ``path``, a file for each, in ascending doc_id order of part and shard."""
+def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
+    """Write (part, shard, n_tokens, data) rows below ``path``, a file for each, in ascending doc_id order of part and shard; as many planes as the vocabulary needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
@@ -361,7 +364,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         held = nulls = 0
 
         def packed() -> pa.RecordBatch:
-            data = WaveletShard.build(np.concatenate(ids).astype(np.uint16 if bits <= 16 else np.uint32), np.concatenate(doc_ids), np.concatenate(lengths), bits, nulls)
+            bits = max(encoder(tokenizer).largest, end_id).bit_length()
+            data = WaveletShard.build(np.concatenate(ids), np.concatenate(doc_ids), np.concatenate(lengths), bits, nulls)
             row = [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([held], pa.int64()), pa.array([data], pa.binary())]
             return pa.record_batch(row, ["part", "shard", "n_tokens", "data"])
 
@@ -380,7 +384,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         if doc_ids:
             yield packed()
 
-    ordered = whole_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that repeat a doc_id, or have none, are dealt by how their texts begin.
+    ordered = whole_text(docs).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     shards = ordered.mapInArrow(run, "part int, shard int, n_tokens long, data binary")
     shards.write.option("compression", "none").option("maxRecordsPerFile", 1).parquet(path)
 
