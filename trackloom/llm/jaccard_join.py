@@ -7,7 +7,8 @@ A document's set holds its different shingles. Documents with the same set are o
   with fewer than its prefix needs all are counted, and stand behind them in the same way.
 * Two sets that reach the threshold share a shingle of their prefixes, so classes meet by equality of prefix shingles that
   two or more classes hold. A pair passes by its lengths, by where the shared shingle stands in either set (positional
-  filter), and by how many shingles the two have between fixed pivots of the hash space behind the prefix (suffix filter).
+  filter), and by how the sets fall between fixed pivots of the hash space (suffix filter, taken over prefix and suffix): each
+  pivot between which one set has an odd and the other an even number of shingles stands for a shingle that they do not share.
 * In the group of a shingle every class meets up to HUBS central ones: those with the fewest rarer shingles, which edited copies have
   more of. Only classes that are then in another component than the group's first hub meet the others of their group, but for
   pairs that the triangle inequality of the Jaccard distance rules out. So a large group of near copies costs a few pairs
@@ -39,8 +40,8 @@ from .passages import FILTER_BITS, _positions, anchor_filter
 SHINGLE, PERCENT = 3, 90
 #: Hashes below this are counted: a fifth, where a prefix takes a tenth of a set.
 COUNTED = (1 << 64) // 5
-#: Parts of the other hashes for the suffix filter.
-PIVOTS = 16
+#: Longs with a bit for each part of the hash space, for the suffix filter.
+LONGS = 8
 HUBS, RUN = 3, 512
 _SIDE = "struct<node: bigint, d1: bigint, d2: bigint, key: bigint>"
 
@@ -76,8 +77,8 @@ def _key() -> Column:
 
 
 def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """row, doc_id, key (of doc_id and text), n (size of the set), d1, d2 (digest of the set), counted (hashes that are counted), parts (sizes between pivots)."""
-    step = ((1 << 64) - COUNTED) // PIVOTS + 1
+    """row, doc_id, key (of doc_id and text), n (size of the set), d1, d2 (digest of the set), counted (hashes that are counted), parts (a bit for each part of the hash space: whether it has an odd number of shingles)."""
+    shift = np.uint64(64 - (64 * LONGS).bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,14 +91,13 @@ def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 take = np.where(100 * n < percent * (n + 1), 0, np.where(low >= prefix, low, n))  # a smaller set links with no other one
                 some = np.arange(len(text)) - bounds[text] < take[text]
                 listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(take)].astype(np.int32)), pa.array(value[some].view(np.int64)))
-                high = value >= np.uint64(COUNTED)
-                spread = np.bincount(text[high] * PIVOTS + ((value[high] - np.uint64(COUNTED)) // np.uint64(step)).astype(np.int64), minlength=part.num_rows * PIVOTS)
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * PIVOTS), pa.array(spread.astype(np.int32)))
+                odd = np.bincount(text * 64 * LONGS + (value >> shift).astype(np.int64), minlength=part.num_rows * 64 * LONGS).astype(np.uint8) & 1
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * LONGS), pa.array(np.packbits(odd, bitorder="little").view(np.int64)))
                 own = [part.column(c) for c in ("row", "doc_id", "key")]
                 yield pa.record_batch([*own, pa.array(n), pa.array(digest[:, 0]), pa.array(digest[:, 1]), listed, parts], ["row", "doc_id", "key", "n", "d1", "d2", "counted", "parts"])
 
     rows = whole_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", _key(), "text")
-    return rows.mapInArrow(run, "row long, doc_id long, key long, n long, d1 long, d2 long, counted array<long>, parts array<int>")
+    return rows.mapInArrow(run, "row long, doc_id long, key long, n long, d1 long, d2 long, counted array<long>, parts array<long>")
 
 
 class Bits:
@@ -156,7 +156,7 @@ def _may_link(x: str, y: str, percent: int) -> str:
     least = f"(({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent})"
     length = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
     positional = f"least({x}.pos, {y}.pos) + 1 + least({x}.n - {x}.pos - 1, {y}.n - {y}.pos - 1) >= {least}"
-    suffix = f"aggregate(zip_with({x}.parts, {y}.parts, (a, b) -> abs(a - b)), 0, (a, b) -> a + b) <= {x}.n + {y}.n - 2 * {least}"
+    suffix = " + ".join(f"bit_count({x}.parts[{i}] ^ {y}.parts[{i}])" for i in range(LONGS)) + f" <= {x}.n + {y}.n - 2 * {least}"
     return f"{length} AND {positional} AND {suffix}"
 
 
