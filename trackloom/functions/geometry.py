@@ -80,6 +80,29 @@ def with_angle(df, a: str, b: str, out: str):
     return with_relative(df, a, b, "__rel").withColumn(out, F.degrees(F.atan2(half, (rel[0] + rel[4] + rel[8] - 1) / 2))).drop("__rel")
 
 
+def with_quaternion(df, m: str, out: str):
+    """Adds ``out``: the unit quaternion [x, y, z, w] of a rotation, by the largest of its four squares, so that no root is of a small number."""
+    a = F.col(m)
+    trace = a[0] + a[4] + a[8]
+    largest = F.greatest(a[0], a[4], a[8], trace)
+
+    def branch(i: int) -> Column:
+        j, k = (i + 1) % 3, (i + 2) % 3
+        parts = {i: 1 - trace + 2 * a[4 * i], j: a[3 * j + i] + a[3 * i + j], k: a[3 * k + i] + a[3 * i + k]}
+        return F.array(*[parts[n] for n in range(3)], a[3 * k + j] - a[3 * j + k])
+
+    whole = F.array(a[7] - a[5], a[2] - a[6], a[3] - a[1], 1 + trace)
+    raw = F.when(trace == largest, whole).when(a[0] == largest, branch(0)).when(a[4] == largest, branch(1)).otherwise(branch(2))
+    step = df.withColumn("__raw", raw).withColumn("__size", norm(F.col("__raw"), 4))
+    return step.withColumn(out, F.transform("__raw", lambda x: x / F.col("__size"))).drop("__raw", "__size")
+
+
+def with_quaternion_angle(df, a: str, b: str, out: str):
+    """Adds ``out``: degrees between two rotations, twice the arc cosine of their quaternions' product."""
+    step = with_quaternion(with_quaternion(df, a, "__qa"), b, "__qb")
+    return step.withColumn(out, F.degrees(2 * F.acos(F.least(F.lit(1.0), F.abs(dot(F.col("__qa"), F.col("__qb"), 4)))))).drop("__qa", "__qb")
+
+
 def slerp(df, a: str, b: str, alpha: str, out: str):
     """Adds ``out``: the rotation ``alpha`` of the way from column ``a`` to ``b``, a times the scaled relative rotation.
 
@@ -111,23 +134,53 @@ def in_camera(rotation: Column, centre: Column, point: Column) -> Column:
     return F.array(*[total(rotation[3 * k + i] * (point[k] - centre[k]) for k in range(3)) for i in range(3)])
 
 
-def distorted(x: Column, y: Column, k: Column) -> tuple[Column, Column]:
-    """Radial and tangential lens distortion with coefficients k1, k2, p1, p2, k3."""
-    r = x * x + y * y
-    radial = 1 + k[0] * r + k[1] * r * r + k[4] * r * r * r
-    return (x * radial + 2 * k[2] * x * y + k[3] * (r + 2 * x * x), y * radial + k[2] * (r + 2 * y * y) + 2 * k[3] * x * y)
+#: How many coefficients a lens may have: k1, k2, p1, p2, then k3, then k4 to k6, then s1 to s4, then two tilts in radians.
+LENS_SIZES = (4, 5, 8, 12, 14)
+
+
+def bent(lens: Column) -> Column:
+    """Whether a lens distorts at all; a number of coefficients that no model has raises then."""
+    wrong = F.raise_error(F.concat(F.lit("no lens model has "), F.size(lens).cast("string"), F.lit(" coefficients")))
+    return F.when(~F.exists(lens, lambda c: c != 0), False).when(F.size(lens).isin(*LENS_SIZES), True).otherwise(wrong.cast("boolean"))
+
+
+def _tilted(df, c, x: str, y: str):
+    """Moves ``x`` and ``y`` onto a sensor that is tilted about both axes, where the lens has such coefficients."""
+    a, b = c(12), c(13)
+    rot = [[F.cos(b), F.sin(b) * F.sin(a), -F.sin(b) * F.cos(a)], [F.lit(0.0), F.cos(a), F.sin(a)], [F.sin(b), -F.cos(b) * F.sin(a), F.cos(b) * F.cos(a)]]
+    tilted = F.col("__bent") & ((a != 0) | (b != 0))
+    seen = F.when(tilted, F.array(*[r[0] * F.col(x) + r[1] * F.col(y) + r[2] for r in rot]))
+    seen = df.withColumn("__seen", seen)
+    v = F.col("__seen")
+    moved = [F.when(v.isNotNull(), (rot[2][2] * v[i] - rot[i][2] * v[2]) / v[2]).otherwise(F.col(n)) for i, n in enumerate((x, y))]
+    return seen.withColumn("__moved", F.array(*moved)).withColumn(x, F.col("__moved")[0]).withColumn(y, F.col("__moved")[1]).drop("__seen", "__moved")
 
 
-def projected(point: Column, k: Column, distortion: Column) -> Column:
-    """Pixel coordinates [u, v] of a point in camera coordinates; NaN when it is not in front (z over 1e-6).
+def with_projection(df, point: str, k: str, lens: str, out: str):
+    """Adds ``out``: pixel coordinates [u, v] of a point in camera coordinates; NaN when it is not in front (z over 1e-6).
 
-    ``k``: the nine intrinsics; ``distortion``: five coefficients, zeros for none.
+    ``k``: the nine intrinsics, all of which hold where the lens does not distort; a distorting one is followed by focal
+    lengths and centre alone. ``lens``: rational, thin-prism and tilted-sensor models by the number of coefficients. In
+    steps, as each is used many times by the next.
     """
-    front = point[2] > 1e-6
-    z = F.when(front, point[2]).otherwise(1.0)
-    x, y = distorted(point[0] / z, point[1] / z, distortion)
-    u, v = k[0] * x + k[1] * y + k[2], k[4] * y + k[5]
-    return F.array(*[F.when(front, c).otherwise(F.lit(float("nan"))) for c in (u, v)])
+    p, m, coefficients = F.col(point), F.col(k), F.col(lens)
+    c = lambda i: F.coalesce(F.get(coefficients, F.lit(i)), F.lit(0.0))
+    front = p[2] > 1e-6
+    step = df.withColumn("__z", F.when(front, p[2]).otherwise(1.0)).withColumn("__bent", bent(coefficients))
+    step = step.withColumn("__x", p[0] / F.col("__z")).withColumn("__y", p[1] / F.col("__z"))
+    x, y, r = F.col("__x"), F.col("__y"), F.col("__r")
+    step = step.withColumn("__r", x * x + y * y)
+    radial = (1 + r * (c(0) + r * (c(1) + r * c(4)))) / (1 + r * (c(5) + r * (c(6) + r * c(7))))
+    step = step.withColumn("__g", F.when(F.col("__bent"), radial))
+    lx = x * F.col("__g") + 2 * c(2) * x * y + c(3) * (r + 2 * x * x) + r * (c(8) + r * c(9))
+    ly = y * F.col("__g") + c(2) * (r + 2 * y * y) + 2 * c(3) * x * y + r * (c(10) + r * c(11))
+    step = step.withColumn("__lx", F.when(F.col("__bent"), lx).otherwise(x)).withColumn("__ly", F.when(F.col("__bent"), ly).otherwise(y))
+    step = _tilted(step, c, "__lx", "__ly")
+    lx, ly = F.col("__lx"), F.col("__ly")
+    plain = [(m[3 * i] * lx + m[3 * i + 1] * ly + m[3 * i + 2]) / (m[6] * lx + m[7] * ly + m[8]) for i in range(2)]
+    seen = [F.when(F.col("__bent"), m[4 * i] * w + m[3 * i + 2]).otherwise(plain[i]) for i, w in enumerate((lx, ly))]
+    step = step.withColumn(out, F.array(*[F.when(front, s).otherwise(F.lit(float("nan"))) for s in seen]))
+    return step.drop("__z", "__bent", "__x", "__y", "__r", "__g", "__lx", "__ly")
 
 
 def image_region(uv: Column, front: Column, width: Column, height: Column, margin: float) -> tuple[Column, Column]:

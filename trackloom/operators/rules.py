@@ -18,7 +18,7 @@ def regions(frames: DataFrame, s: Settings) -> DataFrame:
     out = frames
     for h in "lr":
         out = out.withColumn(f"{h}_cam", G.in_camera(F.col("rot"), F.col("centre"), F.col(f"{h}_p")))
-        out = out.withColumn(f"{h}_uv", G.projected(F.col(f"{h}_cam"), F.col("k"), F.col("lens")))
+        out = G.with_projection(out, f"{h}_cam", "k", "lens", f"{h}_uv")
         front = F.coalesce((F.col(f"{h}_cam")[2] > 1e-6) & ~F.isnan(F.col(f"{h}_cam")[2]), F.lit(False))
         inside, safe = G.image_region(F.col(f"{h}_uv"), front, F.col("width"), F.col("height"), s.edge_fraction)
         out = out.withColumn(f"{h}_behind", ~front).withColumn(f"{h}_inside", F.coalesce(inside, F.lit(False))).withColumn(f"{h}_safe", F.coalesce(safe, F.lit(False)))

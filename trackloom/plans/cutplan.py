@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.intervals import merged, over, running
@@ -60,11 +60,11 @@ def plan_summary(split: DataFrame) -> DataFrame:
     )
 
 
-def packet_frame(pts, numerator: int, denominator: int, fps: int = 30):
+def packet_frame(pts: Column, numerator: int, denominator: int | Column, fps: int = 30) -> Column:
     """Frame index of a packet at exactly a frame's time (to 1/1000 of a frame), else null; whole-number arithmetic only."""
-    scaled = pts * F.lit(numerator * fps)
-    index = F.floor((2 * scaled + denominator) / F.lit(2 * denominator)).cast("long")
-    return F.when(F.abs(scaled - index * denominator) * 1000 <= denominator, index)
+    scaled, below = pts * F.lit(numerator * fps), denominator if isinstance(denominator, Column) else F.lit(denominator)
+    index = F.floor((2 * scaled + below) / (2 * below)).cast("long")
+    return F.when(F.abs(scaled - index * below) * 1000 <= below, index)
 
 
 def checked_timeline(pieces: DataFrame, episodes: DataFrame) -> DataFrame:

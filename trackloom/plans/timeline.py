@@ -100,3 +100,21 @@ def conservation_errors(pieces: DataFrame, lengths: DataFrame) -> DataFrame:
     joined = checked.join(lengths.select("ep", "n"), "ep", "full_outer")
     wrong = (F.col("start") != F.col("before")) | (F.col("end") <= F.col("start")) | (F.col("after").isNull() & (F.col("end") != F.col("n"))) | F.col("n").isNull() | F.col("start").isNull()
     return joined.filter(wrong)
+
+
+def unbalanced(accounts: DataFrame, lengths: DataFrame) -> DataFrame:
+    """ep, stage, problem of stage accounts that do not add up: a stage must split its input, match what it removes or leaves to another, and
+
+    begin with what the stage before it kept, the first one with the whole episode; the order is S1, S2, S4, S3. Episodes
+    without accounts, and accounts without an episode, are problems too.
+    """
+    place = F.array_position(F.array(*map(F.lit, ("S1", "S2", "S4", "S3"))), F.col("stage"))
+    rows = accounts.join(lengths.select("ep", "n"), "ep", "full_outer").withColumn("__place", place)
+    before = F.when(F.col("__place") == 1, F.col("n")).otherwise(F.lag("kept_frames").over(I.over(["ep"], "__place")))
+    problem = (
+        F.when(F.col("n").isNull(), "no episode").when(F.col("stage").isNull(), "no account")
+        .when(F.col("removed_frames") + F.col("kept_frames") != F.col("input_frames"), "input")
+        .when(F.col("removed_frames") + F.col("overlap_frames") != F.col("matched_frames"), "matches")
+        .when(~F.col("input_frames").eqNullSafe(before), "order")
+    )
+    return rows.select("ep", "stage", problem.alias("problem")).filter("problem IS NOT NULL")

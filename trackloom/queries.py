@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from .config import BITS, REASONS, Settings
 from .functions import geometry as G
+from .functions import pixels
 from .operators import intervals as I
 from .operators import outliers, repair, rules
 from .plans import cutplan, oracle, reports, store, timeline
-from .sources import checks, frames
+from .sources import checks, frames, videos
 
 S = Settings()
 sql = oracle.sql
@@ -152,18 +153,79 @@ _IN_CAM = ", ".join("+".join(f"a[{3 * k + i + 1}]*(4*d[{k + 11}]-d[{k + 14}])" f
 
 @query(_SIX + f""", m AS (SELECT vec_id, d, {_NINE} AS a FROM z), c AS (SELECT vec_id, {_IN_CAM} FROM m), h AS (SELECT vec_id, c0/c2 AS x, c1/c2 AS y FROM c WHERE c2 > 1e-3), r AS (SELECT *, x*x + y*y AS r FROM h),
   g AS (SELECT *, 1 + ({_LENS[0]})*r + ({_LENS[1]})*r*r + ({_LENS[4]})*r*r*r AS g FROM r), l AS (SELECT vec_id, x*g + 2*({_LENS[2]})*x*y + ({_LENS[3]})*(r+2*x*x) AS x, y*g + ({_LENS[2]})*(r+2*y*y) + 2*({_LENS[3]})*x*y AS y FROM g WHERE r < 4),
-  w AS (SELECT vec_id, {_PINHOLE[0]}*x + {_PINHOLE[1]}*y + {_PINHOLE[2]} AS u, {_PINHOLE[4]}*y + {_PINHOLE[5]} AS v FROM l)
+  w AS (SELECT vec_id, {_PINHOLE[0]}*x + {_PINHOLE[2]} AS u, {_PINHOLE[4]}*y + {_PINHOLE[5]} AS v FROM l)
   SELECT vec_id, {_q4('u')} AS u, {_q4('v')} AS v, u >= 0 AND u < 128 AND v >= 0 AND v < 96 AS inside, u >= 6.4 AND u < 121.6 AND v >= 4.8 AND v < 91.2 AS safe FROM w""")
 def lens_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points before cameras at any attitude, through a lens with five coefficients, a skewed sensor and an image that is not square."""
-    rows = _rotations(spark, sf_dir).withColumn("point", F.transform(F.slice("embedding", 11, 3), lambda x: 4 * x)).withColumn("centre", F.slice("embedding", 14, 3))
-    # Written before it is filtered: a filter pushed down would write out every step of the rotation anew for each use.
-    rows = store.written(rows.withColumn("cam", G.in_camera(F.col("m"), F.col("centre"), F.col("point"))).select("vec_id", "cam"), "seen").filter("cam[2] > 1e-3 AND pow(cam[0] / cam[2], 2) + pow(cam[1] / cam[2], 2) < 4")
-    rows = rows.withColumn("uv", G.projected(F.col("cam"), G.vector(*_PINHOLE), G.vector(*_LENS)))
+    """Points before cameras at any attitude, through a lens with five coefficients, and an image that is not square; skew does not follow a lens."""
+    rows = _seen_points(spark, sf_dir).withColumn("k", G.vector(*_PINHOLE)).withColumn("lens", G.vector(*_LENS))
+    rows = G.with_projection(rows, "cam", "k", "lens", "uv")
     inside, safe = G.image_region(F.col("uv"), F.lit(True), F.lit(128), F.lit(96), S.edge_fraction)
     return rows.select("vec_id", *[(F.round(F.col("uv")[i], 4) + F.lit(0.0)).alias(n) for i, n in enumerate("uv")], inside.alias("inside"), safe.alias("safe"))
 
 
+def _seen_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rotations(spark, sf_dir).withColumn("point", F.transform(F.slice("embedding", 11, 3), lambda x: 4 * x)).withColumn("centre", F.slice("embedding", 14, 3))
+    # Written before it is filtered: a filter pushed down would write out every step of the rotation anew for each use.
+    rows = store.written(rows.withColumn("cam", G.in_camera(F.col("m"), F.col("centre"), F.col("point"))).select("vec_id", "cam"), "seen")
+    return rows.filter("cam[2] > 1e-3 AND pow(cam[0] / cam[2], 2) + pow(cam[1] / cam[2], 2) < 4")
+
+
+#: Lenses of every model, and none.
+_MODELS = (
+    (0.0, 0.0, 0.0, 0.0), (0.1, -0.05, 0.01, -0.02), _LENS, (*_LENS, 0.2, 0.05, 0.01), (*_LENS, 0.2, 0.05, 0.01, 0.02, -0.01, 0.015, 0.03),
+    (*_LENS, 0.2, 0.05, 0.01, 0.02, -0.01, 0.015, 0.03, 0.1, -0.15), (0.0,) * 12 + (0.1, -0.15),
+)
+
+
+def _models_sql() -> str:
+    """Every model with all fourteen coefficients; the tilt as the plane through which a ray meets the turned sensor."""
+    rows = ", ".join(f"({i}, {len(m)}, [{', '.join(map(str, (*m, *[0.0] * (14 - len(m)))))}]::DOUBLE[])" for i, m in enumerate(_MODELS))
+    radial = "(1 + c[1]*r + c[2]*r*r + c[5]*r*r*r) / (1 + c[6]*r + c[7]*r*r + c[8]*r*r*r)"
+    return _SIX + f""", m AS (SELECT vec_id, d, {_NINE} AS a FROM z), q AS (SELECT vec_id, {_IN_CAM} FROM m), h AS (SELECT vec_id, c0/c2 AS x, c1/c2 AS y FROM q WHERE c2 > 1e-3),
+  o AS (SELECT *, x*x + y*y AS r FROM h, (VALUES {rows}) AS v(model, size, c)),
+  l AS (SELECT vec_id, model, size, c, x*{radial} + 2*c[3]*x*y + c[4]*(r+2*x*x) + c[9]*r + c[10]*r*r AS x, y*{radial} + c[3]*(r+2*y*y) + 2*c[4]*x*y + c[11]*r + c[12]*r*r AS y FROM o WHERE r < 4),
+  t AS (SELECT *, sin(c[13]) AS sa, cos(c[13]) AS ca, sin(c[14]) AS sb, cos(c[14]) AS cb FROM l),
+  f AS (SELECT *, cb*x + sb*sa*y - sb*ca AS ex, ca*y + sa AS ey, sb*x - cb*sa*y + cb*ca AS ez FROM t),
+  p AS (SELECT vec_id, model, size, (cb*ca*ex + sb*ca*ez) / ez AS x, (cb*ca*ey - sa*ez) / ez AS y FROM f)
+  SELECT vec_id, model, size AS coefficients, {_q4(f"{_PINHOLE[0]}*x + CASE WHEN model = 0 THEN {_PINHOLE[1]}*y ELSE 0 END + {_PINHOLE[2]}")} AS u, {_q4(f"{_PINHOLE[4]}*y + {_PINHOLE[5]}")} AS v FROM p"""
+
+
+@query(_models_sql())
+def lens_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points through lenses of 4, 5, 8, 12 and 14 coefficients, one that is only tilted, and none."""
+    lens = F.create_map(*[x for i, m in enumerate(_MODELS) for x in (F.lit(i), G.vector(*m))])
+    rows = _seen_points(spark, sf_dir).withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(len(_MODELS) - 1))))
+    rows = G.with_projection(rows.withColumn("k", G.vector(*_PINHOLE)).withColumn("lens", lens[F.col("model")]), "cam", "k", "lens", "uv")
+    return rows.select("vec_id", "model", F.size("lens").alias("coefficients"), *[(F.round(F.col("uv")[i], 4) + F.lit(0.0)).alias(n) for i, n in enumerate("uv")])
+
+
+@query("SELECT vec_id, round((vec_id * 37 % 18001) / 100.0::DOUBLE, 3) AS angle FROM embeddings UNION ALL SELECT -1 - vec_id, CASE vec_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 0.002 WHEN 2 THEN 179.998 ELSE 180 END::DOUBLE FROM embeddings")
+def quaternion_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's rotation, and the same turned by a known angle about its own third axis: from 0 to 180 degrees, and close to both ends."""
+    rows = _rotations(spark, sf_dir).select("vec_id", "m")
+    some = rows.withColumn("degrees", F.expr("(vec_id * 37 % 18001) / 100D"))
+    ends = rows.select((-1 - F.col("vec_id")).alias("vec_id"), "m", F.expr("CASE vec_id % 4 WHEN 0 THEN 0D WHEN 1 THEN 0.002D WHEN 2 THEN 179.998D ELSE 180D END").alias("degrees"))
+    rows = some.unionByName(ends).withColumn("c", F.cos(F.radians("degrees"))).withColumn("s", F.sin(F.radians("degrees")))
+    m, c, s = F.col("m"), F.col("c"), F.col("s")
+    turned = F.array(*[x for i in range(3) for x in (m[3 * i] * c + m[3 * i + 1] * s, m[3 * i + 1] * c - m[3 * i] * s, m[3 * i + 2])])
+    return G.with_quaternion_angle(rows.withColumn("to", turned), "m", "to", "angle").select("vec_id", (F.round("angle", 3) + F.lit(0.0)).alias("angle"))
+
+
+_SAMPLES = ("(x + 1) * 100", "(x + 1) * 100 + (i + vec_id) % 7 - 3")
+
+
+@query(f"""WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({_SAMPLES[0]}) AS INTEGER)) AS a, list_transform(embedding, lambda x, i: CASE WHEN vec_id % 9 = 0 THEN CAST(floor({_SAMPLES[0]}) AS INTEGER) ELSE CAST(floor({_SAMPLES[1].replace('i +', '(i - 1) +')}) AS INTEGER) END) AS b FROM embeddings),
+  e AS (SELECT vec_id, list_sum(list_transform(range(1, len(a) + 1), lambda i: (a[i] - b[i]) * (a[i] - b[i]))) / len(a)::DOUBLE AS mse FROM p)
+  SELECT vec_id, round(mse, 6) AS mse, CASE WHEN mse > 0 THEN round(10 * log10(65025 / mse), 6) END AS psnr, mse = 0 OR 10 * log10(65025 / mse) >= 24 AS passes FROM e""")
+def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as images of 8-bit samples, and the same with some noise; every ninth without any."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    a = F.expr(f"transform(embedding, x -> cast(floor({_SAMPLES[0]}) AS int))")
+    b = F.expr(f"transform(embedding, (x, i) -> cast(floor(CASE WHEN vec_id % 9 = 0 THEN {_SAMPLES[0]} ELSE {_SAMPLES[1]} END) AS int))")
+    rows = rows.withColumn("mse", pixels.mse(a, b)).withColumn("db", pixels.psnr(F.col("mse")))
+    return rows.select("vec_id", F.round("mse", 6).alias("mse"), F.when(F.col("mse") > 0, F.round("db", 6)).alias("psnr"), (F.col("db") >= pixels.LEAST_PSNR).alias("passes"))
+
+
 # S1: detection
 
 
@@ -416,6 +478,23 @@ def stage_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.stage_accounts(store.frames(spark, sf_dir)).drop("matched_intervals", "removed_intervals")
 
 
+_ACCOUNTS = " UNION ALL ".join(_STAGE.format(*x) for x in (("S1", "true", "s1", 1), ("S2", "NOT s1", "s2", 2), ("S4", "keep", "s4 > 0", 4), ("S3", "keep AND s4 = 0", "s3 > 0", 3)))
+
+
+@query(sql("""SELECT coalesce(a.ep, l.ep) AS ep, stage, CASE WHEN n IS NULL THEN 'no episode' WHEN stage IS NULL THEN 'no account' WHEN r + k <> i THEN 'input' WHEN r + o <> m THEN 'matches' ELSE 'order' END AS problem
+  FROM a FULL JOIN (SELECT * FROM lengths WHERE ep % 11 <> 4) l ON a.ep = l.ep WHERE n IS NULL OR stage IS NULL OR r + k <> i OR r + o <> m OR i <> coalesce(before, n)""").replace("\nSELECT coalesce(a.ep", f""",
+a0 AS ({_ACCOUNTS}),
+a AS (SELECT ep, stage, input_frames - CASE WHEN ep % 11 = 1 AND stage = 'S2' THEN 1 ELSE 0 END AS i, matched_frames + CASE WHEN ep % 11 = 2 AND stage = 'S4' THEN 1 ELSE 0 END AS m, removed_frames AS r, overlap_frames AS o,
+  kept_frames AS k, lag(kept_frames) OVER (PARTITION BY ep ORDER BY CASE stage WHEN 'S1' THEN 1 WHEN 'S2' THEN 2 WHEN 'S4' THEN 3 ELSE 4 END) AS before FROM a0 WHERE ep % 11 <> 3 AND NOT (ep % 11 = 5 AND stage = 'S2' AND removed_frames > 0))
+SELECT coalesce(a.ep"""))
+def unbalanced_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with planted losses: a frame less, a match more, no accounts, no episode, and a stage that is missing."""
+    rows = store.frames(spark, sf_dir)
+    lost = timeline.stage_accounts(rows).filter("ep % 11 <> 3 AND NOT (ep % 11 = 5 AND stage = 'S2' AND removed_frames > 0)")
+    lost = lost.withColumn("input_frames", F.expr("input_frames - CASE WHEN ep % 11 = 1 AND stage = 'S2' THEN 1 ELSE 0 END")).withColumn("matched_frames", F.expr("matched_frames + CASE WHEN ep % 11 = 2 AND stage = 'S4' THEN 1 ELSE 0 END"))
+    return timeline.unbalanced(lost, rows.groupBy("ep").agg(F.max("n").alias("n")).filter("ep % 11 <> 4"))
+
+
 @query(sql(f"""SELECT reason::BIGINT AS reason, CASE reason {_NAMES} END AS name, sum(e)::BIGINT AS exclusive_frames, sum(m)::BIGINT AS matched_frames FROM (SELECT reason, "end" - "start" AS e, 0 AS m FROM tl WHERE code > 0 UNION ALL SELECT unnest(matches), 0, "end" - "start" FROM ms) GROUP BY reason"""))
 def reason_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.reason_accounts(_pieces(spark, sf_dir)).select(long("reason"), "name", "exclusive_frames", "matched_frames")
@@ -500,6 +579,43 @@ def packet_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.coalesce(cutplan.packet_frame(F.col("event_id") * 256, 1, 15360), F.lit(-1).cast("long")).alias("frame"))
 
 
+#: A frame lasts so many units of a video's time.
+_TICKS, _SCALE = 512, 15360
+
+
+@query(sql("""SELECT ep, view, CASE WHEN ep % 13 = 1 THEN 'no video' WHEN ep % 13 = 2 THEN 'streams' WHEN ep % 13 = 3 THEN 'codec' WHEN ep % 13 = 4 THEN 'rate' WHEN ep % 13 = 5 THEN 'timestamp' WHEN ep % 13 = 6 THEN 'duplicate'
+  WHEN ep % 13 = 7 OR base + n > have THEN 'missing' ELSE 'keyframe' END AS problem FROM (SELECT ep, n, n + 20 AS have, v AS view, CASE v WHEN 'a' THEN 0 ELSE 7 + (ep % 13 = 9)::INT * 14 END AS base FROM (SELECT ep, max(n) AS n FROM base GROUP BY ep), (VALUES ('a'), ('b')) AS w(v))
+  WHERE ep % 13 BETWEEN 1 AND 7 OR (ep % 13 = 8 AND base < 10) OR base + n > have"""))
+def packet_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos of two views with a packet for each frame and twenty more, decoded out of order, with a planted fault for each check; most have none."""
+    rows = frames.from_lineitem(spark, sf_dir).groupBy("ep").agg(F.max("n").alias("n"))
+    kind = F.col("ep") % 13
+    wanted = rows.select("ep", "n", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("view"))
+    base = F.when(F.col("view") == "a", 0).otherwise(7 + F.when(kind == 9, 14).otherwise(0)).cast("long")
+    wanted = wanted.withColumn("base", base).withColumn("path", F.concat_ws("/", "view", "ep"))
+    made = wanted.filter(kind != 1).withColumn("f", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") + 19)))
+    made = made.filter(~((kind == 7) & (F.col("f") == F.col("base") + 5)))
+    shown = F.when((kind == 6) & (F.col("f") == 31), 30).otherwise(F.col("f")) * _TICKS + F.when((kind == 5) & (F.col("f") == 40), 100).otherwise(0)
+    made = made.select(
+        "path", F.col("f").alias("sample"), shown.alias("pts"), F.when(kind == 4, _TICKS + 1).otherwise(_TICKS).cast("long").alias("duration"), F.lit(_SCALE).cast("long").alias("timescale"),
+        ((F.col("f") % 30 == F.when(kind == 8, 10).otherwise(0))).alias("key"), F.when(kind == 3, "hev1").otherwise("avc1").alias("codec"), F.when(kind == 2, 2).otherwise(1).alias("streams"),
+    )
+    return videos.packet_failures(made, wanted)
+
+
+@query(sql("""SELECT ep, f AS position, CASE WHEN ep % 5 = 1 THEN 'truncated' WHEN ep % 5 = 2 THEN 'extra' WHEN ep % 5 = 4 AND f = 6 THEN 'twice' WHEN ep % 5 = 4 THEN 'truncated' ELSE 'bytes' END AS problem
+  FROM (SELECT ep, f, n FROM base UNION ALL SELECT ep, max(n), max(n) FROM base GROUP BY ep) WHERE (ep % 5 = 1 AND f BETWEEN n - 3 AND n - 1) OR (ep % 5 = 2 AND f = n) OR (ep % 5 = 3 AND f IN (20, 21)) OR (ep % 5 = 0 AND f = 33 AND f < n) OR (ep % 5 = 4 AND f IN (6, 7))"""))
+def stream_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams against copies that lack their end, go on too long, have two samples exchanged, a byte changed, or one written over the next one's place."""
+    rows = frames.from_lineitem(spark, sf_dir).select("ep", "n", F.col("f").alias("position"), F.sha2(F.concat_ws(":", "ep", "f", "ts"), 256).alias("digest"))
+    kind, at = F.col("ep") % 5, F.col("position")
+    more = rows.filter((kind == 2) & (at == F.col("n") - 1)).withColumn("position", F.col("n"))
+    made = rows.filter(~((kind == 1) & (at >= F.col("n") - 3))).unionByName(more)
+    moved = F.when((kind == 3) & at.isin(20, 21), 41 - at).when((kind == 4) & (at == 7), 6).otherwise(at)
+    made = made.withColumn("digest", F.when((kind == 0) & (at == 33), F.reverse("digest")).otherwise(F.col("digest"))).withColumn("position", moved)
+    return videos.stream_differences(rows, made, ["ep"]).select("ep", "position", "problem")
+
+
 # Clip plans
 
 

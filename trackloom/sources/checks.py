@@ -87,6 +87,25 @@ def episode_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:
     return both.select(F.inline(F.array(*rows)))
 
 
+def camera_failures(episodes: DataFrame) -> DataFrame:
+    """check, failures, first_ep: episodes whose intrinsics are not nine finite numbers with positive focal lengths, whose lens has a
+
+    coefficient that is not finite or a number of them that no model has, or whose image has no size.
+    """
+    k, lens = F.col("k"), F.col("lens")
+    odd = lambda c: F.exists(c, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    tests = {
+        "intrinsics_shape": ~F.coalesce(F.size(k) == 9, F.lit(False)),
+        "intrinsics_finite": odd(k),
+        "focal_length": ~F.coalesce((F.get(k, F.lit(0)) > 0) & (F.get(k, F.lit(4)) > 0), F.lit(False)),
+        "lens_finite": F.coalesce(odd(lens), F.lit(True)),
+        "lens_model": ~F.size(lens).isin(*G.LENS_SIZES) & F.exists(lens, lambda x: x != 0),
+        "image_size": ~F.coalesce((F.col("width") > 0) & (F.col("height") > 0), F.lit(False)),
+    }
+    sums = episodes.agg(*[x for n, t in tests.items() for x in (F.count_if(t).alias(f"n_{n}"), F.min(F.when(t, F.col("ep"))).alias(f"e_{n}"))])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"n_{n}").alias("failures"), F.col(f"e_{n}").alias("first_ep")) for n in tests])))
+
+
 def scanner_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:
     """check, failures: what a scan of recordings asks beyond ``episode_failures``: delay 1, layout version, videos of their own from 0."""
     starts = F.count_if(F.greatest(*[F.abs(F.col(f"{v}_from")) for v in ("camera_reference", "camera_aux_0")]) != 0)
