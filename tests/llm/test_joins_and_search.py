@@ -197,3 +197,15 @@ def test_equal_average_search_is_exhaustive_search():
         far = ((parts[:, None] - book[None]) ** 2).sum(2)
         found, best = vector_codes.nearest(parts, book)
         assert (found == far.argmin(1)).all() and (best == far.min(1)).all()
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 64, rng.integers(0, 900), dtype=np.uint64)) for _ in range(12)]
+    sets += [np.delete(sets[3], [0, 5]), np.unique(np.r_[sets[4], np.uint64(77)])]
+    text, value = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+    bits = jaccard_join._parities(text, value, len(sets)).reshape(len(sets), -1)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert np.bitwise_count(bits[i] ^ bits[j]).sum() <= len(np.setxor1d(a, b))
+    assert np.bitwise_count(bits[3] ^ bits[12]).sum() == 2 and np.bitwise_count(bits[4] ^ bits[13]).sum() == 1

@@ -72,14 +72,24 @@ def _digests(text: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray
     return bounds, np.frombuffer(made, np.int64).reshape(rows, 2)
 
 
+def _parities(text: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """LONGS times 64 bits for each text, one for each part of the hash space that holds an odd number of its values."""
+    shift = np.uint64(64 - (64 * LONGS).bit_length() + 1)
+    part = value >> shift  # in order, as the values are
+    word, bit = text * LONGS + (part >> np.uint64(6)).astype(np.int64), np.uint64(1) << (part & np.uint64(63))
+    out = np.zeros(rows * LONGS, np.uint64)
+    if len(word):
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        out[word[first]] = np.bitwise_xor.reduceat(bit, first)
+    return out
+
+
 def _key() -> Column:
     return F.xxhash64("doc_id", "text").alias("key")
 
 
 def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, key (of doc_id and text), n (size of the set), d1, d2 (digest of the set), counted (hashes that are counted), parts (a bit for each part of the hash space: whether it has an odd number of shingles)."""
-    shift = np.uint64(64 - (64 * LONGS).bit_length() + 1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
@@ -91,8 +101,7 @@ def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 take = np.where(100 * n < percent * (n + 1), 0, np.where(low >= prefix, low, n))  # a smaller set links with no other one
                 some = np.arange(len(text)) - bounds[text] < take[text]
                 listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(take)].astype(np.int32)), pa.array(value[some].view(np.int64)))
-                odd = np.bincount(text * 64 * LONGS + (value >> shift).astype(np.int64), minlength=part.num_rows * 64 * LONGS).astype(np.uint8) & 1
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * LONGS), pa.array(np.packbits(odd, bitorder="little").view(np.int64)))
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * LONGS), pa.array(_parities(text, value, part.num_rows).view(np.int64)))
                 own = [part.column(c) for c in ("row", "doc_id", "key")]
                 yield pa.record_batch([*own, pa.array(n), pa.array(digest[:, 0]), pa.array(digest[:, 1]), listed, parts], ["row", "doc_id", "key", "n", "d1", "d2", "counted", "parts"])
 
