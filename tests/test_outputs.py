@@ -43,7 +43,7 @@ def test_a_broken_run_is_taken_up(spark, root, done, tmp_path, monkeypatch):  #
         m.setattr(sinks, "write_csv", crash)
         with pytest.raises(RuntimeError, match="lost"):
             pipeline.run(spark, root, out)
-    assert sinks.written_whole(spark, f"{out}/stages/points") and not sinks.exists(spark, f"{out}/complete")
+    assert sinks.written_whole(spark, f"{out}/stages/points/batch=0") and not sinks.exists(spark, f"{out}/complete")
     (tmp_path / "out/timeline.csv").mkdir()  # as if a writer had begun
     with monkeypatch.context() as m:
         m.setattr(pipeline.outliers, "detected", lambda *a: a[0].withColumn("code", F.raise_error(F.lit("made again"))))

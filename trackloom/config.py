@@ -57,6 +57,9 @@ class Settings:
         return hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()
 
 
+#: Changes whenever the rules give other results, so that what an earlier version wrote is not taken up.
+ALGORITHM = "3"
+
 #: Names of bits of S1 codes, and of timeline reasons.
 BITS = {1: "block_position_jump", 2: "block_rotation_jump", 4: "hampel_position_spike", 8: "hampel_rotation_spike", 16: "nonfinite_pose", 32: "invalid_rotation", 64: "delay_mismatch"}
 REASONS = {0: "keep", 1: "s1_outlier", 2: "s2_hands_at_edge", 31: "s3_translation", 32: "s3_rotation", 33: "s3_both", 41: "s4_translation", 42: "s4_rotation", 43: "s4_both"}

@@ -92,6 +92,7 @@ def _seen(rows: DataFrame) -> DataFrame:
 def edges(spark: SparkSession, root: str, output: str, s: Settings = Settings(), sample: int | None = None, seed: int = 0) -> dict:
     """Videos and segments in which both hands are at the image border or outside."""
     rows, episodes, errors = sound(spark, root, sample, seed, scanner=False)
+    checks.require(checks.camera_failures(episodes))
     judged = written(rules.hands_at_edge(_seen(rows), s), "edges")
     paths = episodes.select("ep", F.col("camera_reference_path").alias("video_path"), F.round(F.col("n") / float(s.fps), 6).alias("video_duration_seconds"))
     videos, parts = reports.edge_videos(judged, s), rules.edge_segments(judged)

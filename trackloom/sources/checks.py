@@ -49,15 +49,18 @@ def failing_episodes(frames: DataFrame) -> DataFrame:
     return by_ep.select("ep", F.concat_ws(";", *[F.when(F.col(n), F.lit(n)) for n in flags]).alias("problems")).filter("problems <> ''")
 
 
+def _index_wrong() -> Column:
+    return ~F.col("dataset_index").eqNullSafe(F.col("from_index") + F.col("f")) | ((F.col("f") == F.col("n") - 1) & ~F.col("to_index").eqNullSafe(F.col("from_index") + F.col("n")))
+
+
 def index_failures(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     """Frames whose dataset index is not the episode's first index plus the frame number, and the last where the episode's indices end elsewhere."""
     at = frames.join(episodes.select("ep", "from_index", "to_index"), "ep")
-    wrong = ~F.col("dataset_index").eqNullSafe(F.col("from_index") + F.col("f")) | ((F.col("f") == F.col("n") - 1) & ~F.col("to_index").eqNullSafe(F.col("from_index") + F.col("n")))
-    return at.filter(wrong).select("ep", "f", "dataset_index")
+    return at.filter(_index_wrong()).select("ep", "f", "dataset_index")
 
 
-def delay_failures(frames: DataFrame, atol: float = 1e-6) -> DataFrame:
-    """check, failures: rows before the last whose action is not the next state, of poses and, where there are both, of grippers."""
+def delay_tests(frames: DataFrame, atol: float = 1e-6) -> tuple[DataFrame, dict[str, Column]]:
+    """Frames with what the tests need, and the tests: rows before the last whose action is not the next state, of poses and, where there are both, of grippers."""
     tagged, w = delay_rows(frames, atol), Window.partitionBy("ep").orderBy("f")
     inner = F.col("f") < F.col("n") - 1
     tests = {f"delay_{h}_pose": ~F.col(f"{h}_matches") for h in "lr"}
@@ -65,10 +68,31 @@ def delay_failures(frames: DataFrame, atol: float = 1e-6) -> DataFrame:
         if {f"{h}_grip", f"{h}_agrip"} <= set(frames.columns):
             tagged = tagged.withColumn(f"{h}_next", F.lead(f"{h}_grip").over(w))
             tests[f"delay_{h}_gripper"] = ~G.isclose(F.get(f"{h}_agrip", F.lit(0)), F.get(f"{h}_next", F.lit(0)), atol)
-    sums = tagged.agg(*[F.count_if(inner & t).alias(n) for n, t in tests.items()])
+    return tagged, {n: inner & t for n, t in tests.items()}
+
+
+def _summed(tagged: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """check, failures: one aggregate over conditions that are columns first."""
+    flags = tagged.select(*[t.alias(n) for n, t in tests.items()])
+    sums = flags.agg(*[F.count_if(n).alias(n) for n in tests])
     return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in tests])))
 
 
+def delay_failures(frames: DataFrame, atol: float = 1e-6) -> DataFrame:
+    """check, failures of ``delay_tests``."""
+    return _summed(*delay_tests(frames, atol))
+
+
+def run_failures(frames: DataFrame, episodes: DataFrame, atol: float = 1e-6) -> DataFrame:
+    """check, failures of all that frames must meet before a run: one pass over frames dealt by ep."""
+    tagged, tests = delay_tests(frames, atol)
+    tests = frame_flags(frames) | tests
+    if "dataset_index" in frames.columns:
+        tagged = tagged.join(episodes.select("ep", "from_index", "to_index"), "ep")
+        tests["dataset_index"] = _index_wrong()
+    return _summed(tagged, tests)
+
+
 def episode_failures(episodes: DataFrame, info: DataFrame) -> DataFrame:
     """check, failures over the metadata: contiguous episodes, totals, own files, video durations, frame rate."""
     sums = episodes.agg(

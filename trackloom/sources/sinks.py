@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +24,15 @@ def write_labels(labels: DataFrame, path: str, verify: bool = True) -> None:
     labels: canonical columns with what repair adds. Rows keep their order within an episode.
     """
     out = renamed(labels, back=True).withColumn("chunk", F.floor(F.col("`episode_index`") / 1000))
-    out.repartition("chunk", F.col("`episode_index`")).sortWithinPartitions("`episode_index`", "`frame_index`").write.option("compression", "zstd").partitionBy("chunk").mode("overwrite").parquet(path)
+    # By ranges, so that a task writes to few folders.
+    out.repartitionByRange("`episode_index`").sortWithinPartitions("`episode_index`", "`frame_index`").write.option("compression", "zstd").partitionBy("chunk").mode("overwrite").parquet(path)
     if verify and not changed_rows(labels, renamed(labels.sparkSession.read.parquet(path).drop("chunk")), ["ep", "f"]).isEmpty():
         raise IOError(f"{path} differs from what was written")
 
 
 def unmarked_changes(source: DataFrame, path: str) -> DataFrame:
     """Keys of written labels that differ from ``source`` outside of the poses that they mark as repaired."""
-    saved = renamed(source.sparkSession.read.parquet(path).drop("chunk"))
+    saved = renamed(source.sparkSession.read.parquet(path).drop("batch", "chunk"))
     marks = {f"{h}_{a}{x}": (f"{kind}.eef_repaired", i) for i, h in enumerate("lr") for a, kind in (("", "observation.state"), ("a", "action")) for x in ("p", "r6")}
     flags = saved.select("ep", "f", *[F.col(f"`{m}`")[i].alias(f"__{c}") for c, (m, i) in marks.items()])
     plain = lambda df: df.join(flags, ["ep", "f"], "left").select(*[F.when(~F.col(f"__{c}"), F.col(c)).alias(c) if c in marks else F.col(f"`{c}`") for c in source.columns])
@@ -103,6 +109,41 @@ def read_note(spark: SparkSession, path: str) -> dict | None:
     return json.loads(spark.read.text(path).first()["value"])
 
 
+#: Seconds after which a lock that nobody renewed may be taken over.
+LEASE = 6 * 3600
+
+
+@contextmanager
+def exclusive(spark: SparkSession, path: str, lease: float = LEASE) -> Iterator[Callable[[], None]]:
+    """Hold ``path``, which is created or not at all, while the block runs; another holder raises. Gives a function that renews the hold.
+
+    A holder that died leaves the file; after ``lease`` seconds without renewal one of those who come moves it away and takes its place.
+    """
+    place, system = _place(spark, path)
+    owner = f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}"
+    for _ in range(2):
+        try:
+            stream = system.create(place, False)
+            stream.write(bytearray(owner.encode()))
+            stream.close()
+            break
+        except Py4JJavaError:
+            if not system.exists(place):
+                raise
+            age = time.time() - system.getFileStatus(place).getModificationTime() / 1000
+            if age <= lease:
+                raise RuntimeError(f"another run holds {path}, last renewed {age:.0f} seconds ago") from None
+            stale = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+            if system.rename(place, stale):
+                system.delete(stale, False)
+    else:
+        raise RuntimeError(f"another run has just taken {path}")
+    try:
+        yield lambda: system.setTimes(place, int(time.time() * 1000), -1)
+    finally:
+        system.delete(place, False)
+
+
 def digest(rows: DataFrame) -> str:
     """Rows and the sum of their hashes: the same for the same rows, in whatever files and order."""
     found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38)")).alias("h")).first()
