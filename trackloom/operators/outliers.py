@@ -47,14 +47,19 @@ def posed(trajectory: DataFrame) -> DataFrame:
     return with_rot.withColumn("valid", F.col("finite") & F.col("__valid")).withColumn("q", G.clean(F.col("p"), 3)).drop("__valid")
 
 
+def whole(w):
+    """All rows of the partition, in the order that ``w`` has: windows over one order are one pass, whatever their frames."""
+    return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def steps(rows: DataFrame, group: str) -> DataFrame:
-    """Adds, among the rows of the same ``group`` flag: v (number from 0), m (how many), next, pos and rot per frame."""
+    """Adds, among the rows of the same ``group`` flag: v (number from 0), m (how many), next_q, pos and rot_step per frame."""
     w = over([*KEYS, group], "pt")
-    out = rows.withColumn("v", F.row_number().over(w) - 1).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(*KEYS, group)))
-    out = out.withColumn("next", F.lead(F.struct("pt", "q", "rot")).over(w))
-    gap = (F.col("next.pt") - F.col("pt")).cast("double")
-    out = out.withColumn("pos", G.distance(F.col("q"), F.col("next.q")) / gap)
-    return G.with_angle(out, "rot", "next.rot", "rot_step").withColumn("rot_step", F.col("rot_step") / gap)
+    after = [F.lead(c).over(w).alias(f"__next_{c}") for c in ("pt", "q", "rot")]
+    out = rows.select("*", (F.row_number().over(w) - 1).alias("v"), F.count(F.lit(1)).over(whole(w)).alias("m"), *after)
+    gap = (F.col("__next_pt") - F.col("pt")).cast("double")
+    out = out.withColumn("pos", G.distance(F.col("q"), F.col("__next_q")) / gap)
+    return G.with_angle(out, "rot", "__next_rot", "rot_step").withColumn("rot_step", F.col("rot_step") / gap).withColumnRenamed("__next_q", "next_q").drop("__next_pt", "__next_rot")
 
 
 def blocks(rows: DataFrame, s: Settings) -> DataFrame:
@@ -67,15 +72,15 @@ def blocks(rows: DataFrame, s: Settings) -> DataFrame:
     edge = steps(rows, "valid")
     big_p, big_r = F.coalesce(F.col("pos") > s.position_step, F.lit(False)), F.coalesce(F.col("rot_step") > s.rotation_step, F.lit(False))
     edge = edge.withColumn("__jump", F.col("valid") & (F.col("m") >= 4) & (big_p | big_r))
-    mark = F.when(F.col("__jump"), F.struct(F.col("v"), big_p.alias("p"), big_r.alias("r"), F.col("q"), F.col("next.q").alias("q2")))
-    edge = edge.withColumn("__mark", mark)
+    mark = F.when(F.col("__jump"), F.struct(F.col("v"), big_p.alias("p"), big_r.alias("r"), F.col("q"), F.col("next_q").alias("q2")))
+    edge = edge.withColumn("__mark", mark).drop("m", "next_q", "pos", "rot_step")
     before = F.last("__mark", ignorenulls=True).over(over([*KEYS, "valid"], "pt").rowsBetween(Window.unboundedPreceding, -1))
     after = F.last("__mark", ignorenulls=True).over(over([*KEYS, "valid"], F.desc("pt")).rowsBetween(Window.unboundedPreceding, 0))
     edge = edge.withColumn("__e", before).withColumn("__f", after)
     e, f = F.col("__e"), F.col("__f")
     is_block = F.col("valid") & (f.v - e.v <= s.max_block) & (G.distance(e.q, f.q2) < s.recovery)
     bits = (e.p | f.p).cast("int") + F.lit(2) * (e.r | f.r).cast("int")
-    return edge.withColumn("block", F.when(F.coalesce(is_block, F.lit(False)), bits).otherwise(F.lit(0))).drop("__jump", "__mark", "__e", "__f", "v", "m", "next", "pos", "rot_step")
+    return edge.withColumn("block", F.when(F.coalesce(is_block, F.lit(False)), bits).otherwise(F.lit(0))).drop("__jump", "__mark", "__e", "__f", "v")
 
 
 def spike(big: Column, w, first: Column, last: Column) -> Column:
@@ -89,17 +94,18 @@ def hampel(rows: DataFrame, s: Settings) -> DataFrame:
     """Adds pos_threshold, rot_threshold and ``spike`` (bits 4 and 8) among valid rows outside blocks, where there are five or more."""
     out = steps(rows.withColumn("calm", F.col("valid") & (F.col("block") == 0)), "calm")
     everything, w = Window.partitionBy(*KEYS, "calm"), over([*KEYS, "calm"], "pt")
-    for name, column, floor in (("pos", "pos", s.hampel_position), ("rot", "rot_step", s.hampel_rotation)):
-        out = out.withColumn("__median", F.median(column).over(everything))
-        out = out.withColumn("__mad", F.median(F.abs(F.col(column) - F.col("__median"))).over(everything))
-        enough = F.col("calm") & (F.col("m") >= 5)
-        out = out.withColumn(f"{name}_threshold", F.when(enough, F.greatest(F.lit(floor), F.col("__median") + s.hampel_k * 1.4826 * F.col("__mad"))))
-        out = out.withColumn(f"__big_{name}", F.coalesce(F.col(column) > F.col(f"{name}_threshold"), F.lit(False)))
+    kinds = (("pos", "pos", s.hampel_position), ("rot", "rot_step", s.hampel_rotation))
+    out = out.drop("next_q").select("*", *[F.median(column).over(everything).alias(f"__median_{name}") for name, column, _ in kinds])
+    out = out.select("*", *[F.median(F.abs(F.col(column) - F.col(f"__median_{name}"))).over(everything).alias(f"__mad_{name}") for name, column, _ in kinds])
+    enough = F.col("calm") & (F.col("m") >= 5)
+    limits = [F.when(enough, F.greatest(F.lit(floor), F.col(f"__median_{name}") + s.hampel_k * 1.4826 * F.col(f"__mad_{name}"))).alias(f"{name}_threshold") for name, _, floor in kinds]
+    out = out.select("*", *limits).select("*", *[F.coalesce(F.col(column) > F.col(f"{name}_threshold"), F.lit(False)).alias(f"__big_{name}") for name, column, _ in kinds])
+    out = out.drop(*[f"__{x}_{name}" for x in ("median", "mad") for name, *_ in kinds], "pos", "rot_step")
     first, last = F.col("v") == 0, F.col("v") == F.col("m") - 1
     bits = F.lit(0)
     for name, bit in (("pos", 4), ("rot", 8)):
         bits = bits + F.when(F.col("calm") & (F.col("m") >= 5) & spike(F.col(f"__big_{name}"), w, first, last), bit).otherwise(0)
-    return out.withColumn("spike", bits).drop("__median", "__mad", "__big_pos", "__big_rot", "v", "m", "next", "pos", "rot_step")
+    return out.withColumn("spike", bits).drop("__big_pos", "__big_rot", "v", "m")
 
 
 def detected(trajectory: DataFrame, s: Settings) -> DataFrame:

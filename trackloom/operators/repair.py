@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import geometry as G
 from .intervals import over
-from .outliers import HANDS, KEYS
+from .outliers import HANDS, KEYS, whole
 
 
 def repaired(found: DataFrame, s: Settings) -> DataFrame:
@@ -21,8 +21,11 @@ def repaired(found: DataFrame, s: Settings) -> DataFrame:
     rows = found.withColumn("__good", good)
     before = F.last("__good", ignorenulls=True).over(over(KEYS, "pt").rowsBetween(Window.unboundedPreceding, 0))
     after = F.last("__good", ignorenulls=True).over(over(KEYS, F.desc("pt")).rowsBetween(Window.unboundedPreceding, 0))
-    count = F.count(F.lit(1)).over(Window.partitionBy(*KEYS))
-    rows = rows.withColumn("__lo", before).withColumn("__hi", after).withColumn("__points", count)
+    count = F.count(F.lit(1)).over(whole(over(KEYS, "pt")))
+    # A point that is not marked needs neither neighbour, and carries none on.
+    marked = lambda c: F.when(F.col("code") != 0, F.col(c))
+    rows = rows.select("*", before.alias("__lo"), count.alias("__points")).withColumn("__hi", after)
+    rows = rows.withColumn("__lo", marked("__lo")).withColumn("__hi", marked("__hi")).drop("__good")
     lo, hi = F.col("__lo"), F.col("__hi")
     rows = rows.withColumn("gap_start", F.when(F.col("code") != 0, F.coalesce(lo.pt + 1, F.lit(0)))).withColumn("gap_end", F.when(F.col("code") != 0, F.coalesce(hi.pt, F.col("__points"))))
     short = (F.col("code") != 0) & lo.isNotNull() & hi.isNotNull() & (F.col("gap_end") - F.col("gap_start") <= s.max_gap)
@@ -35,7 +38,7 @@ def repaired(found: DataFrame, s: Settings) -> DataFrame:
     kinds = {n: found.schema[n].dataType for n in ("p", "r6")}
     rows = rows.withColumn("p2", F.when(F.col("repaired"), line.cast(kinds["p"])).otherwise(F.col("p")))
     rows = rows.withColumn("r62", F.when(F.col("repaired"), F.slice("__mid", 1, 6).cast(kinds["r6"])).otherwise(F.col("r6")))
-    return rows.drop("__good", "__lo", "__hi", "__points", "__a", "__mid", "__from", "__to")
+    return rows.drop("__lo", "__hi", "__points", "__a", "__mid", "__from", "__to")
 
 
 def per_frame(fixed: DataFrame) -> DataFrame:

@@ -236,7 +236,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql(f"SELECT ep, hand, pt, {q6('pos')} AS position_step, {q6('rot')} AS rotation_step FROM jm WHERE valid AND pt2 IS NOT NULL"))
 def pose_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = outliers.steps(outliers.posed(outliers.points(frames.wide(frames.from_lineitem(spark, sf_dir)))), "valid")
-    return rows.filter("valid AND next IS NOT NULL").select("ep", "hand", "pt", r6("pos").alias("position_step"), r6("rot_step").alias("rotation_step"))
+    return rows.filter("valid AND next_q IS NOT NULL").select("ep", "hand", "pt", r6("pos").alias("position_step"), r6("rot_step").alias("rotation_step"))
 
 
 @query(sql("SELECT ep, hand, pt, block::BIGINT AS block FROM bl WHERE block > 0"))
