@@ -25,12 +25,13 @@ component_id of a component of such rows alone is null; an empty table gives no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, grams, mix, pieces, table, whole_text, written
@@ -121,27 +122,46 @@ class Bits:
         at = _positions(values, self.bits)
         return ((self.flags.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
 
-    def rows(self, df: DataFrame, column: str, wanted: bool = True) -> DataFrame:
-        """The rows whose ``column`` passes, or does not."""
+    def rows(self, df: DataFrame, column: str, wanted: bool, then: Callable | None = None, schema: str | None = None) -> DataFrame:
+        """The rows whose ``column`` passes, or does not; ``then`` takes them on in the same Python worker."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(self.passes(batch.column(column).to_numpy()) == wanted))
+            some = (batch.filter(pa.array(self.passes(batch.column(column).to_numpy()) == wanted)) for batch in batches)
+            yield from then(some) if then else some
 
-        return df.mapInArrow(run, df.schema)
+        return df.mapInArrow(run, schema or df.schema)
 
 
-def representatives(sets: DataFrame, classes: DataFrame, filter_bits: int) -> DataFrame:
-    """node, n, counted: the first row of each class. Only rows whose set may occur twice are shuffled."""
+def representatives(sets: DataFrame, classes: DataFrame, filter_bits: int) -> Callable[..., DataFrame]:
+    """Gives node, n, counted of the first row of each class, or what a function over Arrow batches makes of them.
+
+    Only rows whose set may occur twice are shuffled.
+    """
     twice = Bits(classes.filter("copies > 1"), F.xxhash64("d1", "d2"), filter_bits)
-    rows = sets.filter("size(counted) > 0").select(F.col("row").alias("node"), "n", F.xxhash64("d1", "d2").alias("of"), "counted")
-    several = twice.rows(rows, "of").join(classes.select("node"), "node", "left_semi")
-    return twice.rows(rows, "of", False).unionByName(several).select("node", "n", "counted")
+    rows = sets.filter("size(counted) > 0").select(F.col("row").alias("node"), "n", "counted", F.xxhash64("d1", "d2").alias("of"))
+    several = twice.rows(rows, "of", True).join(classes.select("node"), "node", "left_semi")
+
+    def mapped(then: Callable | None = None, schema: str | None = None) -> DataFrame:
+        return twice.rows(rows, "of", False, then, schema).unionByName(several.mapInArrow(then, schema) if then else several)
+
+    return mapped
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While writing, Python gets so many rows at once, as whole sets may be long; the session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def prefix_index(reps: DataFrame, percent: int, filter_bits: int) -> DataFrame:
+def prefix_index(reps: Callable[..., DataFrame], percent: int, filter_bits: int) -> DataFrame:
     """h, node, n, pos, lead: the shingles of each prefix that another class holds, with their positions and that of the first."""
-    shared = written(reps.select(F.explode("counted").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
+    shared = written(reps().select(F.explode("counted").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
     may = Bits(shared, F.col("h"), filter_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +174,7 @@ def prefix_index(reps: DataFrame, percent: int, filter_bits: int) -> DataFrame:
             hit = np.flatnonzero(may.passes(h))
             yield pa.record_batch([batch.column("node").take(pa.array(row[hit])), pa.array(n[row[hit]]), pa.array(later[hit]), pa.array(upto[hit]), pa.array(h[hit])], ["node", "n", "later", "upto", "h"])
 
-    held = reps.mapInArrow(run, "node long, n long, later boolean, upto long, h long").join(shared, "h")
+    held = reps(run, "node long, n long, later boolean, upto long, h long").join(shared, "h")
     of = Window.partitionBy("node", "later")  # bounded by one document
     lead = F.col("upto") - F.count(F.lit(1)).over(of)
     return held.select("h", "node", "n", lead.alias("lead"), (lead + F.row_number().over(of.orderBy("df", "h")) - 1).alias("pos")).filter(f"pos < n - ({percent} * n + 99) div 100 + 1")
@@ -176,7 +196,7 @@ def _once(pairs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, filter_bits: int) -> DataFrame:
-    """a, b, shared (shingles of both), either (of any of them) for each of ``pairs`` (a, b, hub, other), on the whole sets."""
+    """a, b, shared (shingles of both), either (of any of them) for each of ``pairs`` (a, b, hub, other), on the whole sets; written."""
     wanted = Bits(pairs.select(F.explode(F.array("hub.key", "other.key")).alias("key")).distinct(), F.col("key"), filter_bits)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +237,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, filter_bits: int) ->
                 yield pa.record_batch([pa.array(hub[a:z]), pa.array(other[a:z].astype(np.int64)), pa.array(shared.astype(np.int64)), pa.array((len(mine) + n - shared).astype(np.int64))], ["hub", "other", "shared", "either"])
 
     met = sent.repartition("hub", "run").sortWithinPartitions("hub", "run", F.col("other").asc_nulls_first()).mapInArrow(compare, "hub long, other long, shared long, either long")
-    return met.select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b"), "shared", "either")
+    with small_batches(docs.sparkSession):
+        return written(met.select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b"), "shared", "either"), "verified")
 
 
 def links(members: DataFrame, docs: DataFrame, size: int, percent: int, filter_bits: int) -> DataFrame:
@@ -230,7 +251,7 @@ def links(members: DataFrame, docs: DataFrame, size: int, percent: int, filter_b
     groups = members.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.array(*central).alias("hubs")).filter("k > 1").withColumn("hubs", F.expr("array_sort(filter(hubs, x -> x IS NOT NULL))"))
     groups = written(groups, "groups")
     stars = members.join(groups, "h").select("m", F.explode("hubs").alias("hub")).filter("m.node <> hub.node").filter(_may_link("m", "hub", percent))
-    met = written(verified(written(_once(stars.select(F.col("hub.side").alias("hub"), F.col("m.side").alias("other"))), "pairs"), docs, size, filter_bits), "verified")
+    met = verified(written(_once(stars.select(F.col("hub.side").alias("hub"), F.col("m.side").alias("other"))), "pairs"), docs, size, filter_bits)
     found = over(met)
     of = written(components(found), "star-components")
     # What the first hub of a group and its component say of the group's other members.
@@ -246,7 +267,7 @@ def links(members: DataFrame, docs: DataFrame, size: int, percent: int, filter_b
         f"o.own <> r.own AND (r.own = r.main OR o.m.node < r.m.node) AND abs(o.near - r.near) < 2 AND {_may_link('o.m', 'r.m', percent)}"
     ))
     pairs = _once(both.select(F.col("r.m.side").alias("hub"), F.col("o.m.side").alias("other"))).join(met.select("a", "b"), ["a", "b"], "left_anti")
-    return found.unionByName(over(written(verified(written(pairs, "pairs"), docs, size, filter_bits), "verified")))
+    return found.unionByName(over(verified(written(pairs, "pairs"), docs, size, filter_bits)))
 
 
 def joined(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, filter_bits: int = FILTER_BITS) -> DataFrame:
