@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import BITS, REASONS, Settings
@@ -529,6 +529,106 @@ def s3_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(_pieces(spark, sf_dir, Settings(s3_translation=0.05, s3_rotation=5.0)))
 
 
+# Checks of metadata, indices, labels and timelines, with planted failures
+
+
+def _episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ep from 0, n, first and last index, own files and videos, as the metadata of recordings have them."""
+    rows = frames.from_lineitem(spark, sf_dir).groupBy("ep").agg(F.max("n").alias("n"))
+    before = F.sum("n").over(I.over([F.floor(F.col("ep") / 1_000_000)], "ep")) - F.col("n")
+    rows = rows.withColumn("from_index", before).withColumn("to_index", F.col("from_index") + F.col("n")).withColumn("data_path", F.concat_ws("/", F.lit("d"), "ep"))
+    for v in frames.VIEWS:
+        rows = rows.withColumn(f"{v}_path", F.concat_ws("/", F.lit(v), "ep")).withColumn(f"{v}_from", F.lit(0.0)).withColumn(f"{v}_to", F.col("n") / 30.0)
+    return rows.withColumn("k", G.vector(*_PINHOLE)).withColumn("lens", G.vector(*_LENS)).withColumn("width", F.lit(128)).withColumn("height", F.lit(96))
+
+
+_EPISODES = "SELECT ep, max(n) AS n FROM base GROUP BY ep"
+
+
+@query(sql(f"""SELECT ep, f, CAST(total - n + f + CASE WHEN f % 61 = 5 AND ep % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS dataset_index FROM (SELECT b.ep, b.f, b.n, total FROM base b JOIN (SELECT ep, sum(n) OVER (ORDER BY ep) AS total FROM ({_EPISODES})) t ON t.ep = b.ep)
+  WHERE (f % 61 = 5 AND ep % 3 = 0) OR (f = n - 1 AND ep % 7 = 2)"""))
+def index_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with an index that is one too high, and episodes that end elsewhere than their metadata say."""
+    episodes = _episodes(spark, sf_dir)
+    rows = frames.from_lineitem(spark, sf_dir).select("ep", "f", "n").join(episodes.select("ep", "from_index"), "ep")
+    rows = rows.withColumn("dataset_index", (F.col("from_index") + F.col("f") + F.when((F.col("f") % 61 == 5) & (F.col("ep") % 3 == 0), 1).otherwise(0)).cast("long")).drop("from_index")
+    moved = episodes.withColumn("to_index", F.col("to_index") - F.when(F.col("ep") % 7 == 2, 1).otherwise(0))
+    return checks.index_failures(rows, moved).select("ep", "f", "dataset_index")
+
+
+_BAD_CAMERAS = {"intrinsics_shape": (11, 1), "intrinsics_finite": (13, 2), "focal_length": (17, 3), "lens_finite": (19, 4), "lens_model": (23, 5), "image_size": (29, 6)}
+
+
+def _bad_camera(check: str) -> str:
+    every, at = _BAD_CAMERAS[check]
+    return f"ep % {every} = {at}" + (" OR ep % 11 = 1" if check == "focal_length" else "")  # a matrix of another shape has none in its place
+
+
+@query(sql(" UNION ALL ".join(f"""SELECT '{c}' AS "check", count(*) FILTER (WHERE {_bad_camera(c)}) AS failures, min(ep) FILTER (WHERE {_bad_camera(c)}) AS first_ep FROM ({_EPISODES})""" for c in _BAD_CAMERAS)))
+def camera_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes with intrinsics of another shape, not finite, or without a focal length, lenses that no model has, and images without a size."""
+    bad = {c: F.col("ep") % m == r for c, (m, r) in _BAD_CAMERAS.items()}
+    k = F.expr("transform(k, (x, i) -> CASE WHEN ep % 13 = 2 AND i = 1 THEN double('nan') WHEN ep % 17 = 3 AND i = 4 THEN -x ELSE x END)")
+    rows = _episodes(spark, sf_dir).withColumn("k", F.when(bad["intrinsics_shape"], G.vector(*_PINHOLE[:4], *_PINHOLE[3:5], 1.0)).otherwise(k))
+    rows = rows.withColumn("k", F.when(bad["intrinsics_shape"] & bad["intrinsics_finite"], F.concat(F.slice("k", 1, 6), G.vector(float("nan")))).otherwise(F.col("k")))
+    rows = rows.withColumn("lens", F.when(bad["lens_model"], G.vector(*[0.1] * 6)).otherwise(F.col("lens"))).withColumn("lens", F.when(bad["lens_finite"], F.concat(G.vector(float("inf")), F.slice("lens", 2, 20))).otherwise(F.col("lens")))
+    return checks.camera_failures(rows.withColumn("height", F.when(bad["image_size"], 0).otherwise(F.col("height"))))
+
+
+@query(sql(f"""SELECT c.name AS "check", CASE c.name WHEN 'fps' THEN 1 WHEN 'episode_count' THEN (SELECT (count(*) FILTER (WHERE ep % 10 = 9) > 0)::BIGINT FROM e) WHEN 'episode_index' THEN 1 WHEN 'frame_total' THEN 1 WHEN 'data_files' THEN 1 WHEN 'video_files' THEN 0
+  WHEN 'video_duration' THEN (SELECT count(*) FILTER (WHERE ep % 10 <> 9 AND ep % 6 = 1) FROM e) ELSE (SELECT count(*) FILTER (WHERE ep % 10 <> 9 AND ep % 8 = 3) FROM e) END::BIGINT AS failures
+  FROM (VALUES ('fps'), ('episode_count'), ('episode_index'), ('frame_total'), ('data_files'), ('video_files'), ('video_duration'), ('empty_episode')) AS c(name)""").replace('\nSELECT c.name', f",\ne AS ({_EPISODES})\nSELECT c.name"))
+def metadata_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata that lack every tenth episode, name one file twice, have videos that are too short and episodes without frames, under another frame rate."""
+    episodes = _episodes(spark, sf_dir)
+    info = episodes.agg(F.lit(25).alias("fps"), F.count(F.lit(1)).alias("total_episodes"), F.sum("n").alias("total_frames"))
+    rows = episodes.filter("ep % 10 <> 9").withColumn("data_path", F.when(F.col("ep") < 2, F.lit("d/0")).otherwise(F.col("data_path")))
+    rows = rows.withColumn("n", F.when(F.col("ep") % 8 == 3, 0).otherwise(F.col("n"))).withColumns({f"{v}_to": F.when(F.col("ep") % 8 == 3, 0.0).otherwise(F.col(f"{v}_to")) for v in frames.VIEWS})
+    rows = rows.withColumn("camera_aux_0_to", F.col("camera_aux_0_to") - F.when(F.col("ep") % 6 == 1, 0.5).otherwise(0.0))
+    return checks.episode_failures(rows, info)
+
+
+@query(sql("SELECT ep, CASE WHEN ep % 9 = 1 THEN 0 ELSE 1 END::BIGINT AS in_left, CASE WHEN ep % 9 = 2 THEN 2 WHEN ep % 9 = 3 THEN 0 ELSE 1 END::BIGINT AS in_right FROM (SELECT DISTINCT ep FROM base) WHERE ep % 9 IN (1, 2, 3)"))
+def partner_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes that one of two tables lacks, or has twice, where each must have each once."""
+    rows = frames.from_lineitem(spark, sf_dir).groupBy("ep").agg(F.max("n").alias("n"))
+    right = rows.filter("ep % 9 <> 3").unionByName(rows.filter("ep % 9 = 2"))
+    return checks.missing_partners(rows.filter("ep % 9 <> 1"), right, ["ep"])
+
+
+@query(sql("SELECT ep, f FROM base WHERE (f % 53 = 7 AND ep % 2 = 0) OR (f % 59 = 8 AND ep % 2 = 1) OR (ep % 6 = 5 AND f = 12)"))
+def label_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with a changed position, a rotation that has become NaN, and a row that is lost."""
+    rows = frames.from_lineitem(spark, sf_dir).select("ep", "f", "ts", "r_p", "l_r6")
+    made = rows.withColumn("r_p", F.expr("CASE WHEN f % 53 = 7 AND ep % 2 = 0 THEN transform(r_p, x -> x + 1e-9D) ELSE r_p END"))
+    made = made.withColumn("l_r6", F.expr("CASE WHEN f % 59 = 8 AND ep % 2 = 1 THEN transform(l_r6, x -> double('nan')) ELSE l_r6 END")).filter("NOT (ep % 6 = 5 AND f = 12)")
+    return checks.changed_rows(rows, made, ["ep", "f"])
+
+
+@query(sql("SELECT j.ep, j.f FROM jd j JOIN lengths l ON l.ep = j.ep WHERE s1 AND f % 5 = 0 AND f < l.n - 1"))
+def invalid_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames whose state is invalid and that S1 has come to keep, as every fifth one here; the last frame, which a target beyond the end may reject too, is left out."""
+    rows = store.frames(spark, sf_dir).withColumn("s1", F.col("s1") & (F.col("f") % 5 != 0))
+    return checks.unrejected_invalid(rows.filter("f < n - 1"))
+
+
+@query(sql("""SELECT DISTINCT ep, problem FROM (
+  SELECT t.ep, 'status' AS problem FROM tl t WHERE t.ep % 8 = 1 AND "start" = 0 AND code = 0 UNION ALL SELECT ep, 'gap or overlap' FROM tl WHERE ep % 8 = 2 AND "start" > 0 AND code = 0
+  UNION ALL SELECT ep, 'missing' FROM lengths WHERE ep % 8 = 3 UNION ALL SELECT ep, 'length' FROM lengths WHERE ep % 8 = 4 UNION ALL SELECT ep, 'rejected total' FROM lengths WHERE ep % 8 = 5 UNION ALL SELECT ep, 'frame total' FROM lengths WHERE ep % 8 = 6)"""))
+def timeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timelines read back with an unknown status, a piece that begins early, no pieces, and totals that differ."""
+    rows = store.frames(spark, sf_dir)
+    pieces = _pieces(spark, sf_dir).select("ep", "start", "end", F.when(F.col("code") > 0, "reject").otherwise("keep").alias("status")).filter("ep % 8 <> 3")
+    pieces = pieces.withColumn("status", F.expr("CASE WHEN ep % 8 = 1 AND start = 0 AND status = 'keep' THEN 'other' ELSE status END"))
+    first = F.min(F.when((F.col("start") > 0) & (F.col("status") == "keep"), F.col("start"))).over(Window.partitionBy("ep"))
+    late = (F.col("ep") % 8 == 2) & (F.col("start") == first)
+    pieces = pieces.withColumn("start", F.col("start") - F.when(late, 1).otherwise(0))
+    episodes = timeline.episode_summary(rows).select("ep", F.col("source_frames").alias("n"), "rejected_frames", "accepted_frames")
+    kind = F.col("ep") % 8
+    episodes = episodes.withColumn("n", F.col("n") + F.when(kind == 4, 1).otherwise(0)).withColumn("rejected_frames", F.col("rejected_frames") + F.when(kind == 5, 1).otherwise(0)).withColumn("accepted_frames", F.col("accepted_frames") - F.when(kind == 6, 1).otherwise(0))
+    return cutplan.checked_timeline(pieces, episodes)
+
+
 # Interval algebra over events: a span for each event, by user
 
 
