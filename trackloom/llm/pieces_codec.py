@@ -12,7 +12,7 @@ scores the longer last piece wins. (A model trained by merges has its own greedy
 scores are used here as they stand, and every encoding decodes to its text.) Decoding joins the pieces' bytes.
 
 Defined results: null text counts as empty and has no ids; the space mark itself (U+2581) decodes to a space, as in
-SentencePiece, and such a text has round_trip false; rows that repeat a doc_id are each encoded; an empty table gives no
+SentencePiece, and such a text has round_trip false; rows that repeat a doc_id, or have none, are each encoded; an empty table gives no
 rows; other columns are ignored.
 """
 

@@ -8,7 +8,7 @@ Training takes a documented bounded sample of labelled rows (SAMPLE, chosen by a
 whole text. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: null text counts as empty, whose statistics are all 0; with no labelled rows every score is 0.5; rows
-that repeat a doc_id are each scored; an empty table gives no rows; other columns are ignored.
+that repeat a doc_id, or have none, are each scored (those without one never train); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
