@@ -26,6 +26,12 @@ def running(keys: Sequence[str], *order) -> Window:
     return over(keys, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def ahead(column: str, keys: Sequence[str], index: str = "f") -> Column:
+    """The next value of ``column`` after this row that is not null. One pass in the order that other windows have too,
+    where a frame up to the last row would be gone through anew for each row."""
+    return F.expr(f"lead({column}) IGNORE NULLS OVER (PARTITION BY {', '.join(keys)} ORDER BY {index})")
+
+
 def island(keys: Sequence[str], index: str = "f") -> Column:
     """The same value for rows whose index is consecutive among the rows at hand."""
     return F.col(index) - F.row_number().over(over(keys, index))
@@ -77,10 +83,19 @@ def near_groups(hits: DataFrame, keys: Sequence[str], gap: int, index: str = "f"
 
 
 def long_runs(flagged: DataFrame, keys: Sequence[str], flag: str, least: int, out: str, index: str = "f") -> DataFrame:
-    """Adds ``out``: the row is in a run of at least ``least`` consecutive flagged rows of its key."""
-    steps = flagged.withColumn("__run", F.col(index) - F.row_number().over(over([*keys, flag], index)))
-    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, flag, "__run"))
-    return steps.withColumn(out, F.col(flag) & (size >= least)).drop("__run")
+    """Adds ``out``: the row is in a run of at least ``least`` consecutive flagged rows of its key.
+
+    A run begins after the last row before that ends one, and ends at the next; both are marks carried along the rows in
+    their own order, so nothing is sorted anew.
+    """
+    w, at, on = over(keys, index), F.col(index), F.coalesce(F.col(flag), F.lit(False))
+    steps = flagged.select("*", F.lag(index).over(w).alias("__before"), F.lead(index).over(w).alias("__after"))
+    begins = F.when(~on, at + 1).when(F.col("__before").isNull() | (at - F.col("__before") > 1), at)
+    ends = F.when(~on, at).when(F.col("__after").isNull() | (F.col("__after") - at > 1), at + 1)
+    steps = steps.select("*", begins.alias("__begins"), ends.alias("__ends")).drop("__before", "__after")
+    steps = steps.select("*", F.last("__begins", ignorenulls=True).over(running(keys, index)).alias("__from"), ahead("__ends", keys, index).alias("__to"))
+    size = F.coalesce(F.col("__ends"), F.col("__to")) - F.col("__from")
+    return steps.withColumn(out, F.col(flag) & (size >= least)).drop("__begins", "__ends", "__from", "__to")
 
 
 def spread_back(keys: Sequence[str], flag: Column, rows: int, index: str = "f") -> Column:

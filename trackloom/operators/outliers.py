@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import over
+from .intervals import ahead, over
 
 HANDS = ("l", "r")
 KEYS = ["ep", "hand"]
@@ -36,8 +36,7 @@ def points(wide: DataFrame) -> DataFrame:
     tagged = delay_rows(wide)
     each = [F.struct(F.lit(h).alias("hand"), F.col("f").alias("pt"), F.col(f"{h}_p").alias("p"), F.col(f"{h}_r6").alias("r6"), F.lit(False).alias("external")) for h in HANDS]
     beyond = [F.when((F.col("f") == F.col("n") - 1) & ~F.col(f"{h}_matches"), F.struct(F.lit(h).alias("hand"), F.col("n").alias("pt"), F.col(f"{h}_ap").alias("p"), F.col(f"{h}_ar6").alias("r6"), F.lit(True).alias("external"))) for h in HANDS]
-    listed = F.filter(F.array(*each, *beyond), lambda x: x.isNotNull())
-    return tagged.select("ep", "n", F.inline(listed))
+    return tagged.select("ep", "n", F.inline(F.array(*each, *beyond))).filter("hand IS NOT NULL")
 
 
 def posed(trajectory: DataFrame) -> DataFrame:
@@ -67,7 +66,7 @@ def blocks(rows: DataFrame, s: Settings) -> DataFrame:
 
     Between two consecutive jump edges e and f (edge v joins valid rows v and v + 1) the rows e + 1 to f are a block when they
     are at most ``max_block`` and the trajectory comes back to within ``recovery`` of where it left. So a row needs its
-    last jump edge before and its first one after, which are running values in either order.
+    last jump edge before and its first one after, which are carried along in one pass.
     """
     edge = steps(rows, "valid")
     big_p, big_r = F.coalesce(F.col("pos") > s.position_step, F.lit(False)), F.coalesce(F.col("rot_step") > s.rotation_step, F.lit(False))
@@ -75,8 +74,7 @@ def blocks(rows: DataFrame, s: Settings) -> DataFrame:
     mark = F.when(F.col("__jump"), F.struct(F.col("v"), big_p.alias("p"), big_r.alias("r"), F.col("q"), F.col("next_q").alias("q2")))
     edge = edge.withColumn("__mark", mark).drop("m", "next_q", "pos", "rot_step")
     before = F.last("__mark", ignorenulls=True).over(over([*KEYS, "valid"], "pt").rowsBetween(Window.unboundedPreceding, -1))
-    after = F.last("__mark", ignorenulls=True).over(over([*KEYS, "valid"], F.desc("pt")).rowsBetween(Window.unboundedPreceding, 0))
-    edge = edge.withColumn("__e", before).withColumn("__f", after)
+    edge = edge.select("*", before.alias("__e"), ahead("__mark", [*KEYS, "valid"], "pt").alias("__f")).withColumn("__f", F.coalesce("__mark", "__f"))
     e, f = F.col("__e"), F.col("__f")
     is_block = F.col("valid") & (f.v - e.v <= s.max_block) & (G.distance(e.q, f.q2) < s.recovery)
     bits = (e.p | f.p).cast("int") + F.lit(2) * (e.r | f.r).cast("int")

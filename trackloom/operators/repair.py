@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import over
+from .intervals import ahead, over
 from .outliers import HANDS, KEYS, whole
 
 
@@ -20,11 +20,10 @@ def repaired(found: DataFrame, s: Settings) -> DataFrame:
     good = F.when(F.col("code") == 0, F.struct("pt", "q", "rot"))
     rows = found.withColumn("__good", good)
     before = F.last("__good", ignorenulls=True).over(over(KEYS, "pt").rowsBetween(Window.unboundedPreceding, 0))
-    after = F.last("__good", ignorenulls=True).over(over(KEYS, F.desc("pt")).rowsBetween(Window.unboundedPreceding, 0))
     count = F.count(F.lit(1)).over(whole(over(KEYS, "pt")))
     # A point that is not marked needs neither neighbour, and carries none on.
     marked = lambda c: F.when(F.col("code") != 0, F.col(c))
-    rows = rows.select("*", before.alias("__lo"), count.alias("__points")).withColumn("__hi", after)
+    rows = rows.select("*", before.alias("__lo"), count.alias("__points"), ahead("__good", KEYS, "pt").alias("__hi"))
     rows = rows.withColumn("__lo", marked("__lo")).withColumn("__hi", marked("__hi")).drop("__good")
     lo, hi = F.col("__lo"), F.col("__hi")
     rows = rows.withColumn("gap_start", F.when(F.col("code") != 0, F.coalesce(lo.pt + 1, F.lit(0)))).withColumn("gap_end", F.when(F.col("code") != 0, F.coalesce(hi.pt, F.col("__points"))))
@@ -44,16 +43,21 @@ def repaired(found: DataFrame, s: Settings) -> DataFrame:
 def per_frame(fixed: DataFrame) -> DataFrame:
     """ep, f and, for each hand: p, r6, code, valid, repaired, and the same of its action row; ``s1`` marks rejected frames.
 
-    An action row takes the point it aims at. A bad target beyond the last frame rejects the last frame.
+    An action row takes the point it aims at. A bad target beyond the last frame rejects the last frame. Every frame has a
+    point of each hand, so in the order of points and hands a left point is followed by the right one and then by the
+    left and right ones that they aim at: three leads in one pass, with no grouping. A last point without a target aims at itself.
     """
-    w = over(KEYS, "pt")
-    aimed = F.struct("code", "ok", "repaired", "p2", "r62", "external")
-    rows = fixed.withColumn("aim", F.coalesce(F.lead(aimed).over(w), aimed)).filter(~F.col("external"))
+    w, point = over(["ep"], "pt", "hand"), F.struct("hand", "code", "ok", "repaired", "p2", "r62", "external")
+    rows = fixed.select("ep", "pt", "n", "hand", "external", point.alias("l"), *[F.lead(point, i).over(w).alias(f"__{i}") for i in (1, 2, 3)])
+    rows = rows.filter((F.col("hand") == "l") & ~F.col("external")).withColumnRenamed("__1", "r")
+    two, three = F.col("__2"), F.col("__3")
+    rows = rows.withColumn("l_aim", F.when(two.hand == "l", two).otherwise(F.col("l")))
+    rows = rows.withColumn("r_aim", F.when(three.hand == "r", three).when(two.hand == "r", two).otherwise(F.col("r")))
     picks = []
     for h in HANDS:
-        for name, source in (("p", "p2"), ("r6", "r62"), ("code", "code"), ("valid", "ok"), ("repaired", "repaired"), ("ap", "aim.p2"), ("ar6", "aim.r62"), ("acode", "aim.code"), ("avalid", "aim.ok"), ("arepaired", "aim.repaired"), ("beyond", "aim.external")):
-            picks.append(F.first(F.when(F.col("hand") == h, F.col(source)), ignorenulls=True).alias(f"{h}_{name}"))
-    wide = rows.groupBy("ep", F.col("pt").alias("f")).agg(F.first("n").alias("n"), *picks)
+        picks += [F.col(f"{h}.{source}").alias(f"{h}_{name}") for name, source in (("p", "p2"), ("r6", "r62"), ("code", "code"), ("valid", "ok"), ("repaired", "repaired"))]
+        picks += [F.col(f"{h}_aim.{source}").alias(f"{h}_{name}") for name, source in (("ap", "p2"), ("ar6", "r62"), ("acode", "code"), ("avalid", "ok"), ("arepaired", "repaired"), ("beyond", "external"))]
+    wide = rows.select("ep", F.col("pt").alias("f"), "n", *picks)
     lost = [(F.col(f"{h}_beyond") & ~F.col(f"{h}_avalid")) for h in HANDS]
     return wide.withColumn("s1", ~F.col("l_valid") | ~F.col("r_valid") | lost[0] | lost[1])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import long_runs, over, runs, spread_back
+from .intervals import long_runs, over, running, runs, spread_back
 
 
 def regions(frames: DataFrame, s: Settings) -> DataFrame:
@@ -34,7 +34,7 @@ def hands_at_edge(frames: DataFrame, s: Settings) -> DataFrame:
 def segmented(frames: DataFrame) -> DataFrame:
     """Adds keep (neither S1 nor S2) and ``seg``: one value for each stretch of kept frames."""
     out = frames.withColumn("keep", ~F.col("s1") & ~F.col("s2"))
-    return out.withColumn("seg", F.when(F.col("keep"), F.col("f") - F.row_number().over(over(["ep", "keep"], "f"))))
+    return out.withColumn("seg", F.when(F.col("keep"), F.col("f") - F.sum(F.col("keep").cast("int")).over(running(["ep"], "f"))))
 
 
 SEGMENT = ["ep", "keep", "seg"]
@@ -93,13 +93,16 @@ def stable_carry(frames: DataFrame, s: Settings) -> DataFrame:
     """
     out = motion(axis_cosines(frames), s.s4_gap, "s4")
     ahead = over(SEGMENT, "f").rowsBetween(0, s.s4_gap)
+    listed = [F.when(F.col("keep"), F.collect_list(f"{h}_cos").over(ahead)).alias(f"__{h}") for h in "lr"]
+    out = out.select("*", *listed, F.min(F.col("l_good") & F.col("r_good")).over(ahead).alias("__good"))
+    # sort_array orders plain doubles in generated code; array_sort would call a comparator for each pair.
+    fits = F.size("__l") == s.s4_gap + 1
+    out = out.select("*", *[F.when(fits, F.sort_array(f"__{h}")).alias(f"__{h}_sorted") for h in "lr"]).drop("__l", "__r")
     for h in "lr":
-        out = out.withColumn("__sorted", F.array_sort(F.collect_list(f"{h}_cos").over(ahead)))
-        whole = F.size("__sorted") == s.s4_gap + 1
-        spread = _between(F.col("__sorted"), 0.95, s.s4_gap) - _between(F.col("__sorted"), 0.05, s.s4_gap)
-        out = out.withColumn(f"{h}_spread", F.when(whole & F.col("keep"), spread)).drop("__sorted")
+        values = F.col(f"__{h}_sorted")
+        out = out.withColumn(f"{h}_spread", _between(values, 0.95, s.s4_gap) - _between(values, 0.05, s.s4_gap)).drop(f"__{h}_sorted")
     out = out.withColumn("s4_window", F.col("l_spread").isNotNull())
-    out = out.withColumn("s4_whole", F.col("s4_window") & F.min(F.col("l_good") & F.col("r_good")).over(ahead))
+    out = out.withColumn("s4_whole", F.col("s4_window") & F.col("__good")).drop("__good")
     out = out.withColumn("stable", F.coalesce(F.col("s4_whole") & (F.col("l_spread") <= s.s4_spread) & (F.col("r_spread") <= s.s4_spread), F.lit(False)))
     out = out.withColumn("s4_t", F.col("stable") & F.coalesce(F.col("s4_distance") > s.s4_translation, F.lit(False)))
     out = out.withColumn("s4_r", F.col("stable") & F.coalesce(F.col("s4_angle") > s.s4_rotation + s.s4_slack, F.lit(False)))
