@@ -70,6 +70,40 @@ def test_gop_split(spark):
     assert got[1, 0] == (60, 90, 25, 10, "gop_copy_boundary_encode") and got[1, 1][4] == "full_reencode_fallback" and got[1, 2] == (60, 90, 0, 0, "gop_copy") and got[2, 0][4] == "original_reference"
 
 
+@pytest.mark.parametrize("least", [1, 3])
+def test_long_runs_with_missing_frames_nulls_and_ties_between_keys(spark, least):
+    rng = random.Random(least)
+    rows = [(k, f, rng.choice([True, True, True, False, None])) for k in range(20) for f in range(40) if rng.random() < 0.9]
+    flagged = spark.createDataFrame(rows, "k int, f long, flag boolean")
+    want = set()
+    for k in range(20):
+        for a, z in runs_of(f for q, f, x in rows if q == k and x):
+            want |= {(k, f) for f in range(a, z) if z - a >= least}
+    got = I.long_runs(flagged, ["k"], "flag", least, "long")
+    assert got.columns == ["k", "f", "flag", "long"] and got.count() == len(rows)
+    assert {(r.k, r.f) for r in got.filter("long").collect()} == want
+    assert I.long_runs(flagged.limit(0), ["k"], "flag", least, "long").count() == 0
+
+
+@pytest.mark.parametrize("beyond", ["", "l", "r", "lr"])
+def test_frames_take_the_points_that_their_actions_aim_at(spark, beyond):
+    from trackloom.operators import repair
+
+    n = 4
+    points = [(1, n, h, p, False) for h in "lr" for p in range(n)] + [(1, n, h, n, True) for h in beyond]
+    rows = [(ep, n, h, p, x, [100.0 * (h == "r") + p] * 3, [0.0] * 6, p, not (x and h == "l"), p % 2 == 1) for ep, n, h, p, x in points]
+    fixed = spark.createDataFrame(rows, "ep long, n long, hand string, pt long, external boolean, p2 array<double>, r62 array<double>, code int, ok boolean, repaired boolean")
+    got = {r.f: r for r in repair.per_frame(fixed).collect()}
+    assert sorted(got) == list(range(n))
+    for f, r in got.items():
+        for h in "lr":
+            to = f + 1 if f + 1 < n or h in beyond else f
+            base = 100.0 * (h == "r")
+            assert (r[f"{h}_p"][0], r[f"{h}_ap"][0], r[f"{h}_code"], r[f"{h}_acode"]) == (base + f, base + to, f, to)
+            assert (r[f"{h}_repaired"], r[f"{h}_arepaired"], r[f"{h}_beyond"]) == (f % 2 == 1, to % 2 == 1, to == n)
+        assert r.s1 == (f == n - 1 and "l" in beyond)
+
+
 def test_packet_times(spark):
     rows = spark.createDataFrame([(5120,), (5130,), (0,)], "pts long").select("pts", cutplan.packet_frame(__import__("pyspark").sql.functions.col("pts"), 1, 15360).alias("f"))
     assert {r.pts: r.f for r in rows.collect()} == {5120: 10, 5130: None, 0: 0}
