@@ -220,8 +220,10 @@ _SAMPLES = ("(x + 1) * 100", "(x + 1) * 100 + (i + vec_id) % 7 - 3")
 def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors as images of 8-bit samples, and the same with some noise; every ninth without any."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    a = F.expr(f"transform(embedding, x -> cast(floor({_SAMPLES[0]}) AS int))")
-    b = F.expr(f"transform(embedding, (x, i) -> cast(floor(CASE WHEN vec_id % 9 = 0 THEN {_SAMPLES[0]} ELSE {_SAMPLES[1]} END) AS int))")
+    # In the components' own precision, as SQL has it: with whole numbers Spark would widen floats to doubles, whose floors differ next to a whole number.
+    plain, noise = "(x + 1F) * 100F", "cast((i + vec_id) % 7 AS float) - 3F"
+    a = F.expr(f"transform(embedding, x -> cast(floor({plain}) AS int))")
+    b = F.expr(f"transform(embedding, (x, i) -> cast(floor(CASE WHEN vec_id % 9 = 0 THEN {plain} ELSE {plain} + {noise} END) AS int))")
     rows = rows.withColumn("mse", pixels.mse(a, b)).withColumn("db", pixels.psnr(F.col("mse")))
     return rows.select("vec_id", F.round("mse", 6).alias("mse"), F.when(F.col("mse") > 0, F.round("db", 6)).alias("psnr"), (F.col("db") >= pixels.LEAST_PSNR).alias("passes"))
 
