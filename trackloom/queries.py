@@ -695,14 +695,16 @@ def packet_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = rows.select("ep", "n", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("view"))
     base = F.when(F.col("view") == "a", 0).otherwise(7 + F.when(kind == 9, 14).otherwise(0)).cast("long")
     wanted = wanted.withColumn("base", base).withColumn("path", F.concat_ws("/", "view", "ep"))
-    made = wanted.filter(kind != 1).withColumn("f", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") + 19)))
+    # Dealt before packets are made of them: few rows of bytes would be one task, and hundreds of millions of packets.
+    packets = 2 * frames.frame_count(spark, sf_dir)
+    made = I.dealt(wanted.filter(kind != 1), "path", rows=packets).withColumn("f", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") + 19)))
     made = made.filter(~((kind == 7) & (F.col("f") == F.col("base") + 5)))
     shown = F.when((kind == 6) & (F.col("f") == 31), 30).otherwise(F.col("f")) * _TICKS + F.when((kind == 5) & (F.col("f") == 40), 100).otherwise(0)
     made = made.select(
         "path", F.col("f").alias("sample"), shown.alias("pts"), F.when(kind == 4, _TICKS + 1).otherwise(_TICKS).cast("long").alias("duration"), F.lit(_SCALE).cast("long").alias("timescale"),
         ((F.col("f") % 30 == F.when(kind == 8, 10).otherwise(0))).alias("key"), F.when(kind == 3, "hev1").otherwise("avc1").alias("codec"), F.when(kind == 2, 2).otherwise(1).alias("streams"),
     )
-    return videos.packet_failures(made, wanted)
+    return videos.packet_failures(made, wanted, packets=packets)
 
 
 @query(sql("""SELECT ep, f AS position, CASE WHEN ep % 5 = 1 THEN 'truncated' WHEN ep % 5 = 2 THEN 'extra' WHEN ep % 5 = 4 AND f = 6 THEN 'twice' WHEN ep % 5 = 4 THEN 'truncated' ELSE 'bytes' END AS problem

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.intervals import dealt
 from ..plans.cutplan import packet_frame
 
 PACKETS = "path string, sample long, pts long, dts long, duration long, timescale long, key boolean, offset long, size long, codec string, width int, height int, streams int, digest string"
@@ -219,13 +220,14 @@ def numbered(rows: DataFrame, fps: int = 30) -> DataFrame:
     return rows.withColumn("frame", packet_frame(F.col("pts"), 1, F.col("timescale"), fps))
 
 
-def packet_failures(rows: DataFrame, videos: DataFrame, fps: int = 30) -> DataFrame:
+def packet_failures(rows: DataFrame, videos: DataFrame, fps: int = 30, packets: int = 0) -> DataFrame:
     """ep, view, problem for each video that cannot be cut. videos: ep, view, path, base (the episode's first frame in the video), n.
 
     One problem each, the first of: no video, other streams beside it, not H.264, another frame rate, a time that is none of a frame,
-    two packets of one frame, frames of the episode that are missing, no keyframe at or before its start.
+    two packets of one frame, frames of the episode that are missing, no keyframe at or before its start. ``packets``, how many
+    rows there are, bounds what a task counts; both countings use the one exchange.
     """
-    at = numbered(rows, fps).join(videos.select("ep", "view", "path", "base", "n"), "path")
+    at = dealt(numbered(rows, fps).join(videos.select("ep", "view", "path", "base", "n"), "path"), "ep", "view", rows=packets)
     inside = (F.col("frame") >= F.col("base")) & (F.col("frame") < F.col("base") + F.col("n"))
     once = at.groupBy("ep", "view", "frame").agg(
         F.count(F.lit(1)).alias("k"), F.sum("duration").alias("duration"), F.max("timescale").alias("timescale"), F.max(inside).alias("inside"), F.max("key").alias("key"),
