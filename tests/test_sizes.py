@@ -46,3 +46,16 @@ def test_rows_without_a_share_skip_the_great_arc(spark):
     one, other = (G.vector(c, 0, s, 0, 1, 0, -s, 0, c) for c, _, s, *_ in (yaw6(0), yaw6(50)))
     made = {r.id: r.between for r in G.slerp(rows.withColumn("a", one).withColumn("b", other), "a", "b", "share", "between").collect()}
     assert made[2] is None and made[1][:6] == pytest.approx(yaw6(25))
+
+
+def test_frames_meet_cameras_without_another_exchange(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with store.small_methods(spark):
+            sides = [I.dealt(spark.range(9).selectExpr("id AS ep", "id AS f"), "ep", rows=6 * I.ROWS) for _ in range(2)]
+            plan = sides[0].join(sides[1], ["ep", "f"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange ") == plan.count("REPARTITION_BY_NUM") == 2
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
