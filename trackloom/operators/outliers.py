@@ -136,10 +136,14 @@ def anomaly_intervals(found: DataFrame, fps: int = 30) -> DataFrame:
     return out.drop("__run").withColumn("start_seconds", F.col("start") / F.lit(float(fps))).withColumn("end_seconds", F.col("end") / F.lit(float(fps)))
 
 
+def with_action_codes(found: DataFrame) -> DataFrame:
+    """Adds ``action_code``: an action row has the code of the point that it aims at, the next one or its own."""
+    return found.withColumn("action_code", F.coalesce(F.lead("code").over(over(KEYS, "pt")), F.col("code")))
+
+
 def action_codes(found: DataFrame) -> DataFrame:
-    """ep, hand, f, state_code, action_code: an action row has the code of the point that it aims at."""
-    w = over(KEYS, "pt")
-    aimed = found.withColumn("action_code", F.coalesce(F.lead("code").over(w), F.col("code")))
+    """ep, hand, f, state_code, action_code; kept points that have their action codes are not dealt and sorted for them again."""
+    aimed = found if "action_code" in found.columns else with_action_codes(found)
     return aimed.filter(~F.col("external")).select("ep", "hand", F.col("pt").alias("f"), F.col("code").alias("state_code"), "action_code")
 
 

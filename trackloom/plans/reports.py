@@ -70,9 +70,9 @@ def edge_videos(frames: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def sparse_labels(points: DataFrame) -> DataFrame:
     """ep, f and state and action codes of both hands, for marked rows alone."""
-    codes = outliers.action_codes(points)
-    picks = [F.max(F.when(F.col("hand") == h, F.col(c))).alias(f"{h}_{c}") for h in outliers.HANDS for c in ("state_code", "action_code")]
-    return codes.groupBy("ep", "f").agg(*picks).filter("l_state_code + r_state_code + l_action_code + r_action_code > 0")
+    codes = outliers.action_codes(points).filter("state_code <> 0 OR action_code <> 0")
+    picks = [F.coalesce(F.max(F.when(F.col("hand") == h, F.col(c))), F.lit(0)).alias(f"{h}_{c}") for h in outliers.HANDS for c in ("state_code", "action_code")]
+    return codes.groupBy("ep", "f").agg(*picks)
 
 
 def affected_episodes(points: DataFrame) -> DataFrame:

@@ -88,9 +88,12 @@ S1_FIELDS = ("fps", "position_step", "rotation_step", "max_block", "recovery", "
 
 
 def points(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFrame:
-    """Trajectory points with S1 codes and repairs; positions and rotations as they are after repair alone."""
+    """Trajectory points with S1 codes, those of actions and repairs; positions and rotations as they are after repair alone.
+
+    Codes of actions come in the order that repair's windows have, so queries of codes need no order of all points anew.
+    """
     s = Settings(**{name: getattr(s, name) for name in S1_FIELDS})
-    return kept(spark, sf_dir, "points", s, lambda: repair.repaired(outliers.detected(outliers.points(wide(from_lineitem(spark, sf_dir))), s), s).drop("p", "r6"))
+    return kept(spark, sf_dir, "points", s, lambda: outliers.with_action_codes(repair.repaired(outliers.detected(outliers.points(wide(from_lineitem(spark, sf_dir))), s), s).drop("p", "r6")))
 
 
 #: What S3 alone depends on: runs that differ in nothing else share the kept frames.
