@@ -3,13 +3,15 @@
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.recordings import yaw6
 from trackloom.config import Settings
 from trackloom.functions import geometry as G
 from trackloom.operators import intervals as I
+from trackloom.operators import outliers
 from trackloom.plans import store
-from trackloom.sources import videos
+from trackloom.sources import frames, videos
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,3 +61,22 @@ def test_frames_meet_cameras_without_another_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert plan.count("Exchange ") == plan.count("REPARTITION_BY_NUM") == 2
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_next_states_are_taken_once_however_often_they_are_used(spark):
+    rows = outliers.delay_rows(frames.wide(frames.from_lineitem(spark, SF)))
+    windows = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [lead(" in line]
+    assert max(line.count("lead(") for line in windows) == 4
+    assert not [c for c in rows.columns if c.startswith("__")]
+
+
+def test_columns_that_no_step_needs_ride_along_as_one(spark):
+    rows = I.dealt(spark.range(40).selectExpr("id % 4 AS ep", "id AS f", "id % 3 = 0 AS flag", "id * 2 AS `a.b`", "CAST(NULL AS STRING) AS none", "array(id) AS many"), "ep")
+    with store.small_methods(spark):
+        out = I.apart(rows, ["flag"], lambda d: d.withColumn("before", F.lag("flag").over(I.over(["ep"], "f"))).drop("flag"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()))
+    window = next(line for line in plan.splitlines() if "Window [lag(" in line)
+    assert "__others" in plan[plan.index(window):] and plan.count("Exchange ") == 1
+    assert out.columns == ["ep", "f", "a.b", "none", "many", "before"]
+    assert got == sorted((i % 4, i, i * 2, None, [i], (i - 4) % 3 == 0 if i >= 4 else None) for i in range(40))
