@@ -9,7 +9,7 @@ from tests.recordings import yaw6
 from trackloom.config import Settings
 from trackloom.functions import geometry as G
 from trackloom.operators import intervals as I
-from trackloom.operators import outliers
+from trackloom.operators import outliers, repair
 from trackloom.plans import store
 from trackloom.sources import frames, videos
 
@@ -80,3 +80,24 @@ def test_columns_that_no_step_needs_ride_along_as_one(spark):
     assert "__others" in plan[plan.index(window):] and plan.count("Exchange ") == 1
     assert out.columns == ["ep", "f", "a.b", "none", "many", "before"]
     assert got == sorted((i % 4, i, i * 2, None, [i], (i - 4) % 3 == 0 if i >= 4 else None) for i in range(40))
+
+
+def test_points_pass_one_window_and_one_exchange(spark):
+    with store.small_methods(spark):
+        rows = repair.repaired(outliers.detected(outliers.points(frames.wide(frames.from_lineitem(spark, SF))), Settings()), Settings())
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- Window ") + plan.count("Window [") - plan.count("+- Window [") == 1
+    assert plan.count("Exchange ") == 1
+
+
+def test_poses_with_nulls_are_invalid_and_odd_widths_raise(spark):
+    shape = "ep long, hand string, pt long, n long, p array<float>, r6 array<float>"
+    upright = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0]
+    poses = [([0.0, 0.0, 0.0], upright), (None, upright), ([0.0, None, 0.0], upright), ([0.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0, 0.5, 0.0]), ([0.0, 0.0, float("nan")], upright), ([0.1, 0.0, 0.0], upright)]
+    rows = spark.createDataFrame([(1, "l", i, len(poses), *pose) for i, pose in reversed(list(enumerate(poses)))], shape)
+    fixed = {r.pt: r for r in repair.repaired(outliers.detected(rows, Settings()), Settings()).collect()}
+    assert [fixed[i].code for i in range(6)] == [0, 16, 16, 32, 16, 0] and [fixed[i].action_code for i in range(6)] == [16, 16, 32, 16, 0, 0]
+    assert [(fixed[i].gap_start, fixed[i].gap_end, fixed[i].repaired) for i in (0, 1, 4)] == [(None, None, False), (1, 5, True), (1, 5, True)]
+    assert [fixed[i].p2[0] for i in range(6)] == pytest.approx([0, 0.02, 0.04, 0.06, 0.08, 0.1])
+    with pytest.raises(Exception, match="other than 3 numbers"):
+        outliers.detected(rows.withColumn("p", F.array(F.lit(0.0))), Settings()).collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,6 +61,26 @@ def rotation_6d(df, six: str, out: str, valid: str):
     return step.withColumn(out, F.when(F.col(valid), whole).otherwise(vector(*IDENTITY))).drop(*names)
 
 
+def rotations(six: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``rotation_6d`` of rows of six numbers: matrices as rows of nine, and which are valid, in the same terms and order."""
+    finite = np.isfinite(six).all(axis=1)
+    c = np.where(np.isfinite(six), six, 0.0)
+    a, b = c[:, :3], c[:, 3:]
+    n1 = np.sqrt(a[:, 0] * a[:, 0] + a[:, 1] * a[:, 1] + a[:, 2] * a[:, 2])
+    x = a / np.maximum(n1, 1e-12)[:, None]
+    s = b - (x[:, 0] * b[:, 0] + x[:, 1] * b[:, 1] + x[:, 2] * b[:, 2])[:, None] * x
+    n2 = np.sqrt(s[:, 0] * s[:, 0] + s[:, 1] * s[:, 1] + s[:, 2] * s[:, 2])
+    y = s / np.maximum(n2, 1e-12)[:, None]
+    valid = finite & (n1 > 1e-8) & (n2 > 1e-8) & (np.maximum(np.abs(x - a), np.abs(y - b)).max(axis=1, initial=0) <= 1e-3)
+    cross = np.column_stack([x[:, i] * y[:, j] - x[:, j] * y[:, i] for i, j in ((1, 2), (2, 0), (0, 1))])
+    return np.where(valid[:, None], np.column_stack([x, y, cross]), np.array(IDENTITY, float)), valid
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, in one expression: rows whose branch does not ask for it skip it all."""
+    return F.transform(F.array(value), use)[0]
+
+
 def relative(a: Column, b: Column, i: int, j: int) -> Column:
     """Element (i, j) of the transpose of ``a`` times ``b``."""
     return total(a[3 * k + i] * b[3 * k + j] for k in range(3))
@@ -80,6 +101,20 @@ def with_angle(df, a: str, b: str, out: str):
     return with_relative(df, a, b, "__rel").withColumn(out, F.degrees(F.atan2(half, (rel[0] + rel[4] + rel[8] - 1) / 2))).drop("__rel")
 
 
+def apart_by(points: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """``distance`` of rows of three numbers."""
+    d = others - points
+    return np.sqrt(d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1] + d[:, 2] * d[:, 2])
+
+
+def turned_by(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Degrees between rows of nine numbers, in the terms and the order of ``with_angle``."""
+    a, b = a.reshape(-1, 3, 3), b.reshape(-1, 3, 3)
+    rel = a[:, 0, :, None] * b[:, 0, None, :] + a[:, 1, :, None] * b[:, 1, None, :] + a[:, 2, :, None] * b[:, 2, None, :]
+    half = np.sqrt((rel[:, 2, 1] - rel[:, 1, 2]) ** 2 + (rel[:, 0, 2] - rel[:, 2, 0]) ** 2 + (rel[:, 1, 0] - rel[:, 0, 1]) ** 2) / 2
+    return np.degrees(np.arctan2(half, (rel[:, 0, 0] + rel[:, 1, 1] + rel[:, 2, 2] - 1) / 2))
+
+
 def with_quaternion(df, m: str, out: str):
     """Adds ``out``: the unit quaternion [x, y, z, w] of a rotation, by the largest of its four squares, so that no root is of a small number."""
     a = F.col(m)
@@ -106,27 +141,28 @@ def with_quaternion_angle(df, a: str, b: str, out: str):
 def slerp(df, a: str, b: str, alpha: str, out: str):
     """Adds ``out``: the rotation ``alpha`` of the way from column ``a`` to ``b``, a times the scaled relative rotation.
 
-    In steps, as each is used many times by the next; rows without ``alpha`` skip them all and get null. Half a turn leaves
-    no skew part; the axis is then the longest column of the relative rotation plus one.
+    One expression, as rows without ``alpha``, which get null, are the most by far. Half a turn leaves no skew part; the
+    axis is then the longest column of the relative rotation plus one.
     """
-    m, rel, asked = F.col(a), F.col("__rel"), F.col(alpha).isNotNull()
-    step = df.withColumn("__rel", F.when(asked, F.array(*[relative(m, F.col(b), i, j) for i in range(3) for j in range(3)])))
-    step = step.withColumn("__skew", F.when(asked, F.array(rel[7] - rel[5], rel[2] - rel[6], rel[3] - rel[1]))).withColumn("__len", norm(F.col("__skew")))
-    step = step.withColumn("__whole", F.atan2(F.col("__len") / 2, (rel[0] + rel[4] + rel[8] - 1) / 2))
-    longest = F.greatest(*[rel[4 * i] for i in range(3)])
-    columns = [F.array(*[rel[3 * k + i] + (1.0 if k == i else 0.0) for k in range(3)]) for i in range(3)]
-    column = F.when(rel[0] == longest, columns[0]).when(rel[4] == longest, columns[1]).otherwise(columns[2])
-    step = step.withColumn("__axis", F.when(~asked, None).when(F.col("__len") > 1e-9, F.col("__skew")).when(F.col("__whole") > 1, column).otherwise(vector(0, 0, 0)))
-    step = step.withColumn("__size", norm(F.col("__axis")))
-    step = step.withColumn("__axis", F.when(asked, F.array(*[F.coalesce(F.try_divide(F.col("__axis")[i], F.col("__size")), F.lit(0.0)) for i in range(3)])))
-    theta = F.col(alpha) * F.col("__whole")
-    step = step.withColumn("__sin", F.sin(theta)).withColumn("__rest", F.when(F.col("__size") > 0, 1 - F.cos(theta)).otherwise(0.0))
-    x, sin, rest = F.col("__axis"), F.col("__sin"), F.col("__rest")
-    cross = [[F.lit(0.0), -x[2], x[1]], [x[2], F.lit(0.0), -x[0]], [-x[1], x[0], F.lit(0.0)]]
-    step = step.withColumn("__turn", F.when(asked, F.array(*[float(i == j) + sin * cross[i][j] + rest * (x[i] * x[j] - float(i == j)) for i in range(3) for j in range(3)])))
-    turn = F.col("__turn")
-    step = step.withColumn(out, F.when(asked, F.array(*[total(m[3 * i + k] * turn[3 * k + j] for k in range(3)) for i in range(3) for j in range(3)])))
-    return step.drop("__rel", "__skew", "__len", "__whole", "__axis", "__size", "__sin", "__rest", "__turn")
+    m, share = F.col(a), F.col(alpha)
+
+    def along(rel: Column) -> Column:
+        skew = F.array(rel[7] - rel[5], rel[2] - rel[6], rel[3] - rel[1])
+        longest = F.greatest(*[rel[4 * i] for i in range(3)])
+        columns = [F.array(*[rel[3 * k + i] + (1.0 if k == i else 0.0) for k in range(3)]) for i in range(3)]
+        column = F.when(rel[0] == longest, columns[0]).when(rel[4] == longest, columns[1]).otherwise(columns[2])
+        whole = F.atan2(norm(skew) / 2, (rel[0] + rel[4] + rel[8] - 1) / 2)
+        axis = F.when(norm(skew) > 1e-9, skew).when(whole > 1, column).otherwise(vector(0, 0, 0))
+        return let(axis, lambda v: let(F.array(*[F.coalesce(F.try_divide(v[i], norm(v)), F.lit(0.0)) for i in range(3)], norm(v), share * whole), turn))
+
+    def turn(x: Column) -> Column:
+        sin, rest = F.sin(x[4]), F.when(x[3] > 0, 1 - F.cos(x[4])).otherwise(0.0)
+        cross = [[F.lit(0.0), -x[2], x[1]], [x[2], F.lit(0.0), -x[0]], [-x[1], x[0], F.lit(0.0)]]
+        turned = F.array(*[float(i == j) + sin * cross[i][j] + rest * (x[i] * x[j] - float(i == j)) for i in range(3) for j in range(3)])
+        return let(turned, lambda r: F.array(*[total(m[3 * i + k] * r[3 * k + j] for k in range(3)) for i in range(3) for j in range(3)]))
+
+    rel = F.array(*[relative(m, F.col(b), i, j) for i in range(3) for j in range(3)])
+    return df.withColumn(out, F.when(share.isNotNull(), let(rel, along)))
 
 
 def in_camera(rotation: Column, centre: Column, point: Column) -> Column:
@@ -144,43 +180,34 @@ def bent(lens: Column) -> Column:
     return F.when(~F.exists(lens, lambda c: c != 0), False).when(F.size(lens).isin(*LENS_SIZES), True).otherwise(wrong.cast("boolean"))
 
 
-def _tilted(df, c, x: str, y: str):
-    """Moves ``x`` and ``y`` onto a sensor that is tilted about both axes, where the lens has such coefficients."""
+def _tilted(c, seen: Column) -> Column:
+    """``seen`` moved onto a sensor that is tilted about both axes, where the lens has such coefficients."""
     a, b = c(12), c(13)
     rot = [[F.cos(b), F.sin(b) * F.sin(a), -F.sin(b) * F.cos(a)], [F.lit(0.0), F.cos(a), F.sin(a)], [F.sin(b), -F.cos(b) * F.sin(a), F.cos(b) * F.cos(a)]]
-    tilted = F.col("__bent") & ((a != 0) | (b != 0))
-    seen = F.when(tilted, F.array(*[r[0] * F.col(x) + r[1] * F.col(y) + r[2] for r in rot]))
-    seen = df.withColumn("__seen", seen)
-    v = F.col("__seen")
-    moved = [F.when(v.isNotNull(), (rot[2][2] * v[i] - rot[i][2] * v[2]) / v[2]).otherwise(F.col(n)) for i, n in enumerate((x, y))]
-    return seen.withColumn("__moved", F.array(*moved)).withColumn(x, F.col("__moved")[0]).withColumn(y, F.col("__moved")[1]).drop("__seen", "__moved")
+    moved = let(F.array(*[r[0] * seen[0] + r[1] * seen[1] + r[2] for r in rot]), lambda v: F.array(*[(rot[2][2] * v[i] - rot[i][2] * v[2]) / v[2] for i in range(2)]))
+    return F.when((a != 0) | (b != 0), moved).otherwise(seen)
 
 
 def with_projection(df, point: str, k: str, lens: str, out: str):
     """Adds ``out``: pixel coordinates [u, v] of a point in camera coordinates; NaN when it is not in front (z over 1e-6).
 
     ``k``: the nine intrinsics, all of which hold where the lens does not distort; a distorting one is followed by focal
-    lengths and centre alone. ``lens``: rational, thin-prism and tilted-sensor models by the number of coefficients. In
-    steps, as each is used many times by the next.
+    lengths and centre alone. ``lens``: rational, thin-prism and tilted-sensor models by the number of coefficients. One
+    expression, of which rows without distortion compute the plain part alone.
     """
     p, m, coefficients = F.col(point), F.col(k), F.col(lens)
     c = lambda i: F.coalesce(F.get(coefficients, F.lit(i)), F.lit(0.0))
-    front = p[2] > 1e-6
-    step = df.withColumn("__z", F.when(front, p[2]).otherwise(1.0)).withColumn("__bent", bent(coefficients))
-    step = step.withColumn("__x", p[0] / F.col("__z")).withColumn("__y", p[1] / F.col("__z"))
-    x, y, r = F.col("__x"), F.col("__y"), F.col("__r")
-    step = step.withColumn("__r", x * x + y * y)
-    radial = (1 + r * (c(0) + r * (c(1) + r * c(4)))) / (1 + r * (c(5) + r * (c(6) + r * c(7))))
-    step = step.withColumn("__g", F.when(F.col("__bent"), radial))
-    lx = x * F.col("__g") + 2 * c(2) * x * y + c(3) * (r + 2 * x * x) + r * (c(8) + r * c(9))
-    ly = y * F.col("__g") + c(2) * (r + 2 * y * y) + 2 * c(3) * x * y + r * (c(10) + r * c(11))
-    step = step.withColumn("__lx", F.when(F.col("__bent"), lx).otherwise(x)).withColumn("__ly", F.when(F.col("__bent"), ly).otherwise(y))
-    step = _tilted(step, c, "__lx", "__ly")
-    lx, ly = F.col("__lx"), F.col("__ly")
-    plain = [(m[3 * i] * lx + m[3 * i + 1] * ly + m[3 * i + 2]) / (m[6] * lx + m[7] * ly + m[8]) for i in range(2)]
-    seen = [F.when(F.col("__bent"), m[4 * i] * w + m[3 * i + 2]).otherwise(plain[i]) for i, w in enumerate((lx, ly))]
-    step = step.withColumn(out, F.array(*[F.when(front, s).otherwise(F.lit(float("nan"))) for s in seen]))
-    return step.drop("__z", "__bent", "__x", "__y", "__r", "__g", "__lx", "__ly")
+
+    def distorted(at: Column) -> Column:
+        x, y, r = at[0], at[1], at[2]
+        radial = (1 + r * (c(0) + r * (c(1) + r * c(4)))) / (1 + r * (c(5) + r * (c(6) + r * c(7))))
+        lx = x * radial + 2 * c(2) * x * y + c(3) * (r + 2 * x * x) + r * (c(8) + r * c(9))
+        ly = y * radial + c(2) * (r + 2 * y * y) + 2 * c(3) * x * y + r * (c(10) + r * c(11))
+        return let(F.array(lx, ly), lambda v: let(_tilted(c, v), lambda w: F.array(*[m[4 * i] * w[i] + m[3 * i + 2] for i in range(2)])))
+
+    front, x, y = F.coalesce(p[2] > 1e-6, F.lit(False)), p[0] / p[2], p[1] / p[2]
+    plain = F.array(*[(m[3 * i] * x + m[3 * i + 1] * y + m[3 * i + 2]) / (m[6] * x + m[7] * y + m[8]) for i in range(2)])
+    return df.withColumn(out, F.when(bent(coefficients) & front, let(F.array(x, y, x * x + y * y), distorted)).when(front, plain).otherwise(vector(float("nan"), float("nan"))))
 
 
 def image_region(uv: Column, front: Column, width: Column, height: Column, margin: float) -> tuple[Column, Column]:

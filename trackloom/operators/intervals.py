@@ -7,8 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 #: Rows that one task is to sort at once: stacked windows over wide rows hold some kilobytes a row, and more would be spilled.
@@ -40,6 +44,45 @@ def apart(rows: DataFrame, needed: Sequence[str], steps: Callable[[DataFrame], D
     return done.select(*old, *[F.col(f"`{c}`") for c in done.columns if c != "__others" and c not in needed])
 
 
+def by_group(rows: DataFrame, keys: Sequence[str], index: str, steps: Callable[[pa.Table], dict], added: str) -> DataFrame:
+    """Adds the columns ``added`` (a schema) that ``steps`` makes of one group's rows in the order of ``index``.
+
+    Spark deals and groups the rows; rows dealt by some of the keys already stay where they are. A group is held whole in its
+    task, as numbers in Arrow columns: one trajectory or one recording, never more.
+    """
+    fields = StructType.fromDDL(added)
+
+    def one(group: pa.Table) -> pa.Table:
+        at = group[index].to_numpy()
+        if len(at) > 1 and not (at[1:] > at[:-1]).all():
+            group = group.take(np.argsort(at, kind="stable"))
+        made = steps(group)
+        for name in fields.names:
+            group = group.append_column(name, made[name])
+        return group
+
+    return rows.groupBy(*keys).applyInArrow(one, StructType([*rows.schema.fields, *fields.fields]))
+
+
+def numbers(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A column of arrays of ``width`` numbers as a matrix of doubles, nulls as NaN, and which rows hold no null."""
+    there = column.is_valid().to_numpy()
+    if (pc.list_value_length(column).drop_null().to_numpy() != width).any():
+        raise ValueError(f"an array has other than {width} numbers")
+    flat = pc.list_flatten(column)
+    out, known = np.full((len(column), width), np.nan), there.copy()
+    out[there] = flat.to_numpy().reshape(-1, width)
+    if flat.null_count:
+        known[there] = flat.is_valid().to_numpy().reshape(-1, width).all(axis=1)
+    return out, known
+
+
+def arrays(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a column of arrays."""
+    size, width = matrix.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * np.int32(width)), pa.array(matrix.ravel()))
+
+
 def over(keys: Sequence[str], *order) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
 

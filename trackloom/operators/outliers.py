@@ -1,4 +1,4 @@
-"""S1: numerically invalid poses, jump blocks and Hampel spikes of hand trajectories, with windows alone.
+"""S1: numerically invalid poses, jump blocks and Hampel spikes of hand trajectories, one trajectory at a time.
 
 A trajectory is a row for each point: ep, hand, pt (from 0), p (position), r6 (rotation, first two rows), external
 (the last action's pose, where it is a target of its own beyond the last frame).
@@ -6,12 +6,14 @@ A trajectory is a row for each point: ep, hand, pt (from 0), p (position), r6 (r
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import ahead, apart, over
+from .intervals import apart, arrays, by_group, numbers, over
 
 HANDS = ("l", "r")
 KEYS = ["ep", "hand"]
@@ -33,12 +35,20 @@ def delay_rows(wide: DataFrame, atol: float = 1e-6) -> DataFrame:
     return out.drop(*[f"__next_{c}" for c in states])
 
 
-def points(wide: DataFrame) -> DataFrame:
-    """ep, n, hand, pt, p, r6, external: the states, and the last action where it differs from the last state."""
-    tagged = delay_rows(wide)
-    each = [F.struct(F.lit(h).alias("hand"), F.col("f").alias("pt"), F.col(f"{h}_p").alias("p"), F.col(f"{h}_r6").alias("r6"), F.lit(False).alias("external")) for h in HANDS]
-    beyond = [F.when((F.col("f") == F.col("n") - 1) & ~F.col(f"{h}_matches"), F.struct(F.lit(h).alias("hand"), F.col("n").alias("pt"), F.col(f"{h}_ap").alias("p"), F.col(f"{h}_ar6").alias("r6"), F.lit(True).alias("external"))) for h in HANDS]
-    return tagged.select("ep", "n", F.inline(F.array(*each, *beyond))).filter("hand IS NOT NULL")
+def points(wide: DataFrame, atol: float = 1e-6) -> DataFrame:
+    """ep, n, hand, pt, p, r6, external: the states, and the last action where it differs from the last state.
+
+    The last row's action aims at its own state, so no row needs the one after it here.
+    """
+    each, beyond = [], []
+    for h in HANDS:
+        same = F.lit(True)
+        for kind, width in (("p", 3), ("r6", 6)):
+            for i in range(width):
+                same = same & G.isclose(F.col(f"{h}_a{kind}")[i], F.col(f"{h}_{kind}")[i], atol)
+        each.append(F.struct(F.lit(h).alias("hand"), F.col("f").alias("pt"), F.col(f"{h}_p").alias("p"), F.col(f"{h}_r6").alias("r6"), F.lit(False).alias("external")))
+        beyond.append(F.when((F.col("f") == F.col("n") - 1) & ~same, F.struct(F.lit(h).alias("hand"), F.col("n").alias("pt"), F.col(f"{h}_ap").alias("p"), F.col(f"{h}_ar6").alias("r6"), F.lit(True).alias("external"))))
+    return wide.select("ep", "n", F.inline(F.array(*each, *beyond))).filter("hand IS NOT NULL")
 
 
 def posed(trajectory: DataFrame) -> DataFrame:
@@ -66,56 +76,86 @@ def steps(rows: DataFrame, group: str) -> DataFrame:
     return G.with_angle(out, "rot", "__next_rot", "rot_step").withColumn("rot_step", F.col("rot_step") / gap).withColumnRenamed("__next_q", "next_q").drop("__next_pt", "__next_rot")
 
 
-def blocks(rows: DataFrame, s: Settings) -> DataFrame:
-    """Adds ``block``: the bits of a jump away and back.
+def edges(pt: np.ndarray, q: np.ndarray, rot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position and rotation step per frame from each row to the next."""
+    gap = np.diff(pt).astype(float)
+    if (gap == 0).any():
+        raise ZeroDivisionError("two points of a trajectory have the same number")
+    return G.apart_by(q[:-1], q[1:]) / gap, G.turned_by(rot[:-1], rot[1:]) / gap
+
+
+def blocks(pt: np.ndarray, q: np.ndarray, rot: np.ndarray, s: Settings) -> np.ndarray:
+    """The bits of a jump away and back, of each row.
 
-    Between two consecutive jump edges e and f (edge v joins valid rows v and v + 1) the rows e + 1 to f are a block when they
-    are at most ``max_block`` and the trajectory comes back to within ``recovery`` of where it left. So a row needs its
-    last jump edge before and its first one after, which are carried along in one pass.
+    Between two consecutive jump edges e and f (edge v joins rows v and v + 1) the rows e + 1 to f are a block when they
+    are at most ``max_block`` and the trajectory comes back to within ``recovery`` of where it left.
     """
-    edge = steps(rows, "valid")
-    big_p, big_r = F.coalesce(F.col("pos") > s.position_step, F.lit(False)), F.coalesce(F.col("rot_step") > s.rotation_step, F.lit(False))
-    edge = edge.withColumn("__jump", F.col("valid") & (F.col("m") >= 4) & (big_p | big_r))
-    mark = F.when(F.col("__jump"), F.struct(F.col("v"), big_p.alias("p"), big_r.alias("r"), F.col("q"), F.col("next_q").alias("q2")))
-    edge = edge.withColumn("__mark", mark).drop("m", "next_q", "pos", "rot_step")
-    before = F.last("__mark", ignorenulls=True).over(over([*KEYS, "valid"], "pt").rowsBetween(Window.unboundedPreceding, -1))
-    edge = edge.select("*", before.alias("__e"), ahead("__mark", [*KEYS, "valid"], "pt").alias("__f")).withColumn("__f", F.coalesce("__mark", "__f"))
-    e, f = F.col("__e"), F.col("__f")
-    is_block = F.col("valid") & (f.v - e.v <= s.max_block) & (G.distance(e.q, f.q2) < s.recovery)
-    bits = (e.p | f.p).cast("int") + F.lit(2) * (e.r | f.r).cast("int")
-    return edge.withColumn("block", F.when(F.coalesce(is_block, F.lit(False)), bits).otherwise(F.lit(0))).drop("__jump", "__mark", "__e", "__f", "v")
-
-
-def spike(big: Column, w, first: Column, last: Column) -> Column:
-    """Both edges large inside; at an end, its only edge large and the one beyond it not."""
-    before, after = F.lag(big).over(w), F.lead(big).over(w)
-    inside = F.coalesce(before & big, F.lit(False))
-    return F.when(first, big & ~F.coalesce(after, F.lit(False))).when(last, before & ~F.coalesce(F.lag(big, 2).over(w), F.lit(False))).otherwise(inside)
-
-
-def hampel(rows: DataFrame, s: Settings) -> DataFrame:
-    """Adds pos_threshold, rot_threshold and ``spike`` (bits 4 and 8) among valid rows outside blocks, where there are five or more."""
-    out = steps(rows.withColumn("calm", F.col("valid") & (F.col("block") == 0)), "calm")
-    everything, w = Window.partitionBy(*KEYS, "calm"), over([*KEYS, "calm"], "pt")
-    kinds = (("pos", "pos", s.hampel_position), ("rot", "rot_step", s.hampel_rotation))
-    out = out.drop("next_q").select("*", *[F.median(column).over(everything).alias(f"__median_{name}") for name, column, _ in kinds])
-    out = out.select("*", *[F.median(F.abs(F.col(column) - F.col(f"__median_{name}"))).over(everything).alias(f"__mad_{name}") for name, column, _ in kinds])
-    enough = F.col("calm") & (F.col("m") >= 5)
-    limits = [F.when(enough, F.greatest(F.lit(floor), F.col(f"__median_{name}") + s.hampel_k * 1.4826 * F.col(f"__mad_{name}"))).alias(f"{name}_threshold") for name, _, floor in kinds]
-    out = out.select("*", *limits).select("*", *[F.coalesce(F.col(column) > F.col(f"{name}_threshold"), F.lit(False)).alias(f"__big_{name}") for name, column, _ in kinds])
-    out = out.drop(*[f"__{x}_{name}" for x in ("median", "mad") for name, *_ in kinds], "pos", "rot_step")
-    first, last = F.col("v") == 0, F.col("v") == F.col("m") - 1
-    bits = F.lit(0)
-    for name, bit in (("pos", 4), ("rot", 8)):
-        bits = bits + F.when(F.col("calm") & (F.col("m") >= 5) & spike(F.col(f"__big_{name}"), w, first, last), bit).otherwise(0)
-    return out.withColumn("spike", bits).drop("__big_pos", "__big_rot", "v", "m")
+    out = np.zeros(len(pt), np.int32)
+    if len(pt) < 4:
+        return out
+    pos, turn = edges(pt, q, rot)
+    big_p, big_r = pos > s.position_step, turn > s.rotation_step
+    jumps = np.flatnonzero(big_p | big_r)
+    e, f = jumps[:-1], jumps[1:]
+    back = (f - e <= s.max_block) & (G.apart_by(q[e], q[f + 1]) < s.recovery)
+    bits = np.where(back, (big_p[e] | big_p[f]) + 2 * (big_r[e] | big_r[f]), 0)
+    pair = np.searchsorted(jumps, np.arange(len(pt)))
+    inside = (pair > 0) & (pair < len(jumps))
+    out[inside] = bits[pair[inside] - 1]
+    return out
+
+
+def hampel(pt: np.ndarray, q: np.ndarray, rot: np.ndarray, s: Settings) -> tuple[np.ndarray, list[float]]:
+    """``spike`` (bits 4 and 8) of five rows or more, and the thresholds of position and rotation.
+
+    Both edges large inside; at an end, its only edge large and the one beyond it not.
+    """
+    spike, limits = np.zeros(len(pt), np.int32), []
+    for steps, floor, bit in zip(edges(pt, q, rot), (s.hampel_position, s.hampel_rotation), (4, 8)):
+        middle = np.median(steps)
+        limits.append(max(floor, middle + s.hampel_k * 1.4826 * np.median(np.abs(steps - middle))))
+        after = np.append(steps > limits[-1], False)
+        before = np.append(False, after[:-1])
+        found = before & after
+        found[0], found[-1] = after[0] & ~after[1], before[-1] & ~before[-2]
+        spike += bit * found.astype(np.int32)
+    return spike, limits
+
+
+def _marks(rows: pa.Table, s: Settings) -> dict:
+    """Of one trajectory: poses, marks of valid points, codes, and the good points next to marked ones as [pt, three of q, nine of rot]."""
+    pt, p, r6 = rows["pt"].to_numpy(), numbers(rows["p"], 3)[0], numbers(rows["r6"], 6)[0]
+    rot, valid = G.rotations(r6)
+    finite = np.isfinite(p).all(axis=1) & np.isfinite(r6).all(axis=1)
+    valid, q = valid & finite, np.where(np.isfinite(p), p, 0.0)
+    block, spike, limits = np.zeros(len(pt), np.int32), np.zeros(len(pt), np.int32), [None, None]
+    block[valid] = blocks(pt[valid], q[valid], rot[valid], s)
+    calm = valid & (block == 0)
+    enough = calm.sum() >= 5
+    if enough:
+        spike[calm], limits = hampel(pt[calm], q[calm], rot[calm], s)
+    code = block | spike | np.where(~finite, 16, np.where(~valid, 32, 0)).astype(np.int32)
+    out = {"finite": finite, "valid": valid, "q": arrays(q), "rot": arrays(rot), "calm": calm, "block": block, "spike": spike, "code": code, "action_code": np.append(code[1:], code[-1:]), "points": np.full(len(pt), len(pt))}
+    for name, limit in zip(("pos_threshold", "rot_threshold"), limits):
+        out[name] = pa.array(np.full(len(pt), limit if enough else 0.0), mask=~(calm & enough))
+    at, good, marked = np.arange(len(pt)), np.flatnonzero(code == 0), code != 0
+    after = np.searchsorted(good, at)
+    poses = np.column_stack([pt, q, rot]).astype(float)
+    for name, place, known in (("lo", after - 1, after > 0), ("hi", after, after < len(good))):
+        known &= marked
+        offsets = np.append(0, np.cumsum(13 * known)).astype(np.int32)
+        out[name] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(poses[good[place[known]]].ravel()), mask=pa.array(~known))
+    return {name: pa.array(values) if isinstance(values, np.ndarray) else values for name, values in out.items()}
 
 
 def detected(trajectory: DataFrame, s: Settings) -> DataFrame:
-    """The trajectory with finite, valid, rot, q, block, spike, pos_threshold, rot_threshold and ``code`` (bits of S1)."""
-    found = apart(posed(trajectory), [*KEYS, "pt", "valid", "q", "rot"], lambda rows: hampel(blocks(rows, s), s))
-    invalid = F.when(~F.col("finite"), 16).when(~F.col("valid"), 32).otherwise(0)
-    return found.withColumn("code", F.col("block").bitwiseOR(F.col("spike")).bitwiseOR(invalid))
+    """The trajectory with finite, valid, rot, q, calm, block, spike, pos_threshold, rot_threshold, ``code`` (bits of S1) and ``action_code``.
+
+    Thresholds are those of valid rows outside blocks, where there are five or more. ``lo``, ``hi`` and ``points`` are what repair
+    needs: of a marked point the good ones before and after, and how many points the trajectory has.
+    """
+    added = "finite boolean, valid boolean, q array<double>, rot array<double>, calm boolean, block int, spike int, pos_threshold double, rot_threshold double, code int, action_code int, lo array<double>, hi array<double>, points long"
+    return apart(trajectory, [*KEYS, "pt", "p", "r6"], lambda rows: by_group(rows, KEYS, "pt", lambda one: _marks(one, s), added))
 
 
 def peak_steps(found: DataFrame) -> DataFrame:

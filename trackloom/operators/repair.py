@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import ahead, apart, over
-from .outliers import HANDS, KEYS, whole
+from .intervals import over
+from .outliers import HANDS, KEYS
 
 
 def repaired(found: DataFrame, s: Settings) -> DataFrame:
@@ -17,60 +17,42 @@ def repaired(found: DataFrame, s: Settings) -> DataFrame:
     A run of marked points stays unresolved when it touches the first or last point or is longer than ``max_gap``.
     Unmarked values come through untouched.
     """
-    out = apart(found, [*KEYS, "pt", "code", "q", "rot"], lambda rows: _between_neighbours(_neighbours(rows), s))
+    lo, hi, marked = F.col("lo"), F.col("hi"), F.col("code") != 0
+    rows = found.withColumn("gap_start", F.when(marked, F.coalesce(lo[0].cast("long") + 1, F.lit(0)))).withColumn("gap_end", F.when(marked, F.coalesce(hi[0].cast("long"), F.col("points"))))
+    short = marked & lo.isNotNull() & hi.isNotNull() & (F.col("gap_end") - F.col("gap_start") <= s.max_gap)
+    rows = rows.withColumn("repaired", F.coalesce(short, F.lit(False))).withColumn("ok", ~marked | F.col("repaired"))
+    rows = rows.withColumn("__a", F.when(F.col("repaired"), (F.col("pt") - lo[0]) / (hi[0] - lo[0])))
+    a = F.col("__a")
+    line = F.when(a.isNotNull(), F.array(*[(1 - a) * lo[1 + i] + a * hi[1 + i] for i in range(3)]))
+    rows = rows.withColumn("__line", line).withColumn("__from", F.when(a.isNotNull(), F.slice(lo, 5, 9))).withColumn("__to", F.when(a.isNotNull(), F.slice(hi, 5, 9)))
+    out = G.slerp(rows.drop("lo", "hi", "points"), "__from", "__to", "__a", "__mid")
     kinds = {n: found.schema[n].dataType for n in ("p", "r6")}
     out = out.withColumn("p2", F.when(F.col("repaired"), F.col("__line").cast(kinds["p"])).otherwise(F.col("p")))
     out = out.withColumn("r62", F.when(F.col("repaired"), F.slice("__mid", 1, 6).cast(kinds["r6"])).otherwise(F.col("r6")))
-    return out.drop("__line", "__mid")
-
-
-def _neighbours(found: DataFrame) -> DataFrame:
-    """Adds, to marked points alone, the good points before and after (__lo, __hi), and to all how many there are."""
-    good = F.when(F.col("code") == 0, F.struct("pt", "q", "rot"))
-    rows = found.withColumn("__good", good)
-    before = F.last("__good", ignorenulls=True).over(over(KEYS, "pt").rowsBetween(Window.unboundedPreceding, 0))
-    count = F.count(F.lit(1)).over(whole(over(KEYS, "pt")))
-    # A point that is not marked needs neither neighbour, and carries none on.
-    marked = lambda c: F.when(F.col("code") != 0, F.col(c))
-    rows = rows.select("*", before.alias("__lo"), count.alias("__points"), ahead("__good", KEYS, "pt").alias("__hi"))
-    return rows.withColumn("__lo", marked("__lo")).withColumn("__hi", marked("__hi")).drop("__good")
-
-
-def _between_neighbours(found: DataFrame, s: Settings) -> DataFrame:
-    """Adds gap_start, gap_end, repaired, ok and, to repaired points, __line (position) and __mid (rotation)."""
-    return apart(found, ["pt", "code", "__lo", "__hi", "__points"], lambda rows: _interpolated(rows, s))
-
-
-def _interpolated(rows: DataFrame, s: Settings) -> DataFrame:
-    lo, hi = F.col("__lo"), F.col("__hi")
-    rows = rows.withColumn("gap_start", F.when(F.col("code") != 0, F.coalesce(lo.pt + 1, F.lit(0)))).withColumn("gap_end", F.when(F.col("code") != 0, F.coalesce(hi.pt, F.col("__points"))))
-    short = (F.col("code") != 0) & lo.isNotNull() & hi.isNotNull() & (F.col("gap_end") - F.col("gap_start") <= s.max_gap)
-    rows = rows.withColumn("repaired", F.coalesce(short, F.lit(False))).withColumn("ok", (F.col("code") == 0) | F.col("repaired"))
-    alpha = (F.col("pt") - lo.pt) / (hi.pt - lo.pt)
-    rows = rows.withColumn("__a", F.when(F.col("repaired"), alpha))
-    a = F.col("__a")
-    line = F.when(a.isNotNull(), F.array(*[(1 - a) * lo.q[i] + a * hi.q[i] for i in range(3)]))
-    rows = rows.withColumn("__line", line).withColumn("__from", F.when(a.isNotNull(), lo.rot)).withColumn("__to", F.when(a.isNotNull(), hi.rot)).drop("__lo", "__hi", "__points")
-    return G.slerp(rows, "__from", "__to", "__a", "__mid").drop("__a", "__from", "__to")
+    return out.drop("__a", "__from", "__to", "__line", "__mid")
 
 
-def per_frame(fixed: DataFrame) -> DataFrame:
+def per_frame(fixed: DataFrame, positions_only: bool = False) -> DataFrame:
     """ep, f and, for each hand: p, r6, code, valid, repaired, and the same of its action row; ``s1`` marks rejected frames.
 
     An action row takes the point it aims at. A bad target beyond the last frame rejects the last frame. Every frame has a
     point of each hand, so in the order of points and hands a left point is followed by the right one and then by the
     left and right ones that they aim at: three leads in one pass, with no grouping. A last point without a target aims at itself.
+    With ``positions_only`` rotations and the poses of actions, which no rule reads, are neither carried nor returned.
     """
-    w, point = over(["ep"], "pt", "hand"), F.struct("hand", "code", "ok", "repaired", "p2", "r62", "external")
-    rows = fixed.select("ep", "pt", "n", "hand", "external", point.alias("l"), *[F.lead(point, i).over(w).alias(f"__{i}") for i in (1, 2, 3)])
+    w, marks = over(["ep"], "pt", "hand"), ["hand", "code", "ok", "repaired", "external"]
+    poses = {i: [] if positions_only and i > 1 else ["p2"] if positions_only else ["p2", "r62"] for i in range(4)}
+    point = {i: F.struct(*marks, *poses[i]) for i in range(4)}
+    rows = fixed.select("ep", "pt", "n", "hand", "external", point[0].alias("l"), *[F.lead(point[i], i).over(w).alias(f"__{i}") for i in (1, 2, 3)])
     rows = rows.filter((F.col("hand") == "l") & ~F.col("external")).withColumnRenamed("__1", "r")
     two, three = F.col("__2"), F.col("__3")
-    rows = rows.withColumn("l_aim", F.when(two.hand == "l", two).otherwise(F.col("l")))
-    rows = rows.withColumn("r_aim", F.when(three.hand == "r", three).when(two.hand == "r", two).otherwise(F.col("r")))
+    own = {h: F.struct(*[F.col(f"{h}.{c}") for c in (*marks, *poses[2])]) for h in HANDS}
+    rows = rows.withColumn("l_aim", F.when(two.hand == "l", two).otherwise(own["l"]))
+    rows = rows.withColumn("r_aim", F.when(three.hand == "r", three).when(two.hand == "r", two).otherwise(own["r"]))
     picks = []
     for h in HANDS:
-        picks += [F.col(f"{h}.{source}").alias(f"{h}_{name}") for name, source in (("p", "p2"), ("r6", "r62"), ("code", "code"), ("valid", "ok"), ("repaired", "repaired"))]
-        picks += [F.col(f"{h}_aim.{source}").alias(f"{h}_{name}") for name, source in (("ap", "p2"), ("ar6", "r62"), ("acode", "code"), ("avalid", "ok"), ("arepaired", "repaired"), ("beyond", "external"))]
+        picks += [F.col(f"{h}.{source}").alias(f"{h}_{name}") for name, source in (("p", "p2"), ("r6", "r62"), ("code", "code"), ("valid", "ok"), ("repaired", "repaired")) if source in (*marks, *poses[0])]
+        picks += [F.col(f"{h}_aim.{source}").alias(f"{h}_{name}") for name, source in (("ap", "p2"), ("ar6", "r62"), ("acode", "code"), ("avalid", "ok"), ("arepaired", "repaired"), ("beyond", "external")) if source in (*marks, *poses[2])]
     wide = rows.select("ep", F.col("pt").alias("f"), "n", *picks)
     lost = [(F.col(f"{h}_beyond") & ~F.col(f"{h}_avalid")) for h in HANDS]
     return wide.withColumn("s1", ~F.col("l_valid") | ~F.col("r_valid") | lost[0] | lost[1])

@@ -5,12 +5,14 @@ All windows are partitioned by ep or by ep and more, so one exchange on ep serve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import geometry as G
-from .intervals import apart, long_runs, over, running, runs, spread_back
+from .intervals import apart, by_group, long_runs, numbers, over, running, runs, spread_back
 
 
 def regions(frames: DataFrame, s: Settings) -> DataFrame:
@@ -19,14 +21,16 @@ def regions(frames: DataFrame, s: Settings) -> DataFrame:
 
 
 def _regions(frames: DataFrame, s: Settings) -> DataFrame:
-    out = frames
+    # Both hands in each step, which copies the rows once.
+    out = frames.withColumns({f"{h}_cam": G.in_camera(F.col("rot"), F.col("centre"), F.col(f"{h}_p")) for h in "lr"})
     for h in "lr":
-        out = out.withColumn(f"{h}_cam", G.in_camera(F.col("rot"), F.col("centre"), F.col(f"{h}_p")))
         out = G.with_projection(out, f"{h}_cam", "k", "lens", f"{h}_uv")
+    seen = {}
+    for h in "lr":
         front = F.coalesce((F.col(f"{h}_cam")[2] > 1e-6) & ~F.isnan(F.col(f"{h}_cam")[2]), F.lit(False))
         inside, safe = G.image_region(F.col(f"{h}_uv"), front, F.col("width"), F.col("height"), s.edge_fraction)
-        out = out.withColumn(f"{h}_behind", ~front).withColumn(f"{h}_inside", F.coalesce(inside, F.lit(False))).withColumn(f"{h}_safe", F.coalesce(safe, F.lit(False)))
-    return out
+        seen |= {f"{h}_behind": ~front, f"{h}_inside": F.coalesce(inside, F.lit(False)), f"{h}_safe": F.coalesce(safe, F.lit(False))}
+    return out.withColumns(seen)
 
 
 def hands_at_edge(frames: DataFrame, s: Settings) -> DataFrame:
@@ -92,42 +96,81 @@ def axis_cosines(frames: DataFrame) -> DataFrame:
     return out
 
 
-def _between(sorted_values: Column, share: float, gap: int) -> Column:
+def _between(sorted_values: np.ndarray, share: float, gap: int) -> np.ndarray:
     """Linear interpolation between order statistics of the gap + 1 values, as quantiles are defined."""
     at = share * gap
     low = int(at)
-    return sorted_values[low] + (sorted_values[min(low + 1, gap)] - sorted_values[low]) * (at - low)
+    return sorted_values[:, low] + (sorted_values[:, min(low + 1, gap)] - sorted_values[:, low]) * (at - low)
+
+
+def _spreads(cosines: np.ndarray, starts: np.ndarray, gap: int) -> np.ndarray:
+    """The 95th less the 5th percentile of the windows that begin at ``starts``, some thousands at a time."""
+    windows, parts = np.lib.stride_tricks.sliding_window_view(cosines, gap + 1), [np.empty(0)]
+    for first in range(0, len(starts), 20_000):
+        values = np.sort(windows[starts[first : first + 20_000]], axis=1)
+        parts.append(_between(values, 0.95, gap) - _between(values, 0.05, gap))
+    return np.concatenate(parts)
+
+
+def _in_long_runs(flag: np.ndarray, seg: np.ndarray, least: int) -> np.ndarray:
+    """The flagged rows in runs of at least ``least`` within a segment."""
+    begins = flag.copy()
+    begins[1:] &= ~(flag[:-1] & (seg[1:] == seg[:-1]))
+    run = np.cumsum(begins)
+    return flag & (np.bincount(run[flag], minlength=run[-1] + 1)[run] >= least)
 
 
 def stable_carry(frames: DataFrame, s: Settings) -> DataFrame:
     """Adds l_spread, r_spread, stable, s4_distance, s4_angle, s4_t, s4_r (hits), s4_tq, s4_rq (in long runs) and ``s4`` (bits).
 
     Spread: the 95th less the 5th percentile of a hand's cosine over the window. Each branch needs ``s4_starts``
-    consecutive window starts, and covers their windows.
+    consecutive window starts, and covers their windows. One recording at a time.
     """
     needed = [*SEGMENT, "f", "s1", "rot", "centre", "l_cam", "r_cam"]
-    return apart(frames, needed, lambda rows: _stable_carry(rows, s))
-
+    added = "s4_distance double, s4_angle double, l_spread double, r_spread double, s4_window boolean, s4_whole boolean, stable boolean, s4_t boolean, s4_r boolean, s4_tq boolean, s4_rq boolean, s4 int"
 
-def _stable_carry(frames: DataFrame, s: Settings) -> DataFrame:
-    out = motion(axis_cosines(frames), s.s4_gap, "s4")
-    ahead = over(SEGMENT, "f").rowsBetween(0, s.s4_gap)
-    listed = [F.when(F.col("keep"), F.collect_list(f"{h}_cos").over(ahead)).alias(f"__{h}") for h in "lr"]
-    out = out.select("*", *listed, F.min(F.col("l_good") & F.col("r_good")).over(ahead).alias("__good"))
-    # sort_array orders plain doubles in generated code; array_sort would call a comparator for each pair.
-    fits = F.size("__l") == s.s4_gap + 1
-    out = out.select("*", *[F.when(fits, F.sort_array(f"__{h}")).alias(f"__{h}_sorted") for h in "lr"]).drop("__l", "__r")
-    for h in "lr":
-        values = F.col(f"__{h}_sorted")
-        out = out.withColumn(f"{h}_spread", _between(values, 0.95, s.s4_gap) - _between(values, 0.05, s.s4_gap)).drop(f"__{h}_sorted")
-    out = out.withColumn("s4_window", F.col("l_spread").isNotNull())
-    out = out.withColumn("s4_whole", F.col("s4_window") & F.col("__good")).drop("__good")
-    out = out.withColumn("stable", F.coalesce(F.col("s4_whole") & (F.col("l_spread") <= s.s4_spread) & (F.col("r_spread") <= s.s4_spread), F.lit(False)))
-    out = out.withColumn("s4_t", F.col("stable") & F.coalesce(F.col("s4_distance") > s.s4_translation, F.lit(False)))
-    out = out.withColumn("s4_r", F.col("stable") & F.coalesce(F.col("s4_angle") > s.s4_rotation + s.s4_slack, F.lit(False)))
-    out = long_runs(long_runs(out, SEGMENT, "s4_t", s.s4_starts, "s4_tq"), SEGMENT, "s4_r", s.s4_starts, "s4_rq")
-    bits = [spread_back(SEGMENT, F.col(c), s.s4_gap).cast("int") for c in ("s4_tq", "s4_rq")]
-    return out.withColumn("s4", F.when(F.col("keep"), bits[0] + 2 * bits[1]).otherwise(0))
+    def steps(rows: DataFrame) -> DataFrame:
+        # The positions before the cosines ride along too: only what the windows read is taken apart.
+        return apart(axis_cosines(rows), [*SEGMENT, "f", "rot", "centre", *(f"{h}_{x}" for h in "lr" for x in ("good", "cos"))], lambda d: by_group(d, ["ep"], "f", lambda one: _carried(one, s), added))
+
+    return apart(frames, needed, steps)
+
+
+def _carried(rows: pa.Table, s: Settings) -> dict:
+    """S4 of one recording. Frames of a segment are consecutive, so a window fits where the frame ``s4_gap`` on is of the same segment."""
+    gap, size = s.s4_gap, rows.num_rows
+    keep, seg = rows["keep"].to_numpy(), rows["seg"].fill_null(0).to_numpy()
+    (centre, known), (rot, sure) = numbers(rows["centre"], 3), numbers(rows["rot"], 9)
+    window = np.zeros(size, bool)
+    if size > gap:
+        window[:-gap] = keep[:-gap] & keep[gap:] & (seg[gap:] == seg[:-gap])
+    starts = np.flatnonzero(window)
+    ends = starts + gap
+
+    def put(values: np.ndarray, where: np.ndarray) -> pa.Array:
+        out, empty = np.zeros(size), np.ones(size, bool)
+        out[starts], empty[starts] = values, ~where
+        return pa.array(out, mask=empty)
+
+    everywhere = np.ones(len(starts), bool)
+    moved, turned = G.apart_by(centre[starts], centre[ends]), G.turned_by(rot[starts], rot[ends])
+    known, sure = known[starts] & known[ends], sure[starts] & sure[ends]
+    spreads = [_spreads(rows[f"{h}_cos"].to_numpy(), starts, gap) if len(starts) else np.empty(0) for h in "lr"]
+    good = np.append(0, np.cumsum(rows["l_good"].to_numpy() & rows["r_good"].to_numpy()))
+    whole = good[ends + 1] - good[starts] == gap + 1
+    stable = whole & (spreads[0] <= s.s4_spread) & (spreads[1] <= s.s4_spread)
+    out = {"s4_distance": put(moved, known), "s4_angle": put(turned, sure), "l_spread": put(spreads[0], everywhere), "r_spread": put(spreads[1], everywhere), "s4_window": window, "s4": np.zeros(size, np.int32)}
+    # NaN is more than any number in SQL, and so it is here.
+    hits = {"s4_whole": whole, "stable": stable, "s4_t": stable & known & ~(moved <= s.s4_translation), "s4_r": stable & sure & ~(turned <= s.s4_rotation + s.s4_slack)}
+    for name, values in hits.items():
+        out[name] = np.zeros(size, bool)
+        out[name][starts] = values
+    at = np.arange(size)
+    for bit, name in ((1, "s4_t"), (2, "s4_r")):
+        out[f"{name}q"] = _in_long_runs(out[name], seg, s.s4_starts)
+        last = np.maximum.accumulate(np.where(out[f"{name}q"], at, -gap - 1))
+        out["s4"] += bit * (at - last <= gap).astype(np.int32)
+    return {name: pa.array(values) if isinstance(values, np.ndarray) else values for name, values in out.items()}
 
 
 def edge_segments(frames: DataFrame) -> DataFrame:

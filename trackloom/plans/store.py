@@ -15,7 +15,7 @@ from ..config import Settings
 from ..operators import outliers, repair, rules
 from ..operators.intervals import dealt
 from ..sources.frames import frame_count, from_lineitem, wide
-from .timeline import attributed, measured
+from .timeline import attributed, rules_on
 
 _KEPT: dict[tuple[str, str, str, str], DataFrame] = {}
 
@@ -91,10 +91,10 @@ S1_FIELDS = ("fps", "position_step", "rotation_step", "max_block", "recovery", "
 def points(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFrame:
     """Trajectory points with S1 codes, those of actions and repairs; positions and rotations as they are after repair alone.
 
-    Codes of actions come in the order that repair's windows have, so queries of codes need no order of all points anew.
+    Codes of actions come with them, so queries of codes need no order of all points anew.
     """
     s = Settings(**{name: getattr(s, name) for name in S1_FIELDS})
-    return kept(spark, sf_dir, "points", s, lambda: outliers.with_action_codes(repair.repaired(outliers.detected(outliers.points(wide(from_lineitem(spark, sf_dir))), s), s).drop("p", "r6")))
+    return kept(spark, sf_dir, "points", s, lambda: repair.repaired(outliers.detected(outliers.points(wide(from_lineitem(spark, sf_dir))), s), s).drop("p", "r6"))
 
 
 #: What S3 alone depends on: runs that differ in nothing else share the kept frames.
@@ -110,9 +110,9 @@ def frames(spark: SparkSession, sf_dir: str, s: Settings = Settings()) -> DataFr
     shared = replace(s, **{name: getattr(Settings(), name) for name in S3_FIELDS})
 
     def make() -> DataFrame:
-        fixed = repair.per_frame(dealt(points(spark, sf_dir, s), "ep", rows=frame_count(spark, sf_dir)))
-        seen = measured(fixed.join(wide(from_lineitem(spark, sf_dir)).select(*cam), ["ep", "f"]), shared)
-        return attributed(rules.camera_hits(seen, shared)).drop("rot", "centre", "k", "lens", "l_cam", "r_cam", *(f"{h}_{x}" for h in "lr" for x in ("r6", "ap", "ar6")))
+        fixed = repair.per_frame(dealt(points(spark, sf_dir, s), "ep", rows=frame_count(spark, sf_dir)), positions_only=True)
+        seen = rules_on(fixed.join(wide(from_lineitem(spark, sf_dir)).select(*cam), ["ep", "f"]), shared)
+        return attributed(seen).drop("rot", "centre", "k", "lens", "l_cam", "r_cam")
 
     seen = kept(spark, sf_dir, "frames", shared, make)
     if s == shared:

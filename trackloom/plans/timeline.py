@@ -13,22 +13,26 @@ from ..operators import outliers, repair, rules
 def judged(wide: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Frames with every rule's columns, and code and reason of the first rule in the order S1, S2, S4, S3.
 
-    wide: ep, f, n, rot, centre, k, lens, width, height and for each hand p, r6, ap, ar6. One exchange on ep.
+    wide: ep, f, n, rot, centre, k, lens, width, height and for each hand p, r6, ap, ar6.
     """
     cam = ["rot", "centre", "k", "lens", "width", "height"]
     frames = I.dealt(wide, "ep")
     fixed = repair.per_frame(repair.repaired(outliers.detected(outliers.points(frames), s), s))
-    # Both sides are dealt by ep already; the join adds no exchange.
     return attributed(rules_on(fixed.join(frames.select("ep", "f", *cam), ["ep", "f"]), s))
 
 
 def measured(frames: DataFrame, s: Settings) -> DataFrame:
     """S2, S4 and the camera's motion: all that the thresholds of S3, and whether it runs, leave as it is."""
-    return rules.stable_carry(rules.camera_steps(rules.segmented(rules.hands_at_edge(frames, s)), s), s)
+    return rules.stable_carry(_camera_measured(frames, s), s)
+
+
+def _camera_measured(frames: DataFrame, s: Settings) -> DataFrame:
+    return rules.camera_steps(rules.segmented(rules.hands_at_edge(frames, s)), s)
 
 
 def rules_on(frames: DataFrame, s: Settings) -> DataFrame:
-    return rules.camera_hits(measured(frames, s), s)
+    """All rules; S4, which no rule waits for, comes last, so the windows of S3 keep the order that S2 and S3 have."""
+    return rules.stable_carry(rules.camera_hits(_camera_measured(frames, s), s), s)
 
 
 def attributed(frames: DataFrame) -> DataFrame:

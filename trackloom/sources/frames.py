@@ -104,33 +104,39 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = Window.partitionBy("ep").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     cents = lambda c: F.round(F.col(c) * 100).cast("int")
     rows = dealt(line.select(F.col("l_suppkey").alias("ep"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", cents("l_discount").alias("dc"), cents("l_tax").alias("tx"), F.col("l_quantity").cast("int").alias("qty")), "ep", rows=frame_count(spark, sf_dir))
-    rows = rows.withColumn("f", (F.row_number().over(by) - 1).cast("long")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ep")))
-    rows = rows.withColumn("phase", (F.floor(F.col("f") / 150) + F.col("ep")) % 4)
-    w = Window.partitionBy("ep").orderBy("f")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    moves = F.col("phase").isin(1, 3)
-    rows = rows.withColumn("mm", F.sum(F.when(F.col("phase") == 1, 16).when(F.col("phase") == 3, 9).otherwise(0)).over(upto))
-    rows = rows.withColumn("cdeg", F.sum(F.when(moves & (F.col("ep") % 2 == 1), 140).otherwise(0)).over(upto))
-    yaw, cx = F.radians(F.col("cdeg") / 100.0), F.col("mm") / 1000.0
-    rows = rows.withColumn("cos", F.cos(yaw)).withColumn("sin", F.sin(yaw)).withColumn("cx", cx)
+    # One order and one pass: the next line's numbers make the next state, which is this row's action.
+    everything = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ahead = [F.lead(c).over(by).alias(f"{c}2") for c in ("dc", "tx", "qty")]
+    rows = rows.select("ep", "dc", "tx", "qty", (F.row_number().over(by) - 1).cast("long").alias("f"), F.count(F.lit(1)).over(everything).alias("n"), *ahead)
+    end = F.col("f") == F.col("n") - 1
+    rows = rows.select("ep", "f", "n", "dc", "tx", "qty", F.when(end, F.col("f")).otherwise(F.col("f") + 1).alias("f2"), *[F.when(end, F.col(c)).otherwise(F.col(f"{c}2")).alias(f"{c}2") for c in ("dc", "tx", "qty")])
     nan, zero = F.lit(float("nan")), F.lit(0.0)
 
-    def hand(side: int) -> tuple[Column, Column]:
-        off = F.when(F.col("phase") == 2, 3.0 * side).otherwise(0.1 * side)
-        return F.col("cx") + F.col("cos") * off + F.col("sin") * 2.0, -F.col("sin") * off + F.col("cos") * 2.0
-
-    (lx, lz), (rx, rz) = hand(-1), hand(1)
-    jump = F.when((F.col("dc") == 10) & (F.col("tx") == 8), 0.5).when((F.col("dc") == 8) & (F.col("tx") == 2), 0.12).otherwise(0.0)
-    lost = ((F.col("qty") == 50) & (F.col("dc") == 0)) | ((F.col("ep") % 5 == 0) & F.col("f").between(200, 239)) | ((F.col("ep") % 7 == 0) & (F.col("f") < 3))
-    turn = F.radians(F.when((F.col("dc") == 9) & (F.col("tx") == 7), 60.0).when((F.col("dc") == 3) & (F.col("tx") == 6), 35.0).otherwise(0.0))
-    rows = rows.withColumn("l_p", F.array(F.when(lost, nan).otherwise(lx + jump), zero, lz)).withColumn("r_p", F.array(rx, zero, rz))
-    rows = rows.withColumn("l_r6", F.array(F.cos(turn), zero, F.sin(turn), zero, F.lit(1.0), zero))
-    one = F.when((F.col("qty") == 49) & (F.col("dc") == 1), 0.0).otherwise(1.0)
-    rows = rows.withColumn("r_r6", F.array(one, zero, zero, zero, F.lit(1.0), zero))
-    for name in ("l_p", "r_p", "l_r6", "r_r6"):
-        rows = rows.withColumn(f"{name[:2]}a{name[2:]}", F.coalesce(F.lead(name).over(w), F.col(name)))
-    last = (F.col("f") == F.col("n") - 1) & (F.col("ep") % 3 == 0)
-    rows = rows.withColumn("l_ap", F.when(last, F.array(nan, F.col("l_ap")[1], F.col("l_ap")[2])).otherwise(F.col("l_ap")))
+    def moved(block: Column, f: Column, phase: int) -> Column:
+        """How many frames up to this one are in the phase; blocks of 150 count from the episode's number, below 0 in no moving phase."""
+        upto = lambda x: F.floor((F.greatest(x, F.lit(0)) + (3 - phase)) / 4)
+        here = F.when((block + F.col("ep")) % 4 == phase, f - block * 150 + 1).otherwise(0)
+        return F.coalesce(150 * (upto(block + F.col("ep")) - upto(F.col("ep"))), F.lit(0)) + here
+
+    for own in ("", "2"):
+        f, dc, tx, qty = (F.col(f"{c}{own}") for c in ("f", "dc", "tx", "qty"))
+        rows = rows.withColumn(f"block{own}", F.floor(f / 150))
+        rows = rows.withColumn(f"m1{own}", moved(F.col(f"block{own}"), f, 1)).withColumn(f"m3{own}", moved(F.col(f"block{own}"), f, 3))
+        rows = rows.withColumn(f"yaw{own}", F.radians(F.when(F.col("ep") % 2 == 1, 140 * (F.col(f"m1{own}") + F.col(f"m3{own}"))).otherwise(0) / 100.0))
+        rows = rows.withColumn(f"cos{own}", F.cos(f"yaw{own}")).withColumn(f"sin{own}", F.sin(f"yaw{own}")).withColumn(f"cx{own}", (16 * F.col(f"m1{own}") + 9 * F.col(f"m3{own}")) / 1000.0)
+        cos, sin, cx = (F.col(f"{c}{own}") for c in ("cos", "sin", "cx"))
+        rows = rows.withColumn(f"off{own}", F.when((F.col(f"block{own}") + F.col("ep")) % 4 == 2, 3.0).otherwise(0.1))
+        (lx, lz), (rx, rz) = ((cx + cos * off + sin * 2.0, -sin * off + cos * 2.0) for off in (-F.col(f"off{own}"), F.col(f"off{own}")))
+        jump = F.when((dc == 10) & (tx == 8), 0.5).when((dc == 8) & (tx == 2), 0.12).otherwise(0.0)
+        lost = ((qty == 50) & (dc == 0)) | ((F.col("ep") % 5 == 0) & f.between(200, 239)) | ((F.col("ep") % 7 == 0) & (f < 3))
+        turn = F.radians(F.when((dc == 9) & (tx == 7), 60.0).when((dc == 3) & (tx == 6), 35.0).otherwise(0.0))
+        rows = rows.withColumn(f"turn{own}", turn)
+        if own:
+            lost = lost | (end & (F.col("ep") % 3 == 0))
+        one = F.when((qty == 49) & (dc == 1), 0.0).otherwise(1.0)
+        a = "a" if own else ""
+        rows = rows.withColumn(f"l_{a}p", F.array(F.when(lost, nan).otherwise(lx + jump), zero, lz)).withColumn(f"r_{a}p", F.array(rx, zero, rz))
+        rows = rows.withColumn(f"l_{a}r6", F.array(F.cos(f"turn{own}"), zero, F.sin(f"turn{own}"), zero, F.lit(1.0), zero)).withColumn(f"r_{a}r6", F.array(one, zero, zero, zero, F.lit(1.0), zero))
     c, s = F.col("cos"), F.col("sin")
     grid = [[c, zero, s, F.col("cx")], [zero, F.lit(1.0), zero, zero], [-s, zero, c, zero], [zero, zero, zero, F.lit(1.0)]]
     rows = rows.withColumn("cam", F.array(*[F.array(*r) for r in grid])).withColumn("ts", F.col("f") / 30.0)
